@@ -41,7 +41,8 @@ m_cart AS (
          CASE l_linenumber % 3 WHEN 0 THEN 'desktop' WHEN 1 THEN 'mobile' WHEN 2 THEN 'tablet' END AS device,
          'p' || CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_quantity AS INTEGER) AS quantity,
          CAST(l_linenumber AS INTEGER) AS cart_total_items,
-         l_orderkey AS _o, l_linenumber AS _l, l_partkey AS _p, l_suppkey AS _s, l_extendedprice AS _x
+         l_orderkey AS _o, l_linenumber AS _l, l_partkey AS _p, l_suppkey AS _s, l_extendedprice AS _x,
+         l_returnflag AS _rf
   FROM lineitem),
 m_events AS (
   SELECT CAST(ts AS TIMESTAMP) AS "timestamp", 'u' || CAST(user_id AS VARCHAR) AS user_id,
@@ -124,6 +125,45 @@ SELECT device,
        count(*) FILTER (WHERE event_type = 'order_complete') AS completed_orders
 FROM m_events WHERE event_type IN ('page_view', 'product_search', 'add_to_cart', 'order_complete')
 GROUP BY device""")
+    cart_cols = ('"timestamp", user_id, session_id, event_type, device, product_id, quantity, '
+                 'cart_total_items')
+    latest = with_model(f"""
+SELECT {cart_cols} FROM (
+  SELECT *, row_number() OVER (PARTITION BY session_id, cart_total_items
+                               ORDER BY _o DESC, _l DESC, _p DESC, _s DESC, _x DESC) AS rn
+  FROM m_cart) WHERE rn = 1""")
+    q["latest_by_key"] = latest
+    q["latest_by_key_window"] = latest
+    q["upsert"] = with_model("""
+q_src AS (
+  SELECT product_id, price, inventory FROM (
+    SELECT 'p' || CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_extendedprice AS DECIMAL(10,2)) AS price,
+           CAST(l_quantity AS INTEGER) AS inventory,
+           row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey DESC, l_linenumber DESC,
+                              l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) AS rn
+    FROM lineitem) WHERE rn = 1)
+SELECT coalesce(t.product_id, s.product_id) AS product_id, t.name,
+       CASE WHEN s.product_id IS NOT NULL THEN s.price ELSE t.price END AS price,
+       t.category,
+       CASE WHEN s.product_id IS NOT NULL THEN s.inventory ELSE t.inventory END AS inventory,
+       t.popularity_score
+FROM m_products t FULL OUTER JOIN q_src s ON t.product_id = s.product_id""")
+    q["insert_if_absent"] = with_model(f"""
+q_batch AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY "timestamp", session_id
+                                 ORDER BY _o, _l, _p, _s, _x) AS rn
+    FROM m_cart) WHERE rn = 1),
+q_stored AS (SELECT DISTINCT "timestamp", session_id FROM m_cart WHERE _rf = 'R')
+SELECT {cart_cols} FROM q_batch b
+WHERE NOT EXISTS (SELECT 1 FROM q_stored s WHERE s."timestamp" = b."timestamp"
+                                            AND s.session_id = b.session_id)""")
+    q["merge_additive"] = with_model(f"""q_counts AS ({FUNNEL_COUNTS_SQL})
+{FUNNEL_SELECT}
+WHERE searches + product_views + add_to_cart_events + checkout_starts + purchases > 0""")
+    q["distinct_users_incremental"] = q["sales_daily"]
+    q["full_row_distinct"] = with_model("""
+SELECT DISTINCT user_id, status, payment_method FROM m_orders""")
     return q
 
 

@@ -52,3 +52,100 @@ def q_loyalty(spark, d):
 @query("device_usage")
 def q_device(spark, d):
     return reports.device_usage(dt.behavior_events(spark, d))
+
+
+# -- keyed merges -------------------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from shopflow.operators import merge  # noqa: E402
+from shopflow.schemas import FUNNEL_COUNTS  # noqa: E402
+
+
+@query("latest_by_key")
+def q_latest_by_key(spark, d):
+    """Last delivered version of every cart line (session, line number)."""
+    cart = dt.cart_events(spark, d)
+    return merge.latest_by_key(cart, ["session_id", "cart_total_items"], "_pos").drop("_pos")
+
+
+@query("latest_by_key_window")
+def q_latest_by_key_window(spark, d):
+    """B7, row_number form (for comparison with the aggregate form)."""
+    cart = dt.cart_events(spark, d)
+    return merge.latest_by_key(cart, ["session_id", "cart_total_items"], "_pos",
+                               method="window").drop("_pos")
+
+
+def price_feed(spark, d):
+    """Product updates derived from line items: last quoted line price and
+    quantity per product, in line-item order."""
+    li = dt.read(spark, d, "lineitem")
+    return li.select(dt.prefixed("p", "l_partkey").alias("product_id"),
+                     F.col("l_extendedprice").cast("decimal(10,2)").alias("price"),
+                     F.col("l_quantity").cast("int").alias("inventory"),
+                     F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                              "l_extendedprice").alias("_pos"))
+
+
+@query("upsert")
+def q_upsert(spark, d):
+    """B1: upsert the price feed (price, inventory only) into products."""
+    feed = price_feed(spark, d)
+    return merge.upsert(dt.products(spark, d), feed.select("product_id", "price", "inventory", "_pos")
+                        .transform(lambda f: merge.latest_by_key(f, ["product_id"], "_pos")).drop("_pos"),
+                        "product_id")
+
+
+@query("insert_if_absent")
+def q_insert_if_absent(spark, d):
+    """B2: re-delivered cart events; stored = returned lines (flag R);
+    first row per (timestamp, session_id) wins, stored keys are skipped."""
+    batch = dt.cart_events(spark, d)
+    stored = dt.cart_events(spark, d, where=F.col("l_returnflag") == "R").select("timestamp", "session_id")
+    return merge.insert_if_absent(stored, batch, ["timestamp", "session_id"], "_pos").drop("_pos")
+
+
+@query("merge_additive")
+def q_merge_additive(spark, d):
+    """Funnel as the union of five per-table delta branches merged by
+    summing per day (the summing-table form), then the dashboard rates."""
+    ev = dt.behavior_events(spark, d)
+    deltas = None
+    for b in reports.funnel_branches(ev):
+        deltas = b if deltas is None else deltas.unionByName(b)
+    merged = merge.merge_additive(None, deltas, ["report_date"], FUNNEL_COUNTS)
+    return reports.funnel_from_deltas(merged)
+
+
+@query("distinct_users_incremental")
+def q_distinct_users_incremental(spark, d):
+    """Daily sales built batch by batch (one batch per order priority):
+    counts and revenue are summed, purchasing users come from the union of
+    distinct (day, user) pairs, never from summed per-batch distincts."""
+    orders = dt.orders(spark, d)
+    raw = dt.read(spark, d, "orders").select(dt.prefixed("o", "o_orderkey").alias("order_id"),
+                                               "o_orderpriority")
+    tagged = orders.join(raw, "order_id")
+    sums, pairs = None, None
+    for prio in ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]:
+        batch = tagged.filter(F.col("o_orderpriority") == prio).drop("o_orderpriority")
+        done = batch.filter(F.col("status") == "completed")
+        s = (done.groupBy(F.to_date("created_at").alias("report_date"))
+             .agg(F.count(F.lit(1)).alias("order_count"), F.sum("total").alias("total_revenue")))
+        p = reports.sales_daily_pairs(batch)
+        sums = s if sums is None else sums.unionByName(s)
+        pairs = p if pairs is None else pairs.unionByName(p)
+    counted = reports.count_pairs(pairs.distinct())
+    totals = merge.merge_additive(None, sums, ["report_date"], ["order_count", "total_revenue"],
+                                  drop_zero=False)
+    return (totals.join(counted, "report_date", "left")
+            .select("report_date", "order_count", F.col("total_revenue").cast("double").alias("total_revenue"),
+                    F.coalesce("purchasing_users", F.lit(0)).cast("bigint").alias("purchasing_users")))
+
+
+@query("full_row_distinct")
+def q_full_row_distinct(spark, d):
+    """Full-row distinct of the order dimension tuples."""
+    o = dt.orders(spark, d)
+    return merge.distinct_rows(o.select("user_id", "status", "payment_method"))

@@ -99,13 +99,16 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def cart_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cart_events(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """add_to_cart events, one per line item, with an ingest position ``_pos``.
 
     ``_pos`` is a struct giving a total order over rows (the tuple is unique in
     the driver's data), standing in for the (partition, offset) of delivery.
+    ``where`` filters line items before the projection (pushed to the scan).
     """
     li = read(spark, sf_dir, "lineitem")
+    if where is not None:
+        li = li.filter(where)
     return li.select(
         (_ts("l_shipdate") + F.make_dt_interval(secs=F.col("l_linenumber").cast("int")))
         .alias("timestamp"),
