@@ -64,8 +64,9 @@ m_events AS (
 
 
 def with_model(body: str) -> str:
-    return "WITH " + MODEL.strip() + ",\n" + body.strip() if body.lstrip().upper().startswith("Q_") \
-        else "WITH " + MODEL.strip() + "\n" + body.strip()
+    """Prefix the model CTEs; ``body`` may start with more CTEs (``q_*``)."""
+    sep = ",\n" if body.lstrip().lower().startswith("q_") else "\n"
+    return "WITH " + MODEL.strip() + sep + body.strip()
 
 
 def _rate(num: str, den: str) -> str:
@@ -95,6 +96,69 @@ FROM q_counts
 """
 
 
+# Raw string exports (same derivation as ``driver_tables.raw_*``), then the
+# cleaning rules applied in SQL: trim + lower + enum lookup, coercing parses.
+RAW_USERS_SQL = """
+q_users_raw AS (
+  SELECT 'u' || CAST(c_custkey AS VARCHAR) AS user_id, c_name AS name,
+         CASE WHEN c_acctbal >= 0 AND c_acctbal < 100 THEN NULL
+              ELSE ' User' || CAST(c_custkey AS VARCHAR) || '@Shop.Example ' END AS email,
+         CASE WHEN c_custkey % 5 = 0 THEN 'not a date'
+              ELSE strftime(DATE '2020-01-01' + CAST(c_custkey % 1461 AS INTEGER), '%Y-%m-%d %H:%M:%S') END
+           AS signup_date,
+         CASE c_custkey % 4 WHEN 0 THEN ' Desktop ' WHEN 1 THEN 'mobile' WHEN 2 THEN 'TABLET'
+              ELSE 'watch' END AS device,
+         CASE WHEN c_acctbal >= 6000 THEN ' GOLD ' WHEN c_acctbal >= 2000 THEN 'silver'
+              WHEN c_acctbal >= 0 THEN 'Bronze' ELSE 'platinum' END AS loyalty_tier,
+         n_name AS location
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey),
+q_users_typed AS (
+  SELECT user_id, name, lower(trim(email)) AS email, TRY_CAST(trim(signup_date) AS TIMESTAMP) AS signup_date,
+         CASE lower(trim(device)) WHEN 'desktop' THEN 'desktop' WHEN 'mobile' THEN 'mobile'
+              WHEN 'tablet' THEN 'tablet' END AS device,
+         CASE lower(trim(loyalty_tier)) WHEN 'bronze' THEN 'Bronze' WHEN 'silver' THEN 'Silver'
+              WHEN 'gold' THEN 'Gold' END AS loyalty_tier,
+         location
+  FROM q_users_raw WHERE user_id IS NOT NULL)"""
+
+RAW_PRODUCTS_SQL = """
+q_products_raw AS (
+  SELECT 'p' || CAST(p_partkey AS VARCHAR) AS product_id, p_name AS name,
+         CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE p_retailprice END AS price_num,
+         CASE p_type WHEN 'ECONOMY' THEN ' HOME ' WHEN 'SMALL' THEN 'beauty' WHEN 'MEDIUM' THEN 'Clothing'
+              WHEN 'LARGE' THEN 'ELECTRONICS' WHEN 'STANDARD' THEN 'other' ELSE 'promo' END AS category,
+         p_size, p_partkey
+  FROM part),
+q_products_typed AS (
+  SELECT product_id, name, CAST(price_num AS DECIMAL(10,2)) AS price,
+         CASE lower(trim(category)) WHEN 'beauty' THEN 'Beauty' WHEN 'clothing' THEN 'Clothing'
+              WHEN 'electronics' THEN 'Electronics' WHEN 'home' THEN 'Home' WHEN 'other' THEN 'Other' END
+           AS category,
+         CAST(p_size AS INTEGER) AS inventory,
+         CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) + 0.5 END AS popularity_score
+  FROM q_products_raw)"""
+
+RAW_ORDERS_SQL = """
+q_orders_raw AS (
+  SELECT 'o' || CAST(o_orderkey AS VARCHAR) AS order_id, 'u' || CAST(o_custkey AS VARCHAR) AS user_id,
+         CASE WHEN o_orderkey % 2 = 0 THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)
+              WHEN o_orderkey % 3 = 0 THEN NULL
+              ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + INTERVAL 10 HOUR + INTERVAL 30 MINUTE
+         END AS created_at,
+         o_totalprice,
+         CASE o_orderstatus WHEN 'F' THEN ' Completed' WHEN 'O' THEN 'cancelled' END AS status,
+         CASE o_orderpriority WHEN '1-URGENT' THEN 'CREDIT_CARD' WHEN '2-HIGH' THEN 'apple_pay'
+              WHEN '3-MEDIUM' THEN ' google_pay ' WHEN '4-NOT SPECIFIED' THEN 'PayPal' ELSE 'cash' END
+           AS payment_method
+  FROM orders),
+q_orders_typed AS (
+  SELECT order_id, user_id, created_at, CAST(o_totalprice AS DECIMAL(10,2)) AS total,
+         CASE lower(trim(status)) WHEN 'completed' THEN 'completed' END AS status,
+         CASE lower(trim(payment_method)) WHEN 'credit_card' THEN 'credit_card' WHEN 'apple_pay' THEN 'apple_pay'
+              WHEN 'google_pay' THEN 'google_pay' WHEN 'paypal' THEN 'paypal' END AS payment_method
+  FROM q_orders_raw)"""
+
+
 def _sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["sales_daily"] = with_model("""
@@ -164,6 +228,32 @@ WHERE searches + product_views + add_to_cart_events + checkout_starts + purchase
     q["distinct_users_incremental"] = q["sales_daily"]
     q["full_row_distinct"] = with_model("""
 SELECT DISTINCT user_id, status, payment_method FROM m_orders""")
+    q["clean_users"] = with_model(f"""{RAW_USERS_SQL}
+SELECT DISTINCT user_id, name, email, signup_date, device, loyalty_tier, location
+FROM q_users_typed WHERE email IS NOT NULL AND loyalty_tier IS NOT NULL""")
+    q["clean_products"] = with_model(f"""{RAW_PRODUCTS_SQL}
+SELECT DISTINCT * FROM q_products_typed WHERE category IS NOT NULL""")
+    q["clean_orders"] = with_model(f"""{RAW_ORDERS_SQL}
+SELECT DISTINCT * FROM q_orders_typed
+WHERE created_at IS NOT NULL AND status IS NOT NULL AND payment_method IS NOT NULL""")
+    q["scan_csv_clean_orders"] = q["clean_orders"]
+    q["clean_rejects"] = with_model(f"""{RAW_USERS_SQL}, {RAW_PRODUCTS_SQL.strip()}, {RAW_ORDERS_SQL.strip()}
+SELECT 'users' AS table_name, CASE WHEN email IS NULL THEN 'invalid or missing email'
+       ELSE 'invalid or missing loyalty_tier' END AS reason, count(*) AS n
+FROM q_users_typed WHERE email IS NULL OR loyalty_tier IS NULL GROUP BY 2
+UNION ALL
+SELECT 'products', 'invalid or missing category', count(*) FROM q_products_typed WHERE category IS NULL
+UNION ALL
+SELECT 'orders', CASE WHEN created_at IS NULL THEN 'invalid or missing created_at'
+                      WHEN status IS NULL THEN 'invalid or missing status'
+                      ELSE 'invalid or missing payment_method' END, count(*)
+FROM q_orders_typed WHERE created_at IS NULL OR status IS NULL OR payment_method IS NULL GROUP BY 2""")
+    q["referential_check"] = with_model(f"""{RAW_USERS_SQL}, {RAW_ORDERS_SQL.strip()}
+SELECT DISTINCT o.order_id, o.user_id FROM q_orders_typed o
+WHERE o.created_at IS NOT NULL AND o.status IS NOT NULL AND o.payment_method IS NOT NULL
+  AND o.user_id IS NOT NULL
+  AND o.user_id NOT IN (SELECT user_id FROM q_users_typed
+                        WHERE email IS NOT NULL AND loyalty_tier IS NOT NULL AND user_id IS NOT NULL)""")
     return q
 
 

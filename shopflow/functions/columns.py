@@ -103,43 +103,32 @@ def number_text(c: Column | str, dtype: str) -> Column:
 
 
 # ISO-8601 text as the source system's parser accepts it: extended date, an
-# optional time (T or space) with optional seconds and fraction, an optional
-# UTC offset or Z; or the basic form YYYYMMDD[THHMMSS].
-_ISO_EXT = (r"^(\d{4})-(\d{2})-(\d{2})(?:[T ](\d{2})(?::(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?)?)?"
-            r"(Z|[+-]\d{2}(?::?\d{2})?)?$")
-_ISO_BASIC = r"^(\d{4})(\d{2})(\d{2})(?:T(\d{2})(?:(\d{2})(?:(\d{2})(?:[.,](\d{1,9}))?)?)?)?(Z|[+-]\d{2}(?::?\d{2})?)?$"
-
-
-def _iso_norm(s: Column, pattern: str) -> Column:
-    g = [F.regexp_extract(s, pattern, i) for i in range(1, 9)]
-    hh = F.when(g[3] == "", F.lit("00")).otherwise(g[3])
-    mi = F.when(g[4] == "", F.lit("00")).otherwise(g[4])
-    ss = F.when(g[5] == "", F.lit("00")).otherwise(g[5])
-    frac = F.when(g[6] == "", F.lit("")).otherwise(F.concat(F.lit("."), F.substring(g[6], 1, 6)))
-    off = g[7]
-    zone = (F.when((off == "") | (off == "Z"), F.lit("+00:00"))
-            .when(F.length(off) == 3, F.concat(off, F.lit(":00")))
-            .when(F.length(off) == 5, F.concat(F.substring(off, 1, 3), F.lit(":"), F.substring(off, 4, 2)))
-            .otherwise(off))
-    text = F.concat(g[0], F.lit("-"), g[1], F.lit("-"), g[2], F.lit("T"), hh, F.lit(":"), mi,
-                    F.lit(":"), ss, frac, zone)
-    return F.when(s.rlike(pattern), text.try_cast("timestamp"))
+# optional time (T or space) with optional minutes / seconds / fraction, an
+# optional UTC offset or Z; or the basic forms YYYYMMDD and YYYYMMDDTHHMMSS.
+# Spark's own ISO cast reads every extended shape; the regex guard rejects the
+# shapes it would also take but the source rejects (bare '2025', '2025-1-2').
+_ISO_EXT = (r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?)?)?"
+            r"(?:Z|[+-]\d{2}(?::?\d{2})?)?$")
+_ISO_BASIC_DATE = r"^(\d{4})(\d{2})(\d{2})$"
+_ISO_BASIC_TIME = r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})(Z|[+-]\d{2}(?::?\d{2})?)?$"
 
 
 def iso_timestamp(c: Column | str) -> Column:
     """ISO-8601 text -> TIMESTAMP (UTC instant); invalid -> NULL.
 
-    'Z' means UTC; a naive time is read as UTC.  Bare years ('2025') and
-    other non-ISO shapes are rejected even though Spark's cast would take them.
+    'Z' means UTC; a naive time is read as UTC.  Compact enough to stay inside
+    whole-stage codegen: one guard regex, one cast.
     """
     s = F.replace(col_(c), F.lit("Z"), F.lit("+00:00"))
-    return F.coalesce(_iso_norm(s, _ISO_EXT), _iso_norm(s, _ISO_BASIC))
+    ext = F.regexp_replace(s, ",", ".")
+    basic = F.regexp_replace(F.regexp_replace(s, _ISO_BASIC_DATE, "$1-$2-$3"),
+                             _ISO_BASIC_TIME, "$1-$2-$3T$4:$5:$6$7")
+    return (F.when(s.rlike(_ISO_EXT), ext.try_cast("timestamp"))
+            .when(s.rlike(_ISO_BASIC_DATE) | s.rlike(_ISO_BASIC_TIME), basic.try_cast("timestamp")))
 
 
-# Non-ISO shapes a lenient date parser also reads (month-first with slashes,
-# year-first with slashes), tried after ISO.
-_LENIENT_FORMATS = ["yyyy/M/d H:m:s", "yyyy/M/d H:m", "yyyy/M/d", "M/d/yyyy H:m:s", "M/d/yyyy H:m",
-                    "M/d/yyyy"]
+# Non-ISO shapes a lenient date parser also reads, tried after ISO.
+_LENIENT_FORMATS = ["yyyy/M/d[ H:m[:s]]", "M/d/yyyy[ H:m[:s]]"]
 
 
 def parse_timestamp(c: Column | str) -> Column:

@@ -149,3 +149,64 @@ def q_full_row_distinct(spark, d):
     """Full-row distinct of the order dimension tuples."""
     o = dt.orders(spark, d)
     return merge.distinct_rows(o.select("user_id", "status", "payment_method"))
+
+
+# -- cleaning master data -----------------------------------------------------
+
+from shopflow.operators import clean  # noqa: E402
+from shopflow.sources import files  # noqa: E402
+from shopflow.session import work_path  # noqa: E402
+
+_RAW = {"users": dt.raw_users, "products": dt.raw_products, "orders": dt.raw_orders}
+
+
+def _cleaned(spark, d, table):
+    return clean.clean_table(_RAW[table](spark, d), table)
+
+
+def _reject_counts(rejects):
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("clean_users")
+def q_clean_users(spark, d):
+    """Users cleaned from their raw string form."""
+    return _cleaned(spark, d, "users")[0]
+
+
+@query("clean_products")
+def q_clean_products(spark, d):
+    return _cleaned(spark, d, "products")[0]
+
+
+@query("clean_orders")
+def q_clean_orders(spark, d):
+    return _cleaned(spark, d, "orders")[0]
+
+
+@query("clean_rejects")
+def q_clean_rejects(spark, d):
+    """Reject reasons of the three tables, counted."""
+    out = None
+    for t in ("users", "products", "orders"):
+        r = _reject_counts(_cleaned(spark, d, t)[1]).select(F.lit(t).alias("table_name"), "reason", "n")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@query("referential_check")
+def q_referential_check(spark, d):
+    """Cleaned orders whose user is not among the cleaned users."""
+    orders = _cleaned(spark, d, "orders")[0]
+    users = _cleaned(spark, d, "users")[0]
+    return clean.referential_check(orders, users)[1].select("order_id", "user_id")
+
+
+@query("scan_csv_clean_orders")
+def q_scan_csv_clean_orders(spark, d):
+    """A1 end to end: raw orders written as CSV files, scanned back with the
+    CSV scan (header normalised, missing-value tokens), cleaned."""
+    out = work_path(spark, "csv", "orders", fresh=True)
+    dt.raw_orders(spark, d).write.mode("overwrite").option("header", True).csv(out)
+    rows, long_lines = files.scan_csv(spark, out)
+    return clean.clean_table(rows, "orders")[0].drop("_pos")

@@ -153,3 +153,72 @@ def behavior_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "purchase", prefixed("o", "event_id")).alias("order_id"),
         F.col("event_id").alias("_pos"),
     )
+
+
+# -- raw (string) master data, as exported CSV files hold it -------------------
+#
+# Derived from the same driver rows with the noise real exports carry: mixed
+# case and padding in enum values, unknown enum values, unparsable dates and
+# numbers, missing e-mails.  Used to exercise the cleaning operators on whole
+# tables (their oracle applies the same rules in SQL).
+
+RAW_TIER = [(6000.0, " GOLD "), (2000.0, "silver"), (0.0, "Bronze")]  # below 0 -> "platinum"
+RAW_DEVICE = {0: " Desktop ", 1: "mobile", 2: "TABLET", 3: "watch"}
+RAW_CATEGORY = {"ECONOMY": " HOME ", "SMALL": "beauty", "MEDIUM": "Clothing", "LARGE": "ELECTRONICS",
+                "STANDARD": "other", "PROMO": "promo"}
+RAW_STATUS = {"F": " Completed", "O": "cancelled"}
+RAW_PAYMENT = {"1-URGENT": "CREDIT_CARD", "2-HIGH": "apple_pay", "3-MEDIUM": " google_pay ",
+               "4-NOT SPECIFIED": "PayPal", "5-LOW": "cash"}
+
+
+def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    c = read(spark, sf_dir, "customer")
+    bal = F.col("c_acctbal")
+    tier = F.when(bal >= RAW_TIER[0][0], RAW_TIER[0][1])
+    for lo, txt in RAW_TIER[1:]:
+        tier = tier.when(bal >= lo, txt)
+    tier = tier.otherwise("platinum")
+    signup = F.date_format(F.date_add(F.lit("2020-01-01").cast("date"),
+                                      F.pmod("c_custkey", F.lit(1461)).cast("int")), "yyyy-MM-dd HH:mm:ss")
+    return (c.join(F.broadcast(nation), c.c_nationkey == nation.n_nationkey, "left")
+            .select(prefixed("u", "c_custkey").alias(" User_ID "),
+                    F.col("c_name").alias("Name"),
+                    F.when((bal >= 0) & (bal < 100), F.lit(None).cast("string"))
+                    .otherwise(F.concat(F.lit(" User"), F.col("c_custkey").cast("string"),
+                                        F.lit("@Shop.Example "))).alias("EMAIL"),
+                    F.when(F.pmod("c_custkey", F.lit(5)) == 0, F.lit("not a date"))
+                    .otherwise(signup).alias("signup_date"),
+                    lookup(RAW_DEVICE, F.pmod("c_custkey", F.lit(4))).alias("device"),
+                    tier.alias("loyalty_tier"),
+                    F.col("n_name").alias("location")))
+
+
+def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read(spark, sf_dir, "part")
+    return p.select(
+        prefixed("p", "p_partkey").alias("product_id"),
+        F.col("p_name").alias("name"),
+        F.when(F.pmod("p_partkey", F.lit(10)) == 0, F.lit("abc"))
+        .otherwise(F.col("p_retailprice").cast("string")).alias("price"),
+        lookup(RAW_CATEGORY, F.col("p_type")).alias("category"),
+        F.col("p_size").cast("string").alias("inventory"),
+        F.when(F.pmod("p_partkey", F.lit(7)) == 0, F.lit(""))
+        .otherwise(F.concat(F.lit(" "), F.col("p_size").cast("string"), F.lit(".5"))).alias("popularity_score"),
+    )
+
+
+def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read(spark, sf_dir, "orders")
+    day = F.col("o_orderdate").cast("date")
+    ts = (F.when(F.pmod("o_orderkey", F.lit(2)) == 0, F.date_format(day, "yyyy-MM-dd"))
+          .when(F.pmod("o_orderkey", F.lit(3)) == 0, F.lit("bad"))
+          .otherwise(F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T10:30:00Z"))))
+    return o.select(
+        prefixed("o", "o_orderkey").alias("order_id"),
+        prefixed("u", "o_custkey").alias("user_id"),
+        ts.alias("timestamp"),
+        F.col("o_totalprice").cast("string").alias("total"),
+        lookup(RAW_STATUS, F.col("o_orderstatus")).alias("status"),
+        lookup(RAW_PAYMENT, F.col("o_orderpriority")).alias("payment_method"),
+    )
