@@ -159,6 +159,22 @@ q_orders_typed AS (
   FROM q_orders_raw)"""
 
 
+# Expected outcome of every raw event line (``driver_tables.raw_event_lines``):
+# the first failing check, in the validator's order.
+RAW_EVENTS_SQL = """
+q_checked AS (
+  SELECT e.*, r."value",
+    CASE WHEN k = 7 THEN 'Missing required common field: user_id'
+         WHEN k = 3 THEN 'Missing required common field: device'
+         WHEN r.event_type = 'view' AND k = 42 THEN 'Unknown event_type: Page_View'
+         WHEN e.event_type = 'page_view' AND k % 17 = 0 THEN 'Cannot cast field ''http_status'' to int: 2xx'
+         WHEN e.event_type = 'add_to_cart' AND k % 11 = 0 THEN 'Required int field is null: quantity'
+         WHEN e.event_type = 'checkout_start' AND k % 19 = 0 THEN 'Cannot cast field ''cart_value'' to float: abc'
+         WHEN k = 13 THEN 'Cannot cast field ''timestamp'' to datetime: bad'
+    END AS reason
+  FROM m_events e JOIN events r ON r.event_id = e._pos)"""
+
+
 def _sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["sales_daily"] = with_model("""
@@ -254,6 +270,33 @@ WHERE o.created_at IS NOT NULL AND o.status IS NOT NULL AND o.payment_method IS
   AND o.user_id IS NOT NULL
   AND o.user_id NOT IN (SELECT user_id FROM q_users_typed
                         WHERE email IS NOT NULL AND loyalty_tier IS NOT NULL AND user_id IS NOT NULL)""")
+    q["validate_events"] = with_model(f"""{RAW_EVENTS_SQL}
+SELECT "timestamp", user_id, session_id, event_type, device,
+       CASE WHEN event_type = 'page_view' THEN url_path END AS url_path,
+       CASE WHEN event_type = 'page_view' THEN k END AS duration_sec,
+       CASE WHEN event_type = 'page_view' THEN 200 END AS http_status,
+       CASE WHEN event_type = 'product_search' THEN 'q' || CAST(k AS VARCHAR) END AS query,
+       CASE WHEN event_type = 'product_search' THEN CASE WHEN k % 4 = 0 THEN 0 ELSE k END END AS results_count,
+       CASE WHEN event_type = 'product_search' AND k % 5 = 0 THEN 3 END AS clicked_position,
+       CASE WHEN event_type = 'checkout_start' THEN "value" + 0.0 END AS cart_value,
+       CASE WHEN event_type = 'add_to_cart' THEN 'p' || CAST(k AS VARCHAR) END AS product_id,
+       CASE WHEN event_type = 'add_to_cart' THEN 1 + k % 5 END AS quantity,
+       CASE WHEN event_type = 'add_to_cart' THEN CASE WHEN k % 9 = 0 THEN 1 ELSE k END END AS cart_total_items,
+       CAST(NULL AS VARCHAR) AS wishlist_name,
+       CASE WHEN event_type = 'checkout_start' AND k % 2 = 0 THEN 'express' END AS shipping_method,
+       CAST(NULL AS VARCHAR) AS payment_type, CAST(NULL AS BOOLEAN) AS success,
+       CAST(NULL AS VARCHAR) AS error_code,
+       CASE WHEN event_type = 'order_complete' THEN order_id END AS order_id,
+       CASE WHEN event_type = 'order_complete' THEN 'fast' END AS fulfillment_speed,
+       CAST(NULL AS INTEGER) AS rating, CAST(NULL AS INTEGER) AS text_length
+FROM q_checked WHERE reason IS NULL""")
+    q["validate_events_rejects"] = with_model(f"""{RAW_EVENTS_SQL}
+SELECT reason, count(*) AS n FROM q_checked WHERE reason IS NOT NULL GROUP BY reason""")
+    q["route_by_type_counts"] = with_model(f"""{RAW_EVENTS_SQL}
+SELECT event_type, 'sessions_' || strftime("timestamp", '%Y%m%d') || '_events.json' AS source_file,
+       count(*) AS records_inserted
+FROM (SELECT DISTINCT event_type, "timestamp", session_id FROM q_checked WHERE reason IS NULL)
+GROUP BY 1, 2""")
     return q
 
 

@@ -210,3 +210,37 @@ def q_scan_csv_clean_orders(spark, d):
     dt.raw_orders(spark, d).write.mode("overwrite").option("header", True).csv(out)
     rows, long_lines = files.scan_csv(spark, out)
     return clean.clean_table(rows, "orders")[0].drop("_pos")
+
+
+# -- session events --------------------------------------------------------------
+
+from shopflow.operators import events as ev_ops  # noqa: E402
+
+
+def _validated(spark, d):
+    return ev_ops.validate_events(dt.raw_event_lines(spark, d), with_line_numbers=False)
+
+
+@query("validate_events")
+def q_validate_events(spark, d):
+    """Raw JSON lines validated; valid events flattened."""
+    return ev_ops.flatten(_validated(spark, d)[0])
+
+
+@query("validate_events_rejects")
+def q_validate_events_rejects(spark, d):
+    """Reject reasons counted."""
+    return _validated(spark, d)[1].groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("route_by_type_counts")
+def q_route_by_type_counts(spark, d):
+    """Validated events stored first-wins per (type, timestamp,
+    session), routed by type; rows stored per type and source file."""
+    valid = _validated(spark, d)[0]
+    stored = merge.first_by_key(valid.drop("ingestion"), ["event_type", "timestamp", "session_id"],
+                                ev_ops.event_order())
+    src = valid.select("event_type", "timestamp", "session_id", "ingestion.source_file")
+    kept = stored.select("event_type", "timestamp", "session_id", "_file").join(
+        src, ["event_type", "timestamp", "session_id"])
+    return kept.groupBy("event_type", "source_file").agg(F.count(F.lit(1)).alias("records_inserted"))

@@ -125,13 +125,14 @@ def cart_events(spark: SparkSession, sf_dir: str, where: Column | None = None) -
     )
 
 
-def behavior_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def behavior_events(spark: SparkSession, sf_dir: str, extra: list[Column] = ()) -> DataFrame:
     """Behavioural events in the flat landing shape of the five funnel types.
 
     Columns: timestamp, user_id, session_id, event_type, device, url_path
     (page_view only), query (product_search), product_id / quantity
     (add_to_cart), cart_value (checkout_start), order_id (order_complete),
-    and ``_pos`` (= event_id) as ingest position.
+    and ``_pos`` (= event_id) as ingest position.  ``extra`` columns of the
+    source rows are passed through (same projection, no join).
     """
     ev = read(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("int")
@@ -152,6 +153,7 @@ def behavior_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "error", F.col("value")).alias("cart_value"),
         F.when(F.col("event_type") == "purchase", prefixed("o", "event_id")).alias("order_id"),
         F.col("event_id").alias("_pos"),
+        *extra,
     )
 
 
@@ -222,3 +224,71 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         lookup(RAW_STATUS, F.col("o_orderstatus")).alias("status"),
         lookup(RAW_PAYMENT, F.col("o_orderpriority")).alias("payment_method"),
     )
+
+
+# -- raw session events (JSON lines) ------------------------------------------
+#
+# One JSON object per driver event, in the shape session files carry, with
+# the failure modes of real feeds placed by the event's ``props.k`` value:
+#   k = 7   user_id " NaN "            (blank common field)
+#   k = 3   device missing             (blank common field)
+#   k = 42  event_type "Page_View"     (views only; unknown type)
+#   k = 13  timestamp "bad"            (unparsable time)
+#   page_view:      duration_sec as text " k " when k % 10 = 1; http_status "2xx" when k % 17 = 0
+#   product_search: results_count null when k % 4 = 0; clicked_position 3.7 when k % 5 = 0
+#   add_to_cart:    quantity missing when k % 11 = 0; cart_total_items true when k % 9 = 0
+#   checkout_start: cart_value "abc" when k % 19 = 0; shipping_method "express" for even k
+#   order_complete: fulfillment_speed "  fast  "
+
+def _q(x: str) -> str:
+    return f"concat('\"', {x}, '\"')"
+
+
+def _kv(name: str, value_sql: str) -> str:
+    return f"concat('\"{name}\": ', {value_sql})"
+
+
+RAW_EVENT_SQL = {
+    "view": ["'\"url_path\": \"' || url_path || '\"'",
+             _kv("duration_sec", "CASE WHEN k % 10 = 1 THEN concat('\" ', k, ' \"') ELSE CAST(k AS STRING) END"),
+             _kv("http_status", "CASE WHEN k % 17 = 0 THEN '\"2xx\"' ELSE '200' END")],
+    "signup": [_kv("query", _q("concat('q', k)")),
+               _kv("results_count", "CASE WHEN k % 4 = 0 THEN 'null' ELSE CAST(k AS STRING) END"),
+               "CASE WHEN k % 5 = 0 THEN '\"clicked_position\": 3.7' END"],
+    "click": [_kv("product_id", _q("concat('p', k)")),
+              "CASE WHEN k % 11 != 0 THEN concat('\"quantity\": ', 1 + k % 5) END",
+              _kv("cart_total_items", "CASE WHEN k % 9 = 0 THEN 'true' ELSE CAST(k AS STRING) END")],
+    "error": [_kv("cart_value", "CASE WHEN k % 19 = 0 THEN '\"abc\"' ELSE CAST(value AS STRING) END"),
+              "CASE WHEN k % 2 = 0 THEN '\"shipping_method\": \"express\"' END"],
+    "purchase": [_kv("order_id", _q("order_id")),
+                 "'\"fulfillment_speed\": \"  fast  \"'"],
+}
+
+
+def raw_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw JSON lines: (value, source_file, _file, _block, _row).
+
+    ``source_file`` names a day file ``sessions_<yyyymmdd>_events.json`` and
+    ``_row`` is the event id, so the provenance columns order lines as the
+    session files would.
+    """
+    joined = behavior_events(spark, sf_dir, extra=[
+        F.col("event_type").alias("src_type"), F.col("value"),
+        F.get_json_object("props", "$.k").cast("int").alias("k")])
+    common = ("concat_ws(', ', "
+              "concat('\"timestamp\": ', CASE WHEN k = 13 THEN '\"bad\"' "
+              "ELSE concat('\"', date_format(timestamp, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), 'Z\"') END), "
+              "concat('\"user_id\": ', CASE WHEN k = 7 THEN '\" NaN \"' ELSE concat('\"', user_id, '\"') END), "
+              "concat('\"event_type\": \"', CASE WHEN src_type = 'view' AND k = 42 THEN 'Page_View' "
+              "ELSE event_type END, '\"'), "
+              "CASE WHEN k != 3 THEN concat('\"device\": \"', device, '\"') END, "
+              "concat('\"session_id\": \"', session_id, '\"'))")
+    payload = "CASE " + " ".join(
+        f"WHEN src_type = '{t}' THEN concat_ws(', ', {', '.join(parts)})" for t, parts in RAW_EVENT_SQL.items()
+    ) + " END"
+    line = f"concat('{{', concat_ws(', ', {common}, {payload}), '}}')"
+    return joined.selectExpr(
+        f"{line} AS value",
+        "concat('sessions_', date_format(timestamp, 'yyyyMMdd'), '_events.json') AS source_file",
+        "concat('events/', date_format(timestamp, 'yyyyMMdd')) AS _file",
+        "CAST(0 AS BIGINT) AS _block", "_pos AS _row")
