@@ -297,6 +297,46 @@ SELECT event_type, 'sessions_' || strftime("timestamp", '%Y%m%d') || '_events.js
        count(*) AS records_inserted
 FROM (SELECT DISTINCT event_type, "timestamp", session_id FROM q_checked WHERE reason IS NULL)
 GROUP BY 1, 2""")
+    q["envelope_roundtrip"] = with_model("""
+SELECT order_id, user_id, created_at, CAST(total AS DOUBLE) AS total, status, payment_method FROM m_orders""")
+    q["publish_json_orders"] = with_model("""
+SELECT order_id AS "key", 3 AS schema_id,
+       '{"order_id":' || to_json(order_id) || ',"user_id":' || to_json(user_id)
+       || ',"created_at":' || to_json(strftime(created_at, '%Y-%m-%dT%H:%M:%S'))
+       || ',"total":' || CAST(CAST(total AS DOUBLE) AS VARCHAR)
+       || ',"status":' || coalesce(to_json(status), 'null')
+       || ',"payment_method":' || coalesce(to_json(payment_method), 'null') || '}' AS payload
+FROM m_orders""")
+    q["scan_since_numeric_suffix"] = with_model("""
+SELECT order_id, user_id, created_at, total, status, payment_method, _pos AS id_num FROM m_orders
+WHERE _pos > (SELECT floor(avg(_pos)) FROM m_orders)""")
+    q["scan_since_position"] = with_model("""
+SELECT * EXCLUDE (k) FROM m_events
+WHERE _pos > (SELECT max(_pos) FROM m_events WHERE "timestamp" < TIMESTAMP '2024-01-15')""")
+    q["land_orders_latest"] = with_model("""
+SELECT order_id, user_id, created_at, CAST(total AS DOUBLE) AS total, status,
+       CASE WHEN status = 'completed' THEN upper(payment_method) ELSE payment_method END AS payment_method
+FROM m_orders""")
+    q["json_field_extract"] = """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events"""
+    q["iso_text"] = with_model("""
+SELECT _pos AS id, CASE WHEN microsecond("timestamp") % 1000000 = 0
+                        THEN strftime("timestamp", '%Y-%m-%dT%H:%M:%S')
+                        ELSE strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') END AS iso FROM m_events
+UNION ALL
+SELECT -_pos AS id, strftime(created_at, '%Y-%m-%dT%H:%M:%S') AS iso FROM m_orders""")
+    q["parse_timestamp"] = with_model(f"""{RAW_ORDERS_SQL}
+SELECT order_id, created_at FROM q_orders_typed""")
+    q["cast_rules"] = """
+SELECT event_id,
+       CASE WHEN k % 4 = 0 OR k % 4 = 2 THEN k END AS as_int,
+       "value" AS as_float,
+       CASE k % 6 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN true WHEN 3 THEN false END AS as_bool,
+       CASE k % 5 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN true ELSE false END AS is_blank
+FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)"""
+    q["anti_join_ledger"] = """
+SELECT DISTINCT 'sessions_' || strftime(ts, '%Y%m%d') || '_events.json' AS file_name
+FROM events WHERE ts >= TIMESTAMP '2024-01-15'"""
     return q
 
 

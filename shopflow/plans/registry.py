@@ -244,3 +244,119 @@ def q_route_by_type_counts(spark, d):
     kept = stored.select("event_type", "timestamp", "session_id", "_file").join(
         src, ["event_type", "timestamp", "session_id"])
     return kept.groupBy("event_type", "source_file").agg(F.count(F.lit(1)).alias("records_inserted"))
+
+
+# -- messages, cursors, landing ------------------------------------------------------
+
+from shopflow.functions import columns as fc  # noqa: E402
+from shopflow.operators import envelope  # noqa: E402
+from shopflow.plans import landing  # noqa: E402
+from shopflow.sinks.topics import publish  # noqa: E402
+from shopflow.sources.cursor import scan_since  # noqa: E402
+from shopflow.sources.topics import topic_source  # noqa: E402
+
+ORDER_SCHEMA_ID = 3
+
+
+@query("envelope_roundtrip")
+def q_envelope_roundtrip(spark, d):
+    """Orders encoded as enveloped JSON messages and decoded back."""
+    msgs = envelope.encode(dt.orders(spark, d), "order_id", ORDER_SCHEMA_ID)
+    rows, _ = landing.decode_master(msgs.select("key", "value", F.lit(0).cast("bigint").alias("batch_id"),
+                                                F.lit(0).alias("partition"),
+                                                F.lit(0).cast("bigint").alias("offset")), "orders")
+    return rows.drop("batch_id", "partition", "offset")
+
+
+@query("publish_json_orders")
+def q_publish_json_orders(spark, d):
+    """Message key, schema id and JSON payload of every order."""
+    msgs = envelope.encode(dt.orders(spark, d), "order_id", ORDER_SCHEMA_ID)
+    return msgs.select("key", envelope.schema_id(F.col("value")).alias("schema_id"),
+                       envelope.payload_text(F.col("value")).alias("payload"))
+
+
+@query("scan_since_numeric_suffix")
+def q_scan_since_numeric(spark, d):
+    """Orders after a stored cursor, compared numerically (o10 > o9).
+    The cursor stands for a previous export: floor of the mean order number,
+    evaluated as a scalar subquery inside the scan's job."""
+    o = dt.orders(spark, d)
+    cursor = o.agg(F.floor(F.avg(fc.id_number("order_id")))).scalar()
+    return scan_since(o, "order_id", cursor)
+
+
+@query("scan_since_position")
+def q_scan_since_position(spark, d):
+    """Events after the position cursor left by the export of the first
+    half of the month."""
+    ev = dt.behavior_events(spark, d)
+    cursor = ev.filter(F.col("timestamp") < F.lit("2024-01-15").cast("timestamp")).agg(F.max("_pos")).scalar()
+    return scan_since(ev, "_pos", cursor, numeric_suffix=False).drop("id_num")
+
+
+@query("land_orders_latest")
+def q_land_orders_latest(spark, d):
+    """Orders published twice to a file-backed topic (full export,
+    then the completed orders re-published with an upper-cased payment
+    method); the landing table keeps the last delivery per order."""
+    root = work_path(spark, "topics", fresh=True)
+    o = dt.orders(spark, d)
+    publish(envelope.encode(o, "order_id", ORDER_SCHEMA_ID), "postgres.orders", root=root, batch_id=0)
+    upd = o.filter(F.col("status") == "completed").withColumn("payment_method", F.upper("payment_method"))
+    publish(envelope.encode(upd, "order_id", ORDER_SCHEMA_ID), "postgres.orders", root=root, batch_id=1)
+    return landing.land_master(topic_source(spark, "postgres.orders", root=root), "orders")
+
+
+@query("json_field_extract")
+def q_json_field_extract(spark, d):
+    """One typed parse of the JSON props per row."""
+    ev = dt.read(spark, d, "events")
+    p = F.from_json("props", "k INT")
+    return ev.select("event_id", p["k"].alias("k"))
+
+
+@query("iso_text")
+def q_iso_text(spark, d):
+    """ISO text of timestamps (fraction only when non-zero)."""
+    ev = dt.behavior_events(spark, d)
+    o = dt.orders(spark, d)
+    return (ev.select(F.col("_pos").alias("id"), fc.iso_text("timestamp").alias("iso"))
+            .unionByName(o.select(F.col("order_id").alias("id"), fc.iso_text("created_at").alias("iso"))
+                         .withColumn("id", fc.id_number("id") * -1)))
+
+
+@query("parse_timestamp")
+def q_parse_timestamp(spark, d):
+    """Best-effort timestamp parse of the raw order time strings."""
+    raw = dt.raw_orders(spark, d)
+    return raw.select("order_id", fc.parse_timestamp("timestamp").alias("created_at"))
+
+
+@query("cast_rules")
+def q_cast_rules(spark, d):
+    """Blank test, int / float / bool text casts on strings built
+    from the event columns."""
+    ev = dt.read(spark, d, "events").select("event_id", "value",
+                                            F.get_json_object("props", "$.k").cast("int").alias("k"))
+    k = F.col("k").cast("string")
+    s_int = (F.when(F.col("k") % 4 == 0, F.concat(F.lit(" "), k, F.lit(" ")))
+             .when(F.col("k") % 4 == 1, F.concat(k, F.lit(".5")))
+             .when(F.col("k") % 4 == 2, F.concat(F.lit("+"), k)).otherwise(F.concat(F.lit("x"), k)))
+    s_bool = fc.lookup({0: "yes", 1: "N", 2: " true ", 3: "0", 4: "maybe", 5: "1.0"}, F.col("k") % 6)
+    s_blank = fc.lookup({1: "", 2: " NaN ", 3: "  ", 4: "x"}, F.col("k") % 5)
+    return ev.select("event_id",
+                     fc.int_text(s_int).alias("as_int"),
+                     fc.float_text(F.col("value").cast("string")).alias("as_float"),
+                     fc.bool_text(s_bool).alias("as_bool"),
+                     fc.is_blank(s_blank).alias("is_blank"))
+
+
+@query("anti_join_ledger")
+def q_anti_join_ledger(spark, d):
+    """Session files not yet in the ledger (the ledger holds the
+    files of the first half of the month)."""
+    lines = dt.raw_event_lines(spark, d)
+    listing = lines.select(F.col("source_file").alias("file_name")).distinct()
+    ledger = listing.filter(F.col("file_name") < "sessions_20240115")
+    return files.new_files(listing, ledger)
