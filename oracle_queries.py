@@ -337,6 +337,16 @@ FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM eve
     q["anti_join_ledger"] = """
 SELECT DISTINCT 'sessions_' || strftime(ts, '%Y%m%d') || '_events.json' AS file_name
 FROM events WHERE ts >= TIMESTAMP '2024-01-15'"""
+    q["file_stream_new_only"] = with_model(f"""{RAW_EVENTS_SQL}
+SELECT event_type, count(*) AS stored
+FROM (SELECT DISTINCT event_type, "timestamp", session_id FROM q_checked WHERE reason IS NULL)
+GROUP BY event_type""")
+    q["land_events_stream"] = with_model(f"""{RAW_EVENTS_SQL}
+SELECT date_trunc('second', "timestamp") AS "timestamp", user_id, session_id, event_type, device,
+       url_path, k AS duration_sec, 200 AS http_status
+FROM q_checked WHERE reason IS NULL AND event_type = 'page_view'""")
+    q["additive_report_stream"] = q["merge_additive"]
+    q["stream_static_top_products"] = q["top_products"]
     return q
 
 

@@ -360,3 +360,77 @@ def q_anti_join_ledger(spark, d):
     listing = lines.select(F.col("source_file").alias("file_name")).distinct()
     ledger = listing.filter(F.col("file_name") < "sessions_20240115")
     return files.new_files(listing, ledger)
+
+
+# -- streaming (file-backed, availableNow) -----------------------------------------------
+
+from shopflow.streaming import drivers  # noqa: E402
+
+
+def _write_session_files(lines, folder):
+    """Session files (one folder per day) as a feed would drop them."""
+    (lines.withColumn("day", F.regexp_extract("source_file", r"sessions_(\d{8})_", 1))
+     .select("value", "day").write.mode("append").partitionBy("day").text(folder))
+
+
+@query("file_stream_new_only")
+def q_file_stream_new_only(spark, d):
+    """Session files arrive in two drops (first half of
+    the month, then the rest); each availableNow run reads only the new files,
+    validates them and stores events first-wins; result = rows stored per
+    type, from the store written by the stream."""
+    root = work_path(spark, "sessions", fresh=True)
+    folder, store, ledger, ckpt = (f"{root}/in", f"{root}/store", f"{root}/ledger", f"{root}/ckpt")
+    lines = dt.raw_event_lines(spark, d)
+    early = F.col("source_file") < "sessions_20240115"
+    _write_session_files(lines.filter(early), folder)
+    drivers.run(lambda: drivers.ingest_sessions(spark, folder, store, ledger, ckpt, glob="*.txt"))
+    _write_session_files(lines.filter(~early), folder)
+    drivers.run(lambda: drivers.ingest_sessions(spark, folder, store, ledger, ckpt, glob="*.txt"))
+    return drivers.read_store(spark, store).groupBy("event_type").agg(F.count(F.lit(1)).alias("stored"))
+
+
+@query("land_events_stream")
+def q_land_events_stream(spark, d):
+    """Validated page views published to a file topic in three
+    deliveries, landed by a stream into the landing log, read last-wins per
+    (user, session, second)."""
+    root = work_path(spark, "landing", fresh=True)
+    topics, log, ckpt = f"{root}/topics", f"{root}/log", f"{root}/ckpt"
+    valid = _validated(spark, d)[0].filter(F.col("event_type") == "page_view")
+    msg = valid.select("timestamp", "user_id", "session_id", "event_type", "device",
+                       F.struct("event_data.url_path", "event_data.duration_sec",
+                                "event_data.http_status").alias("event_data"))
+    day = F.dayofmonth("timestamp")
+    for i, part in enumerate([day < 11, (day >= 11) & (day < 21), day >= 21]):
+        publish(envelope.encode(msg.filter(part).withColumn("_k", F.concat_ws(":", "session_id", "timestamp")),
+                                "_k", 1, columns=msg.columns), "events.page_view", root=topics, batch_id=i)
+    drivers.run(lambda: drivers.land_stream(spark, "events.page_view", "event", log, ckpt, topics,
+                                            event_type="page_view", max_files_per_trigger=2))
+    return drivers.read_landing(spark, log, drivers.EVENT_KEYS)
+
+
+@query("additive_report_stream")
+def q_additive_report_stream(spark, d):
+    """The funnel as a summing table fed by a stream of event files
+    in several micro-batches; the dashboard sums the deltas."""
+    root = work_path(spark, "funnel", fresh=True)
+    src, deltas, ckpt = f"{root}/events", f"{root}/deltas", f"{root}/ckpt"
+    ev = dt.behavior_events(spark, d)
+    ev.repartition(8, F.to_date("timestamp")).write.parquet(src)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 3).parquet(src)
+    drivers.run(lambda: drivers.funnel_stream(spark, stream, deltas, ckpt))
+    return drivers.read_funnel(spark, deltas)
+
+
+@query("stream_static_top_products")
+def q_stream_static_top_products(spark, d):
+    """Cart events streamed in four micro-batches, each joined with the
+    product table (stream-static join), per-product deltas summed."""
+    root = work_path(spark, "topprod", fresh=True)
+    src, deltas, ckpt = f"{root}/carts", f"{root}/deltas", f"{root}/ckpt"
+    cart = dt.cart_events(spark, d).drop("_pos")
+    cart.repartition(4).write.parquet(src)
+    stream = spark.readStream.schema(cart.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    drivers.run(lambda: drivers.top_products_stream(spark, stream, dt.products(spark, d), deltas, ckpt))
+    return drivers.read_top_products(spark, deltas)

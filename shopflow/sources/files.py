@@ -76,12 +76,18 @@ def scan_jsonl(spark: SparkSession, path: str, path_glob: str | None = None) ->
     return text_lines(lines)
 
 
-def text_lines(lines: DataFrame) -> DataFrame:
-    """Attach provenance to a text DataFrame (batch or stream)."""
-    return (lines.select("value", F.col("_metadata.file_name").alias("source_file"),
-                         F.col("_metadata.file_path").alias("_file"),
-                         F.col("_metadata.file_block_start").alias("_block"),
-                         F.monotonically_increasing_id().alias("_row")))
+def text_lines(lines: DataFrame, with_row: bool = True) -> DataFrame:
+    """Attach provenance to a text DataFrame.  Streams take ``with_row=False``
+    and add the row id per micro-batch (``add_row_id``)."""
+    out = lines.select("value", F.col("_metadata.file_name").alias("source_file"),
+                       F.col("_metadata.file_path").alias("_file"),
+                       F.col("_metadata.file_block_start").alias("_block"))
+    return add_row_id(out) if with_row else out
+
+
+def add_row_id(lines: DataFrame) -> DataFrame:
+    """Row id in scan order (unique; increasing within a file block)."""
+    return lines.withColumn("_row", F.monotonically_increasing_id())
 
 
 def line_numbers(lines: DataFrame, picked: DataFrame) -> DataFrame:
@@ -117,6 +123,13 @@ def list_files(spark: SparkSession, path_glob: str) -> list[str]:
     return [] if found is None else sorted(str(s.getPath().toString()) for s in found if s.isFile())
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, via the cluster's file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def scan_day(spark: SparkSession, folder: str, ds: str, prefix: str = "sessions_") -> DataFrame:
     """Raw lines of the files of one day: ``{prefix}{yyyymmdd}_*.json``.
 
