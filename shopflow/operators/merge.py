@@ -65,7 +65,7 @@ def first_by_key(df: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
 def plan_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan (file sizes for scans), or None."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - estimate unavailable (e.g. streaming)
         return None
 

@@ -38,8 +38,34 @@ EVENT_TYPE_MAP = {"view": "page_view", "signup": "product_search", "click": "add
 GOLD_FROM, SILVER_FROM = 6000.0, 2000.0
 
 
+# Row key of each fact / dimension table (used to spread small scans).
+TABLE_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "events": ["event_id"],
+              "customer": ["c_custkey"], "part": ["p_partkey"]}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    keys = TABLE_KEYS.get(name)
+    return spread(df, keys) if keys else df
+
+
+def spread(df: DataFrame, keys: list[str], min_bytes: int = 1 << 20) -> DataFrame:
+    """Hash-repartition a scan that yields fewer partitions than there are
+    cores (e.g. one unsplittable row group) when it is big enough to matter.
+
+    On a cluster input scans already have thousands of splits and this is a
+    no-op; locally it turns single-task stages into parallel ones.  Hashing
+    on the row key keeps it deterministic under task retries; filters and
+    column pruning still reach the Parquet scan below it.
+    """
+    from shopflow.operators.merge import plan_bytes
+    size = plan_bytes(df)
+    if size is None or size < min_bytes:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
 
 
 def prefixed(prefix: str, col: str) -> Column:
