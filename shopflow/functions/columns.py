@@ -12,6 +12,8 @@ from shopflow.schemas import BLANK_TOKENS, BOOL_FALSE, BOOL_TRUE
 
 # Whitespace as Python's str.strip() sees it (ASCII + Unicode separators).
 _WS = r"[\s\x1c-\x1f\x85\p{Z}]"
+# The same set as characters, from Python's own rule, for a regex-free trim.
+WS_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 # The strings a CSV reader of the source system turns into a
 # missing value (the pandas default ``na_values`` list), compared untrimmed.
@@ -40,7 +42,7 @@ def lookup(mapping: dict, key: Column, default: Column | None = None) -> Column:
 
 def py_strip(c: Column | str) -> Column:
     """Python ``str.strip()``: removes all leading/trailing whitespace."""
-    return F.regexp_replace(col_(c), r"^" + _WS + r"+|" + _WS + r"+$", "")
+    return F.trim(col_(c), F.lit(WS_CHARS))
 
 
 def is_blank(c: Column | str) -> Column:
