@@ -105,10 +105,13 @@ def upsert(target: DataFrame, source: DataFrame, pk: str | Sequence[str], order:
     the source's size estimate is under the broadcast limit.
     """
     keys = [pk] if isinstance(pk, str) else list(pk)
-    missing = [c for c in source.columns if c not in target.columns]
+    src = latest_by_key(source, keys, order) if order is not None else source
+    order_cols = [order] if isinstance(order, str) else \
+        [c for c in (order or []) if isinstance(c, str)] if not isinstance(order, Column) else []
+    src = src.drop(*[c for c in order_cols if c not in target.columns])
+    missing = [c for c in src.columns if c not in target.columns]
     if missing:
         raise ValueError(f"source columns not in target: {missing}")
-    src = latest_by_key(source, keys, order) if order is not None else source
     supplied = [c for c in src.columns if c not in keys]
     kept = [c for c in target.columns if c not in keys and c not in supplied]
     if strategy == "auto":
