@@ -347,6 +347,26 @@ SELECT date_trunc('second', "timestamp") AS "timestamp", user_id, session_id, ev
 FROM q_checked WHERE reason IS NULL AND event_type = 'page_view'""")
     q["additive_report_stream"] = q["merge_additive"]
     q["stream_static_top_products"] = q["top_products"]
+    q["exact_report_stream"] = q["behavior_funnel_daily"]
+    q["device_usage_full"] = with_model("""
+SELECT device,
+       count(*) FILTER (WHERE event_type = 'page_view') AS page_views,
+       count(*) FILTER (WHERE event_type = 'product_search') AS searches,
+       count(*) FILTER (WHERE event_type = 'add_to_cart') AS add_to_carts,
+       count(*) FILTER (WHERE event_type = 'checkout_start') AS checkout_starts,
+       count(*) FILTER (WHERE event_type = 'payment_attempt') AS payment_attempts,
+       count(*) FILTER (WHERE event_type = 'order_complete') AS completed_orders
+FROM m_events GROUP BY device""")
+    q["duplicate_key_report"] = with_model("""
+SELECT session_id || '#' || CAST(cart_total_items AS VARCHAR) AS line_key, count(*) AS n
+FROM m_cart GROUP BY 1 HAVING count(*) > 1""")
+    q["message_schema_check"] = """
+SELECT 'u' || CAST(c_custkey AS VARCHAR) AS user_id, 'required field is null: email' AS reason
+FROM customer WHERE c_acctbal >= 0 AND c_acctbal < 100"""
+    q["run_summary"] = with_model(f"""{RAW_EVENTS_SQL}
+SELECT 'sessions_' || strftime("timestamp", '%Y%m%d') || '_events.json' AS source_file,
+       CASE WHEN reason IS NULL THEN 'stored' ELSE 'rejected' END AS outcome, count(*) AS n
+FROM q_checked GROUP BY 1, 2""")
     return q
 
 

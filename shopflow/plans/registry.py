@@ -434,3 +434,49 @@ def q_stream_static_top_products(spark, d):
     stream = spark.readStream.schema(cart.schema).option("maxFilesPerTrigger", 1).parquet(src)
     drivers.run(lambda: drivers.top_products_stream(spark, stream, dt.products(spark, d), deltas, ckpt))
     return drivers.read_top_products(spark, deltas)
+
+
+@query("exact_report_stream")
+def q_exact_report_stream(spark, d):
+    """K7/B10 exact mode: event files arrive in an order unrelated to time
+    (every micro-batch holds events of many days, i.e. late data); each batch
+    recomputes only the days it touched from the whole store."""
+    root = work_path(spark, "exact", fresh=True)
+    src, store, report, ckpt = f"{root}/events", f"{root}/store", f"{root}/report", f"{root}/ckpt"
+    ev = dt.behavior_events(spark, d)
+    ev.repartition(6, "_pos").write.parquet(src)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 2).parquet(src)
+    drivers.run(lambda: drivers.funnel_exact_stream(spark, stream, store, report, ckpt))
+    return drivers.read_exact_report(spark, report)
+
+
+@query("device_usage_full")
+def q_device_usage_full(spark, d):
+    """R5 report table with checkout starts and payment attempts counted
+    (the source leaves both at 0)."""
+    return reports.device_usage_table(dt.behavior_events(spark, d), full=True)
+
+
+@query("duplicate_key_report")
+def q_duplicate_key_report(spark, d):
+    """Keys delivered more than once (cart lines before last-wins)."""
+    cart = dt.cart_events(spark, d).withColumn(
+        "line_key", F.concat_ws("#", "session_id", F.col("cart_total_items").cast("string")))
+    return clean.duplicate_keys(cart, "line_key")
+
+
+@query("message_schema_check")
+def q_message_schema_check(spark, d):
+    """User rows that would violate the message schema (required
+    user_id, name, email) before publishing - here users without e-mail."""
+    raw = dt.raw_users(spark, d).toDF(*[c.lower().strip() for c in dt.raw_users(spark, d).columns])
+    return envelope.missing_required(raw.select("user_id", "name", "email"), "users").select("user_id", "reason")
+
+
+@query("run_summary")
+def q_run_summary(spark, d):
+    """Per source file, lines stored and rejected."""
+    valid, rejects = _validated(spark, d)
+    v = valid.groupBy(F.col("ingestion.source_file").alias("source_file")).agg(F.count(F.lit(1)).alias("n"))
+    r = rejects.groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
+    return (v.withColumn("outcome", F.lit("stored")).unionByName(r.withColumn("outcome", F.lit("rejected"))))
