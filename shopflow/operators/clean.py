@@ -77,15 +77,19 @@ def clean_table(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     reason = None
     for cond, msg in checks:
         reason = F.when(cond, F.lit(msg)) if reason is None else reason.when(cond, F.lit(msg))
-    t = t.withColumn("reason", reason).drop("_all_null")
+    # The row sequence is non-deterministic: filters on ``reason`` then stay
+    # above this projection instead of being pushed below it, where they would
+    # re-evaluate every parse of the row (see ``operators.events``).
+    t = t.withColumn("reason", reason).drop("_all_null").withColumn("_seq", F.monotonically_increasing_id())
+    barrier = F.col("_seq") >= 0
 
     expected = [c for c in EXPECTED_COLUMNS[table] if c in data_cols]
-    good = t.filter(F.col("reason").isNull())
+    good = t.filter(F.col("reason").isNull() & barrier)
     if "_pos" in good.columns:
         rows = good.groupBy(*expected).agg(F.max("_pos").alias("_pos"))
     else:
         rows = good.select(*expected).distinct()
-    rejects = t.filter(F.col("reason").isNotNull()).select(
+    rejects = t.filter(F.col("reason").isNotNull() & barrier).select(
         *[m for m in meta if m != "_pos"], "reason", F.to_json(F.struct(*data_cols)).alias("raw"),
         *(["_pos"] if "_pos" in meta else []))
     return rows, rejects
