@@ -17,6 +17,10 @@ PINNED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # A generated method over 8000 bytes of bytecode is never JIT-compiled by
+    # the JVM; past that size whole-stage codegen falls back to per-operator
+    # code, which compiles (large rule sets such as event validation).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
