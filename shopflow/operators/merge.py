@@ -98,11 +98,13 @@ def upsert(target: DataFrame, source: DataFrame, pk: str | Sequence[str], order:
     one key: the last by ``order`` wins (default: no order -> the rows must be
     unique per key).
 
-    Plans: ``"outer"`` - one full outer join (both sides shuffled on the key);
-    ``"broadcast"`` - the (deduplicated) source is broadcast, and the target is
-    streamed twice without a shuffle: ``anti`` keeps untouched rows, a right
-    join builds updated + new rows.  ``"auto"`` picks ``broadcast`` only when
-    the source's size estimate is under the broadcast limit.
+    Plans: ``"outer"`` - one full outer join (both sides shuffled on the key).
+    ``"broadcast"`` - the deduplicated batch is broadcast and the target is
+    streamed without a shuffle: a left join with the batch rewrites touched
+    rows; new keys are the batch keys minus the target keys that the batch
+    matches (a semi-join against the broadcast batch keys, whose size is
+    bounded by the batch).  ``"auto"`` picks ``broadcast`` only when the
+    batch's size estimate is under the broadcast limit.
     """
     keys = [pk] if isinstance(pk, str) else list(pk)
     src = latest_by_key(source, keys, order) if order is not None else source
@@ -132,10 +134,14 @@ def upsert(target: DataFrame, source: DataFrame, pk: str | Sequence[str], order:
         return joined.select(*out)
 
     if strategy == "broadcast":
-        b = F.broadcast(s)
-        untouched = target.join(F.broadcast(src.select(*keys)), keys, "left_anti")
-        touched = merged(target.select(*keys, *supplied, *kept).join(b, keys, "right"))
-        return untouched.unionByName(touched)
+        batch_keys = src.select(*keys)
+        touched = merged(target.join(F.broadcast(s), keys, "left"))
+        matched = target.select(*keys).join(F.broadcast(batch_keys), keys, "left_semi")
+        fresh = s.join(F.broadcast(matched), keys, "left_anti")
+        new_rows = fresh.select(*[F.col(c) if c in keys else
+                                  (F.col(f"_s_{c}") if c in supplied else F.lit(None))
+                                  .cast(target.schema[c].dataType).alias(c) for c in target.columns])
+        return touched.unionByName(new_rows)
     if strategy != "outer":
         raise ValueError(f"unknown strategy {strategy!r}")
     return merged(target.join(s, keys, "full_outer"))
