@@ -367,6 +367,11 @@ FROM customer WHERE c_acctbal >= 0 AND c_acctbal < 100"""
 SELECT 'sessions_' || strftime("timestamp", '%Y%m%d') || '_events.json' AS source_file,
        CASE WHEN reason IS NULL THEN 'stored' ELSE 'rejected' END AS outcome, count(*) AS n
 FROM q_checked GROUP BY 1, 2""")
+    q["publish_since_cursor"] = with_model("""
+q_first AS (SELECT order_id, _pos FROM m_orders WHERE created_at < TIMESTAMP '1998-01-01')
+SELECT order_id, CAST(0 AS BIGINT) AS batch_id FROM q_first
+UNION ALL
+SELECT order_id, CAST(1 AS BIGINT) AS batch_id FROM m_orders WHERE _pos > (SELECT max(_pos) FROM q_first)""")
     return q
 
 
