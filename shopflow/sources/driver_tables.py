@@ -62,8 +62,11 @@ def spread(df: DataFrame, keys: list[str], min_bytes: int = 1 << 20) -> DataFram
     size = plan_bytes(df)
     if size is None or size < min_bytes:
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave the scan as is
         return df
     return df.repartition(cores, *keys)
 
