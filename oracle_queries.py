@@ -372,6 +372,12 @@ q_first AS (SELECT order_id, _pos FROM m_orders WHERE created_at < TIMESTAMP '19
 SELECT order_id, CAST(0 AS BIGINT) AS batch_id FROM q_first
 UNION ALL
 SELECT order_id, CAST(1 AS BIGINT) AS batch_id FROM m_orders WHERE _pos > (SELECT max(_pos) FROM q_first)""")
+    q["export_changes"] = """
+SELECT product_id, price, CAST(1 AS BIGINT) AS _version FROM (
+  SELECT 'p' || CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_extendedprice AS DECIMAL(10,2)) AS price,
+         row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey DESC, l_linenumber DESC,
+                            l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) AS rn
+  FROM lineitem) WHERE rn = 1"""
     return q
 
 

@@ -89,8 +89,11 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     return size is not None and size <= limit
 
 
+VERSION = "_version"
+
+
 def upsert(target: DataFrame, source: DataFrame, pk: str | Sequence[str], order: Order | None = None,
-           strategy: str = "auto") -> DataFrame:
+           strategy: str = "auto", version: int | None = None) -> DataFrame:
     """Insert new keys, update existing ones: ``INSERT .. ON CONFLICT DO UPDATE``.
 
     Only the columns present in ``source`` are updated; target columns absent
@@ -105,12 +108,19 @@ def upsert(target: DataFrame, source: DataFrame, pk: str | Sequence[str], order:
     matches (a semi-join against the broadcast batch keys, whose size is
     bounded by the batch).  ``"auto"`` picks ``broadcast`` only when the
     batch's size estimate is under the broadcast limit.
+
+    ``version``: when the target has a ``_version`` column, inserted and
+    updated rows get this merge version (untouched rows keep theirs), so an
+    export can follow changes (``sources.cursor.scan_changes``) instead of
+    ids only.
     """
     keys = [pk] if isinstance(pk, str) else list(pk)
     src = latest_by_key(source, keys, order) if order is not None else source
     order_cols = [order] if isinstance(order, str) else \
         [c for c in (order or []) if isinstance(c, str)] if not isinstance(order, Column) else []
     src = src.drop(*[c for c in order_cols if c not in target.columns])
+    if version is not None and VERSION in target.columns:
+        src = src.withColumn(VERSION, F.lit(version).cast(target.schema[VERSION].dataType))
     missing = [c for c in src.columns if c not in target.columns]
     if missing:
         raise ValueError(f"source columns not in target: {missing}")

@@ -503,3 +503,15 @@ def q_publish_since_cursor(spark, d):
     msgs = topic_source(spark, "postgres.orders", root=topics)
     rows, _ = landing.decode_master(msgs, "orders")
     return rows.select("order_id", "batch_id")
+
+
+@query("export_changes")
+def q_export_changes(spark, d):
+    """Q5 fix: products stored at merge version 0, the price feed upserted
+    as version 1; the change export after version 0 returns exactly the
+    inserted or updated products, whatever their ids."""
+    from shopflow.sources.cursor import scan_changes
+    target = dt.products(spark, d).withColumn("_version", F.lit(0).cast("bigint"))
+    feed = price_feed(spark, d).select("product_id", "price", "_pos")
+    merged = merge.upsert(target, feed, "product_id", order="_pos", version=1)
+    return scan_changes(merged, 0).select("product_id", "price", "_version")

@@ -23,3 +23,13 @@ def scan_since(df: DataFrame, pk: str, last: Column | int | None, numeric_suffix
         return out
     last_col = last if isinstance(last, Column) else F.lit(last)
     return out.filter((F.col("id_num") > last_col) | last_col.isNull())
+
+
+def scan_changes(df: DataFrame, last_version: Column | int | None, version: str = "_version") -> DataFrame:
+    """Rows inserted or updated by a merge after ``last_version`` (see
+    ``operators.merge.upsert(version=...)``): re-exports changed rows whose
+    key is below an id cursor, which a key cursor never does."""
+    if last_version is None:
+        return df
+    last_col = last_version if isinstance(last_version, Column) else F.lit(last_version)
+    return df.filter((F.col(version) > last_col) | last_col.isNull())
