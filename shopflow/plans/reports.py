@@ -140,7 +140,8 @@ def behavior_funnel_daily(events: DataFrame) -> DataFrame:
     flags = _funnel_flags()
     counts = (ev.groupBy(F.to_date("timestamp").alias("report_date"))
               .agg(*[F.count_if(flags[c]).alias(c) for c in FUNNEL_COUNTS]))
-    return with_funnel_rates(counts)
+    # Sorted by day (one row per day: a bounded final sort)
+    return with_funnel_rates(counts).orderBy("report_date")
 
 
 def funnel_branches(events: DataFrame) -> list[DataFrame]:
@@ -160,7 +161,7 @@ def funnel_branches(events: DataFrame) -> list[DataFrame]:
 def funnel_from_deltas(deltas: DataFrame) -> DataFrame:
     """The dashboard query over the summing table: sum per day, then rates."""
     counts = deltas.groupBy("report_date").agg(*[F.sum(c).cast("bigint").alias(c) for c in FUNNEL_COUNTS])
-    return with_funnel_rates(counts)
+    return with_funnel_rates(counts).orderBy("report_date")
 
 
 # -- R4 ---------------------------------------------------------------------
