@@ -69,7 +69,9 @@ def scan_jsonl(spark: SparkSession, path: str, path_glob: str | None = None) ->
     ``operators.events.validate_events``.  Line numbers (for reject reports)
     are computed only for rejected rows, see ``line_numbers``.
     """
-    reader = spark.read.format("text")
+    # An unreadable file is skipped (and can be found by listing), the
+    # other files go on
+    reader = spark.read.format("text").option("ignoreCorruptFiles", "true")
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     lines = reader.load(path)

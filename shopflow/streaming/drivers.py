@@ -37,6 +37,14 @@ def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: tuple[str
      .partitionBy("batch_id", *partition_by).parquet(path))
 
 
+def delivery_log(query: StreamingQuery) -> list[dict]:
+    """Per micro-batch, how many rows came in and how long it took
+    (from the query's progress reports; metadata, not data)."""
+    return [{"batch_id": p["batchId"], "rows": p["numInputRows"],
+             "duration_ms": p.get("durationMs", {}).get("triggerExecution")}
+            for p in query.recentProgress]
+
+
 def run(query_builder: Callable[[], StreamingQuery]) -> StreamingQuery:
     """Start a query and wait for it (availableNow queries stop by themselves)."""
     q = query_builder()
@@ -50,7 +58,7 @@ def session_file_stream(spark: SparkSession, folder: str, glob: str = "*.json",
                         max_files_per_trigger: int | None = None) -> DataFrame:
     """New session files only: the file source remembers processed files in
     its checkpoint (a changed file under a known name is not re-read)."""
-    r = spark.readStream.format("text").option("pathGlobFilter", glob)
+    r = spark.readStream.format("text").option("pathGlobFilter", glob).option("ignoreCorruptFiles", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return text_lines(r.load(folder), with_row=False)
@@ -69,7 +77,10 @@ def ingest_sessions(spark: SparkSession, folder: str, store: str, ledger: str, c
     keys = ["event_type", "timestamp", "session_id"]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        valid, rejects = ev_ops.validate_events(add_row_id(batch))
+        # read the files of the micro-batch once (several actions follow);
+        # the batch is bounded by maxFilesPerTrigger
+        lines = add_row_id(batch).persist()
+        valid, rejects = ev_ops.validate_events(lines)
         valid = valid.drop("_seq")
         from pyspark.sql import types as T
         schema = T.StructType(valid.schema.fields + [T.StructField("batch_id", T.LongType())])
@@ -82,6 +93,7 @@ def ingest_sessions(spark: SparkSession, folder: str, store: str, ledger: str, c
         write_batch(rejects.drop("_seq"), f"{store}_rejects", batch_id)
         state.record_files(state.ledger_rows(new.select("ingestion.source_file")), ledger)
         new.unpersist()
+        lines.unpersist()
 
     stream = session_file_stream(spark, folder, glob, max_files_per_trigger)
     w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)

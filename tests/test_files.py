@@ -51,3 +51,13 @@ def test_versioned_table_backfill_and_reset(spark, tmp_dir):
     assert read_version(spark, path).count() == 0
     os.makedirs(f"{path}/v=9")  # an uncommitted (crashed) write is invisible
     assert versions(spark, path) == [0, 1, 2]
+
+
+def test_reset_table(spark, tmp_dir):
+    from shopflow.schemas import USERS
+    from shopflow.sinks.tables import reset_table
+    path = f"{tmp_dir}/users"
+    write_version(spark.createDataFrame([("u1", "a", "a@b", None, None, None, None)], USERS), path)
+    reset_table(spark, path, USERS)
+    out = read_version(spark, path)
+    assert out.count() == 0 and out.columns == USERS.fieldNames()

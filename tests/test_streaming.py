@@ -53,3 +53,11 @@ def test_write_batch_replay_is_idempotent(spark, tmp_dir):
     drivers.write_batch(df, path, 1)
     drivers.write_batch(df, path, 1)  # replay of batch 1 after a failure
     assert spark.read.parquet(path).agg(F.sum("n")).first()[0] == 4
+
+
+def test_delivery_log(spark, tmp_dir):
+    src, store, ledger, ckpt = (f"{tmp_dir}/in", f"{tmp_dir}/store", f"{tmp_dir}/ledger", f"{tmp_dir}/ckpt")
+    write(src, "a.json", [line("2025-01-02T10:00:00Z", "s1", order_id="o1")])
+    q = drivers.run(lambda: drivers.ingest_sessions(spark, src, store, ledger, ckpt))
+    log = drivers.delivery_log(q)
+    assert sum(r["rows"] for r in log) == 1
