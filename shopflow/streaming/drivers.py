@@ -150,12 +150,14 @@ def funnel_stream(spark: SparkSession, events: DataFrame, deltas: str, checkpoin
     them (``read_funnel``)."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # five branches read it; bounded by the trigger size
         parts = reports.funnel_branches(batch)
         delta = parts[0]
         for p in parts[1:]:
             delta = delta.unionByName(p)
         merged = delta.groupBy("report_date").agg(*[F.sum(c).cast("bigint").alias(c) for c in FUNNEL_COUNTS])
         write_batch(merged, deltas, batch_id)
+        batch.unpersist()
 
     w = events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
@@ -180,7 +182,7 @@ def top_products_stream(spark: SparkSession, carts: DataFrame, products: DataFra
     def handle(batch: DataFrame, batch_id: int) -> None:
         totals = (batch.groupBy("product_id")
                   .agg(F.sum("quantity").cast("bigint").alias("total_quantity"),
-                       F.count(F.lit(1)).alias("add_to_cart_count")))
+                       F.count(F.lit(1)).alias("add_to_cart_count"))).persist()
         p = products.select("product_id", "name", "category", "price")
         joined = totals.join(p, "product_id", "left")
         known = joined.filter(F.col("name").isNotNull() | F.col("price").isNotNull() |
@@ -192,6 +194,7 @@ def top_products_stream(spark: SparkSession, carts: DataFrame, products: DataFra
             .alias("estimated_revenue"))
         write_batch(out, deltas, batch_id)
         write_batch(totals.join(p.select("product_id"), "product_id", "left_anti"), f"{deltas}_pending", batch_id)
+        totals.unpersist()
 
     w = carts.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
@@ -237,13 +240,14 @@ def funnel_exact_stream(spark: SparkSession, events: DataFrame, store: str, repo
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("event_date", F.to_date("timestamp"))
+        rows = batch.withColumn("event_date", F.to_date("timestamp")).persist()
         write_batch(rows, store, batch_id, ("event_date",))
         touched = rows.select("event_date").distinct()
         hist = spark.read.parquet(store).join(F.broadcast(touched), "event_date", "left_semi")
         out = reports.behavior_funnel_daily(hist)
         (out.withColumn("day", F.col("report_date")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(report))
+        rows.unpersist()
 
     w = events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
