@@ -3,8 +3,6 @@ timestamps and ISO text.  All are JVM-side expressions (no Python UDF)."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -155,12 +153,3 @@ def iso_text(c: Column | str) -> Column:
 def id_number(c: Column | str) -> Column:
     """Numeric suffix of an id such as ``u123`` -> 123 (BIGINT); bad -> NULL."""
     return F.substring(col_(c), 2, 1 << 30).try_cast("bigint")
-
-
-def first_non_null(*cols: Column) -> Column:
-    """First non-NULL of the arguments: the first failing rule's message."""
-    return F.coalesce(*cols) if len(cols) > 1 else cols[0]
-
-
-def any_of(*cols: Column) -> Column:
-    return reduce(lambda a, b: a | b, cols)

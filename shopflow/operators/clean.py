@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.functions.columns import email_clean, enum_map, number_text, parse_timestamp, py_strip
+from shopflow.functions.columns import email_clean, enum_map, number_text, parse_timestamp
 from shopflow.schemas import (CATEGORIES, DEVICES, EXPECTED_COLUMNS, LOYALTY_TIERS, MASTER_SCHEMAS,
                               ORDER_STATUSES, PAYMENT_METHODS, PRIMARY_KEYS)
 
@@ -112,7 +112,3 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys occurring more than once (e.g. e-mail addresses)."""
     return (df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
             .filter(F.col("n") > 1))
-
-
-def strip_text(c: Column) -> Column:
-    return py_strip(c)

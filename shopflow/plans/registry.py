@@ -9,9 +9,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from shopflow.plans import reports
+from pyspark.sql import functions as F
+
+from shopflow.functions import columns as fc
+from shopflow.operators import clean, envelope, merge
+from shopflow.operators import events as ev_ops
+from shopflow.plans import landing, reports
+from shopflow.schemas import FUNNEL_COUNTS
+from shopflow.session import work_path
+from shopflow.sinks.topics import publish
 from shopflow.sources import driver_tables as dt
+from shopflow.sources import files
+from shopflow.sources.cursor import scan_since
+from shopflow.sources.topics import topic_source
+from shopflow.streaming import drivers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,11 +67,6 @@ def q_device(spark, d):
 
 # -- keyed merges -------------------------------------------------------------
 
-from pyspark.sql import functions as F  # noqa: E402
-
-from shopflow.operators import merge  # noqa: E402
-from shopflow.schemas import FUNNEL_COUNTS  # noqa: E402
-
 
 @query("latest_by_key")
 def q_latest_by_key(spark, d):
@@ -153,9 +159,6 @@ def q_full_row_distinct(spark, d):
 
 # -- cleaning master data -----------------------------------------------------
 
-from shopflow.operators import clean  # noqa: E402
-from shopflow.sources import files  # noqa: E402
-from shopflow.session import work_path  # noqa: E402
 
 _RAW = {"users": dt.raw_users, "products": dt.raw_products, "orders": dt.raw_orders}
 
@@ -214,8 +217,6 @@ def q_scan_csv_clean_orders(spark, d):
 
 # -- session events --------------------------------------------------------------
 
-from shopflow.operators import events as ev_ops  # noqa: E402
-
 
 def _validated(spark, d):
     return ev_ops.validate_events(dt.raw_event_lines(spark, d), with_line_numbers=False)
@@ -248,12 +249,6 @@ def q_route_by_type_counts(spark, d):
 
 # -- messages, cursors, landing ------------------------------------------------------
 
-from shopflow.functions import columns as fc  # noqa: E402
-from shopflow.operators import envelope  # noqa: E402
-from shopflow.plans import landing  # noqa: E402
-from shopflow.sinks.topics import publish  # noqa: E402
-from shopflow.sources.cursor import scan_since  # noqa: E402
-from shopflow.sources.topics import topic_source  # noqa: E402
 
 ORDER_SCHEMA_ID = 3
 
@@ -364,8 +359,6 @@ def q_anti_join_ledger(spark, d):
 
 # -- streaming (file-backed, availableNow) -----------------------------------------------
 
-from shopflow.streaming import drivers  # noqa: E402
-
 
 def _write_session_files(lines, folder):
     """Session files (one folder per day) as a feed would drop them."""
