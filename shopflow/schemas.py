@@ -161,21 +161,32 @@ def payload_type(event_type: str) -> T.StructType:
     return T.StructType(fields)
 
 
-# Validated event: common fields, one nullable payload struct per event type
-# (only the one of its own type is set), and ingestion metadata.
-EVENT_DATA = T.StructType([T.StructField(t, payload_type(t), True) for t in EVENT_TYPES])
+def _union_payload() -> T.StructType:
+    """Union of all payload fields (a field name has one type across types)."""
+    seen: dict[str, T.StructField] = {}
+    for t in EVENT_TYPES:
+        for f in payload_type(t).fields:
+            if f.name in seen and seen[f.name].dataType != f.dataType:
+                raise ValueError(f"payload field {f.name} has two types")
+            seen.setdefault(f.name, f)
+    return T.StructType(list(seen.values()))
+
+
+# Validated event: common fields, ``event_data`` with the union of all payload
+# fields (only the event type's own are set), and ingestion metadata.
+EVENT_DATA = _union_payload()
 
 VALID_EVENT = T.StructType([
-    T.StructField("timestamp", T.TimestampType(), False),
-    T.StructField("user_id", T.StringType(), False),
-    T.StructField("session_id", T.StringType(), False),
-    T.StructField("event_type", T.StringType(), False),
-    T.StructField("device", T.StringType(), False),
+    T.StructField("timestamp", T.TimestampType(), True),
+    T.StructField("user_id", T.StringType(), True),
+    T.StructField("session_id", T.StringType(), True),
+    T.StructField("event_type", T.StringType(), True),
+    T.StructField("device", T.StringType(), True),
     T.StructField("event_data", EVENT_DATA, True),
     T.StructField("ingestion", T.StructType([
         T.StructField("source_file", T.StringType(), True),
-        T.StructField("loaded_at", T.TimestampType(), True),
-    ]), True),
+        T.StructField("loaded_at", T.TimestampType(), False),
+    ]), False),
 ])
 
 REJECT = T.StructType([
@@ -185,21 +196,6 @@ REJECT = T.StructType([
     T.StructField("reason", T.StringType(), True),
 ])
 
-# Flat landing row of one event type: common five + payload minus cart_items.
-def landing_event_type(event_type: str) -> T.StructType:
-    fields = [
-        T.StructField("timestamp", T.TimestampType(), True),
-        T.StructField("user_id", T.StringType(), True),
-        T.StructField("session_id", T.StringType(), True),
-        T.StructField("event_type", T.StringType(), True),
-        T.StructField("device", T.StringType(), True),
-    ]
-    for f in payload_type(event_type).fields:
-        if f.name != "cart_items":
-            fields.append(f)
-    return T.StructType(fields)
-
-
 # Report tables.
 SALES_DAILY = T.StructType([
     T.StructField("report_date", T.DateType(), True),

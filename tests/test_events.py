@@ -205,3 +205,10 @@ def test_reject_line_numbers(spark, tmp_dir):
     assert got == [("a.json", 3, "Invalid JSON"), ("a.json", 4, "Required string field is null: order_id"),
                    ("b.json", 1, "'list' object has no attribute 'get'")]
     assert valid.count() == 1
+
+
+def test_output_schema_is_the_declared_one(spark):
+    from shopflow.schemas import VALID_EVENT
+    valid, _ = validate_events(lines_df(spark, [ev("order_complete", order_id="o1")]))
+    got = valid.select(*VALID_EVENT.fieldNames()).schema
+    assert [(f.name, f.dataType) for f in got.fields] == [(f.name, f.dataType) for f in VALID_EVENT.fields]
