@@ -378,6 +378,15 @@ SELECT product_id, price, CAST(1 AS BIGINT) AS _version FROM (
          row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey DESC, l_linenumber DESC,
                             l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) AS rn
   FROM lineitem) WHERE rn = 1"""
+    q["cart_items_clean"] = """
+SELECT 's' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS session_id,
+       0 AS item_pos, 'p' || CAST(l_partkey AS VARCHAR) AS product_id, l_extendedprice AS price,
+       CAST(l_quantity AS INTEGER) AS quantity
+FROM lineitem WHERE l_linenumber NOT IN (5, 6, 7)
+UNION ALL
+SELECT 's' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR), 1,
+       'p' || CAST(l_suppkey AS VARCHAR), 0.0, l_linenumber
+FROM lineitem WHERE l_linenumber NOT IN (5, 6, 7)"""
     return q
 
 

@@ -508,3 +508,12 @@ def q_export_changes(spark, d):
     feed = price_feed(spark, d).select("product_id", "price", "_pos")
     merged = merge.upsert(target, feed, "product_id", order="_pos", version=1)
     return scan_changes(merged, 0).select("product_id", "price", "_version")
+
+
+@query("cart_items_clean")
+def q_cart_items_clean(spark, d):
+    """cart_view events with nested item arrays validated per element
+    (any bad item rejects the event, defaults filled), items exploded."""
+    valid, _ = ev_ops.validate_events(dt.raw_cart_view_lines(spark, d), with_line_numbers=False)
+    return valid.select("session_id", F.posexplode("event_data.cart_items").alias("item_pos", "item")).select(
+        "session_id", "item_pos", "item.product_id", "item.price", "item.quantity")

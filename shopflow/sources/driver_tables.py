@@ -321,3 +321,27 @@ def raw_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('sessions_', date_format(timestamp, 'yyyyMMdd'), '_events.json') AS source_file",
         "concat('events/', date_format(timestamp, 'yyyyMMdd')) AS _file",
         "CAST(0 AS BIGINT) AS _block", "_pos AS _row")
+
+
+def raw_cart_view_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """cart_view JSON lines, one per line item, with a two-item cart:
+    ``{product_id: p<partkey>, price: extended price, quantity}`` and
+    ``{product_id: " p<suppkey> ", quantity: "<line number>"}`` (text, padded).
+    Failure modes by line number: 7 - the second item lacks ``product_id``;
+    6 - ``cart_items`` is a string; 5 - no ``cart_items`` at all (empty cart).
+    """
+    li = read(spark, sf_dir, "lineitem")
+    item1 = ("concat('{\"product_id\": \"p', l_partkey, '\", \"price\": ', CAST(l_extendedprice AS STRING), "
+             "', \"quantity\": ', CAST(l_quantity AS INT), '}')")
+    item2 = ("CASE WHEN l_linenumber = 7 THEN concat('{\"quantity\": \"', l_linenumber, '\"}') "
+             "ELSE concat('{\"product_id\": \" p', l_suppkey, ' \", \"quantity\": \"', l_linenumber, '\"}') END")
+    items = (f"CASE WHEN l_linenumber = 6 THEN ', \"cart_items\": \"x\"' WHEN l_linenumber = 5 THEN '' "
+             f"ELSE concat(', \"cart_items\": [', {item1}, ', ', {item2}, ']') END")
+    line = ("concat('{\"timestamp\": \"', date_format(CAST(l_shipdate AS TIMESTAMP), \"yyyy-MM-dd'T'HH:mm:ss\"), "
+            "'Z\", \"user_id\": \"u', l_suppkey, '\", \"event_type\": \"cart_view\", \"device\": \"', "
+            "CASE pmod(l_linenumber, 3) WHEN 0 THEN 'desktop' WHEN 1 THEN 'mobile' ELSE 'tablet' END, "
+            "'\", \"session_id\": \"s', l_orderkey, '-', l_linenumber, '\", \"cart_value\": ', "
+            f"CAST(l_extendedprice AS STRING), {items}, '}}')")
+    return li.selectExpr(f"{line} AS value", "'lineitem_carts.json' AS source_file",
+                         "'carts' AS _file", "CAST(0 AS BIGINT) AS _block",
+                         "l_orderkey * 100 + l_linenumber AS _row")
