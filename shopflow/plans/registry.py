@@ -399,7 +399,7 @@ def q_land_events_stream(spark, d):
         publish(envelope.encode(msg.filter(part).withColumn("_k", F.concat_ws(":", "session_id", "timestamp")),
                                 "_k", 1, columns=msg.columns), "events.page_view", root=topics, batch_id=i)
     drivers.run(lambda: drivers.land_stream(spark, "events.page_view", "event", log, ckpt, topics,
-                                            event_type="page_view", max_files_per_trigger=2))
+                                            name="page_view", max_files_per_trigger=2))
     return drivers.read_landing(spark, log, drivers.EVENT_KEYS)
 
 

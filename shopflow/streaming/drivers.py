@@ -117,16 +117,17 @@ def read_store(spark: SparkSession, store: str) -> DataFrame:
 # -- K1/K2/B9: topic -> landing log ---------------------------------------------------
 
 def land_stream(spark: SparkSession, topic: str, kind: str, log: str, checkpoint: str, root: str,
-                event_type: str | None = None, max_files_per_trigger: int | None = None,
+                name: str, max_files_per_trigger: int | None = None,
                 available_now: bool = True) -> StreamingQuery:
-    """Decode every micro-batch of a topic into the landing log of a table
-    (``kind="master"``, table name in ``topic`` mapping) or an event type."""
+    """Decode every micro-batch of a topic into a landing log: ``kind`` is
+    ``"master"`` (``name`` = users / products / orders) or ``"event"``
+    (``name`` = the event type)."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if kind == "master":
-            rows, _ = landing.decode_master(batch, event_type)
+            rows, _ = landing.decode_master(batch, name)
         else:
-            rows = landing.decode_events(batch, event_type)
+            rows = landing.decode_events(batch, name)
         write_batch(rows.withColumnRenamed("batch_id", "delivery_batch"), log, batch_id)
 
     src = topic_source(spark, topic, root=root, stream=True, max_files_per_trigger=max_files_per_trigger)
