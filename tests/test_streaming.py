@@ -61,3 +61,16 @@ def test_delivery_log(spark, tmp_dir):
     q = drivers.run(lambda: drivers.ingest_sessions(spark, src, store, ledger, ckpt))
     log = drivers.delivery_log(q)
     assert sum(r["rows"] for r in log) == 1
+
+
+def test_dedupe_stream_with_watermark(spark, tmp_dir):
+    df = (spark.createDataFrame([("s1", "2025-01-01 10:00:00", 1), ("s1", "2025-01-01 10:00:00", 2),
+                                 ("s2", "2025-01-01 10:00:01", 3)], "session_id string, ts string, v int")
+          .withColumn("ts", F.col("ts").cast("timestamp")))
+    df.write.parquet(f"{tmp_dir}/src")
+    stream = spark.readStream.schema(df.schema).parquet(f"{tmp_dir}/src")
+    out = drivers.dedupe_stream(stream, ["session_id", "ts"], event_time="ts", watermark="1 hour")
+    q = (out.writeStream.format("memory").queryName("dedupe_wm").outputMode("append")
+         .option("checkpointLocation", f"{tmp_dir}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(r["session_id"] for r in spark.table("dedupe_wm").collect()) == ["s1", "s2"]
