@@ -462,7 +462,7 @@ def q_duplicate_key_report(spark, d):
 def q_message_schema_check(spark, d):
     """User rows that would violate the message schema (required
     user_id, name, email) before publishing - here users without e-mail."""
-    raw = dt.raw_users(spark, d).toDF(*[c.lower().strip() for c in dt.raw_users(spark, d).columns])
+    raw = clean.normalise_header(dt.raw_users(spark, d))
     return envelope.missing_required(raw.select("user_id", "name", "email"), "users").select("user_id", "reason")
 
 

@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shopflow.operators import events as ev_ops
-from shopflow.operators.merge import first_by_key, insert_if_absent, latest_by_key
+from shopflow.operators.merge import insert_if_absent, latest_by_key
 from shopflow.plans import landing, reports
-from shopflow.schemas import FUNNEL_COUNTS, PRIMARY_KEYS
+from shopflow.schemas import FUNNEL_COUNTS
 from shopflow.sinks import state
 from shopflow.sinks.tables import read_appended
 from shopflow.sources.files import add_row_id, text_lines
@@ -144,10 +144,6 @@ def read_landing(spark: SparkSession, log: str, keys: list[str]) -> DataFrame:
     return latest_by_key(body, keys, "_d").drop("_d")
 
 
-def master_keys(table: str) -> list[str]:
-    return [PRIMARY_KEYS[table]]
-
-
 EVENT_KEYS = ["user_id", "session_id", "timestamp"]
 
 
@@ -231,10 +227,6 @@ def dedupe_stream(stream: DataFrame, keys: list[str], event_time: str | None = N
     return stream.dropDuplicates(keys)
 
 
-def first_rows(df: DataFrame, keys: list[str]) -> DataFrame:
-    return first_by_key(df, keys, ev_ops.event_order())
-
-
 # -- K7/B10 exact: recompute touched dates ------------------------------------------------
 
 def funnel_exact_stream(spark: SparkSession, events: DataFrame, store: str, report: str, checkpoint: str,

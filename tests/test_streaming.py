@@ -40,7 +40,8 @@ def test_ingest_new_files_only(spark, tmp_dir):
                                              line("2025-01-03T10:00:00Z", "s2", order_id="o2")])
     run()  # only the new file; its duplicate of a stored key is skipped; the changed old file is ignored
     assert stored(spark, store) == [("order_complete", "s1", "o1"), ("order_complete", "s2", "o2")]
-    led = sorted((r["file_name"], r["records_inserted"]) for r in spark.read.parquet(ledger).collect())
+    from shopflow.sinks.state import read_ledger
+    led = sorted((r["file_name"], r["records_inserted"]) for r in read_ledger(spark, ledger).collect())
     assert led == [("sessions_20250102_a.json", 1), ("sessions_20250103_b.json", 1)]
     rej = spark.read.parquet(f"{store}_rejects").collect()
     assert [(r["source_file"], r["line"], r["reason"]) for r in rej] == [("sessions_20250102_a.json", 3, "Invalid JSON")]
