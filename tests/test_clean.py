@@ -77,3 +77,16 @@ def test_later_position_wins_on_reload(spark, tmp_dir):
     rows2, _ = clean.clean_table(second.drop("_p"), "products")
     out = merge.upsert(rows1, rows2.limit(1).unionByName(rows2), "product_id")
     assert out.count() >= 1
+
+
+def test_csv_na_tokens_and_quoted_fields(spark, tmp_dir):
+    text = ('product_id,name,price,category,inventory,popularity_score\n'
+            'p1,"Chair, oak",NA,home,N/A,null\n'
+            'p2,Desk,12.5,OTHER,3,0.5\n')
+    raw, long_lines = scan_csv(spark, write(tmp_dir, "products", text))
+    assert long_lines.count() == 0
+    rows, _ = clean.clean_table(raw, "products")
+    got = {r["product_id"]: r for r in rows.collect()}
+    assert got["p1"]["name"] == "Chair, oak"
+    assert got["p1"]["price"] is None and got["p1"]["inventory"] is None and got["p1"]["popularity_score"] is None
+    assert str(got["p2"]["price"]) == "12.50" and got["p2"]["category"] == "Other" and got["p2"]["inventory"] == 3
