@@ -5,9 +5,32 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table, tune
+from .decontaminate import leaks
+from .mixing import MIX_SQL, with_copies
 from .ngram_join import near_duplicates
+from .pii import BASE_KINDS, digest, with_spans
+from .quality_rules import judged
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "__quality.*")
+
+
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = with_spans(table(spark, sf_dir, "documents"))
+    count = [F.expr(f"size(filter(__pii, s -> s.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in BASE_KINDS]
+    return rows.select("doc_id", *count, F.sha2(digest("__pii", BASE_KINDS), 256).alias("base_sha256"), digest("__pii").alias("spans"))
+
+
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_copies(table(spark, sf_dir, "documents")).select("doc_id", "__mix.size", "__mix.source_size", "__mix.target", "__mix.taken")
 
 
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,4 +46,4 @@ def _tuned(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 QUERIES = {name: _tuned(fn) for name, fn in list(globals().items()) if name.startswith("op")}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op7_source_mix": MIX_SQL}
