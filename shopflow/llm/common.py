@@ -79,9 +79,9 @@ def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of each word, in order."""
-    inside = ~IS_SPACE[data]
+def word_spans(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of each word, in order.  breaks: which bytes are outside words."""
+    inside = ~breaks[data]
     first, last = inside.copy(), inside.copy()
     if len(data):
         first[1:] &= ~inside[:-1]

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
-from .common import PLACE_KEYS, WORD, mixed, tune, utf8, word_hashes, word_spans
+from .common import PLACE_KEYS, mixed, tune, utf8, word_hashes, word_spans
 
 K1, B = 1.2, 0.75
 #: Least share of an item's own score.
@@ -38,10 +38,15 @@ BLOCK_ITEMS = 16
 INDEX_BYTES = 2_000_000
 
 
-def _words(text: str) -> tuple[list[str], np.ndarray]:
+#: Words here are runs of letters, digits and anything beyond ASCII, so glued punctuation does not hide an item.
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+BREAKS = np.array([bool(i < 128 and not chr(i).isalnum()) for i in range(256)])
+SENTENCE = re.compile(r"[.?!][\x20\x09-\x0D]+(?=[^\x20\x09-\x0D])")
+
+
+def _hashes(text: str) -> np.ndarray:
     data, offsets = utf8(pa.array([text]))
-    start, end, _ = word_spans(data, offsets)
-    return WORD.findall(text), word_hashes(data, start, end)
+    return word_hashes(data, *word_spans(data, offsets, BREAKS)[:2])
 
 
 def _triples(hashes: np.ndarray) -> np.ndarray:
@@ -54,10 +59,15 @@ def _triples(hashes: np.ndarray) -> np.ndarray:
     return mixed(out)
 
 
-def split_item(words: list[str]) -> int:
-    """Where the answer starts: the last sentence, or the last quarter of a single one; three words at least.  A question of fewer than three words is held against the whole item."""
-    at = next((i + 1 for i in range(len(words) - 2, -1, -1) if re.search(r"[.?!]$", words[i])), len(words) - max(1, len(words) // 4))
-    return max(0, min(at, len(words) - 3))
+def split_item(text: str) -> int:
+    """The word at which the answer starts: the last sentence, or the last quarter of a single one; three words at least.
+
+    A question of fewer than three words is held against the whole item.
+    """
+    n = len(TERM.findall(text))
+    ends = [m.end() for m in SENTENCE.finditer(text)]
+    at = len(TERM.findall(text[:ends[-1]])) if ends else n - max(1, n // 4)
+    return max(0, min(at, n - 3))
 
 
 class Index:
@@ -67,17 +77,17 @@ class Index:
         self.ids, self.question, self.answer, postings = [], [], [], {}
         longest = 1
         for item_id, text in items:
-            words, hashes = _words(text)
-            if not words:
+            hashes = _hashes(text)
+            if not len(hashes):
                 continue
-            i, cut = len(self.ids), split_item(words)
+            i, cut = len(self.ids), split_item(text)
             self.ids.append(item_id)
             self.question.append(np.unique(_triples(hashes[:cut] if cut >= 3 else hashes)))
             self.answer.append(np.unique(_triples(hashes[cut:])))
-            longest = max(longest, len(words))
+            longest = max(longest, len(hashes))
             terms, tf = np.unique(hashes, return_counts=True)
             idf = np.array([math.log(1 + (n_items - df.get(int(t), 1) + 0.5) / (df.get(int(t), 1) + 0.5)) for t in terms])
-            gain = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / mean_words))
+            gain = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(hashes) / mean_words))
             for t, g in zip(terms.tolist(), (gain / gain.sum()).tolist(), strict=True):
                 postings.setdefault(t, []).append((i, g))
         self.longest = longest
@@ -146,7 +156,7 @@ class Index:
     def search(self, col: pa.Array, threshold: float) -> list[list[dict]]:
         """The verified hits of each text: for each item its best passage."""
         data, offsets = utf8(col)
-        start, end, row = word_spans(data, offsets)
+        start, end, row = word_spans(data, offsets, BREAKS)
         out: list[list[dict]] = [[] for _ in range(len(col))]
         if not len(start) or not len(self.terms):
             return out
@@ -203,7 +213,7 @@ def indexes(benchmark: DataFrame) -> list[Index]:
     n = max(1, -(-(n_bytes or 0) // INDEX_BYTES))
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
     lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = items.select(block.alias("block"), F.regexp_extract_all(lower, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)).alias("w"))
+    words = items.select(block.alias("block"), F.regexp_extract_all(lower, F.lit(TERM.pattern), F.lit(0)).alias("w"))
     mean = words.agg(F.avg(F.size("w"))).first()[0] or 1.0
     each = words.select("block", F.explode(F.array_distinct("w")).alias("w"))
     df = each.groupBy("w").agg(F.count("*").alias("df"))
