@@ -13,6 +13,7 @@ from .mixing import MIX_SQL, with_copies
 from .ngram_join import near_duplicates
 from .pii import BASE_KINDS, digest, with_spans
 from .quality_rules import judged
+from .toxicity import DECISION, held_out, scored
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +24,11 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", held_out().alias("held_out"), F.col("__toxicity").alias("score"), (F.col("__toxicity") >= DECISION).cast("int").alias("predicted"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = with_spans(table(spark, sf_dir, "documents"))
     count = [F.expr(f"size(filter(__pii, s -> s.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in BASE_KINDS]
