@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import langid
 from .common import table, tune
 from .decontaminate import leaks
 from .mixing import MIX_SQL, with_copies
@@ -43,6 +44,11 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identified(table(spark, sf_dir, "documents")).select(
+        "doc_id", langid.held_out().alias("held_out"), F.col("__language.lang").alias("lang_pred"), "__language.score")
+
+
 def _tuned(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         tune(spark)
