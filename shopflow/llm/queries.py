@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid
+from . import langid, secret_scan
 from .common import table, tune
 from .decontaminate import leaks
 from .mixing import MIX_SQL, with_copies
@@ -17,6 +17,12 @@ from .quality_rules import judged
 from .toxicity import DECISION, held_out, scored
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secret_scan.with_spans(table(spark, sf_dir, "documents"))
+    count = [F.expr(f"size(filter(__secrets, s -> s.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in secret_scan.BASE_KINDS]
+    return rows.select("doc_id", *count, F.sha2(digest("__secrets", secret_scan.BASE_KINDS), 256).alias("base_sha256"), digest("__secrets").alias("spans"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "__quality.*")
 
