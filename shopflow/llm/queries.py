@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, secret_scan
+from . import html_extract, langid, secret_scan
 from .common import table, tune
 from .decontaminate import leaks
 from .mixing import MIX_SQL, with_copies
@@ -17,6 +17,11 @@ from .quality_rules import judged
 from .toxicity import DECISION, held_out, scored
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").withColumn("text", html_extract.main_text(F.col("html"), html_extract.trained())) \
+        .select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = secret_scan.with_spans(table(spark, sf_dir, "documents"))
     count = [F.expr(f"size(filter(__secrets, s -> s.kind = '{k}'))").cast("long").alias(f"n_{k}") for k in secret_scan.BASE_KINDS]
