@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extract, langid, secret_scan
+from . import html_extract, langid, repeats, secret_scan
 from .common import table, tune
 from .decontaminate import leaks
 from .mixing import MIX_SQL, with_copies
@@ -51,6 +51,10 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_copies(table(spark, sf_dir, "documents")).select("doc_id", "__mix.size", "__mix.source_size", "__mix.target", "__mix.taken")
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(table(spark, sf_dir, "documents"))
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 

@@ -120,3 +120,23 @@ def mix(rows: list[tuple[int | None, str | None, str | None]], seed: str, weight
         draw = int(hashlib.md5(f"{seed}:{'null' if doc_id is None else doc_id}".encode()).hexdigest()[:13], 16) / 16 ** 13
         out.append((n, total[s], target[s], (int(rate) + (draw < rate - int(rate))) * n))
     return out
+
+
+def repeats(rows: list[tuple[int | None, str | None]], length: int = 100) -> list[tuple[int, int, int, str]]:
+    """(n_bytes, n_removed, n_spans, kept_sha256) of each row; rows with the same id and text are one document."""
+    docs = sorted({(d is None, d or 0, t or "") for d, t in rows}, key=lambda x: (x[0], x[1], hashlib.sha256(x[2].encode()).hexdigest()))
+    seen, out = set(), {}
+    for key in docs:
+        raw = key[2].encode()
+        gone = bytearray(len(raw))
+        until = 0
+        for p in range(len(raw) - length + 1):
+            w = raw[p:p + length]
+            if w in seen:
+                a = max(p, until)
+                gone[a:p + length] = b"\x01" * (p + length - a)
+                until = p + length
+            seen.add(w)
+        n_spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        out[key] = (len(raw), sum(gone), n_spans, hashlib.sha256(bytes(b for b, g in zip(raw, gone, strict=True) if not g)).hexdigest())
+    return [out[(d is None, d or 0, t or "")] for d, t in rows]
