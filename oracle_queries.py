@@ -175,6 +175,20 @@ q_checked AS (
   FROM m_events e JOIN events r ON r.event_id = e._pos)"""
 
 
+# Lines of the four further event types (``driver_tables.raw_more_event_lines``).
+MORE_EVENTS_SQL = """
+WITH m AS (
+  SELECT *, CASE WHEN t = 0 AND n % 7 = 0 THEN 'Required int field is null: quantity'
+                 WHEN t = 1 AND n % 5 = 0 THEN 'Required string field is null: product_id'
+                 WHEN t = 2 AND n % 6 = 0 THEN 'Cannot cast field ''success'' to bool: maybe'
+                 WHEN t = 3 AND n % 8 = 0 THEN 'Cannot cast field ''rating'' to int: x' END AS reason
+  FROM (SELECT o_orderkey % 4 AS t, o_orderkey // 4 AS n, CAST(o_orderdate AS TIMESTAMP) AS "timestamp",
+               'u' || o_custkey AS user_id, 's' || o_orderkey AS session_id,
+               CASE o_orderkey % 4 WHEN 0 THEN 'remove_from_cart' WHEN 1 THEN 'wishlist_add' WHEN 2 THEN 'payment_attempt'
+                    ELSE 'review_submit' END AS event_type
+        FROM orders))"""
+
+
 def _sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["sales_daily"] = with_model("""
@@ -243,7 +257,7 @@ WHERE NOT EXISTS (SELECT 1 FROM q_stored s WHERE s."timestamp" = b."timestamp"
 WHERE searches + product_views + add_to_cart_events + checkout_starts + purchases > 0""")
     q["distinct_users_incremental"] = q["sales_daily"]
     q["full_row_distinct"] = with_model("""
-SELECT DISTINCT user_id, status, payment_method FROM m_orders""")
+SELECT DISTINCT order_id, user_id, created_at, total, status, payment_method FROM m_orders""")
     q["clean_users"] = with_model(f"""{RAW_USERS_SQL}
 SELECT DISTINCT user_id, name, email, signup_date, device, loyalty_tier, location
 FROM q_users_typed WHERE email IS NOT NULL AND loyalty_tier IS NOT NULL""")
@@ -346,7 +360,29 @@ SELECT date_trunc('second', "timestamp") AS "timestamp", user_id, session_id, ev
        url_path, k AS duration_sec, 200 AS http_status
 FROM q_checked WHERE reason IS NULL AND event_type = 'page_view'""")
     q["additive_report_stream"] = q["merge_additive"]
-    q["stream_static_top_products"] = q["top_products"]
+    q["stream_static_top_products"] = with_model("""
+q_bare AS (SELECT product_id, CASE WHEN bare THEN NULL ELSE name END AS name, CASE WHEN bare THEN NULL ELSE price END AS price,
+                  CASE WHEN bare THEN NULL ELSE category END AS category
+           FROM (SELECT *, CAST(substr(product_id, 2) AS BIGINT) % 11 = 0 AS bare FROM m_products))
+SELECT p.product_id, p.name AS product_name, coalesce(p.category, 'Unknown') AS category,
+       CAST(sum(a.quantity) AS BIGINT) AS total_quantity, count(*) AS add_to_cart_count,
+       CAST(sum(a.quantity * coalesce(p.price, 0)) AS DOUBLE) AS estimated_revenue
+FROM m_cart a JOIN q_bare p ON a.product_id = p.product_id
+GROUP BY p.product_id, p.name, p.category""")
+    q["top_products_exact"] = with_model(f"""
+q_last AS (
+  SELECT product_id, quantity FROM (
+    SELECT *, row_number() OVER (PARTITION BY session_id, cart_total_items
+                                 ORDER BY _o DESC, _l DESC, _p DESC, _s DESC, _x DESC) AS rn
+    FROM m_cart) WHERE rn = 1)
+SELECT p.product_id, p.name AS product_name, coalesce(p.category, 'Unknown') AS category,
+       CAST(sum(a.quantity) AS BIGINT) AS total_quantity, count(*) AS add_to_cart_count,
+       CAST(sum(a.quantity * coalesce(p.price, 0)) AS DOUBLE) AS estimated_revenue
+FROM q_last a JOIN m_products p ON a.product_id = p.product_id
+GROUP BY p.product_id, p.name, p.category""")
+    q["sales_stream"] = q["sales_daily"]
+    q["report_backfill"] = q["sales_daily"]
+    q["loyalty_stream"] = q["loyalty_segments"]
     q["exact_report_stream"] = q["behavior_funnel_daily"]
     q["device_usage_full"] = with_model("""
 SELECT device,
@@ -357,12 +393,88 @@ SELECT device,
        count(*) FILTER (WHERE event_type = 'payment_attempt') AS payment_attempts,
        count(*) FILTER (WHERE event_type = 'order_complete') AS completed_orders
 FROM m_events GROUP BY device""")
+    q["device_stream"] = q["device_usage_full"]
+    q["cursor_rejects"] = """
+SELECT CASE WHEN o_orderkey % 5 = 0 THEN 'key without a number' WHEN o_orderkey % 7 = 0 THEN 'missing key'
+            ELSE 'exported' END AS reason, count(*) AS n FROM orders GROUP BY 1"""
+    q["land_rejects"] = """
+SELECT CASE event_id % 5 WHEN 0 THEN 'landed' WHEN 1 THEN 'bad magic byte' WHEN 2 THEN 'truncated header'
+       WHEN 3 THEN 'payload is not a JSON object' ELSE 'timestamp does not parse' END AS reason, count(*) AS n
+FROM events WHERE event_type = 'purchase' GROUP BY 1"""
+    more = MORE_EVENTS_SQL
+    q["validate_more_events"] = f"""{more}
+SELECT "timestamp", user_id, session_id, event_type, 'mobile' AS device, CAST(NULL AS VARCHAR) AS url_path,
+       CAST(NULL AS INTEGER) AS duration_sec, CAST(NULL AS INTEGER) AS http_status, CAST(NULL AS VARCHAR) AS query,
+       CAST(NULL AS INTEGER) AS results_count, CAST(NULL AS INTEGER) AS clicked_position, CAST(NULL AS DOUBLE) AS cart_value,
+       CASE WHEN t <> 2 THEN 'p' || n END AS product_id, CASE WHEN t = 0 THEN CAST(1 + n % 3 AS INTEGER) END AS quantity,
+       CAST(NULL AS INTEGER) AS cart_total_items,
+       CASE WHEN t = 1 THEN CASE WHEN n % 2 = 0 THEN 'gifts' ELSE 'default' END END AS wishlist_name,
+       CAST(NULL AS VARCHAR) AS shipping_method, CASE WHEN t = 2 THEN 'card' END AS payment_type,
+       CASE WHEN t = 2 THEN n % 6 = 1 END AS success, CASE WHEN t = 2 AND n % 3 = 0 THEN 'E1' END AS error_code,
+       CAST(NULL AS VARCHAR) AS order_id, CAST(NULL AS VARCHAR) AS fulfillment_speed,
+       CASE WHEN t = 3 THEN CASE WHEN n % 8 = 1 THEN 4 ELSE CAST(1 + n % 5 AS INTEGER) END END AS rating,
+       CASE WHEN t = 3 THEN CASE WHEN n % 2 = 0 THEN CAST(n % 100 AS INTEGER) ELSE 0 END END AS text_length
+FROM m WHERE reason IS NULL"""
+    q["validate_more_rejects"] = f"""{more}
+SELECT reason, count(*) AS n FROM m WHERE reason IS NOT NULL GROUP BY reason"""
+    every = with_model(f"""{RAW_EVENTS_SQL},
+q_more AS (SELECT * FROM ({more} SELECT * FROM m WHERE reason IS NULL)),
+q_all AS (
+  SELECT event_type, "timestamp", user_id, session_id FROM q_checked WHERE reason IS NULL
+  UNION ALL SELECT event_type, "timestamp", user_id, session_id FROM q_more
+  UNION ALL SELECT 'cart_view', CAST(l_shipdate AS TIMESTAMP), 'u' || l_suppkey, 's' || l_orderkey || '-' || l_linenumber
+  FROM lineitem WHERE l_linenumber NOT IN (6, 7))""")
+    q["publish_events_by_type"] = f"""{every}
+SELECT topic, schema_id, count(*) AS n FROM q_all JOIN (VALUES
+  ('page_view', 'events.page_view', 1), ('product_search', 'events.search', 2), ('cart_view', 'events.cart_view', 3),
+  ('add_to_cart', 'events.add_to_cart', 4), ('remove_from_cart', 'events.remove_from_cart', 5), ('wishlist_add', 'events.wishlist', 6),
+  ('checkout_start', 'events.checkout', 7), ('payment_attempt', 'events.payment', 8), ('order_complete', 'events.order', 9),
+  ('review_submit', 'events.review', 10)) t(e, topic, schema_id) ON event_type = e GROUP BY 1, 2"""
+    q["land_events"] = f"""{every}
+SELECT event_type, count(*) AS n, CAST(sum(CAST(epoch(ts) AS BIGINT) % 1000) AS BIGINT) AS time_sum
+FROM (SELECT DISTINCT event_type, user_id, session_id, date_trunc('second', "timestamp") AS ts FROM q_all) GROUP BY 1"""
+    q["ledger_rows"] = with_model(f"""{RAW_EVENTS_SQL}
+SELECT count(*) AS records_inserted, 1 AS empty_files
+FROM (SELECT DISTINCT event_type, "timestamp", session_id FROM q_checked WHERE reason IS NULL)""")
+    q["load_orders_job"] = with_model(f"""{RAW_ORDERS_SQL},
+q_good AS (SELECT *, CAST(substr(order_id, 2) AS BIGINT) AS k FROM q_orders_typed
+           WHERE created_at IS NOT NULL AND status IS NOT NULL AND payment_method IS NOT NULL
+             AND (user_id IS NULL OR user_id IN (SELECT user_id FROM m_users)))
+SELECT order_id, user_id, created_at,
+       CASE WHEN k % 12 = 0 THEN 2.50 WHEN k % 4 = 0 THEN 1.25 ELSE total END::DECIMAL(10,2) AS total, status, payment_method
+FROM q_good WHERE k % 2 = 0""")
     q["duplicate_key_report"] = with_model("""
 SELECT session_id || '#' || CAST(cart_total_items AS VARCHAR) AS line_key, count(*) AS n
 FROM m_cart GROUP BY 1 HAVING count(*) > 1""")
     q["message_schema_check"] = """
-SELECT 'u' || CAST(c_custkey AS VARCHAR) AS user_id, 'required field is null: email' AS reason
-FROM customer WHERE c_acctbal >= 0 AND c_acctbal < 100"""
+SELECT 'users' AS table_name, 'u' || CAST(c_custkey AS VARCHAR) AS "row", 'required field is null: email' AS reason
+FROM customer WHERE c_acctbal >= 0 AND c_acctbal < 100
+UNION ALL
+SELECT 'products', 'p' || CAST(p_partkey AS VARCHAR), 'required field is null: name' FROM part WHERE p_size % 9 = 0
+UNION ALL
+SELECT 'orders', 'o' || CAST(o_orderkey AS VARCHAR), 'required field is null: order_id' FROM orders WHERE o_orderkey % 8 = 0"""
+    q["domain_findings"] = with_model(f"""{RAW_USERS_SQL}, {RAW_PRODUCTS_SQL.strip()}, {RAW_ORDERS_SQL.strip()},
+q_found AS (
+  SELECT 'users' AS table_name, 'email' AS column_name, 'missing' AS finding, count(*) FILTER (email IS NULL) AS n FROM q_users_raw
+  UNION ALL SELECT 'users', 'loyalty_tier', 'missing', count(*) FILTER (loyalty_tier IS NULL) FROM q_users_raw
+  UNION ALL SELECT 'users', 'loyalty_tier', 'outside domain',
+    count(*) FILTER (lower(trim(loyalty_tier)) NOT IN ('bronze', 'silver', 'gold')) FROM q_users_raw
+  UNION ALL SELECT 'users', 'device', 'outside domain',
+    count(*) FILTER (lower(trim(device)) NOT IN ('desktop', 'mobile', 'tablet')) FROM q_users_raw
+  UNION ALL SELECT 'products', 'category', 'outside domain',
+    count(*) FILTER (lower(trim(category)) NOT IN ('beauty', 'clothing', 'electronics', 'home', 'other')) FROM q_products_raw
+  UNION ALL SELECT 'orders', 'status', 'missing', count(*) FILTER (status IS NULL) FROM q_orders_raw
+  UNION ALL SELECT 'orders', 'payment_method', 'missing', count(*) FILTER (payment_method IS NULL) FROM q_orders_raw
+  UNION ALL SELECT 'orders', 'status', 'outside domain', count(*) FILTER (lower(trim(status)) <> 'completed') FROM q_orders_raw
+  UNION ALL SELECT 'orders', 'payment_method', 'outside domain',
+    count(*) FILTER (lower(trim(payment_method)) NOT IN ('credit_card', 'apple_pay', 'google_pay', 'paypal')) FROM q_orders_raw)
+SELECT table_name, column_name, finding, n FROM q_found WHERE n > 0
+UNION ALL
+SELECT * FROM (
+  SELECT 'users' AS t, 'user_id' AS c, 'repeated' AS f, count(*) AS n FROM (SELECT 1 FROM customer GROUP BY c_custkey HAVING count(*) > 1)
+  UNION ALL SELECT 'products', 'product_id', 'repeated', count(*) FROM (SELECT 1 FROM part GROUP BY p_partkey HAVING count(*) > 1)
+  UNION ALL SELECT 'orders', 'order_id', 'repeated', count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderkey HAVING count(*) > 1))
+WHERE n > 0""")
     q["run_summary"] = with_model(f"""{RAW_EVENTS_SQL}
 SELECT 'sessions_' || strftime("timestamp", '%Y%m%d') || '_events.json' AS source_file,
        CASE WHEN reason IS NULL THEN 'stored' ELSE 'rejected' END AS outcome, count(*) AS n

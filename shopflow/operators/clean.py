@@ -112,3 +112,24 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys occurring more than once (e.g. e-mail addresses)."""
     return (df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
             .filter(F.col("n") > 1))
+
+
+_DOMAINS = {"users": {"loyalty_tier": LOYALTY_TIERS, "device": DEVICES}, "products": {"category": CATEGORIES},
+            "orders": {"status": ORDER_STATUSES, "payment_method": PAYMENT_METHODS}}
+
+
+def findings(df: DataFrame, table: str) -> DataFrame:
+    """What breaks the declared constraints of a raw table, counted:
+    (table_name, column_name, finding, n).  Domains are those of the enums,
+    keys must be there and unique."""
+    pk = PRIMARY_KEYS[table]
+    checks = [(pk, "missing", F.col(pk).isNull())]
+    checks += [(c, "missing", F.col(c).isNull()) for c in _REQUIRED[table] if c in df.columns]
+    checks += [(c, "outside domain", F.col(c).isNotNull() & ~F.lower(F.trim(c)).isin(*known))
+               for c, known in _DOMAINS[table].items() if c in df.columns]
+    counted = df.agg(*[F.count_if(cond).alias(f"_{i}") for i, (_, _, cond) in enumerate(checks)])
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(what).alias("finding"), F.col(f"_{i}").alias("n"))
+                               for i, (c, what, _) in enumerate(checks)]))
+    repeated = duplicate_keys(df, pk).agg(F.count(F.lit(1)).alias("n")).select(F.lit(pk).alias("column_name"), F.lit("repeated").alias("finding"), "n")
+    return (counted.select(each.alias("f")).select("f.*").unionByName(repeated).filter("n > 0")
+            .select(F.lit(table).alias("table_name"), "column_name", "finding", "n"))

@@ -9,17 +9,22 @@ within a key; ties are resolved arbitrarily.
 Skew: every dedupe is a ``groupBy`` with ``max_by`` / ``min_by``, so Spark
 aggregates partially before the shuffle and a key holding a third of all rows
 ships one row per map task, not its whole group.  The ``row_number`` window
-form is kept only for comparison (it shuffles and sorts every row of a hot key
-into one task).
+form ranks within slices of a key first, so that a hot key is spread as well.
+
+No operator chooses a join strategy: which side is broadcast is left to the
+optimizer, which re-plans by measured sizes (AQE).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Slices of a key that the window form ranks one by one.
+WINDOW_SLICES = 64
+
 Order = str | Column | Sequence[str | Column]
 
 
@@ -47,13 +52,15 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Order, method: str
     """Keep the last row per key (largest ``order``), as a replacing table does.
 
     ``method="agg"`` (default): ``groupBy(keys).agg(max_by(struct(*), order))``,
-    partial + final aggregation.  ``method="window"``: ``row_number()`` over a
-    window partitioned by the keys.
+    partial + final aggregation.  ``method="window"``: ``row_number()`` within
+    slices of a key (by a hash of the order), then over the slices' winners.
     """
     if method == "window":
-        from pyspark.sql import Window
-        w = Window.partitionBy(*keys).orderBy(order_key(order).desc())
-        return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+        out = df.withColumn("_slice", F.pmod(F.xxhash64(order_key(order)), F.lit(WINDOW_SLICES)))
+        for part in ([*keys, "_slice"], list(keys)):
+            w = Window.partitionBy(*part).orderBy(order_key(order).desc())
+            out = out.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+        return out.drop("_slice")
     return _pick(df, keys, order, F.max_by)
 
 
@@ -62,38 +69,11 @@ def first_by_key(df: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
     return _pick(df, keys, order, F.min_by)
 
 
-def plan_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (file sizes for scans), or None."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable (e.g. streaming)
-        return None
-
-
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    """True when the plan's estimated size is under the broadcast limit.
-
-    The estimate is an upper bound for projections / filters / aggregates of
-    file scans, so a True here is a checked size, not a guess.
-    """
-    spark = df.sparkSession
-    if limit is None:
-        raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        try:
-            limit = int(str(raw).lower().rstrip("b"))
-        except ValueError:
-            limit = 10 * 1024 * 1024
-    if limit is None or limit <= 0:
-        return False
-    size = plan_bytes(df)
-    return size is not None and size <= limit
-
-
 VERSION = "_version"
 
 
 def upsert(target: DataFrame, source: DataFrame, pk: str | Sequence[str], order: Order | None = None,
-           strategy: str = "auto", version: int | None = None) -> DataFrame:
+           version: int | None = None) -> DataFrame:
     """Insert new keys, update existing ones: ``INSERT .. ON CONFLICT DO UPDATE``.
 
     Only the columns present in ``source`` are updated; target columns absent
@@ -101,13 +81,8 @@ def upsert(target: DataFrame, source: DataFrame, pk: str | Sequence[str], order:
     one key: the last by ``order`` wins (default: no order -> the rows must be
     unique per key).
 
-    Plans: ``"outer"`` - one full outer join (both sides shuffled on the key).
-    ``"broadcast"`` - the deduplicated batch is broadcast and the target is
-    streamed without a shuffle: a left join with the batch rewrites touched
-    rows; new keys are the batch keys minus the target keys that the batch
-    matches (a semi-join against the broadcast batch keys, whose size is
-    bounded by the batch).  ``"auto"`` picks ``broadcast`` only when the
-    batch's size estimate is under the broadcast limit.
+    One full outer join of the target and the deduplicated batch: each is read
+    once.
 
     ``version``: when the target has a ``_version`` column, inserted and
     updated rows get this merge version (untouched rows keep theirs), so an
@@ -125,36 +100,16 @@ def upsert(target: DataFrame, source: DataFrame, pk: str | Sequence[str], order:
     if missing:
         raise ValueError(f"source columns not in target: {missing}")
     supplied = [c for c in src.columns if c not in keys]
-    kept = [c for c in target.columns if c not in keys and c not in supplied]
-    if strategy == "auto":
-        strategy = "broadcast" if fits_broadcast(src) else "outer"
-
     s = src.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in supplied], F.lit(True).alias("_s_hit"))
 
-    def merged(joined: DataFrame) -> DataFrame:
-        out = []
-        for c in target.columns:
-            if c in keys:
-                out.append(F.col(c))
-            elif c in supplied:
-                out.append(F.when(F.col("_s_hit"), F.col(f"_s_{c}")).otherwise(F.col(c))
-                           .cast(target.schema[c].dataType).alias(c))
-            else:
-                out.append(F.col(c))
-        return joined.select(*out)
-
-    if strategy == "broadcast":
-        batch_keys = src.select(*keys)
-        touched = merged(target.join(F.broadcast(s), keys, "left"))
-        matched = target.select(*keys).join(F.broadcast(batch_keys), keys, "left_semi")
-        fresh = s.join(F.broadcast(matched), keys, "left_anti")
-        new_rows = fresh.select(*[F.col(c) if c in keys else
-                                  (F.col(f"_s_{c}") if c in supplied else F.lit(None))
-                                  .cast(target.schema[c].dataType).alias(c) for c in target.columns])
-        return touched.unionByName(new_rows)
-    if strategy != "outer":
-        raise ValueError(f"unknown strategy {strategy!r}")
-    return merged(target.join(s, keys, "full_outer"))
+    out = []
+    for c in target.columns:
+        if c in supplied:
+            out.append(F.when(F.col("_s_hit"), F.col(f"_s_{c}")).otherwise(F.col(c))
+                       .cast(target.schema[c].dataType).alias(c))
+        else:
+            out.append(F.col(c))
+    return target.join(s, keys, "full_outer").select(*out)
 
 
 def insert_if_absent(target_keys: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -163,16 +118,11 @@ def insert_if_absent(target_keys: DataFrame, source: DataFrame, keys: Sequence[s
     skips duplicates): first by ``order`` wins inside the batch, stored rows
     win over the batch.
 
-    ``target_keys`` needs only the key columns (pruned from the store).  When
-    the batch is small the stored keys are first semi-joined against the
-    broadcast batch keys, so the store is streamed, never shuffled.
+    ``target_keys`` needs only the key columns (pruned from the store).
     """
     keys = list(keys)
     batch = first_by_key(source, keys, order) if order is not None else source.dropDuplicates(keys)
-    stored = target_keys.select(*keys)
-    if fits_broadcast(batch):
-        stored = stored.join(F.broadcast(batch.select(*keys)), keys, "left_semi")
-    return batch.join(stored, keys, "left_anti")
+    return batch.join(target_keys.select(*keys), keys, "left_anti")
 
 
 def merge_additive(target: DataFrame | None, delta: DataFrame, keys: Sequence[str],

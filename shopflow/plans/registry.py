@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 from shopflow.functions import columns as fc
 from shopflow.operators import clean, envelope, merge
 from shopflow.operators import events as ev_ops
-from shopflow.plans import landing, reports
-from shopflow.schemas import FUNNEL_COUNTS
+from shopflow.plans import landing, load, reports
+from shopflow.schemas import EVENT_TOPICS, EVENT_TYPES, FUNNEL_COUNTS, TABLE_TOPICS, payload_type
 from shopflow.session import work_path
+from shopflow.sinks import state, tables
 from shopflow.sinks.topics import publish
 from shopflow.sources import driver_tables as dt
 from shopflow.sources import files
-from shopflow.sources.cursor import scan_since
+from shopflow.sources.cursor import cursor_rejects, scan_since
 from shopflow.sources.topics import topic_source
 from shopflow.streaming import drivers
 
@@ -114,12 +115,9 @@ def q_insert_if_absent(spark, d):
 
 @query("merge_additive")
 def q_merge_additive(spark, d):
-    """Funnel as the union of five per-table delta branches merged by
+    """Funnel as delta rows of five branches, from one scan, merged by
     summing per day (the summing-table form), then the dashboard rates."""
-    ev = dt.behavior_events(spark, d)
-    deltas = None
-    for b in reports.funnel_branches(ev):
-        deltas = b if deltas is None else deltas.unionByName(b)
+    deltas = reports.funnel_deltas(dt.behavior_events(spark, d))
     merged = merge.merge_additive(None, deltas, ["report_date"], FUNNEL_COUNTS)
     return reports.funnel_from_deltas(merged)
 
@@ -127,34 +125,25 @@ def q_merge_additive(spark, d):
 @query("distinct_users_incremental")
 def q_distinct_users_incremental(spark, d):
     """Daily sales built batch by batch (one batch per order priority):
-    counts and revenue are summed, purchasing users come from the union of
-    distinct (day, user) pairs, never from summed per-batch distincts."""
-    orders = dt.orders(spark, d)
-    raw = dt.read(spark, d, "orders").select(dt.prefixed("o", "o_orderkey").alias("order_id"),
-                                               "o_orderpriority")
-    tagged = orders.join(raw, "order_id")
-    sums, pairs = None, None
-    for prio in ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]:
-        batch = tagged.filter(F.col("o_orderpriority") == prio).drop("o_orderpriority")
-        done = batch.filter(F.col("status") == "completed")
-        s = (done.groupBy(F.to_date("created_at").alias("report_date"))
-             .agg(F.count(F.lit(1)).alias("order_count"), F.sum("total").alias("total_revenue")))
-        p = reports.sales_daily_pairs(batch)
-        sums = s if sums is None else sums.unionByName(s)
-        pairs = p if pairs is None else pairs.unionByName(p)
-    counted = reports.count_pairs(pairs.distinct())
-    totals = merge.merge_additive(None, sums, ["report_date"], ["order_count", "total_revenue"],
-                                  drop_zero=False)
-    return (totals.join(counted, "report_date", "left")
-            .select("report_date", "order_count", F.col("total_revenue").cast("double").alias("total_revenue"),
-                    F.coalesce("purchasing_users", F.lit(0)).cast("bigint").alias("purchasing_users")))
+    counts and revenue are summed per (day, batch), then per day; purchasing
+    users come from the union of distinct (day, user) pairs, never from summed
+    per-batch distincts."""
+    batch = F.coalesce("o_orderpriority", F.lit("none")).alias("batch")
+    done = dt.orders(spark, d, extra=[batch]).filter(F.col("status") == "completed")
+    per_user = (done.groupBy(F.to_date("created_at").alias("report_date"), "batch", "user_id")
+                .agg(F.count(F.lit(1)).alias("order_count"), F.sum("total").alias("total_revenue")))
+    pairs = per_user.groupBy("report_date", "user_id").agg(F.sum("order_count").alias("order_count"),
+                                                           F.sum("total_revenue").alias("total_revenue"))
+    return pairs.groupBy("report_date").agg(
+        F.sum("order_count").cast("bigint").alias("order_count"), F.sum("total_revenue").cast("double").alias("total_revenue"),
+        F.count("user_id").alias("purchasing_users"))
 
 
 @query("full_row_distinct")
 def q_full_row_distinct(spark, d):
-    """Full-row distinct of the order dimension tuples."""
+    """Full-row distinct of orders delivered twice."""
     o = dt.orders(spark, d)
-    return merge.distinct_rows(o.select("user_id", "status", "payment_method"))
+    return merge.distinct_rows(o.unionByName(o))
 
 
 # -- cleaning master data -----------------------------------------------------
@@ -236,15 +225,100 @@ def q_validate_events_rejects(spark, d):
 
 @query("route_by_type_counts")
 def q_route_by_type_counts(spark, d):
-    """Validated events stored first-wins per (type, timestamp,
-    session), routed by type; rows stored per type and source file."""
-    valid = _validated(spark, d)[0]
-    stored = merge.first_by_key(valid.drop("ingestion"), ["event_type", "timestamp", "session_id"],
-                                ev_ops.event_order())
-    src = valid.select("event_type", "timestamp", "session_id", "ingestion.source_file")
-    kept = stored.select("event_type", "timestamp", "session_id", "_file").join(
-        src, ["event_type", "timestamp", "session_id"])
-    return kept.groupBy("event_type", "source_file").agg(F.count(F.lit(1)).alias("records_inserted"))
+    """Events delivered twice, stored first-wins per (type,
+    timestamp, session), routed by type; rows stored per type and source file."""
+    lines = dt.raw_event_lines(spark, d)
+    again = lines.withColumn("_block", F.col("_block") + 1)  # the same lines once more, later in their files
+    valid = ev_ops.validate_events(lines.unionByName(again), with_line_numbers=False)[0]
+    stored = merge.first_by_key(valid.withColumn("source_file", F.col("ingestion.source_file")).drop("ingestion"),
+                                ["event_type", "timestamp", "session_id"], ev_ops.event_order())
+    return stored.groupBy("event_type", "source_file").agg(F.count(F.lit(1)).alias("records_inserted"))
+
+
+@query("validate_more_events")
+def q_validate_more_events(spark, d):
+    """remove_from_cart, wishlist_add, payment_attempt and
+    review_submit lines built from the orders, with their failure modes."""
+    return ev_ops.flatten(ev_ops.validate_events(dt.raw_more_event_lines(spark, d), with_line_numbers=False)[0])
+
+
+@query("validate_more_rejects")
+def q_validate_more_rejects(spark, d):
+    _, rejects = ev_ops.validate_events(dt.raw_more_event_lines(spark, d), with_line_numbers=False)
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _event_messages(valid, event_type):
+    """Validated events of one type in the shape of its topic's messages."""
+    names = [f.name for f in payload_type(event_type).fields]
+    msg = valid.filter(F.col("event_type") == event_type).select(
+        "timestamp", "user_id", "session_id", "event_type", "device",
+        F.struct(*[F.col(f"event_data.{n}").alias(n) for n in names]).alias("event_data"))
+    return envelope.encode(msg.withColumn("_k", F.concat_ws(":", "session_id", "timestamp")), "_k",
+                           1 + EVENT_TYPES.index(event_type), columns=msg.columns)
+
+
+def _all_valid(spark, d):
+    """Valid events of all ten types, validated once and stored."""
+    out = None
+    for lines in (dt.raw_event_lines(spark, d), dt.raw_cart_view_lines(spark, d), dt.raw_more_event_lines(spark, d)):
+        valid = ev_ops.validate_events(lines, with_line_numbers=False)[0].drop("_seq", "ingestion")
+        out = valid if out is None else out.unionByName(valid)
+    path = work_path(spark, "valid", fresh=True)
+    out.write.partitionBy("event_type").parquet(path)
+    return spark.read.schema(out.schema).parquet(path)
+
+
+@query("publish_events_by_type")
+def q_publish_events_by_type(spark, d):
+    """Every valid event published to the topic of its type; what the
+    topics hold, per topic and schema id."""
+    root = work_path(spark, "events", fresh=True)
+    valid = _all_valid(spark, d)
+    out = None
+    for event_type, topic in EVENT_TOPICS.items():
+        publish(_event_messages(valid, event_type), topic, root=root)
+        got = topic_source(spark, topic, root=root).groupBy("topic", envelope.schema_id(F.col("value")).alias("schema_id")) \
+            .agg(F.count(F.lit(1)).alias("n"))
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+@query("land_events")
+def q_land_events(spark, d):
+    """The ten event topics landed (cart views without their
+    items), last delivery per user, session and second; rows per type, and a
+    check sum of their times."""
+    valid = _all_valid(spark, d)
+    out = None
+    for event_type in EVENT_TOPICS:
+        msg = _event_messages(valid, event_type).select("key", "value", F.lit(0).cast("bigint").alias("batch_id"), F.lit(0).alias("partition"),
+                                                        F.monotonically_increasing_id().alias("offset"))
+        got = landing.land_events(msg, event_type).groupBy("event_type").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.unix_timestamp("timestamp") % 1000).cast("bigint").alias("time_sum"))
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+@query("land_rejects")
+def q_land_rejects(spark, d):
+    """Order events published with broken copies among them (bad magic
+    byte, cut header, no object, a time that does not parse); what was rejected, by reason."""
+    ev = dt.behavior_events(spark, d).filter(F.col("event_type") == "order_complete")
+    msg = ev.select(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"), "user_id", "session_id", "event_type", "device",
+                    F.struct("order_id", F.lit("fast").alias("fulfillment_speed")).alias("event_data"), "_pos")
+    k = F.col("_pos") % 5
+    msg = msg.withColumn("timestamp", F.when(k == 4, F.lit("not a time")).otherwise(F.col("timestamp"))).withColumn("_k", F.col("_pos"))
+    good = envelope.encode(msg, "_k", 9, columns=[c for c in msg.columns if c not in ("_k", "_pos")])
+    k = F.col("key").cast("bigint") % 5
+    body = F.substring(F.col("value"), 6, 1 << 30)
+    broken = good.withColumn("value", F.when(k == 1, F.concat(F.unhex(F.lit("0100000009")), body))
+                             .when(k == 2, F.substring(F.col("value"), 1, 3))
+                             .when(k == 3, F.concat(F.substring(F.col("value"), 1, 5), F.lit("[1]").cast("binary"))).otherwise(F.col("value")))
+    sent = broken.select("key", "value", F.lit(0).cast("bigint").alias("batch_id"), F.lit(0).alias("partition"), F.lit(0).cast("bigint").alias("offset"))
+    rows, rejects = landing.decode_events(sent, "order_complete")
+    landed = rows.select(F.lit("landed").alias("reason"))
+    return rejects.select("reason").unionByName(landed).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 # -- messages, cursors, landing ------------------------------------------------------
@@ -281,6 +355,18 @@ def q_scan_since_numeric(spark, d):
     return scan_since(o, "order_id", cursor)
 
 
+@query("cursor_rejects")
+def q_cursor_rejects(spark, d):
+    """Order ids without a number, and missing ones, are in no export
+    but in the rejects."""
+    o = dt.orders(spark, d)
+    num = fc.id_number("order_id")
+    odd = o.withColumn("order_id", F.when(num % 5 == 0, F.concat(F.lit("ox"), num.cast("string"))).when(num % 7 == 0, F.lit(None)).otherwise(F.col("order_id")))
+    rejected = cursor_rejects(odd, "order_id").select("reason")
+    exported = scan_since(odd, "order_id", None).select(F.lit("exported").alias("reason"))
+    return rejected.unionByName(exported).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("scan_since_position")
 def q_scan_since_position(spark, d):
     """Events after the position cursor left by the export of the first
@@ -383,6 +469,19 @@ def q_file_stream_new_only(spark, d):
     return drivers.read_store(spark, store).groupBy("event_type").agg(F.count(F.lit(1)).alias("stored"))
 
 
+@query("ledger_rows")
+def q_ledger_rows(spark, d):
+    """The ledger that the ingest stream leaves: one row per file read,
+    files without a valid row included."""
+    root = work_path(spark, "ledger", fresh=True)
+    lines = dt.raw_event_lines(spark, d)
+    _write_session_files(lines, f"{root}/in")
+    (lines.select(F.concat(F.lit("bad "), "value").alias("value")).coalesce(1).write.text(f"{root}/in/day=bad"))
+    drivers.run(lambda: drivers.ingest_sessions(spark, f"{root}/in", f"{root}/store", f"{root}/ledger", f"{root}/ckpt", glob="*.txt"))
+    led = state.read_ledger(spark, f"{root}/ledger")
+    return led.agg(F.sum("records_inserted").cast("bigint").alias("records_inserted"), F.count_if(F.col("records_inserted") == 0).alias("empty_files"))
+
+
 @query("land_events_stream")
 def q_land_events_stream(spark, d):
     """Validated page views published to a file topic in three
@@ -390,57 +489,118 @@ def q_land_events_stream(spark, d):
     (user, session, second)."""
     root = work_path(spark, "landing", fresh=True)
     topics, log, ckpt = f"{root}/topics", f"{root}/log", f"{root}/ckpt"
-    valid = _validated(spark, d)[0].filter(F.col("event_type") == "page_view")
-    msg = valid.select("timestamp", "user_id", "session_id", "event_type", "device",
-                       F.struct("event_data.url_path", "event_data.duration_sec",
-                                "event_data.http_status").alias("event_data"))
+    path = f"{root}/valid"
+    _validated(spark, d)[0].drop("_seq", "ingestion").write.partitionBy("event_type").parquet(path)
+    valid = spark.read.parquet(path).filter(F.col("event_type") == "page_view")
     day = F.dayofmonth("timestamp")
     for i, part in enumerate([day < 11, (day >= 11) & (day < 21), day >= 21]):
-        publish(envelope.encode(msg.filter(part).withColumn("_k", F.concat_ws(":", "session_id", "timestamp")),
-                                "_k", 1, columns=msg.columns), "events.page_view", root=topics, batch_id=i)
-    drivers.run(lambda: drivers.land_stream(spark, "events.page_view", "event", log, ckpt, topics,
+        publish(_event_messages(valid.filter(part), "page_view"), EVENT_TOPICS["page_view"], root=topics, batch_id=i)
+    drivers.run(lambda: drivers.land_stream(spark, EVENT_TOPICS["page_view"], "event", log, ckpt, topics,
                                             name="page_view", max_files_per_trigger=2))
     return drivers.read_landing(spark, log, drivers.EVENT_KEYS)
 
 
+def _streamed(spark, df, root, n, *by):
+    """The rows as files of a stream that takes a few per micro-batch."""
+    (df.repartition(n, *by) if by else df.repartition(n)).write.mode("append").parquet(f"{root}/in")
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+
+
 @query("additive_report_stream")
 def q_additive_report_stream(spark, d):
     """The funnel as a summing table fed by a stream of event files
     in several micro-batches; the dashboard sums the deltas."""
     root = work_path(spark, "funnel", fresh=True)
-    src, deltas, ckpt = f"{root}/events", f"{root}/deltas", f"{root}/ckpt"
-    ev = dt.behavior_events(spark, d)
-    ev.repartition(8, F.to_date("timestamp")).write.parquet(src)
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 3).parquet(src)
-    drivers.run(lambda: drivers.funnel_stream(spark, stream, deltas, ckpt))
-    return drivers.read_funnel(spark, deltas)
+    stream = _streamed(spark, dt.behavior_events(spark, d), root, 8, F.to_date("timestamp"))
+    drivers.run(lambda: drivers.funnel_stream(spark, stream, f"{root}/deltas", f"{root}/ckpt"))
+    return drivers.read_funnel(spark, f"{root}/deltas")
+
+
+@query("sales_stream")
+def q_sales_stream(spark, d):
+    """K4/Q2: daily sales fed by a stream of order files; users who buy in
+    several micro-batches of a day count once."""
+    root = work_path(spark, "sales", fresh=True)
+    stream = _streamed(spark, dt.orders(spark, d), root, 6, "order_id")
+    drivers.run(lambda: drivers.sales_stream(spark, stream, f"{root}/deltas", f"{root}/ckpt"))
+    return drivers.read_sales(spark, f"{root}/deltas")
+
+
+@query("loyalty_stream")
+def q_loyalty_stream(spark, d):
+    """K4: loyalty segments fed by a stream of user files."""
+    root = work_path(spark, "loyalty", fresh=True)
+    stream = _streamed(spark, dt.users(spark, d), root, 6, "user_id")
+    drivers.run(lambda: drivers.loyalty_stream(spark, stream, f"{root}/deltas", f"{root}/ckpt"))
+    return drivers.read_loyalty(spark, f"{root}/deltas")
+
+
+@query("device_stream")
+def q_device_stream(spark, d):
+    """K4/H2: the device report's branches fed by a stream of event files."""
+    root = work_path(spark, "device", fresh=True)
+    stream = _streamed(spark, dt.behavior_events(spark, d), root, 6, "_pos")
+    drivers.run(lambda: drivers.device_stream(spark, stream, f"{root}/deltas", f"{root}/ckpt", full=True))
+    return drivers.read_device(spark, f"{root}/deltas")
+
+
+@query("report_backfill")
+def q_report_backfill(spark, d):
+    """The sales report table declared empty, then built from all
+    history as its next version, partitioned by year."""
+    path = f"{work_path(spark, 'backfill', fresh=True)}/sales_daily"
+    year = F.year("report_date").alias("year")
+    report = reports.sales_daily(dt.orders(spark, d)).select("*", year)
+    tables.reset_table(spark, path, report.schema)
+    tables.write_version(report, path, partition_by=["year"])
+    return tables.read_version(spark, path, report.schema).drop("year")
 
 
 @query("stream_static_top_products")
 def q_stream_static_top_products(spark, d):
-    """Cart events streamed in four micro-batches, each joined with the
-    product table (stream-static join), per-product deltas summed."""
+    """Cart events streamed in micro-batches, each joined with the product
+    table as it is then.  At first a third of the products is unknown and some
+    carry an old name; some have no attributes at all.  The carts of unknown
+    products wait until the table knows them."""
     root = work_path(spark, "topprod", fresh=True)
-    src, deltas, ckpt = f"{root}/carts", f"{root}/deltas", f"{root}/ckpt"
+    num = fc.id_number("product_id")
+    bare = num % 11 == 0
+    now = dt.products(spark, d)
+    now = now.withColumns({c: F.when(~bare, F.col(c)) for c in ("name", "price", "category")})
+    now.write.parquet(f"{root}/products_1")
+    now.filter(num % 3 != 0).withColumn("name", F.when(num % 5 == 0, F.lit("old name")).otherwise(F.col("name"))) \
+        .write.parquet(f"{root}/products_0")
     cart = dt.cart_events(spark, d).drop("_pos")
-    cart.repartition(4).write.parquet(src)
-    stream = spark.readStream.schema(cart.schema).option("maxFilesPerTrigger", 1).parquet(src)
-    drivers.run(lambda: drivers.top_products_stream(spark, stream, dt.products(spark, d), deltas, ckpt))
-    return drivers.read_top_products(spark, deltas)
+    for version, part in enumerate((F.col("cart_total_items") <= 3, F.col("cart_total_items") > 3)):
+        stream = _streamed(spark, cart.filter(part), root, 3)
+        drivers.run(lambda v=version, s=stream: drivers.top_products_stream(
+            spark, s, lambda: spark.read.parquet(f"{root}/products_{v}"), f"{root}/deltas", f"{root}/ckpt"))
+    return drivers.read_top_products(spark, f"{root}/deltas", spark.read.parquet(f"{root}/products_1"))
 
 
 @query("exact_report_stream")
 def q_exact_report_stream(spark, d):
     """K7/B10 exact mode: event files arrive in an order unrelated to time
-    (every micro-batch holds events of many days, i.e. late data); each batch
-    recomputes only the days it touched from the whole store."""
+    (every micro-batch holds events of many days, i.e. late data), and every
+    event is delivered twice, in different batches; each batch recomputes only
+    the days it touched from the last deliveries in the store."""
     root = work_path(spark, "exact", fresh=True)
-    src, store, report, ckpt = f"{root}/events", f"{root}/store", f"{root}/report", f"{root}/ckpt"
     ev = dt.behavior_events(spark, d)
-    ev.repartition(6, "_pos").write.parquet(src)
-    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 2).parquet(src)
-    drivers.run(lambda: drivers.funnel_exact_stream(spark, stream, store, report, ckpt))
-    return drivers.read_exact_report(spark, report)
+    for i in range(2):
+        stream = _streamed(spark, ev, root, 4, "_pos")
+        drivers.run(lambda s=stream: drivers.funnel_exact_stream(spark, s, f"{root}/store", f"{root}/report", f"{root}/ckpt"))
+    return drivers.read_exact_report(spark, f"{root}/report")
+
+
+@query("top_products_exact")
+def q_top_products_exact(spark, d):
+    """R2/Q1: top products over last-wins cart rows: every line delivered
+    twice, the second time with another quantity."""
+    cart = dt.cart_events(spark, d)
+    first = cart.withColumn("quantity", F.col("quantity") + 1).withColumn("_batch", F.lit(0))
+    both = first.unionByName(cart.withColumn("_batch", F.lit(1)))
+    last = merge.latest_by_key(both, ["session_id", "cart_total_items"], ["_batch", "_pos"])
+    return reports.top_products(last, dt.products(spark, d))
 
 
 @query("device_usage_full")
@@ -460,44 +620,86 @@ def q_duplicate_key_report(spark, d):
 
 @query("message_schema_check")
 def q_message_schema_check(spark, d):
-    """User rows that would violate the message schema (required
-    user_id, name, email) before publishing - here users without e-mail."""
+    """Rows that would violate the message schema before publishing, for
+    the three tables: users without e-mail, products without a name, orders
+    without an id."""
     raw = clean.normalise_header(dt.raw_users(spark, d))
-    return envelope.missing_required(raw.select("user_id", "name", "email"), "users").select("user_id", "reason")
+    users = envelope.missing_required(raw.select("user_id", "name", "email"), "users")
+    p = dt.products(spark, d).withColumn("name", F.when(F.col("inventory") % 9 != 0, F.col("name")))
+    products = envelope.missing_required(p, "products")
+    o = dt.orders(spark, d).withColumn("row", F.col("order_id")) \
+        .withColumn("order_id", F.when(fc.id_number("order_id") % 8 != 0, F.col("order_id")))
+    orders = envelope.missing_required(o, "orders")
+    return (users.select(F.lit("users").alias("table_name"), F.col("user_id").alias("row"), "reason")
+            .unionByName(products.select(F.lit("products").alias("table_name"), F.col("product_id").alias("row"), "reason"))
+            .unionByName(orders.select(F.lit("orders").alias("table_name"), "row", "reason")))
+
+
+@query("domain_findings")
+def q_domain_findings(spark, d):
+    """Values outside their domain, missing keys and keys that repeat, in
+    the raw tables; counted per table, column and finding."""
+    out = None
+    for table in ("users", "products", "orders"):
+        f = clean.findings(clean.normalise_header(_RAW[table](spark, d)), table)
+        out = f if out is None else out.unionByName(f)
+    return out
 
 
 @query("run_summary")
 def q_run_summary(spark, d):
-    """Per source file, lines stored and rejected."""
-    valid, rejects = _validated(spark, d)
-    v = valid.groupBy(F.col("ingestion.source_file").alias("source_file")).agg(F.count(F.lit(1)).alias("n"))
-    r = rejects.groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
-    return (v.withColumn("outcome", F.lit("stored")).unionByName(r.withColumn("outcome", F.lit("rejected"))))
+    """Per source file, lines stored and rejected, from one validation."""
+    checked = ev_ops.check_lines(dt.raw_event_lines(spark, d))
+    outcome = F.when(F.col("reason").isNull(), F.lit("stored")).otherwise(F.lit("rejected"))
+    return checked.groupBy("source_file", outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("publish_since_cursor")
 def q_publish_since_cursor(spark, d):
     """Two exports of the orders table to a file topic, each
     publishing ids above the stored cursor and then advancing it (after the
-    sink committed).  The first export sees the orders placed before 1998,
-    the second the whole table; as in the source system, a late order with a
-    lower id than the cursor is never published.  Result: what the topic
-    holds, with the export that delivered it."""
-    from shopflow.sinks import state
+    sink committed, by what the topic holds).  The first export sees the orders
+    placed before 1998, the second the whole table; as in the source system, a
+    late order with a lower id than the cursor is never published.  Result:
+    what the topic holds, with the export that delivered it."""
     root = work_path(spark, "export", fresh=True)
-    topics, cursors = f"{root}/topics", f"{root}/cursors"
+    topics, cursors, topic = f"{root}/topics", f"{root}/cursors", TABLE_TOPICS["orders"]
     o = dt.orders(spark, d)
     snapshots = [o.filter(F.col("created_at") < F.lit("1998-01-01").cast("timestamp")), o]
     for batch_id, table in enumerate(snapshots):
         todo = scan_since(table, "order_id", state.read_cursor(spark, cursors, "orders"))
-        publish(envelope.encode(todo, "order_id", ORDER_SCHEMA_ID, columns=o.columns), "postgres.orders",
-                root=topics, batch_id=batch_id)
-        state.advance_cursor(spark, cursors, "orders", todo, "id_num")
-    msgs = topic_source(spark, "postgres.orders", root=topics)
-    rows, _ = landing.decode_master(msgs, "orders")
+        publish(envelope.encode(todo, "order_id", ORDER_SCHEMA_ID, columns=o.columns), topic, root=topics, batch_id=batch_id)
+        sent = topic_source(spark, topic, root=topics).filter(F.col("batch_id") == batch_id)
+        state.advance_cursor(spark, cursors, "orders", sent.select(fc.id_number("key").alias("id_num")), "id_num")
+    rows, _ = landing.decode_master(topic_source(spark, topic, root=topics), "orders")
     return rows.select("order_id", "batch_id")
 
 
+@query("load_orders_job")
+def q_load_orders_job(spark, d):
+    """The CSV load job run three times.  The second file
+    has changed rows, a key twice, orphans, a surplus column, an all-blank row
+    and a row without key; the third run finds no changed file."""
+    root = work_path(spark, "load", fresh=True)
+    num = fc.id_number("order_id")
+    raw = dt.raw_orders(spark, d)
+    users = dt.users(spark, d)
+    first = raw.filter(num % 2 == 0)
+    first.coalesce(1).write.option("header", True).csv(f"{root}/in/1")
+    load.load_table(spark, f"{root}/in", "orders", f"{root}/orders", f"{root}/marks", f"{root}/rejects", users=users)
+    extra = F.lit("surplus").alias("note")
+    second = raw.filter(num % 4 == 0).withColumn("total", F.lit("1.25")).select("*", extra, F.lit(0).alias("o"))
+    again = raw.filter(num % 12 == 0).withColumn("total", F.lit("2.50")).select("*", extra, F.lit(1).alias("o"))
+    orphan = raw.filter(num % 10 == 0).withColumn("order_id", F.concat(F.lit("o9"), num.cast("string"))).withColumn("user_id", F.lit("u-none")).select("*", extra, F.lit(2).alias("o"))
+    blank = raw.limit(1).select(*[F.lit(None).cast("string").alias(c) for c in raw.columns], F.lit(None).cast("string").alias("note"), F.lit(3).alias("o"))
+    keyless = raw.filter(num % 14 == 0).withColumn("order_id", F.lit(None).cast("string")).select("*", extra, F.lit(4).alias("o"))
+    parts = second.unionByName(again).unionByName(orphan).unionByName(blank).unionByName(keyless)
+    parts.repartition(1).sortWithinPartitions("o").drop("o").write.option("header", True).csv(f"{root}/in/2")
+    for _ in range(2):
+        load.load_table(spark, f"{root}/in", "orders", f"{root}/orders", f"{root}/marks", f"{root}/rejects", users=users)
+    return tables.read_version(spark, f"{root}/orders")
+
+
 @query("export_changes")
 def q_export_changes(spark, d):
     """Q5 fix: products stored at merge version 0, the price feed upserted

@@ -46,6 +46,24 @@ def sales_daily_pairs(orders: DataFrame) -> DataFrame:
     return done.select(F.to_date("created_at").alias("report_date"), "user_id").distinct()
 
 
+def sales_deltas(orders: DataFrame) -> DataFrame:
+    """Additive part of the sales report: completed orders and revenue per day."""
+    done = orders.filter(F.col("status") == "completed")
+    return done.groupBy(F.to_date("created_at").alias("report_date")).agg(
+        F.count(F.lit(1)).alias("order_count"), F.sum("total").alias("total_revenue"))
+
+
+def sales_from_parts(sums: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The sales report from summed deltas and from (day, user) pairs, which
+    may repeat."""
+    totals = sums.groupBy("report_date").agg(F.sum("order_count").cast("bigint").alias("order_count"),
+                                             F.sum("total_revenue").cast("double").alias("total_revenue"))
+    return totals.join(count_pairs(pairs.distinct()).withColumnRenamed("report_date", "_day"),
+                       F.col("report_date").eqNullSafe(F.col("_day")), "left").select(
+        "report_date", "order_count", "total_revenue",
+        F.coalesce("purchasing_users", F.lit(0)).cast("bigint").alias("purchasing_users"))
+
+
 def count_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("report_date").agg(F.count(F.lit(1)).alias("purchasing_users"))
 
@@ -129,7 +147,7 @@ def with_funnel_rates(counts: DataFrame) -> DataFrame:
     return counts.select("*", *[rate(a, b).alias(name) for name, a, b in FUNNEL_RATES])
 
 
-def behavior_funnel_daily(events: DataFrame) -> DataFrame:
+def behavior_funnel_daily(events: DataFrame, ordered: bool = True) -> DataFrame:
     """Daily funnel: five counts in one pass over the event table + 4 rates.
 
     ``events`` is the flat event table (all types, ``event_type`` column,
@@ -141,21 +159,20 @@ def behavior_funnel_daily(events: DataFrame) -> DataFrame:
     counts = (ev.groupBy(F.to_date("timestamp").alias("report_date"))
               .agg(*[F.count_if(flags[c]).alias(c) for c in FUNNEL_COUNTS]))
     # Sorted by day (one row per day: a bounded final sort)
-    return with_funnel_rates(counts).orderBy("report_date")
+    out = with_funnel_rates(counts)
+    return out.orderBy("report_date") if ordered else out
 
 
-def funnel_branches(events: DataFrame) -> list[DataFrame]:
-    """The additive form: one delta frame per event table, zeros elsewhere."""
-    out = []
+def funnel_deltas(events: DataFrame) -> DataFrame:
+    """The additive form: the delta rows of the five event tables (each with
+    its own measure, zeros elsewhere), from one pass over the events."""
     flags = _funnel_flags()
-    for measure in FUNNEL_COUNTS:
-        branch = (events.filter(flags[measure])
-                  .groupBy(F.to_date("timestamp").alias("report_date"))
-                  .agg(F.count(F.lit(1)).alias(measure)))
-        out.append(branch.select("report_date",
-                                 *[(F.col(c) if c == measure else F.lit(0).cast("bigint")).alias(c)
-                                   for c in FUNNEL_COUNTS]))
-    return out
+    counts = events.groupBy(F.to_date("timestamp").alias("report_date")).agg(
+        *[F.count_if(flags[c]).alias(c) for c in FUNNEL_COUNTS])
+    branch = F.explode(F.array(*[F.struct(*[(F.col(c) if c == m else F.lit(0).cast("bigint")).alias(c) for c in FUNNEL_COUNTS])
+                                 for m in FUNNEL_COUNTS]))
+    return counts.select("report_date", branch.alias("d")).select("report_date", "d.*") \
+        .filter(F.greatest(*FUNNEL_COUNTS) > 0)
 
 
 def funnel_from_deltas(deltas: DataFrame) -> DataFrame:

@@ -189,21 +189,7 @@ VALID_EVENT = T.StructType([
     ]), False),
 ])
 
-REJECT = T.StructType([
-    T.StructField("source_file", T.StringType(), True),
-    T.StructField("line", T.LongType(), True),
-    T.StructField("raw", T.StringType(), True),
-    T.StructField("reason", T.StringType(), True),
-])
-
-# Report tables.
-SALES_DAILY = T.StructType([
-    T.StructField("report_date", T.DateType(), True),
-    T.StructField("order_count", T.LongType(), False),
-    T.StructField("total_revenue", T.DoubleType(), True),
-    T.StructField("purchasing_users", T.LongType(), False),
-])
-
+# Columns of the report tables, which must equal the source system's.
 FUNNEL_COUNTS = ["searches", "product_views", "add_to_cart_events", "checkout_starts", "purchases"]
 FUNNEL_RATES = [  # (name, numerator, denominator)
     ("view_to_cart_rate", "add_to_cart_events", "product_views"),

@@ -28,30 +28,31 @@ CURSOR = T.StructType([
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    return read_appended(spark, path, LEDGER)
+    return read_appended(spark, path, LEDGER).select(*[f.name for f in LEDGER.fields])
 
 
-def ledger_rows(inserted: DataFrame, status: str = "success") -> DataFrame:
-    """One ledger row per source file with the rows stored from it."""
-    return (inserted.groupBy(F.col("source_file").alias("file_name"))
-            .agg(F.count(F.lit(1)).alias("records_inserted"))
+def ledger_rows(read: DataFrame, inserted: DataFrame, status: str = "success") -> DataFrame:
+    """One ledger row per file that was read, with the rows stored from it
+    (0 for a file without any, Q16).  Both frames have ``source_file``."""
+    seen = read.select("source_file", F.lit(0).alias("_n"))
+    stored = inserted.select("source_file", F.lit(1).alias("_n"))
+    return (seen.unionAll(stored).groupBy(F.col("source_file").alias("file_name"))
+            .agg(F.sum("_n").cast("bigint").alias("records_inserted"))
             .select("file_name", F.current_timestamp().alias("processed_at"), F.lit(status).alias("status"),
                     "records_inserted"))
 
 
-def record_files(rows: DataFrame, path: str) -> None:
-    append(rows.select(*[f.name for f in LEDGER.fields]), path)
-
-
 def read_cursor(spark: SparkSession, path: str, name: str) -> Column:
     """Latest value of cursor ``name`` as a scalar Column (NULL if unset)."""
     cur = read_appended(spark, path, CURSOR).filter(F.col("name") == name)
-    return cur.agg(F.max_by("value", "updated_at").alias("v")).scalar()
+    return cur.agg(F.max("value").alias("v")).scalar()  # cursors only move forward
 
 
 def advance_cursor(spark: SparkSession, path: str, name: str, published: DataFrame, column: str) -> None:
     """K3: store max(column) of what was published, after the sink committed
-    (at-least-once: a crash before this line re-publishes, consumers dedupe)."""
+    (at-least-once: a crash before this line re-publishes, consumers dedupe).
+    ``published`` is read back from the sink, not scanned anew from the source,
+    where rows may have come in between."""
     row = published.agg(F.max(column).alias("value")).filter(F.col("value").isNotNull())
     append(row.select(F.lit(name).alias("name"), F.col("value").cast("bigint"),
                       F.current_timestamp().alias("updated_at")), path)

@@ -11,20 +11,29 @@ from shopflow.functions.columns import id_number
 
 
 def scan_since(df: DataFrame, pk: str, last: Column | int | None, numeric_suffix: bool = True) -> DataFrame:
-    """Rows whose key is after ``last``; NULL/None cursor -> every row.
+    """Rows whose key is after ``last``; NULL/None cursor -> every row with a
+    usable key (the others are in ``cursor_rejects``, on every run).
 
     ``numeric_suffix``: keys like ``u123`` compare by their number (so u10
     follows u9); the number is exposed as ``id_num``.  Store ``id_num``
     physically (and cluster on it) to let Parquet statistics skip row groups.
     """
     num = id_number(pk) if numeric_suffix else F.col(pk)
-    out = df.withColumn("id_num", num)
+    out = df.withColumn("id_num", num).filter("id_num is not null")
     if last is None:
         return out
     last_col = last if isinstance(last, Column) else F.lit(last)
     return out.filter((F.col("id_num") > last_col) | last_col.isNull())
 
 
+def cursor_rejects(df: DataFrame, pk: str) -> DataFrame:
+    """Rows that a numeric cursor can't place: their key has no number.  Such
+    rows are in no export (the comparison above is never true for them), so
+    they are reported instead of being dropped by the scan."""
+    return df.filter(id_number(pk).isNull()).withColumn(
+        "reason", F.when(F.col(pk).isNull(), F.lit("missing key")).otherwise(F.lit("key without a number")))
+
+
 def scan_changes(df: DataFrame, last_version: Column | int | None, version: str = "_version") -> DataFrame:
     """Rows inserted or updated by a merge after ``last_version`` (see
     ``operators.merge.upsert(version=...)``): re-exports changed rows whose

@@ -38,37 +38,8 @@ EVENT_TYPE_MAP = {"view": "page_view", "signup": "product_search", "click": "add
 GOLD_FROM, SILVER_FROM = 6000.0, 2000.0
 
 
-# Row key of each fact / dimension table (used to spread small scans).
-TABLE_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "events": ["event_id"],
-              "customer": ["c_custkey"], "part": ["p_partkey"]}
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    keys = TABLE_KEYS.get(name)
-    return spread(df, keys) if keys else df
-
-
-def spread(df: DataFrame, keys: list[str], min_bytes: int = 1 << 20) -> DataFrame:
-    """Hash-repartition a scan that yields fewer partitions than there are
-    cores (e.g. one unsplittable row group) when it is big enough to matter.
-
-    On a cluster input scans already have thousands of splits and this is a
-    no-op; locally it turns single-task stages into parallel ones.  Hashing
-    on the row key keeps it deterministic under task retries; filters and
-    column pruning still reach the Parquet scan below it.
-    """
-    from shopflow.operators.merge import plan_bytes
-    size = plan_bytes(df)
-    if size is None or size < min_bytes:
-        return df
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave the scan as is
-        return df
-    return df.repartition(cores, *keys)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def prefixed(prefix: str, col: str) -> Column:
@@ -90,8 +61,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     bal = F.col("c_acctbal")
     tier = (F.when(bal >= GOLD_FROM, "Gold").when(bal >= SILVER_FROM, "Silver")
             .when(bal >= 0, "Bronze"))
-    # nation is the fixed 25-row TPC-H dimension: broadcasting it is bounded.
-    return (customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey, "left")
+    return (customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
             .select(prefixed("u", "c_custkey").alias("user_id"),
                     F.col("c_name").alias("name"),
                     F.concat(F.lit("user"), F.col("c_custkey").cast("string"),
@@ -116,7 +86,8 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders(spark: SparkSession, sf_dir: str, extra: list[Column] = ()) -> DataFrame:
+    """Orders; ``extra`` columns of the source rows are passed through."""
     o = read(spark, sf_dir, "orders")
     return o.select(
         prefixed("o", "o_orderkey").alias("order_id"),
@@ -125,6 +96,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_totalprice").cast("decimal(10,2)").alias("total"),
         F.when(F.col("o_orderstatus") == "F", F.lit("completed")).alias("status"),
         lookup(PRIORITY_PAYMENT, F.col("o_orderpriority")).alias("payment_method"),
+        *extra,
     )
 
 
@@ -212,7 +184,7 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     tier = tier.otherwise("platinum")
     signup = F.date_format(F.date_add(F.lit("2020-01-01").cast("date"),
                                       F.pmod("c_custkey", F.lit(1461)).cast("int")), "yyyy-MM-dd HH:mm:ss")
-    return (c.join(F.broadcast(nation), c.c_nationkey == nation.n_nationkey, "left")
+    return (c.join(nation, c.c_nationkey == nation.n_nationkey, "left")
             .select(prefixed("u", "c_custkey").alias(" User_ID "),
                     F.col("c_name").alias("Name"),
                     F.when((bal >= 0) & (bal < 100), F.lit(None).cast("string"))
@@ -345,3 +317,30 @@ def raw_cart_view_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.selectExpr(f"{line} AS value", "'lineitem_carts.json' AS source_file",
                          "'carts' AS _file", "CAST(0 AS BIGINT) AS _block",
                          "l_orderkey * 100 + l_linenumber AS _row")
+
+
+def raw_more_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines of the four event types that the events table lacks, one per
+    order, by order number mod 4: remove_from_cart, wishlist_add,
+    payment_attempt, review_submit.  Failure modes by n = order number div 4:
+    quantity missing when n % 7 = 0; product_id null when n % 5 = 0; success
+    "maybe" when n % 6 = 0, as text "yes" when n % 6 = 1; rating "x" when
+    n % 8 = 0, and as text " 4 " when n % 8 = 1.
+    """
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("timestamp").alias("ts"),
+                                             F.floor(F.col("o_orderkey") / 4).cast("bigint").alias("n"))
+    payload = ("CASE o_orderkey % 4 "
+               "WHEN 0 THEN concat('\"event_type\": \"remove_from_cart\", \"product_id\": \"p', n, '\"', "
+               "CASE WHEN n % 7 != 0 THEN concat(', \"quantity\": ', 1 + n % 3) ELSE '' END) "
+               "WHEN 1 THEN concat('\"event_type\": \"wishlist_add\", \"product_id\": ', CASE WHEN n % 5 = 0 THEN 'null' ELSE concat('\"p', n, '\"') END, "
+               "CASE WHEN n % 2 = 0 THEN ', \"wishlist_name\": \"gifts\"' ELSE '' END) "
+               "WHEN 2 THEN concat('\"event_type\": \"payment_attempt\", \"payment_type\": \"card\", \"success\": ', "
+               "CASE n % 6 WHEN 0 THEN '\"maybe\"' WHEN 1 THEN '\"yes\"' WHEN 2 THEN '0' ELSE 'false' END, "
+               "CASE WHEN n % 3 = 0 THEN ', \"error_code\": \"E1\"' ELSE '' END) "
+               "ELSE concat('\"event_type\": \"review_submit\", \"product_id\": \"p', n, '\", \"rating\": ', "
+               "CASE n % 8 WHEN 0 THEN '\"x\"' WHEN 1 THEN '\" 4 \"' ELSE CAST(1 + n % 5 AS STRING) END, "
+               "CASE WHEN n % 2 = 0 THEN concat(', \"text_length\": ', n % 100) ELSE '' END) END")
+    line = ("concat('{\"timestamp\": \"', date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\"), 'Z\", \"user_id\": \"u', o_custkey, "
+            f"'\", \"device\": \"mobile\", \"session_id\": \"s', o_orderkey, '\", ', {payload}, '}}')")
+    return o.selectExpr(f"{line} AS value", "'more_events.json' AS source_file", "'more' AS _file",
+                        "CAST(0 AS BIGINT) AS _block", "o_orderkey AS _row")

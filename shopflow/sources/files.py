@@ -10,6 +10,7 @@ and "last" mean for the keyed merges.
 
 from __future__ import annotations
 
+import csv
 import re
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,29 +29,51 @@ def position() -> "F.Column":
                     F.monotonically_increasing_id().alias("row"))
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Header names of a CSV (first line of the first file: metadata only)."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+def csv_headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Header names -> the files that have them.  Only the first line of each
+    file is read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(path).inputFiles()):
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        stream = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(p.getFileSystem(conf).open(p), "UTF-8"))
+        line = stream.readLine()
+        stream.close()
+        if line is not None:
+            groups.setdefault(tuple(next(csv.reader([line.lstrip("\ufeff")]), [])), []).append(file)
+    return groups
 
 
-def scan_csv(spark: SparkSession, path: str, header: list[str] | None = None,
-             multiline: bool = False) -> tuple[DataFrame, DataFrame]:
+def scan_csv(spark: SparkSession, path: str | list[str], header: list[str] | None = None,
+             multiline: bool = True) -> tuple[DataFrame, DataFrame]:
     """Read header CSV as all-string columns -> (rows, rejects).
 
-    Lines with more fields than the header are rejected ("too many fields");
-    lines with fewer are padded with NULL.  The reader's missing-value tokens
-    (empty, NA, NaN, null, ...) become NULL.  Column names are normalised
-    (lower-cased, stripped).  ``multiline`` allows quoted newlines but makes
-    each file a single task; leave it off for large inputs.
+    Each file is read with its own header; columns that only some files have
+    are NULL in the others.  Lines with more fields than the header are
+    rejected ("too many fields"); lines with fewer are padded with NULL.  The
+    reader's missing-value tokens (empty, NA, NaN, null, ...) become NULL.
+    Column names are normalised (lower-cased, stripped).  Quoted fields may
+    hold line ends; ``multiline=False`` forbids that and lets large files be
+    split.
     """
-    header = header if header is not None else csv_header(spark, path)
-    names = [h.lower().strip() for h in header]
+    groups = {tuple(header): [path] if isinstance(path, str) else path} if header is not None else csv_headers(spark, path)
+    rows, rejects = None, None
+    for names, paths in groups.items():
+        good, bad = _scan_group(spark, list(paths), [h.lower().strip() for h in names], multiline)
+        rows = good if rows is None else rows.unionByName(good, allowMissingColumns=True)
+        rejects = bad if rejects is None else rejects.unionByName(bad)
+    if rows is None:
+        raise FileNotFoundError(f"no CSV file with a header under {path}")
+    return rows, rejects
+
+
+def _scan_group(spark: SparkSession, paths: list[str], names: list[str], multiline: bool) -> tuple[DataFrame, DataFrame]:
     schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(names))]
                           + [T.StructField(EXTRA, T.StringType(), True)])
     raw = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
-           .option("mode", "PERMISSIVE").option("multiLine", multiline)
+           .option("mode", "PERMISSIVE").option("multiLine", multiline).option("escape", '"')
            .option("nullValue", "\u0000").option("emptyValue", "")
-           .csv(path))
+           .csv(paths))
     cols = [csv_null(F.col(f"_c{i}")).alias(n) for i, n in enumerate(names)]
     scanned = raw.select(*cols, F.col(EXTRA), F.col("_metadata.file_name").alias("source_file"),
                          position().alias("_pos"))
@@ -69,8 +92,8 @@ def scan_jsonl(spark: SparkSession, path: str, path_glob: str | None = None) ->
     ``operators.events.validate_events``.  Line numbers (for reject reports)
     are computed only for rejected rows, see ``line_numbers``.
     """
-    # An unreadable file is skipped (and can be found by listing), the
-    # other files go on
+    # An unreadable file is skipped from where it breaks, the other files
+    # go on; incomplete_files() reports it
     reader = spark.read.format("text").option("ignoreCorruptFiles", "true")
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
@@ -83,10 +106,26 @@ def text_lines(lines: DataFrame, with_row: bool = True) -> DataFrame:
     and add the row id per micro-batch (``add_row_id``)."""
     out = lines.select("value", F.col("_metadata.file_name").alias("source_file"),
                        F.col("_metadata.file_path").alias("_file"),
-                       F.col("_metadata.file_block_start").alias("_block"))
+                       F.col("_metadata.file_block_start").alias("_block"),
+                       F.col("_metadata.file_size").alias("_size"))
     return add_row_id(out) if with_row else out
 
 
+def incomplete_files(lines: DataFrame) -> DataFrame:
+    """Files of a scan whose lines do not add up to the file's size: the
+    reader skipped the rest.  ``lines`` is the full scan, blank lines included.
+    Lines may end in LF or CRLF and the last one may lack its end; the size of
+    a compressed file says nothing, so such files are not judged.  A file that
+    gave no line at all is one that the ledger lacks (``new_files``)."""
+    seen = (lines.groupBy("_file", "source_file")
+            .agg(F.max("_size").alias("size"), F.count(F.lit(1)).alias("n_lines"),
+                 F.sum(F.octet_length("value") + 1).cast("bigint").alias("bytes_read")))
+    whole = F.col("size").isin(F.col("bytes_read"), F.col("bytes_read") - 1, F.col("bytes_read") + F.col("n_lines"),
+                               F.col("bytes_read") + F.col("n_lines") - 2, F.col("bytes_read") + F.col("n_lines") - 1)
+    return (seen.filter(~F.lower("_file").rlike(r"\.(gz|bz2|zst|lz4|snappy|deflate)$") & ~whole)
+            .select("source_file", "size", "bytes_read"))
+
+
 def add_row_id(lines: DataFrame) -> DataFrame:
     """Row id in scan order (unique; increasing within a file block)."""
     return lines.withColumn("_row", F.monotonically_increasing_id())
@@ -145,6 +184,7 @@ def scan_day(spark: SparkSession, folder: str, ds: str, prefix: str = "sessions_
                                T.StructField("source_file", T.StringType()),
                                T.StructField("_file", T.StringType()),
                                T.StructField("_block", T.LongType()),
+                               T.StructField("_size", T.LongType()),
                                T.StructField("_row", T.LongType(), False)])
         return empty_like(spark, schema)
     return text_lines(spark.read.format("text").load(pattern))
@@ -156,7 +196,7 @@ def file_listing(spark: SparkSession, path: str, path_glob: str | None = None) -
     Read through the binary-file source with the content column pruned, so the
     listing is distributed and no file body is read.
     """
-    reader = spark.read.format("binaryFile")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     df = reader.load(path)
@@ -170,13 +210,13 @@ def new_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
     return listing.join(ledger.select("file_name"), "file_name", "left_anti")
 
 
-def changed_files(listing: DataFrame, marks: DataFrame) -> DataFrame:
+def changed_files(listing: DataFrame, marks: DataFrame, key: str = "file_name") -> DataFrame:
     """Files whose modification time is newer than the stored mark (A5).
 
-    ``marks``: (file_name, modified) of the last successful load; a file with
+    ``marks``: (key, modified) of the last successful load; a file with
     no mark counts as changed.  Missing files simply do not appear.
     """
-    m = marks.select("file_name", F.col("modified").alias("_mark"))
-    return (listing.join(m, "file_name", "left")
+    m = marks.select(key, F.col("modified").alias("_mark"))
+    return (listing.join(m, key, "left")
             .filter(F.col("_mark").isNull() | (F.col("modified") > F.col("_mark")))
             .drop("_mark"))

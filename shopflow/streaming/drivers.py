@@ -1,4 +1,4 @@
-"""Structured Streaming drivers.
+"""Structured Streaming drivers.
 
 Every driver is a ``readStream`` -> ``foreachBatch`` query with a checkpoint
 in the shared folder, run with ``trigger(availableNow=True)`` for scheduled
@@ -18,23 +18,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shopflow.operators import events as ev_ops
 from shopflow.operators.merge import insert_if_absent, latest_by_key
 from shopflow.plans import landing, reports
-from shopflow.schemas import FUNNEL_COUNTS
+from shopflow.schemas import DEVICE_COUNTS, FUNNEL_COUNTS
 from shopflow.sinks import state
 from shopflow.sinks.tables import read_appended
-from shopflow.sources.files import add_row_id, text_lines
+from shopflow.sources.files import add_row_id, incomplete_files, text_lines
 from shopflow.sources.topics import topic_source
 
+#: Files that one micro-batch takes, unless the caller says otherwise: the
+#: first catch-up run must not take a whole backlog as one batch.
+FILES_PER_TRIGGER = 1000
+
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
-    """Idempotent batch write: (re)places the ``batch_id`` partition only."""
+    """Idempotent batch write: (re)places the ``batch_id`` partitions only.
+
+    ``partition_by`` columns come outermost, so readers prune them before they
+    meet the batches; rows are regrouped by them first (in pieces that AQE
+    sizes), so a batch writes few files per partition.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id", *partition_by).parquet(path))
+     .partitionBy(*partition_by, "batch_id").parquet(path))
+
+
+def _started(stream: DataFrame, handle, checkpoint: str, available_now: bool) -> StreamingQuery:
+    w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    return w.start()
 
 
 def delivery_log(query: StreamingQuery) -> list[dict]:
@@ -55,24 +73,24 @@ def run(query_builder: Callable[[], StreamingQuery]) -> StreamingQuery:
 # -- A3/K5/B2/B3/B4: session files -> event store --------------------------------------
 
 def session_file_stream(spark: SparkSession, folder: str, glob: str = "*.json",
-                        max_files_per_trigger: int | None = None) -> DataFrame:
+                        max_files_per_trigger: int = FILES_PER_TRIGGER) -> DataFrame:
     """New session files only: the file source remembers processed files in
     its checkpoint (a changed file under a known name is not re-read)."""
-    r = spark.readStream.format("text").option("pathGlobFilter", glob).option("ignoreCorruptFiles", "true")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    r = (spark.readStream.format("text").option("pathGlobFilter", glob).option("ignoreCorruptFiles", "true")
+         .option("maxFilesPerTrigger", max_files_per_trigger))
     return text_lines(r.load(folder), with_row=False)
 
 
 def ingest_sessions(spark: SparkSession, folder: str, store: str, ledger: str, checkpoint: str,
-                    glob: str = "*.json", max_files_per_trigger: int | None = None,
+                    glob: str = "*.json", max_files_per_trigger: int = FILES_PER_TRIGGER,
                     available_now: bool = True) -> StreamingQuery:
     """Validate new session files and store their events, first row wins per
     (event_type, timestamp, session_id) against everything already stored.
 
     The store is partitioned by ``event_type`` (B3), ``event_date`` and ``batch_id``; the
-    ledger gets one row per file with the rows stored from it (B4).  Rejects
-    go to ``<store>_rejects`` with file and line.
+    ledger gets one row per file with the rows stored from it (B4), by batch as well.
+    Rejects go to ``<store>_rejects`` with file and line; files that could not be read to
+    their end are skipped from there on and listed in ``<store>_incomplete`` (N2).
     """
     # event_date is derived from timestamp, so adding it to the key changes
     # nothing semantically; as a partition column it lets each batch read only
@@ -80,34 +98,31 @@ def ingest_sessions(spark: SparkSession, folder: str, store: str, ledger: str, c
     keys = ["event_type", "event_date", "timestamp", "session_id"]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # read the files of the micro-batch once (several actions follow);
-        # the batch is bounded by maxFilesPerTrigger
-        lines = add_row_id(batch).persist()
-        checked = ev_ops.check_lines(lines).persist()  # validated once, split twice
-        valid, rejects = ev_ops.split_checked(checked, lines)
-        valid = valid.drop("_seq").withColumn("event_date", F.to_date("timestamp"))
-        from pyspark.sql import types as T
-        schema = T.StructType(valid.schema.fields + [T.StructField("batch_id", T.LongType())])
-        stored = read_appended(spark, store, schema)
-        # rows of this batch id itself are being replaced, not deduplicated against
-        stored = stored.filter(F.col("batch_id") != batch_id).select(*keys)
-        # partition pruning: the distinct days of the batch are partition
-        # values (metadata bounded by the days in one batch), not data
-        days = [r[0] for r in valid.select("event_date").distinct().collect()]
-        stored = stored.filter(F.col("event_date").isin(days))
-        new = insert_if_absent(stored, valid, keys, ev_ops.event_order())
-        new = new.persist()
-        write_batch(new, store, batch_id, ("event_type", "event_date"))
-        write_batch(rejects.drop("_seq"), f"{store}_rejects", batch_id)
-        state.record_files(state.ledger_rows(new.select("ingestion.source_file")), ledger)
-        new.unpersist()
-        checked.unpersist()
-        lines.unpersist()
-
-    stream = session_file_stream(spark, folder, glob, max_files_per_trigger)
-    w = stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
-    return w.start()
+        ingest_batch(spark, batch, batch_id, store, ledger, keys)
+
+    return _started(session_file_stream(spark, folder, glob, max_files_per_trigger), handle, checkpoint, available_now)
+
+
+def ingest_batch(spark: SparkSession, batch: DataFrame, batch_id: int, store: str, ledger: str, keys: list[str]) -> None:
+    """One micro-batch of ``ingest_sessions``; running it again replaces its own output."""
+    # read the files of the micro-batch once (several actions follow);
+    # the batch is bounded by maxFilesPerTrigger
+    lines = add_row_id(batch).persist()
+    checked = ev_ops.check_lines(lines).persist()  # validated once, split twice
+    valid, rejects = ev_ops.split_checked(checked, lines)
+    valid = valid.drop("_seq").withColumn("event_date", F.to_date("timestamp"))
+    schema = T.StructType(valid.schema.fields + [T.StructField("batch_id", T.LongType())])
+    # rows of this batch id itself are being replaced, not deduplicated against
+    stored = read_appended(spark, store, schema).filter(F.col("batch_id") != batch_id).select(*keys)
+    # only the stored days that the batch touches
+    stored = stored.join(valid.select("event_date").distinct(), "event_date", "left_semi")
+    new = insert_if_absent(stored, valid, keys, ev_ops.event_order()).persist()
+    write_batch(new, store, batch_id, ("event_type", "event_date"))
+    write_batch(rejects.drop("_seq"), f"{store}_rejects", batch_id)
+    write_batch(incomplete_files(lines), f"{store}_incomplete", batch_id)
+    write_batch(state.ledger_rows(lines, new.select("ingestion.source_file")), ledger, batch_id)
+    for df in (new, checked, lines):
+        df.unpersist()
 
 
 def read_store(spark: SparkSession, store: str) -> DataFrame:
@@ -116,24 +131,21 @@ def read_store(spark: SparkSession, store: str) -> DataFrame:
 
 # -- K1/K2/B9: topic -> landing log ---------------------------------------------------
 
-def land_stream(spark: SparkSession, topic: str, kind: str, log: str, checkpoint: str, root: str,
-                name: str, max_files_per_trigger: int | None = None,
-                available_now: bool = True) -> StreamingQuery:
+def land_stream(spark: SparkSession, topic: str, kind: str, log: str, checkpoint: str, root: str | None,
+                name: str, max_files_per_trigger: int = FILES_PER_TRIGGER,
+                available_now: bool = True, backend: str = "files", servers: str | None = None) -> StreamingQuery:
     """Decode every micro-batch of a topic into a landing log: ``kind`` is
     ``"master"`` (``name`` = users / products / orders) or ``"event"``
-    (``name`` = the event type)."""
+    (``name`` = the event type).  Rejected messages go to ``<log>_rejects``."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if kind == "master":
-            rows, _ = landing.decode_master(batch, name)
-        else:
-            rows = landing.decode_events(batch, name)
+        rows, rejects = landing.decode_master(batch, name) if kind == "master" else landing.decode_events(batch, name)
         write_batch(rows.withColumnRenamed("batch_id", "delivery_batch"), log, batch_id)
+        write_batch(rejects.withColumnRenamed("batch_id", "delivery_batch"), f"{log}_rejects", batch_id)
 
-    src = topic_source(spark, topic, root=root, stream=True, max_files_per_trigger=max_files_per_trigger)
-    w = src.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
-    return w.start()
+    src = topic_source(spark, topic, backend=backend, root=root, stream=True, servers=servers,
+                       max_files_per_trigger=max_files_per_trigger)
+    return _started(src, handle, checkpoint, available_now)
 
 
 def read_landing(spark: SparkSession, log: str, keys: list[str]) -> DataFrame:
@@ -149,70 +161,123 @@ EVENT_KEYS = ["user_id", "session_id", "timestamp"]
 
 # -- K4/B8/B10: additive reports ---------------------------------------------------------
 
-def funnel_stream(spark: SparkSession, events: DataFrame, deltas: str, checkpoint: str,
-                  available_now: bool = True) -> StreamingQuery:
-    """Funnel report as a summing table: each micro-batch appends its per-day
-    delta rows (five branches, as the source's views do); the dashboard sums
-    them (``read_funnel``)."""
+def delta_stream(rows: DataFrame, parts: dict[str, Callable[[DataFrame], DataFrame]], path: str, checkpoint: str,
+                 available_now: bool = True) -> StreamingQuery:
+    """Additive reports: each micro-batch writes, per part, its own delta rows
+    to ``<path>/<part>``; the dashboards sum them (``read_deltas``)."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # five branches read it; bounded by the trigger size
-        parts = reports.funnel_branches(batch)
-        delta = parts[0]
-        for p in parts[1:]:
-            delta = delta.unionByName(p)
-        merged = delta.groupBy("report_date").agg(*[F.sum(c).cast("bigint").alias(c) for c in FUNNEL_COUNTS])
-        write_batch(merged, deltas, batch_id)
+        if len(parts) > 1:
+            batch = batch.persist()
+        for name, delta in parts.items():
+            write_batch(delta(batch), f"{path}/{name}", batch_id)
         batch.unpersist()
 
-    w = events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
-    return w.start()
+    return _started(rows, handle, checkpoint, available_now)
+
+
+def read_deltas(spark: SparkSession, path: str, part: str = "sums") -> DataFrame:
+    return spark.read.parquet(f"{path}/{part}").drop("batch_id")
+
+
+def funnel_stream(spark: SparkSession, events: DataFrame, deltas: str, checkpoint: str,
+                  available_now: bool = True) -> StreamingQuery:
+    """Funnel report as a summing table: each micro-batch appends its delta
+    rows (five branches, as the source's views do) from one pass."""
+    return delta_stream(events, {"sums": reports.funnel_deltas}, deltas, checkpoint, available_now)
+
+
+def sales_stream(spark: SparkSession, orders: DataFrame, deltas: str, checkpoint: str,
+                 available_now: bool = True) -> StreamingQuery:
+    """Daily sales: counts and revenue add up; purchasing users are kept as
+    (day, user) pairs and counted when read, never summed (Q2)."""
+    parts = {"sums": reports.sales_deltas, "pairs": reports.sales_daily_pairs}
+    return delta_stream(orders, parts, deltas, checkpoint, available_now)
+
+
+def read_sales(spark: SparkSession, deltas: str) -> DataFrame:
+    return reports.sales_from_parts(read_deltas(spark, deltas), read_deltas(spark, deltas, "pairs"))
+
+
+def loyalty_stream(spark: SparkSession, users: DataFrame, deltas: str, checkpoint: str,
+                   available_now: bool = True) -> StreamingQuery:
+    parts = {"sums": lambda batch: reports.loyalty_segments(batch, ordered=False)}
+    return delta_stream(users, parts, deltas, checkpoint, available_now)
+
+
+def read_loyalty(spark: SparkSession, deltas: str) -> DataFrame:
+    return read_deltas(spark, deltas).groupBy("location", "loyalty_tier").agg(F.sum("user_count").cast("bigint").alias("user_count"))
+
+
+def device_stream(spark: SparkSession, events: DataFrame, deltas: str, checkpoint: str, full: bool = False,
+                  available_now: bool = True) -> StreamingQuery:
+    parts = {"sums": lambda batch: reports.device_usage_table(batch, full)}
+    return delta_stream(events, parts, deltas, checkpoint, available_now)
+
+
+def read_device(spark: SparkSession, deltas: str) -> DataFrame:
+    return read_deltas(spark, deltas).groupBy("device").agg(*[F.sum(c).cast("bigint").alias(c) for c in DEVICE_COUNTS])
 
 
 def read_funnel(spark: SparkSession, deltas: str) -> DataFrame:
-    d = spark.read.parquet(deltas).drop("batch_id")
+    d = read_deltas(spark, deltas)
     keep = d.filter(F.greatest(*[F.col(c) for c in FUNNEL_COUNTS]) > 0)
     return reports.funnel_from_deltas(keep)
 
 
 # -- D5: stream-static join -------------------------------------------------------------
 
-def top_products_stream(spark: SparkSession, carts: DataFrame, products: DataFrame, deltas: str,
+PENDING = T.StructType([T.StructField("product_id", T.StringType()), T.StructField("total_quantity", T.LongType()),
+                        T.StructField("add_to_cart_count", T.LongType()), T.StructField("batch_id", T.LongType())])
+
+
+def top_products_stream(spark: SparkSession, carts: DataFrame, products: Callable[[], DataFrame], deltas: str,
                         checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Per micro-batch: carts aggregated per product, joined with the product
-    table as it is when the batch runs (a stream-static join), appended as
-    summing-table deltas.  A cart whose product is not known yet is kept
-    aside (``<deltas>_pending``) instead of being lost."""
+    """Per micro-batch: carts aggregated per product, together with what
+    earlier batches left pending, joined with the product table as it is when
+    the batch runs (``products()`` is called per batch), appended as
+    summing-table deltas.  Carts whose product is not known yet are the
+    batch's pending rows (``<deltas>_pending``), taken up by the next batch.
+    A known product may have no attributes at all: the match is marked, not
+    guessed from them."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        before = read_appended(spark, f"{deltas}_pending", PENDING).filter(F.col("batch_id") == batch_id - 1)
         totals = (batch.groupBy("product_id")
                   .agg(F.sum("quantity").cast("bigint").alias("total_quantity"),
-                       F.count(F.lit(1)).alias("add_to_cart_count"))).persist()
-        p = products.select("product_id", "name", "category", "price")
-        joined = totals.join(p, "product_id", "left")
-        known = joined.filter(F.col("name").isNotNull() | F.col("price").isNotNull() |
-                              F.col("category").isNotNull())
-        out = known.select(
+                       F.count(F.lit(1)).alias("add_to_cart_count"))
+                  .unionByName(before.drop("batch_id"))
+                  .groupBy("product_id").agg(F.sum("total_quantity").alias("total_quantity"),
+                                             F.sum("add_to_cart_count").alias("add_to_cart_count")))
+        p = products().select("product_id", "name", "category", "price", F.lit(True).alias("_known"))
+        joined = totals.join(p, "product_id", "left").persist()
+        out = joined.filter("_known").select(
             "product_id", F.col("name").alias("product_name"),
             F.coalesce("category", F.lit("Unknown")).alias("category"), "total_quantity", "add_to_cart_count",
             (F.col("total_quantity").cast("decimal(20,0)") * F.coalesce("price", F.lit(0)))
             .alias("estimated_revenue"))
         write_batch(out, deltas, batch_id)
-        write_batch(totals.join(p.select("product_id"), "product_id", "left_anti"), f"{deltas}_pending", batch_id)
-        totals.unpersist()
+        write_batch(joined.filter(F.col("_known").isNull()).select("product_id", "total_quantity", "add_to_cart_count"),
+                    f"{deltas}_pending", batch_id)
+        joined.unpersist()
 
-    w = carts.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
-    return w.start()
+    return _started(carts, handle, checkpoint, available_now)
 
 
-def read_top_products(spark: SparkSession, deltas: str) -> DataFrame:
+def read_top_products(spark: SparkSession, deltas: str, products: DataFrame | None = None) -> DataFrame:
+    """Summed per (category, product), as the summing table is keyed; the name
+    is that of the last batch, or the current one where ``products`` is given."""
     d = spark.read.parquet(deltas)
-    return (d.groupBy("product_id", "product_name", "category")
-            .agg(F.sum("total_quantity").cast("bigint").alias("total_quantity"),
-                 F.sum("add_to_cart_count").cast("bigint").alias("add_to_cart_count"),
-                 F.sum("estimated_revenue").cast("double").alias("estimated_revenue")))
+    out = (d.groupBy("product_id", "category")
+           .agg(F.max_by("product_name", "batch_id").alias("product_name"),
+                F.sum("total_quantity").cast("bigint").alias("total_quantity"),
+                F.sum("add_to_cart_count").cast("bigint").alias("add_to_cart_count"),
+                F.sum("estimated_revenue").cast("double").alias("estimated_revenue")))
+    if products is not None:
+        now = products.select("product_id", F.col("name").alias("_name"), F.lit(True).alias("_known"))
+        out = out.join(now, "product_id", "left").withColumn(
+            "product_name", F.when(F.col("_known"), F.col("_name")).otherwise(F.col("product_name"))).drop("_name", "_known")
+    return out
 
 
 # -- K6: stateful first-wins dedupe ---------------------------------------------------------
@@ -229,31 +294,36 @@ def dedupe_stream(stream: DataFrame, keys: list[str], event_time: str | None = N
 
 # -- K7/B10 exact: recompute touched dates ------------------------------------------------
 
-def funnel_exact_stream(spark: SparkSession, events: DataFrame, store: str, report: str, checkpoint: str,
-                        available_now: bool = True) -> StreamingQuery:
-    """Exact funnel maintained incrementally: late and re-delivered events
-    are handled, unlike summing deltas.
+def exact_stream(spark: SparkSession, rows: DataFrame, report_of: Callable[[DataFrame], DataFrame], keys: list[str],
+                 store: str, report: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """A per-day report maintained exactly: late and re-delivered rows are
+    handled, unlike summing deltas.
 
-    Per micro-batch: the events are appended to a store partitioned by day
+    Per micro-batch: the rows are appended to a store partitioned by day
     (idempotently, per batch id); the days the batch touches are recomputed
-    from the whole store - a semi-join on the partition column, so dynamic
-    partition pruning reads only those days - and only those report
-    partitions are overwritten (dynamic partition overwrite).
+    from the whole store, where the last delivery of each key counts, and only
+    those report partitions are overwritten (dynamic partition overwrite).
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("event_date", F.to_date("timestamp")).persist()
-        write_batch(rows, store, batch_id, ("event_date",))
-        touched = rows.select("event_date").distinct()
-        hist = spark.read.parquet(store).join(F.broadcast(touched), "event_date", "left_semi")
-        out = reports.behavior_funnel_daily(hist)
+        day = batch.withColumn("event_date", F.to_date("timestamp")).persist()
+        write_batch(day, store, batch_id, ("event_date",))
+        touched = day.select("event_date").distinct()
+        hist = spark.read.parquet(store).join(touched, "event_date", "left_semi")
+        last = latest_by_key(hist, keys, ["batch_id", *(["_pos"] if "_pos" in hist.columns else [])])
+        out = report_of(last)
         (out.withColumn("day", F.col("report_date")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(report))
-        rows.unpersist()
+        day.unpersist()
 
-    w = events.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
-    return w.start()
+    return _started(rows, handle, checkpoint, available_now)
+
+
+def funnel_exact_stream(spark: SparkSession, events: DataFrame, store: str, report: str, checkpoint: str,
+                        available_now: bool = True) -> StreamingQuery:
+    """Exact funnel: one event per (type, user, session, time)."""
+    return exact_stream(spark, events, lambda e: reports.behavior_funnel_daily(e, ordered=False),
+                        ["event_type", "user_id", "session_id", "timestamp"], store, report, checkpoint, available_now)
 
 
 def read_exact_report(spark: SparkSession, report: str) -> DataFrame:

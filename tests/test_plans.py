@@ -31,12 +31,16 @@ def test_latest_by_key_aggregates_partially_before_the_shuffle(spark):
     assert ex and "partial_max_by" in p[ex[0]:]
 
 
-def test_upsert_streams_the_target_when_the_batch_is_small(spark):
-    p = plan(spark, "upsert")
-    # left outer join with the batch as the broadcast (build) side; the
-    # target is never the broadcast side
-    assert "LeftOuter, BuildRight" in p
-    assert "RightOuter, BuildLeft" not in p
+def test_merges_read_each_table_once(spark):
+    for name, scans in (("upsert", 2), ("merge_additive", 1), ("distinct_users_incremental", 1), ("run_summary", 1),
+                        ("insert_if_absent", 2), ("export_changes", 2)):
+        assert plan(spark, name).count("FileScan parquet") == scans, name
+
+
+def test_no_plan_forces_a_broadcast_or_spreads_a_scan(spark):
+    for name in ("sales_daily", "upsert", "insert_if_absent"):
+        p = QUERIES[name](spark, SF["0.01"])._jdf.queryExecution()
+        assert "ResolvedHint" not in p.analyzed().toString() and "REPARTITION_BY_NUM" not in p.executedPlan().toString()
 
 
 def test_funnel_is_one_pass(spark):
