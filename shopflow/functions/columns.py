@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from shopflow.schemas import BLANK_TOKENS, BOOL_FALSE, BOOL_TRUE
 
 # Whitespace as Python's str.strip() sees it (ASCII + Unicode separators).
-_WS = r"[\s\x1c-\x1f\x85\p{Z}]"
+WS = r"[\s\x1c-\x1f\x85\p{Z}]"
 # The same set as characters, from Python's own rule, for a regex-free trim.
 WS_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
@@ -19,9 +19,9 @@ CSV_NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "
                  "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
                  "n/a", "nan", "null"]
 
-_INT_TEXT = r"^" + _WS + r"*[+-]?\d+" + _WS + r"*$"
-_FLOAT_TEXT = (r"^" + _WS + r"*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))"
-               + _WS + r"*$")
+INT_TEXT = r"^" + WS + r"*[+-]?\d+" + WS + r"*$"
+FLOAT_TEXT = (r"^" + WS + r"*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))"
+               + WS + r"*$")
 
 
 def col_(c: Column | str) -> Column:
@@ -71,13 +71,13 @@ def email_clean(c: Column | str) -> Column:
 def int_text(c: Column | str) -> Column:
     """Text of an integer ('  +12 ') -> INT; anything else -> NULL."""
     c = col_(c)
-    return F.when(c.rlike(_INT_TEXT), py_strip(c).try_cast("int"))
+    return F.when(c.rlike(INT_TEXT), py_strip(c).try_cast("int"))
 
 
 def float_text(c: Column | str) -> Column:
     """Text of a float (also inf / infinity) -> DOUBLE; else NULL."""
     c = col_(c)
-    return F.when(c.rlike(_FLOAT_TEXT), py_strip(c).try_cast("double"))
+    return F.when(c.rlike(FLOAT_TEXT), py_strip(c).try_cast("double"))
 
 
 def bool_text(c: Column | str) -> Column:
@@ -107,10 +107,10 @@ def number_text(c: Column | str, dtype: str) -> Column:
 # optional UTC offset or Z; or the basic forms YYYYMMDD and YYYYMMDDTHHMMSS.
 # Spark's own ISO cast reads every extended shape; the regex guard rejects the
 # shapes it would also take but the source rejects (bare '2025', '2025-1-2').
-_ISO_EXT = (r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?)?)?"
+ISO_EXT = (r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}(?::\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?)?)?"
             r"(?:Z|[+-]\d{2}(?::?\d{2})?)?$")
-_ISO_BASIC_DATE = r"^(\d{4})(\d{2})(\d{2})$"
-_ISO_BASIC_TIME = r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})(Z|[+-]\d{2}(?::?\d{2})?)?$"
+ISO_BASIC_DATE = r"^(\d{4})(\d{2})(\d{2})$"
+ISO_BASIC_TIME = r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})(Z|[+-]\d{2}(?::?\d{2})?)?$"
 
 
 def iso_timestamp(c: Column | str) -> Column:
@@ -121,10 +121,10 @@ def iso_timestamp(c: Column | str) -> Column:
     """
     s = F.replace(col_(c), F.lit("Z"), F.lit("+00:00"))
     ext = F.regexp_replace(s, ",", ".")
-    basic = F.regexp_replace(F.regexp_replace(s, _ISO_BASIC_DATE, "$1-$2-$3"),
-                             _ISO_BASIC_TIME, "$1-$2-$3T$4:$5:$6$7")
-    return (F.when(s.rlike(_ISO_EXT), ext.try_cast("timestamp"))
-            .when(s.rlike(_ISO_BASIC_DATE) | s.rlike(_ISO_BASIC_TIME), basic.try_cast("timestamp")))
+    basic = F.regexp_replace(F.regexp_replace(s, ISO_BASIC_DATE, "$1-$2-$3"),
+                             ISO_BASIC_TIME, "$1-$2-$3T$4:$5:$6$7")
+    return (F.when(s.rlike(ISO_EXT), ext.try_cast("timestamp"))
+            .when(s.rlike(ISO_BASIC_DATE) | s.rlike(ISO_BASIC_TIME), basic.try_cast("timestamp")))
 
 
 # Non-ISO shapes a lenient date parser also reads, tried after ISO.

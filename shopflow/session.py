@@ -17,6 +17,8 @@ PINNED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Repeated keys of a JSON object: the last one counts, as in the source system.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # A generated method over 8000 bytes of bytecode is never JIT-compiled by
     # the JVM; past that size whole-stage codegen falls back to per-operator
     # code, which compiles (large rule sets such as event validation).
@@ -71,7 +73,7 @@ def shared_dir(spark: SparkSession) -> str:
             raise RuntimeError(
                 "spark.checkpoint.dir is not set: shopflow needs a shared folder "
                 "for stream checkpoints and written tables")
-        import tempfile
+        import tempfile  # one JVM, one machine: tests only
         root = tempfile.mkdtemp(prefix="shopflow-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

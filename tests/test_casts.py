@@ -52,7 +52,7 @@ def test_scan_since_orders_numerically(spark):
     from shopflow.sources.cursor import scan_since
     df = spark.createDataFrame([("u9",), ("u10",), ("u2",), ("ux",)], "user_id string")
     assert sorted(r["user_id"] for r in scan_since(df, "user_id", 5).collect()) == ["u10", "u9"]
-    assert scan_since(df, "user_id", None).count() == 4
+    assert scan_since(df, "user_id", None).count() == 3  # a key without a number is in cursor_rejects
 
 
 def test_cursor_table_round_trip(spark, tmp_dir):

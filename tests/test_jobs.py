@@ -152,3 +152,12 @@ def test_redelivered_events_count_once(spark, tmp_dir, n):
         drivers.run(lambda s=stream: drivers.funnel_exact_stream(spark, s, f"{tmp_dir}/store", f"{tmp_dir}/report", f"{tmp_dir}/ckpt"))
     got = drivers.read_exact_report(spark, f"{tmp_dir}/report").collect()
     assert [(r["add_to_cart_events"], r["purchases"]) for r in got] == [(1, 1)]
+
+
+def test_lines_with_nan_or_repeated_keys_are_read(spark):
+    from shopflow.operators.events import validate_events
+    base = _line("s1", 1)
+    lines = [base[:-1] + ', "fulfillment_speed": NaN}', base[:-1] + ', "order_id": "last"}', base[:-1] + ', "x": NaN', base[:-1] + ', "note": "is NaN, x"}']
+    valid, rejects = validate_events(_batch(spark, [(v, "a.json") for v in lines]).withColumn("_row", F.lit(0)), with_line_numbers=False)
+    assert sorted((r["event_data"]["order_id"], r["event_data"]["fulfillment_speed"]) for r in valid.collect()) == [("last", None), ("o1", None), ("o1", None)]
+    assert [r["reason"] for r in rejects.collect()] == ["Invalid JSON"]
