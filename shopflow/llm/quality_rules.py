@@ -1,7 +1,8 @@
 """Quality rules: text statistics, and decision lists learned from labelled statistics by sequential covering.
 
-Each rule is a conjunction of thresholds on statistics.  It is grown on two thirds of the labelled rows by FOIL's gain,
-pruned on the rest, and kept if it is precise enough there; the rows that it covers leave, and the next rule is learned.
+Each rule is a conjunction of thresholds on statistics.  From every statistic one is grown on two thirds of the labelled
+rows by FOIL's gain and pruned on the rest, where rejecting clean rows costs most; the best is kept if it is precise
+enough, the rows that it covers leave, and the next rule is learned.
 The list becomes one ordered Spark conditional expression.
 
 Defined cases.  Null, empty or blank text has no words and zero statistics; it fails the base rule (too few words).
@@ -20,11 +21,13 @@ from .common import BYTE_KEYS, IS_SPACE, PLACE_KEYS, mixed, tune, utf8, word_has
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SHARES = ("symbol_share", "dup_line_share", "repeat_share", "mean_word", "upper_share", "digit_share", "comma_stop_share",
-          "mark_share", "mean_line_words", "distinct_share", "short_share", "long_share")
+          "mark_share", "mean_line_words", "lone_share", "short_share", "long_share")
 #: Labelled rows to learn from at most, those of least hash.
 MAX_LABELLED = 8000
 #: A rule stays if so much of what it covers among the pruning rows is of low quality.
 MIN_PRECISION = 0.97
+#: Rows of high quality that a rule rejects weigh so many times as much as those of low quality.
+COST = 20
 MAX_RULES = 12
 MAX_CONDITIONS = 4
 
@@ -37,6 +40,8 @@ def _is(chars: str) -> np.ndarray:
 
 SYMBOL, MARK, STOP, DIGIT = _is("#*$%&|<>"), _is("!?"), _is(",.;:"), _is("0123456789")
 UPPER = _is("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+#: ASCII characters that are no letters or digits: a word of one such character stands alone.
+ODD = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 
 
 def text_stats(col: pa.Array) -> pa.Array:
@@ -82,7 +87,7 @@ def text_stats(col: pa.Array) -> pa.Array:
         key = word_hashes(data, edges[line], stop, BYTE_KEYS) ^ row_key[first]
         n_dup = n_lines - np.bincount(line_row[np.unique(key, return_index=True)[1]], minlength=n)
 
-    distinct = np.unique(hashes ^ row_key, return_index=True)[1]
+    # shares that don't drift with the length of a text: a long one repeats more of its words
     lens = end - start
     safe = lambda a, b: a / np.maximum(b, 1)
     n_symbols, n_repeat = per_row(SYMBOL[data]), np.bincount(row[covered], minlength=n)
@@ -90,7 +95,7 @@ def text_stats(col: pa.Array) -> pa.Array:
     columns |= dict(zip(SHARES, (
         safe(n_symbols, word_chars), safe(n_dup, n_lines), safe(n_repeat, n_words), safe(word_chars, n_words),
         safe(per_row(UPPER[data]), word_chars), safe(per_row(DIGIT[data]), word_chars), safe(per_row(STOP[data]), n_words),
-        safe(per_row(MARK[data]), n_words), safe(n_words, n_lines), safe(np.bincount(row[distinct], minlength=n), n_words),
+        safe(per_row(MARK[data]), n_words), safe(n_words, n_lines), safe(np.bincount(row[(lens == 1) & ODD[data[start]]], minlength=n), n_words),
         safe(np.bincount(row[lens <= 2], minlength=n), n_words), safe(np.bincount(row[lens > 15], minlength=n), n_words)), strict=True))
     return pa.StructArray.from_arrays(
         [pa.array(columns[c].astype(np.int64)) for c in COUNTS] + [pa.array(columns[c].astype(np.float64)) for c in SHARES], COUNTS + SHARES)
@@ -118,39 +123,43 @@ def learn_rules(x: np.ndarray, bad: np.ndarray, names: tuple[str, ...] = SHARES)
             hit &= v >= cut if op == ">=" else v <= cut
         return hit
 
+    def conditions(hit: np.ndarray) -> list[tuple[float, tuple[str, str, float]]]:
+        """FOIL's gain of the best cut of each statistic in each direction."""
+        p0, out = (hit & bad).sum(), []
+        for f, name in enumerate(names):
+            order = np.argsort(x[hit, f], kind="stable")
+            v, y = x[hit, f][order], bad[hit][order]
+            edge = np.flatnonzero(v[1:] > v[:-1])  # a cut between i and i + 1
+            low = np.cumsum(y)[edge]
+            for op, p, k in (("<=", low, edge + 1), (">=", p0 - low, len(v) - edge - 1)):
+                gain = np.where(p > 0, p * (np.log2(np.maximum(p, 1) / k) - np.log2(p0 / hit.sum())), 0)
+                if len(gain) and gain.max() > 1e-9:
+                    i = int(gain.argmax())
+                    out.append((float(gain.max()), (name, op, float((v[edge[i]] + v[edge[i] + 1]) / 2))))
+        return out
+
+    def worth(rule: Rule) -> tuple[float, int, int]:
+        """Clean rows that a rule takes weigh COST times; counted on the rows not grown on."""
+        held = left & ~grow & covers(rule)
+        p, n = int((held & bad).sum()), int((held & ~bad).sum())
+        return p - COST * n, p, n
+
     while len(rules) < MAX_RULES and (left & grow & bad).sum() >= 5:
-        rule: Rule = []
-        hit = left & grow
-        while len(rule) < MAX_CONDITIONS and (hit & ~bad).any():
-            p0, n0 = (hit & bad).sum(), (hit & ~bad).sum()
-            best = (1e-9, None)
-            for f, name in enumerate(names):
-                order = np.argsort(x[hit, f], kind="stable")
-                v, y = x[hit, f][order], bad[hit][order]
-                edge = np.flatnonzero(v[1:] > v[:-1])  # a cut between i and i + 1
-                low = np.cumsum(y)[edge]
-                for op, p, k in (("<=", low, edge + 1), (">=", p0 - low, len(v) - edge - 1)):
-                    gain = np.where(p > 0, p * (np.log2(np.maximum(p, 1) / k) - np.log2(p0 / (p0 + n0))), 0)
-                    if len(gain) and gain.max() > best[0]:
-                        i = int(gain.argmax())
-                        best = (gain.max(), (name, op, float((v[edge[i]] + v[edge[i] + 1]) / 2)))
-            if best[1] is None:
-                break
-            rule.append(best[1])
+        best: tuple = (0.0, 0, [])
+        for _, start in conditions(left & grow):  # grow a rule from each statistic
+            rule: Rule = [start]
             hit = left & grow & covers(rule)
-        # prune: the prefix of the conditions that does best on the rows not grown on
-        worth = []
-        for k in range(1, len(rule) + 1):
-            held = left & ~grow & covers(rule[:k])
-            p, n = (held & bad).sum(), (held & ~bad).sum()
-            worth.append(((p - n) / max(1, p + n), k, p, n))
-        if not worth:
-            break
-        _, k, p, n = max(worth, key=lambda w: (w[0], -w[1]))
-        if p < 2 or p < MIN_PRECISION * (p + n):
+            while len(rule) < MAX_CONDITIONS and (hit & ~bad).any() and (hit & bad).any() and (more := conditions(hit)):
+                rule.append(max(more)[1])
+                hit = left & grow & covers(rule)
+            for k in range(1, len(rule) + 1):  # prune: the prefix that does best
+                score, p, n = worth(rule[:k])
+                if p >= 2 and p >= MIN_PRECISION * (p + n) and (score, -k) > best[:2]:
+                    best = (score, -k, rule[:k])
+        if not best[2]:
             break
-        rules.append(rule[:k])
-        left &= ~covers(rule[:k])
+        rules.append(best[2])
+        left &= ~covers(best[2])
     return rules
 
 
