@@ -34,7 +34,9 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.5
 QUESTION_OVERLAP, ANSWER_OVERLAP = 0.6, 0.5
 #: Items in a block of the index, and bytes of item text in an index.
-BLOCK_ITEMS = 16
+BLOCK_ITEMS = 2
+#: Bounds of (passage, block) held at a time.
+CELLS = 2_000_000
 INDEX_BYTES = 2_000_000
 
 
@@ -177,12 +179,16 @@ class Index:
         hot = np.bincount(passage, self.most[term], total) + 1e-9 >= threshold
         passage, term = passage[hot[passage]], term[hot[passage]]
         # the block bounds of what is left
-        live = np.unique(passage)
-        size = self.block_first[term + 1] - self.block_first[term]
-        slot = np.repeat(self.block_first[term] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
-        cell = np.repeat(np.searchsorted(live, passage), size) * self.n_blocks + self.block[slot]
-        bound = np.bincount(cell, self.block_most[slot], len(live) * self.n_blocks).reshape(len(live), self.n_blocks)
-        live = live[(bound + 1e-9 >= threshold).any(axis=1)] if len(live) else live
+        every, live = np.unique(passage), []
+        for p in range(0, len(every), max(1, CELLS // self.n_blocks)):
+            some = every[p:p + max(1, CELLS // self.n_blocks)]
+            mine = slice(*np.searchsorted(passage, [some[0], some[-1] + 1]))
+            size = self.block_first[term[mine] + 1] - self.block_first[term[mine]]
+            slot = np.repeat(self.block_first[term[mine]] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+            cell = np.repeat(np.searchsorted(some, passage[mine]), size) * self.n_blocks + self.block[slot]
+            bound = np.bincount(cell, self.block_most[slot], len(some) * self.n_blocks).reshape(len(some), self.n_blocks)
+            live.append(some[(bound + 1e-9 >= threshold).any(axis=1)])
+        live = np.concatenate(live) if live else every
         lo, hi = np.searchsorted(passage, live), np.searchsorted(passage, live, side="right")
         doc_of = np.searchsorted(pass_base, live, side="right") - 1
         for p, a, b, doc in zip(live.tolist(), lo, hi, doc_of.tolist(), strict=True):
