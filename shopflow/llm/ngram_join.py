@@ -192,3 +192,19 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, percen
     joined = pairs.join(full.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a") \
         .join(full.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y")
     return saved(map_batches(joined, linked, "a long, b long"), name)
+
+
+#: The classes in plain SQL, all links expanded: for small tables.
+NEAR_SQL = r"""
+with recursive t as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                       '[^\x20\x09-\x0D]+') as w from documents),
+s as (select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+             else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as g from t),
+n as (select doc_id, count(*) as n from s group by doc_id),
+l as (select a.doc_id as a, b.doc_id as b from s a join s b on a.g = b.g and a.doc_id <> b.doc_id
+      join n x on x.doc_id = a.doc_id join n y on y.doc_id = b.doc_id
+      group by a.doc_id, b.doc_id, x.n, y.n having 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+r as (select a as doc_id, a as c from l union select r.doc_id, l.b from r join l on r.c = l.a)
+select t.doc_id, coalesce(any_value(n.n), 0)::bigint as n_shingles, least(t.doc_id, coalesce(min(r.c), t.doc_id)) as component_id
+from t left join n using (doc_id) left join r using (doc_id) group by t.doc_id
+"""

@@ -11,7 +11,7 @@ from . import html_extract, langid, repeats, secret_scan
 from .common import table, tune
 from .decontaminate import leaks
 from .mixing import MIX_SQL, with_copies
-from .ngram_join import near_duplicates
+from .ngram_join import NEAR_SQL, near_duplicates
 from .pii import BASE_KINDS, digest, with_spans
 from .quality_rules import judged
 from .toxicity import DECISION, held_out, scored
@@ -73,4 +73,4 @@ def _tuned(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 QUERIES = {name: _tuned(fn) for name, fn in list(globals().items()) if name.startswith("op")}
 
-ORACLE_SQL = {"op7_source_mix": MIX_SQL}
+ORACLE_SQL = {"op7_source_mix": MIX_SQL, "op9_ngram_jaccard_join": NEAR_SQL}
