@@ -1,7 +1,7 @@
 """Suffix-array dedup: bytes covered by a string of LENGTH bytes that also starts earlier, over all texts.
 
 Which texts need sorting.  Of the k-grams of every LENGTH-byte window the one of least hash is its anchor, so equal windows
-have equal anchors at equal places.  Around an anchor, everything that one of its windows can reach is its piece.
+have equal anchors at equal places.  What the windows of an anchor cover is its piece.
 Anchors that occur once leave.  Occurrences with equal pieces need no sorting: the first stays, the others are repeats from
 end to end.  Where pieces of one anchor differ, one of each goes to the shard of the anchor, and there the suffixes of all
 pieces are sorted.
@@ -44,6 +44,8 @@ SPREAD = LENGTH - GRAM + 1
 SEGMENT = 1 << 22
 #: Bytes of pieces sorted together, unless one anchor has more; elements that a queue or an array holds in memory.
 SHARD, IN_MEMORY = 4_000_000, 8_000_000
+#: Names above which a string of names is sorted directly: each is a bucket of the induction.
+MAX_BUCKETS = 2000
 UNPOWER = np.uint64(pow(int(POWER), -1, 2**64))
 
 
@@ -75,7 +77,10 @@ def _least(key: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Row, place in its text, anchor hash and piece hash of every anchor, in order."""
+    """Row, start and length of the piece, anchor hash and piece hash of every anchor, in order.
+
+    The windows of an anchor follow one another; its piece is what they cover.
+    """
     out = []
     low = np.uint64((1 << 24) - 1)
     for a in range(0, len(data), SEGMENT):
@@ -92,17 +97,13 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         row = np.searchsorted(offsets, starts, side="right") - 1
         starts, row = starts[starts + LENGTH <= offsets[row + 1]], row[starts + LENGTH <= offsets[row + 1]]
         place = (least[starts - left] & low).astype(np.int64) + left
-        place, one = np.unique(place, return_index=True)
-        row = row[one]
-        lo, hi = np.maximum(place - SPREAD + 1, offsets[row]), np.minimum(place + LENGTH, offsets[row + 1])
+        place, one, n = np.unique(place, return_index=True, return_counts=True)
+        row, lo, hi = row[one], starts[one], starts[one + n - 1] + LENGTH
         piece = mixed(hashes.of(lo - left, hi - left) ^ (place - lo).astype(np.uint64))
-        out.append((row, place - offsets[row], gram[place - left], piece))
+        out.append((row, lo - offsets[row], hi - lo, gram[place - left], piece))
     if not out:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64))
-    row, place, gram, piece = (np.concatenate(x) for x in zip(*out, strict=True))
-    new = np.ones(len(row), bool)  # an anchor may belong to windows of two segments
-    new[1:] = (row[1:] != row[:-1]) | (place[1:] != place[:-1])
-    return row[new], place[new], gram[new], piece[new]
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
 class Disk:
@@ -197,24 +198,38 @@ def _induce(text: np.ndarray, n_chars: int, small: np.ndarray, lms: list[np.ndar
     return out
 
 
-def _doubled(names: np.ndarray) -> np.ndarray:
-    """The suffixes of a short string over many names, by prefix doubling."""
-    rank, n, width = names.astype(np.int64), len(names), 1
-    while True:
-        after = np.zeros(n, np.int64)
-        after[:max(0, n - width)] = rank[width:] + 1
-        order = np.lexsort((after, rank))
-        new = np.ones(n, bool)
-        new[1:] = (rank[order][1:] != rank[order][:-1]) | (after[order][1:] != after[order][:-1])
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new) - 1
-        if new.all():
-            return order
+def _doubled(names: np.ndarray, depth: int | None) -> np.ndarray:
+    """The suffixes of a string over many names, by prefix doubling of those that still tie; up to `depth` names if given."""
+    n, width = len(names), 1
+    order = np.argsort(names)
+    sorted_names = names[order]
+    head = np.concatenate([[True], sorted_names[1:] != sorted_names[:-1]])
+    rank = np.empty(n, np.int64)  # where the group of ties begins
+    rank[order] = np.flatnonzero(head)[np.cumsum(head) - 1]
+    live = np.arange(n)
+    while depth is None or width < depth:
+        live = live[np.bincount(rank[live], minlength=n)[rank[live]] > 1]
+        if not len(live):
+            break
+        after = np.zeros(len(live), np.int64)
+        inside = live + width < n
+        after[inside] = rank[live[inside] + width] + 1
+        key = rank[live] * (n + 1) + after
+        order = np.argsort(key)
+        key, old = key[order], rank[live[order]]
+        at = np.arange(len(live))
+        group = np.maximum.accumulate(np.where(np.concatenate([[True], old[1:] != old[:-1]]), at, 0))
+        part = np.maximum.accumulate(np.where(np.concatenate([[True], key[1:] != key[:-1]]), at, 0))
+        rank[live[order]] = old + part - group
         width *= 2
+    return np.argsort(rank)
 
 
-def suffix_order(text: np.ndarray, n_chars: int, disk: Disk) -> np.ndarray:
-    """The places of a string in the order of their suffixes; its last character is 0 and occurs nowhere else."""
+def suffix_order(text: np.ndarray, n_chars: int, disk: Disk, depth: int | None = None) -> np.ndarray:
+    """The places of a string in the order of their suffixes; its last character is 0 and occurs nowhere else.
+
+    With a depth, suffixes that agree in so many characters may come in any order.
+    """
     n = len(text)
     if n == 1:
         return np.zeros(1, np.int64)
@@ -243,7 +258,9 @@ def suffix_order(text: np.ndarray, n_chars: int, disk: Disk) -> np.ndarray:
         if n_names == len(places):
             order = ordered
         else:
-            order = places[suffix_order(names, n_names, disk) if n_names * 16 <= len(names) else _doubled(names)]
+            # an LMS substring has two characters of its own at least
+            deep = None if depth is None else depth // 2 + 2
+            order = places[suffix_order(names, n_names, disk, deep) if n_names <= MAX_BUCKETS else _doubled(names, deep)]
     lms = np.split(order, np.cumsum(np.bincount(text[order], minlength=n_chars))[:-1])
     return _induce(text, n_chars, small, lms, disk)
 
@@ -271,23 +288,19 @@ def repeated_in(pieces: list[tuple[int, int, bytes]]) -> list[tuple[int, int, in
         for f, (_, _, p) in zip(first.tolist(), pieces, strict=True):
             text[f:f + len(p)] = np.frombuffer(p, np.uint8).astype(np.int16) + 2
             text[f + len(p)] = 1
-        order = suffix_order(np.asarray(text), 258, disk)
+        order = suffix_order(np.asarray(text), 258, disk, LENGTH)
         piece = np.searchsorted(first, order, side="right") - 1
         at = order - first[piece]
         whole = at + LENGTH <= lens[piece]
         order, piece, at = order[whole], piece[whole], at[whole]
-        # sorted neighbours that have LENGTH bytes in common
+        # sorted neighbours that have LENGTH bytes in common: by their fingerprints, then byte by byte
         same = np.zeros(len(order), bool)
-        step = 200_000
-        for a in range(1, len(order), step):
-            x, y = order[a - 1:a - 1 + step][:len(order) - a], order[a:a + step]
-            equal = np.ones(len(y), bool)
-            for k in range(LENGTH):
-                live = np.flatnonzero(equal)
-                if not len(live):
-                    break
-                equal[live] = text[x[live] + k] == text[y[live] + k]
-            same[a:a + step] = equal
+        keys = _substring_keys(text, order, order + LENGTH)
+        like = np.flatnonzero(keys[1:] == keys[:-1]) + 1
+        window = np.lib.stride_tricks.sliding_window_view(text, LENGTH)
+        for a in range(0, len(like), 20_000):
+            pick = like[a:a + 20_000]
+            same[pick] = (window[order[pick - 1]] == window[order[pick]]).all(axis=1)
         label = np.cumsum(~same)
         rid = np.array([r for r, _, _ in pieces], np.int64)[piece]
         start = np.array([s for _, s, _ in pieces], np.int64)[piece] + at
@@ -355,28 +368,28 @@ def removed(docs: DataFrame, result, column: str, kind: pa.DataType) -> DataFram
     rows = _numbered(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
 
     def found(b: pa.RecordBatch) -> pa.RecordBatch:
-        row, place, gram, piece = anchors(*utf8(b.column("text")))
-        return pa.RecordBatch.from_arrays([b.column("rid").take(pa.array(row)), pa.array(place), pa.array(gram.view(np.int64)), pa.array(piece.view(np.int64))],
-                                          ["rid", "place", "gram", "piece"])
-
-    spot = map_batches(rows.select("rid", "text"), found, "rid long, place long, gram long, piece long").repartition("gram")
-    group = spot.groupBy("gram").agg(F.count("*").alias("n"), (F.min("piece") != F.max("piece")).alias("differ")).filter("n > 1")
-    shared = saved(spot.join(group.select("gram", "differ").hint("merge"), "gram"), "repeat_anchors")
-    first = shared.groupBy("gram", "piece").agg(F.min(F.struct("rid", "place")).alias("first"), F.first("differ").alias("differ"), F.count("*").alias("n"))
+        row, start, length, gram, piece = anchors(*utf8(b.column("text")))
+        return pa.RecordBatch.from_arrays([b.column("rid").take(pa.array(row)), pa.array(start), pa.array(length), pa.array(gram.view(np.int64)), pa.array(piece.view(np.int64))],
+                                          ["rid", "start", "length", "gram", "piece"])
+
+    spot = map_batches(rows.select("rid", "text"), found, "rid long, start long, length long, gram long, piece long").repartition("gram")
+    # all columns are used on both sides of the join, so that they read one shuffle
+    group = spot.groupBy("gram").agg(F.count("*").alias("n"), (F.min("piece") != F.max("piece")).alias("differ"),
+                                     F.min(F.struct("rid", "start", "length")).alias("least")).filter("n > 1 and least is not null")
+    shared = saved(spot.join(group.select("gram", "differ", "least").hint("merge"), "gram").drop("least"), "repeat_anchors")
+    first = shared.groupBy("gram", "piece").agg(F.min(F.struct("rid", "start", "length")).alias("first"), F.first("differ").alias("differ"), F.count("*").alias("n"))
     again = shared.join(first.filter("n > 1").select("gram", "piece", "first"), ["gram", "piece"]) \
-        .filter("first.rid <> rid or first.place <> place") \
-        .select("rid", F.greatest(F.col("place") - SPREAD + 1, F.lit(0)).alias("start"), (F.col("place") + LENGTH).alias("end"))
+        .filter("first.rid <> rid or first.start <> start").select("rid", "start", (F.col("start") + F.col("length")).alias("end"))
 
     # one of each differing piece, with its bytes
-    wanted = first.filter("differ").select("gram", "first.rid", "first.place").groupBy("rid").agg(F.collect_list(F.struct("gram", "place")).alias("spots"))
+    wanted = first.filter("differ").select("gram", "first.*").groupBy("rid").agg(F.collect_list(F.struct("gram", "start", "length")).alias("spots"))
 
     def cut(b: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         for rid, text, spots in zip(b.column("rid").to_pylist(), b.column("text").to_pylist(), b.column("spots").to_pylist(), strict=True):
             raw = text.encode()
             for s in spots:
-                lo = max(0, s["place"] - SPREAD + 1)
-                out.append((s["gram"], rid, lo, raw[lo:s["place"] + LENGTH]))
+                out.append((s["gram"], rid, s["start"], raw[s["start"]:s["start"] + s["length"]]))
         gram, rid, start, piece = zip(*out, strict=True) if out else ((), (), (), ())
         return pa.RecordBatch.from_arrays([pa.array(gram, pa.int64()), pa.array(rid, pa.int64()), pa.array(start, pa.int64()), pa.array(piece, pa.binary())],
                                           ["gram", "rid", "start", "piece"])
