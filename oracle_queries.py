@@ -436,6 +436,13 @@ FROM (SELECT DISTINCT event_type, user_id, session_id, date_trunc('second', "tim
     q["ledger_rows"] = with_model(f"""{RAW_EVENTS_SQL}
 SELECT count(*) AS records_inserted, 1 AS empty_files
 FROM (SELECT DISTINCT event_type, "timestamp", session_id FROM q_checked WHERE reason IS NULL)""")
+    q["delivery_results"] = with_model(f"""{RAW_EVENTS_SQL}
+SELECT 'read' AS outcome, 2 * count(*) AS n FROM q_checked
+UNION ALL SELECT 'valid', 2 * count(*) FROM q_checked WHERE reason IS NULL
+UNION ALL SELECT 'rejected', 2 * count(*) FROM q_checked WHERE reason IS NOT NULL
+UNION ALL SELECT 'stored', count(*) FROM (SELECT DISTINCT event_type, "timestamp", session_id FROM q_checked WHERE reason IS NULL)""")
+    q["stream_dedupe"] = with_model("""
+SELECT event_type, count(*) AS n FROM (SELECT DISTINCT event_type, user_id, session_id, "timestamp" FROM m_events) GROUP BY 1""")
     q["load_orders_job"] = with_model(f"""{RAW_ORDERS_SQL},
 q_good AS (SELECT *, CAST(substr(order_id, 2) AS BIGINT) AS k FROM q_orders_typed
            WHERE created_at IS NOT NULL AND status IS NOT NULL AND payment_method IS NOT NULL

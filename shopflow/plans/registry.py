@@ -482,6 +482,33 @@ def q_ledger_rows(spark, d):
     return led.agg(F.sum("records_inserted").cast("bigint").alias("records_inserted"), F.count_if(F.col("records_inserted") == 0).alias("empty_files"))
 
 
+@query("delivery_results")
+def q_delivery_results(spark, d):
+    """What became of the lines of all micro-batches of an ingest, each
+    event delivered twice."""
+    root = work_path(spark, "deliveries", fresh=True)
+    lines = dt.raw_event_lines(spark, d)
+    _write_session_files(lines, f"{root}/in")
+    _write_session_files(lines, f"{root}/in")
+    drivers.run(lambda: drivers.ingest_sessions(spark, f"{root}/in", f"{root}/store", f"{root}/ledger", f"{root}/ckpt", glob="*.txt",
+                                                max_files_per_trigger=40))
+    return drivers.read_deliveries(spark, f"{root}/store").groupBy("outcome").agg(F.sum("n").cast("bigint").alias("n"))
+
+
+@query("stream_dedupe")
+def q_stream_dedupe(spark, d):
+    """K6: events delivered twice; the stream keeps the first of each key, its
+    state bounded by a watermark."""
+    root = work_path(spark, "dedupe", fresh=True)
+    ev = dt.behavior_events(spark, d)
+    ev.unionByName(ev).repartition(4, "_pos").write.parquet(f"{root}/in")
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+    once = drivers.dedupe_stream(stream, ["event_type", "user_id", "session_id", "timestamp"], event_time="timestamp", watermark="60 days")
+    drivers.run(lambda: once.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/ckpt")
+                .trigger(availableNow=True).start())
+    return spark.read.schema(ev.schema).parquet(f"{root}/out").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("land_events_stream")
 def q_land_events_stream(spark, d):
     """Validated page views published to a file topic in three

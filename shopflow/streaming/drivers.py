@@ -56,13 +56,27 @@ def _started(stream: DataFrame, handle, checkpoint: str, available_now: bool) ->
 
 
 def delivery_log(query: StreamingQuery) -> list[dict]:
-    """Per micro-batch, how many rows came in and how long it took
-    (from the query's progress reports; metadata, not data)."""
+    """Per micro-batch of a running query, how many rows came in and how long
+    it took (from its last progress reports; ``read_deliveries`` has them all)."""
     return [{"batch_id": p["batchId"], "rows": p["numInputRows"],
              "duration_ms": p.get("durationMs", {}).get("triggerExecution")}
             for p in query.recentProgress]
 
 
+def _delivery(batch: dict[str, DataFrame]) -> DataFrame:
+    """(outcome, n), the rows of each outcome of one batch."""
+    out = None
+    for outcome, df in batch.items():
+        n = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(outcome).alias("outcome"), "n")
+        out = n if out is None else out.unionAll(n)
+    return out
+
+
+def read_deliveries(spark: SparkSession, store: str) -> DataFrame:
+    """(batch_id, outcome, n) of every micro-batch of an ingest."""
+    return spark.read.parquet(f"{store}_deliveries").select("batch_id", "outcome", "n")
+
+
 def run(query_builder: Callable[[], StreamingQuery]) -> StreamingQuery:
     """Start a query and wait for it (availableNow queries stop by themselves)."""
     q = query_builder()
@@ -91,6 +105,7 @@ def ingest_sessions(spark: SparkSession, folder: str, store: str, ledger: str, c
     ledger gets one row per file with the rows stored from it (B4), by batch as well.
     Rejects go to ``<store>_rejects`` with file and line; files that could not be read to
     their end are skipped from there on and listed in ``<store>_incomplete`` (N2).
+    ``<store>_deliveries`` counts the outcomes of each batch (N5).
     """
     # event_date is derived from timestamp, so adding it to the key changes
     # nothing semantically; as a partition column it lets each batch read only
@@ -120,6 +135,8 @@ def ingest_batch(spark: SparkSession, batch: DataFrame, batch_id: int, store: st
     write_batch(new, store, batch_id, ("event_type", "event_date"))
     write_batch(rejects.drop("_seq"), f"{store}_rejects", batch_id)
     write_batch(incomplete_files(lines), f"{store}_incomplete", batch_id)
+    outcomes = {"read": lines, "valid": valid, "stored": new, "rejected": rejects}
+    write_batch(_delivery(outcomes), f"{store}_deliveries", batch_id)
     write_batch(state.ledger_rows(lines, new.select("ingestion.source_file")), ledger, batch_id)
     for df in (new, checked, lines):
         df.unpersist()
