@@ -82,8 +82,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, *parts: str, fresh: bool = False) -> str:
-    """A path below the shared folder; ``fresh`` appends a unique run id."""
-    segs = [shared_dir(spark), "shopflow", *parts]
-    if fresh:
-        segs.append(uuid.uuid4().hex[:12])
-    return "/".join(segs)
+    """A path below the shared folder; ``fresh`` gives a new one of this run,
+    for intermediate tables, which goes when the application ends."""
+    root = f"{shared_dir(spark)}/shopflow"
+    if not fresh:
+        return "/".join([root, *parts])
+    run = f"{root}/run-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(run)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.mkdirs(path):
+        fs.deleteOnExit(path)
+    return "/".join([run, *parts, uuid.uuid4().hex[:12]])
