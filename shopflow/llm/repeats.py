@@ -4,17 +4,20 @@ Which texts need sorting.  Of the k-grams of every LENGTH-byte window the one of
 have equal anchors at equal places.  What the windows of an anchor cover is its piece.
 Anchors that occur once leave.  Occurrences with equal pieces need no sorting: the first stays, the others are repeats from
 end to end.  Where pieces of one anchor differ, one of each goes to the shard of the anchor, and there the suffixes of all
-pieces are sorted.
+pieces are sorted.  An anchor whose occurrences exceed SHARD bytes (a frequent line in varying contexts) goes to no shard: its
+pieces are cut into their windows, and the first occurrence of each window is a grouped minimum over 128-bit fingerprints.
 
 Induced sorting (shard level).  Suffixes are of type L or S by the next different character.  The LMS suffixes (an S
 after an L) are sorted by inducing their substrings, naming these, and sorting the string of names, again by induction
 while its alphabet is small; from them all others are induced.  The queues that hand a suffix to the bucket of its
-predecessor are one per first character, in rank order, and move to disk beyond a bound, as do the arrays of a shard; so
-a shard may be far larger than memory.  Sorted neighbours with a common prefix of LENGTH bytes are one class: its first
-occurrence stays.
+predecessor are one per first character, in rank order.  Sorted neighbours with a common prefix of LENGTH bytes are one
+class: its first occurrence stays.  A shard is sorted in the memory of its task: its pieces and some ten arrays of 8 bytes for
+each of its bytes; it has less than twice SHARD bytes, whatever the data.  Only the string, the order and the queues move to
+disk beyond IN_MEMORY elements.
 
 Scale.  A text gives an anchor every 43 bytes or so; one shuffle of anchors, one of the texts that hold differing pieces,
-one of the repeated spans.  No group is collected: counts and first occurrences are aggregates.
+one of the repeated spans, and of the windows of frequent anchors one for the minimum and one for the join with it.  No group
+is collected: counts and first occurrences are aggregates.
 
 Defined cases.  Null text is read as empty; texts shorter than LENGTH bytes have no repeats.  Order is by doc_id, null
 last; rows of the same doc_id by their text, and rows with the same doc_id and text are one document: they get the same
@@ -31,6 +34,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,8 +46,10 @@ GRAM = 16
 SPREAD = LENGTH - GRAM + 1
 #: Bytes of a text hashed at a time; places must fit in 24 bits.
 SEGMENT = 1 << 22
-#: Bytes of pieces sorted together, unless one anchor has more; elements that a queue or an array holds in memory.
+#: Bytes at which a shard is full, and above which an anchor is cut into windows; elements that a queue or an array holds in memory.
 SHARD, IN_MEMORY = 4_000_000, 8_000_000
+#: Random values of the bytes for a second, independent fingerprint.
+OTHER_KEYS = np.random.default_rng(20240602).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 #: Names above which a string of names is sorted directly: each is a bucket of the induction.
 MAX_BUCKETS = 2000
 UNPOWER = np.uint64(pow(int(POWER), -1, 2**64))
@@ -52,13 +58,13 @@ UNPOWER = np.uint64(pow(int(POWER), -1, 2**64))
 class Hashes:
     """Fingerprints of any slice of some bytes, from running sums."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, keys: np.ndarray = BYTE_KEYS):
         power = np.full(len(data) + 1, POWER)
         back = np.full(len(data) + 1, UNPOWER)
         power[0] = back[0] = 1
         self.back = np.cumprod(back)
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(BYTE_KEYS[data] * np.cumprod(power)[:-1], out=self.sums[1:])
+        np.cumsum(keys[data] * np.cumprod(power)[:-1], out=self.sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mixed((self.sums[end] - self.sums[start]) * self.back[start] + (end - start).astype(np.uint64))
@@ -106,6 +112,15 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
+def windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Piece, place in it and two fingerprints of every window of the pieces data[offsets[i]:offsets[i + 1]]."""
+    n = np.maximum(np.diff(offsets) - LENGTH + 1, 0)
+    piece = np.repeat(np.arange(len(n)), n)
+    at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    start = offsets[piece] + at
+    return piece, at, *(Hashes(data, keys).of(start, start + LENGTH) for keys in (BYTE_KEYS, OTHER_KEYS))
+
+
 class Disk:
     """A scratch folder of one task: arrays beyond IN_MEMORY elements and the tails of queues."""
 
@@ -374,32 +389,39 @@ def removed(docs: DataFrame, result, column: str, kind: pa.DataType) -> DataFram
 
     spot = map_batches(rows.select("rid", "text"), found, "rid long, start long, length long, gram long, piece long").repartition("gram")
     # all columns are used on both sides of the join, so that they read one shuffle
-    group = spot.groupBy("gram").agg(F.count("*").alias("n"), (F.min("piece") != F.max("piece")).alias("differ"),
+    group = spot.groupBy("gram").agg(F.count("*").alias("n"), (F.min("piece") != F.max("piece")).alias("differ"), (F.sum("length") > SHARD).alias("frequent"),
                                      F.min(F.struct("rid", "start", "length")).alias("least")).filter("n > 1 and least is not null")
-    shared = saved(spot.join(group.select("gram", "differ", "least").hint("merge"), "gram").drop("least"), "repeat_anchors")
-    first = shared.groupBy("gram", "piece").agg(F.min(F.struct("rid", "start", "length")).alias("first"), F.first("differ").alias("differ"), F.count("*").alias("n"))
+    shared = saved(spot.join(group.select("gram", "differ", "frequent", "least").hint("merge"), "gram").drop("least"), "repeat_anchors")
+    first = shared.groupBy("gram", "piece").agg(F.min(F.struct("rid", "start", "length")).alias("first"), F.first("differ").alias("differ"), F.first("frequent").alias("frequent"), F.count("*").alias("n"))
     again = shared.join(first.filter("n > 1").select("gram", "piece", "first"), ["gram", "piece"]) \
         .filter("first.rid <> rid or first.start <> start").select("rid", "start", (F.col("start") + F.col("length")).alias("end"))
 
     # one of each differing piece, with its bytes
-    wanted = first.filter("differ").select("gram", "first.*").groupBy("rid").agg(F.collect_list(F.struct("gram", "start", "length")).alias("spots"))
+    wanted = first.filter("differ").select("gram", "frequent", "first.*").groupBy("rid").agg(F.collect_list(F.struct("gram", "frequent", "start", "length")).alias("spots"))
 
     def cut(b: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         for rid, text, spots in zip(b.column("rid").to_pylist(), b.column("text").to_pylist(), b.column("spots").to_pylist(), strict=True):
             raw = text.encode()
             for s in spots:
-                out.append((s["gram"], rid, s["start"], raw[s["start"]:s["start"] + s["length"]]))
-        gram, rid, start, piece = zip(*out, strict=True) if out else ((), (), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(gram, pa.int64()), pa.array(rid, pa.int64()), pa.array(start, pa.int64()), pa.array(piece, pa.binary())],
-                                          ["gram", "rid", "start", "piece"])
+                # pieces of a frequent anchor are no shard: they are dealt by their places
+                out.append((s["gram"], rid ^ s["start"] if s["frequent"] else None, rid, s["start"], raw[s["start"]:s["start"] + s["length"]]))
+        gram, deal, rid, start, piece = zip(*out, strict=True) if out else ((), (), (), (), ())
+        return pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (gram, deal, rid, start)), pa.array(piece, pa.binary())],
+                                          ["gram", "deal", "rid", "start", "piece"])
 
-    pieces = map_batches(rows.join(wanted, "rid").select("rid", "text", "spots"), cut, "gram long, rid long, start long, piece binary") \
-        .repartition("gram").sortWithinPartitions("gram")
+    pieces = map_batches(rows.join(wanted, "rid").select("rid", "text", "spots"), cut, "gram long, deal long, rid long, start long, piece binary") \
+        .repartition("gram", "deal").sortWithinPartitions("gram")
 
     def sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The repeated spans of each shard, without bytes; the pieces of frequent anchors as they are."""
         held, size, last = [], 0, None
         for b in batches:
+            whole = b.filter(b.column("deal").is_valid())
+            if whole.num_rows:
+                start, piece = whole.column("start"), whole.column("piece")
+                yield pa.RecordBatch.from_arrays([whole.column("rid"), start, pc.add(start, pc.binary_length(piece).cast(pa.int64())), piece], ["rid", "start", "end", "piece"])
+            b = b.filter(b.column("deal").is_null())
             for gram, rid, start, piece in zip(*(b.column(c).to_pylist() for c in ("gram", "rid", "start", "piece")), strict=True):
                 if size >= SHARD and gram != last:
                     yield spans_of(held)
@@ -412,21 +434,34 @@ def removed(docs: DataFrame, result, column: str, kind: pa.DataType) -> DataFram
 
     def spans_of(held: list) -> pa.RecordBatch:
         rid, start, end = zip(*s, strict=True) if (s := repeated_in(held)) else ((), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (rid, start, end)], ["rid", "start", "end"])
+        return pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (rid, start, end)), pa.nulls(len(rid), pa.binary())], ["rid", "start", "end", "piece"])
+
+    shards = saved(pieces.mapInArrow(sort_shards, "rid long, start long, end long, piece binary"), "repeat_shards")
+
+    def cut_windows(b: pa.RecordBatch) -> pa.RecordBatch:
+        col = b.column("piece")
+        offsets = np.concatenate([[0], np.cumsum(pc.binary_length(col).to_numpy(zero_copy_only=False).astype(np.int64))])
+        piece, at, key, other = windows(np.frombuffer(b"".join(col.to_pylist()), np.uint8), offsets)
+        return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(other.view(np.int64)), b.column("rid").take(pa.array(piece)),
+                                           pa.array(b.column("start").to_numpy()[piece] + at)], ["key", "other", "rid", "start"])
+
+    window = map_batches(shards.filter("piece is not null").select("rid", "start", "piece"), cut_windows, "key long, other long, rid long, start long")
+    least = window.groupBy("key", "other").agg(F.count("*").alias("n"), F.min(F.struct("rid", "start")).alias("least")).filter("n > 1").drop("n")
+    later = window.join(least, ["key", "other"]).filter("least.rid <> rid or least.start <> start").select("rid", "start", (F.col("start") + LENGTH).alias("end"))
 
-    spans = saved(again.unionByName(pieces.mapInArrow(sort_shards, "rid long, start long, end long")), "repeat_spans") \
+    spans = saved(again.unionByName(shards.filter("piece is null").drop("piece")).unionByName(later), "repeat_spans") \
         .groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
     def judge(b: pa.RecordBatch) -> pa.RecordBatch:
         n_bytes, n_removed, n_spans, rest = [], [], [], []
-        for text, found in zip(b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True):
+        for text, found in zip(b.column("text").to_pylist(), b.column("spans"), strict=True):
             raw, runs = text.encode(), []
-            for s in sorted(found or (), key=lambda s: s["start"]):
-                a, e = s["start"], min(s["end"], len(raw))
-                if runs and a <= runs[-1][1]:
-                    runs[-1] = (runs[-1][0], max(runs[-1][1], e))
-                else:
-                    runs.append((a, e))
+            if found.is_valid:
+                start, end = (found.values.field(c).to_numpy() for c in ("start", "end"))
+                by = np.argsort(start)
+                start, end = start[by], np.minimum(np.maximum.accumulate(end[by]), len(raw))
+                new = np.flatnonzero(start[1:] > end[:-1]) + 1
+                runs = list(zip(start[np.concatenate([[0], new])].tolist(), end[np.concatenate([new - 1, [len(end) - 1]])].tolist(), strict=True))
             n_bytes.append(len(raw))
             n_removed.append(sum(e - a for a, e in runs))
             n_spans.append(len(runs))

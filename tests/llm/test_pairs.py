@@ -1,6 +1,7 @@
 """Near duplicates, decontamination, repeats, mixing: against all-pairs and position-by-position restatements."""
 
 import random
+import uuid
 
 import brute
 import numpy as np
@@ -147,6 +148,24 @@ def test_repeats_match_brute_force(make, hard_rows, text, monkeypatch, shard):
     assert sorted((str(r["doc_id"]), (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])) for r in got) == want
 
 
+def test_pieces_of_a_frequent_anchor_fill_no_shard(make, text, monkeypatch, tmp_path):
+    monkeypatch.setattr(repeats, "SHARD", 3000)
+    real = repeats.repeated_in
+
+    def noted(pieces):
+        (tmp_path / uuid.uuid4().hex).write_text(str(sum(len(p) for _, _, p in pieces)))
+        return real(pieces)
+
+    monkeypatch.setattr(repeats, "repeated_in", noted)
+    line = "a line that most of the texts hold, of less than one hundred bytes,"
+    rows = [(i, f"{text(i, 25)}\n{line}\n{text(i % 60 + 500, 25)}") for i in range(150)]
+    got = repeats.digests(make(rows)).collect()
+    assert sorted((r["doc_id"], (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])) for r in got) \
+        == sorted(zip([d for d, _ in rows], brute.repeats(rows), strict=True))
+    sizes = [int(f.read_text()) for f in tmp_path.iterdir()]
+    assert sizes and max(sizes) < 2 * 3000
+
+
 def test_kept_bytes_and_empty_table(make, text):
     t = text(1, 60)
     got = {r["doc_id"]: bytes(r["kept"]) for r in repeats.without_repeats(make([(1, t), (2, "new " + t)])).collect()}
