@@ -472,13 +472,16 @@ def q_file_stream_new_only(spark, d):
 @query("ledger_rows")
 def q_ledger_rows(spark, d):
     """The ledger that the ingest stream leaves: one row per file read,
-    files without a valid row included."""
+    files without a valid row included.  Spark writes a drop as several files,
+    which share the id of the write; a drop is empty if none of its files has a
+    valid row."""
     root = work_path(spark, "ledger", fresh=True)
     lines = dt.raw_event_lines(spark, d)
     _write_session_files(lines, f"{root}/in")
-    (lines.select(F.concat(F.lit("bad "), "value").alias("value")).coalesce(1).write.text(f"{root}/in/day=bad"))
+    (lines.select(F.concat(F.lit("bad "), "value").alias("value")).write.text(f"{root}/in/day=bad"))
     drivers.run(lambda: drivers.ingest_sessions(spark, f"{root}/in", f"{root}/store", f"{root}/ledger", f"{root}/ckpt", glob="*.txt"))
-    led = state.read_ledger(spark, f"{root}/ledger")
+    led = state.read_ledger(spark, f"{root}/ledger").groupBy(F.regexp_extract("file_name", r"^part-\d+-(.{36})", 1).alias("drop")).agg(
+        F.sum("records_inserted").alias("records_inserted"))
     return led.agg(F.sum("records_inserted").cast("bigint").alias("records_inserted"), F.count_if(F.col("records_inserted") == 0).alias("empty_files"))
 
 
@@ -704,24 +707,25 @@ def q_publish_since_cursor(spark, d):
 
 @query("load_orders_job")
 def q_load_orders_job(spark, d):
-    """The CSV load job run three times.  The second file
-    has changed rows, a key twice, orphans, a surplus column, an all-blank row
-    and a row without key; the third run finds no changed file."""
+    """The CSV load job run three times.  The first drop
+    has every order.  The second has changed rows, keys twice, orphans, a
+    surplus column, an all-blank row and rows without key; its folders are read
+    in the order of their names, so the later change of a key wins.  The third
+    run finds no changed file."""
     root = work_path(spark, "load", fresh=True)
     num = fc.id_number("order_id")
     raw = dt.raw_orders(spark, d)
     users = dt.users(spark, d)
-    first = raw.filter(num % 2 == 0)
-    first.coalesce(1).write.option("header", True).csv(f"{root}/in/1")
+    raw.write.option("header", True).csv(f"{root}/in/1")
     load.load_table(spark, f"{root}/in", "orders", f"{root}/orders", f"{root}/marks", f"{root}/rejects", users=users)
     extra = F.lit("surplus").alias("note")
-    second = raw.filter(num % 4 == 0).withColumn("total", F.lit("1.25")).select("*", extra, F.lit(0).alias("o"))
-    again = raw.filter(num % 12 == 0).withColumn("total", F.lit("2.50")).select("*", extra, F.lit(1).alias("o"))
-    orphan = raw.filter(num % 10 == 0).withColumn("order_id", F.concat(F.lit("o9"), num.cast("string"))).withColumn("user_id", F.lit("u-none")).select("*", extra, F.lit(2).alias("o"))
-    blank = raw.limit(1).select(*[F.lit(None).cast("string").alias(c) for c in raw.columns], F.lit(None).cast("string").alias("note"), F.lit(3).alias("o"))
-    keyless = raw.filter(num % 14 == 0).withColumn("order_id", F.lit(None).cast("string")).select("*", extra, F.lit(4).alias("o"))
-    parts = second.unionByName(again).unionByName(orphan).unionByName(blank).unionByName(keyless)
-    parts.repartition(1).sortWithinPartitions("o").drop("o").write.option("header", True).csv(f"{root}/in/2")
+    second = raw.filter(num % 4 == 0).withColumn("total", F.lit("1.25")).select("*", extra)
+    again = raw.filter(num % 12 == 0).withColumn("total", F.lit("2.50")).select("*", extra)
+    orphan = raw.filter(num % 10 == 0).withColumn("order_id", F.concat(F.lit("o9"), num.cast("string"))).withColumn("user_id", F.lit("u-none")).select("*", extra)
+    blank = raw.limit(1).select(*[F.lit(None).cast("string").alias(c) for c in raw.columns], F.lit(None).cast("string").alias("note"))
+    keyless = raw.filter(num % 14 == 0).withColumn("order_id", F.lit(None).cast("string")).select("*", extra)
+    for o, part in enumerate((second, again, orphan, blank, keyless)):
+        part.write.option("header", True).csv(f"{root}/in/2/{o}")
     for _ in range(2):
         load.load_table(spark, f"{root}/in", "orders", f"{root}/orders", f"{root}/marks", f"{root}/rejects", users=users)
     return tables.read_version(spark, f"{root}/orders")

@@ -6,8 +6,11 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from shopflow.plans import load
+from conftest import SF
+from shopflow.operators import clean
+from shopflow.plans import load, registry
 from shopflow.sinks import state, tables
+from shopflow.sources import driver_tables as dt
 from shopflow.sources import files
 from shopflow.sources.cursor import cursor_rejects, scan_since
 from shopflow.streaming import drivers
@@ -161,3 +164,31 @@ def test_lines_with_nan_or_repeated_keys_are_read(spark):
     valid, rejects = validate_events(_batch(spark, [(v, "a.json") for v in lines]).withColumn("_row", F.lit(0)), with_line_numbers=False)
     assert sorted((r["event_data"]["order_id"], r["event_data"]["fulfillment_speed"]) for r in valid.collect()) == [("last", None), ("o1", None), ("o1", None)]
     assert [r["reason"] for r in rejects.collect()] == ["Invalid JSON"]
+
+
+@pytest.fixture()
+def dealt(spark, tmp_dir, monkeypatch):
+    """The smallest tables in three files each; queries work under tmp_dir/work."""
+    for name in ("orders", "events", "customer", "nation"):
+        spark.read.parquet(f"{SF['0.001']}/{name}.parquet").repartition(3).write.parquet(f"{tmp_dir}/{name}.parquet")
+    monkeypatch.setattr(registry, "work_path", lambda *_, **__: f"{tmp_dir}/work")
+    return tmp_dir
+
+
+def test_load_query_loads_every_order_from_several_files(spark, dealt):
+    rows, _ = clean.clean_table(dt.raw_orders(spark, dealt), "orders")
+    want = {}
+    for r in clean.referential_check(rows, dt.users(spark, dealt))[0].collect():
+        k = int(r["order_id"][1:])
+        want[r["order_id"]] = Decimal("2.50") if k % 12 == 0 else Decimal("1.25") if k % 4 == 0 else r["total"]
+    got = registry.QUERIES["load_orders_job"](spark, dealt).collect()
+    assert any(int(k[1:]) % 2 for k in want) and any(int(k[1:]) % 12 == 0 for k in want)
+    assert len(got) == len(want) and {r["order_id"]: r["total"] for r in got} == want
+    for drop in ("1", "2/0", "2/1"):
+        assert files.file_listing(spark, f"{dealt}/work/in/{drop}", "*.csv").count() > 1
+
+
+def test_ledger_query_reads_several_files_a_drop(spark, dealt):
+    got = registry.QUERIES["ledger_rows"](spark, dealt).first()
+    assert got["records_inserted"] > 0 and got["empty_files"] == 1
+    assert files.file_listing(spark, f"{dealt}/work/in/day=bad", "*.txt").count() > 1
