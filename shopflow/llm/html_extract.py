@@ -96,6 +96,8 @@ def blocks_of(page: str) -> list[Block]:
     """The leaf blocks of a page in order."""
     out: list[Block] = []
     stack = [("", frozenset(), 0, 0)]  # tag, what it and its ancestors say, number of the nearest block element, label
+    places: dict[str, list[int]] = {}  # where the open elements of each tag are in the stack, and those of all block tags
+    block_places: list[int] = []
     parts: list[tuple[str, bool]] = []
     owner, n_elements, hidden = stack[0], 0, 0
 
@@ -110,7 +112,11 @@ def blocks_of(page: str) -> list[Block]:
 
     def close(at: int) -> None:
         nonlocal hidden
-        hidden -= sum(s[0] == "head" for s in stack[at:])
+        for tag, *_ in stack[at:]:
+            places[tag].pop()
+            hidden -= tag == "head"
+        while block_places and block_places[-1] >= at:
+            block_places.pop()
         del stack[at:]
 
     at = 0
@@ -130,27 +136,29 @@ def blocks_of(page: str) -> list[Block]:
         if block:
             flush()
         if m["end"] or m["end2"]:
-            for i in range(len(stack) - 1, max(0, len(stack) - 64), -1):  # an end tag without a start near by closes nothing
-                if stack[i][0] == tag:
-                    close(i)
-                    break
+            if places.get(tag):  # an end tag without a start closes nothing
+                close(places[tag][-1])
             continue
         if block:  # what this start tag ends
             ends = ENDS.get(tag, ())
-            for i in range(len(stack) - 1, max(0, len(stack) - 64), -1):
+            for n in range(len(block_places) - 1, -1, -1):
+                i = block_places[n]
                 if stack[i][0] == "p" or stack[i][0] in ends:
                     close(i)
                     if not ends:
                         break
-                elif stack[i][0] in BLOCK and not (ends and stack[i][0] in ("tbody", "thead")):
+                elif not (ends and stack[i][0] in ("tbody", "thead")):
                     break
             if tag == "body" and hidden:
-                close(next(i for i, s in enumerate(stack) if s[0] == "head"))
+                close(places["head"][0])
         if tag in VOID:
             continue
         own, main = _own(tag, m["attrs"] or m["attrs2"] or "")
         n_elements += block
         up = stack[-1]
+        places.setdefault(tag, []).append(len(stack))
+        if block:
+            block_places.append(len(stack))
         stack.append((tag, up[1] | own if own - up[1] else up[1], n_elements if block else up[2], up[3] if main is None else main))
         hidden += tag == "head"
     if at < len(page) and not hidden:
@@ -171,7 +179,7 @@ def features(blocks: list[Block]) -> list[list[int]]:
         on += ["ends"] * (b.text[-1] in ".!?…\"”»") + ["marks"] * (b.text.count(",") + b.text.count(". ") >= 2) + ["first"] * (i == 0) + ["last"] * (i == n - 1)
         on += ["early"] * (10 * i < n) + ["late"] * (10 * i >= 9 * n) + ["bars"] * (b.text.count("|") + b.text.count("·") + b.text.count("»") > 0)
         on += ["short no link"] * (words < 6 and not b.linked) + ["long no link"] * (words >= 12 and not b.linked)
-        if sum(c.isdigit() for c in b.text[:200]) * 5 > min(200, len(b.text)):
+        if sum(map(str.isdigit, b.text)) * 5 > len(b.text):
             on.append("digits")
         on += b.marks
         on += [f"says:{k}" for k, rx in PHRASES.items() if rx.search(b.text)] if words < 60 else []

@@ -172,3 +172,13 @@ def test_page_query_takes_the_article(spark):
         inside = re.search(r"<article>(.*?)(?:</article>|\Z)", pages[r["page_id"]], re.DOTALL)[1]
         plain = lambda s: re.sub(r"\s+|&\w+;?|[&'\"<>]", "", s)
         assert plain(r["text"]) == plain(re.sub(r"<[^>]*>", "", inside))
+
+
+def test_end_tags_reach_over_many_open_elements_and_digits_count_everywhere():
+    page = "<article>" + "<font>x<br>" * 100 + "</article><p>after</p><ul><li>" + "<b>" * 100 + "one<li>two</ul>"
+    blocks = html_extract.blocks_of(page)
+    assert [b.text for b in blocks][1:] == ["after", "one", "two"]
+    assert "tag:article" in blocks[0].marks and all("tag:article" not in b.marks for b in blocks[1:])
+    assert "tag:b" in blocks[2].marks and "tag:b" not in blocks[3].marks
+    late = html_extract.Block("word " * 40 + "7" * 600, 0, frozenset(), 0, 0)
+    assert html_extract.FEATURES["digits"] in html_extract.features([late])[0]
