@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extract, langid, repeats, secret_scan
+from . import conversation_repair, html_extract, langid, repeats, secret_scan
 from .common import table, tune
 from .decontaminate import leaks
 from .mixing import MIX_SQL, with_copies
@@ -64,6 +64,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", langid.held_out().alias("held_out"), F.col("__language.lang").alias("lang_pred"), "__language.score")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repairs(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 def _tuned(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         tune(spark)
@@ -73,4 +77,4 @@ def _tuned(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 QUERIES = {name: _tuned(fn) for name, fn in list(globals().items()) if name.startswith("op")}
 
-ORACLE_SQL = {"op7_source_mix": MIX_SQL, "op9_ngram_jaccard_join": NEAR_SQL}
+ORACLE_SQL = {"op7_source_mix": MIX_SQL, "op9_ngram_jaccard_join": NEAR_SQL, "op13_conversation_repair": conversation_repair.REPAIR_SQL}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -140,3 +141,69 @@ def repeats(rows: list[tuple[int | None, str | None]], length: int = 100) -> lis
         n_spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
         out[key] = (len(raw), sum(gone), n_spans, hashlib.sha256(bytes(b for b, g in zip(raw, gone, strict=True) if not g)).hexdigest())
     return [out[(d is None, d or 0, t or "")] for d, t in rows]
+
+
+def damage(rows: list[tuple]) -> list[tuple]:
+    """(conv_id, turn, role, text) rows after their damage, each conversation in order."""
+    out = []
+    for conv_id, turn, role, text in rows:
+        kind = zlib.crc32(f"{' ' if conv_id is None else conv_id}:{' ' if turn is None else turn}".encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        role = "user" if kind == 4 else role
+        text = "" if kind in (0, 1) else re.sub(r"[.!?]", "", text) if kind == 2 else text
+        out += [(conv_id, turn, role, text)] * {0: 0, 3: 2}.get(kind, 1)
+    return sorted(out, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or 0, r[2].encode(), r[3][:64].encode(), hashlib.md5(r[3].encode()).hexdigest()))
+
+
+def repair(turns: list[tuple]) -> tuple:
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, lines) of one conversation's (turn, role, text)."""
+    known = [t for t, _, _ in turns if t is not None]
+    seen, faults = set(), []
+    for _, role, text in turns:
+        solid = re.findall(r"[^\x20\x09-\x0D]", text)
+        faults.append("blank" if not solid else "duplicate" if (role, text) in seen else "truncated" if solid[-1] not in ".!?" else "")
+        seen.add((role, text))
+    n = len(turns)
+    follow = {"": "su", "s": "u", "u": "a", "a": "u"}
+    full = {"u": "user", "a": "assistant"}
+    # cheapest (cost, audit, lines) from each place on, by what was written last; two insertions in a row are enough
+    best: list[dict] = [{} for _ in range(n + 1)]
+    for i in range(n, -1, -1):
+        now = {}
+        for last in follow:
+            options = [(0, "", ())] if i == n and last in ("", "a") else []
+            if i < n:
+                _, role, text = turns[i]
+                options.append((4 + best[i + 1][last][0], "D" + best[i + 1][last][1], best[i + 1][last][2]))
+                if faults[i] not in ("blank", "duplicate"):
+                    extra = 3 * (faults[i] == "truncated")
+                    if role[:1] and role[:1] in follow[last]:
+                        c, a, t = best[i + 1][role[:1]]
+                        options.append((extra + c, "K" + a, (f"{role}:{text}", *t)))
+                    for to in set(follow[last]) & set(full):
+                        c, a, t = best[i + 1][to]
+                        options.append((3 + extra + c, "R" + a, (f"{full[to]}:{text}", *t)))
+            now[last] = options
+        for _ in range(3):
+            grown = {}
+            for last in follow:
+                more = [(3 + c, "I" + a, (f"{full[to]}:", *t)) for to in set(follow[last]) & set(full) for c, a, t in now[to][:1]]
+                grown[last] = sorted(now[last] + more)[:1]
+            now = grown
+        best[i] = {k: v[0] for k, v in now.items()}
+    cost, audit, lines = best[0][""]
+    first = [r[:1] for _, r, _ in turns]
+    return (max(known) - min(known) + 1 - len(set(known)) if known else 0, *(faults.count(k) for k in ("blank", "duplicate", "truncated")),
+            sum(a + b not in ("su", "ua", "au") for a, b in zip(first, first[1:], strict=False)), cost, audit, lines)
+
+
+def repairs(rows: list[tuple]) -> dict:
+    """The result of each conversation of damaged rows."""
+    turns: dict = {r[0]: [] for r in rows}
+    for conv_id, *turn in damage(rows):
+        turns[conv_id].append(turn)
+    out = {}
+    for conv_id, own in turns.items():
+        *counts, lines = repair(own)
+        out[conv_id] = (*counts, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+    return out
