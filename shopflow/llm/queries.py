@@ -12,6 +12,7 @@ from .common import table, tune
 from .decontaminate import leaks
 from .mixing import MIX_SQL, with_copies
 from .ngram_join import NEAR_SQL, near_duplicates
+from .packing import packed
 from .pii import BASE_KINDS, digest, with_spans
 from .quality_rules import judged
 from .toxicity import DECISION, held_out, scored
@@ -64,6 +65,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", langid.held_out().alias("held_out"), F.col("__language.lang").alias("lang_pred"), "__language.score")
 
 
+def op11_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repairs(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
 
