@@ -449,7 +449,7 @@ q_good AS (SELECT *, CAST(substr(order_id, 2) AS BIGINT) AS k FROM q_orders_type
              AND (user_id IS NULL OR user_id IN (SELECT user_id FROM m_users)))
 SELECT order_id, user_id, created_at,
        CASE WHEN k % 12 = 0 THEN 2.50 WHEN k % 4 = 0 THEN 1.25 ELSE total END::DECIMAL(10,2) AS total, status, payment_method
-FROM q_good WHERE k % 2 = 0""")
+FROM q_good""")
     q["duplicate_key_report"] = with_model("""
 SELECT session_id || '#' || CAST(cart_total_items AS VARCHAR) AS line_key, count(*) AS n
 FROM m_cart GROUP BY 1 HAVING count(*) > 1""")
