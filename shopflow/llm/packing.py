@@ -24,6 +24,8 @@ import re
 import sys
 import types
 from collections.abc import Iterator
+from itertools import batched
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +43,7 @@ OPEN_WINDOWS = 1024
 CACHED_WORDS, CACHED_LENGTH = 500_000, 64
 #: Words that are encoded at once.
 WORDS = 64
+STOPS = ".,;:!?"
 #: Python splits at these as well, but the tokenizers' white space has them not.
 NO_SPACE = re.compile("[\x1c-\x1f]")
 BLANK = re.compile(r"[\x20\x09-\x0D]+")
@@ -55,13 +58,22 @@ class WordTokenizer:
     """Ids of whole texts, as little-endian 32-bit numbers; words are looked up where they were seen before.
 
     Right for tokenizers that drop white space and cut at it, as word-level BPE does: no token spans white space,
-    whatever stands beside it, so the words between are tokenized once.
+    whatever stands beside it, so the words between are tokenized once.  Where the tokenizer also reads A-Z as a-z, cuts
+    stops off letters and leaves ASCII letters as they are, a word is put together from its stem and its stops, and stems
+    of ASCII letters go straight to its model.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path)
+        ids = lambda x: self.model.encode(x, add_special_tokens=False).ids
+        self.stops = STOPS if ids("Worded,Word" + STOPS) == [*ids("worded"), *ids(","), *ids("word"), *ids(STOPS)] else ""
+        alphabet = "abcdefghijklmnopqrstuvwxyz"
+        steps = self.model.normalizer, self.model.pre_tokenizer
+        same = all(steps) and steps[0].normalize_str(alphabet) == alphabet and [x for x, _ in steps[1].pre_tokenize_str(alphabet)] == [alphabet]
+        self.letters = self.model.model if same and self.stops else None
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     @classmethod
     def of_worker(cls, path: str) -> WordTokenizer:
@@ -78,17 +90,36 @@ class WordTokenizer:
         if len(self.known) + len(new) > CACHED_WORDS:
             self.known.clear()
             new = every
-        todo = list(new)
+        if len(self.pieces) > CACHED_WORDS:
+            self.pieces.clear()
+        todo = {w: self._parts(w) for w in new}
+        pieces = {p for parts in todo.values() for p in parts}.difference(self.pieces)
+        plain = [p for p in pieces if p.isascii() and p.isalpha()] if self.letters else []
+        for p in plain:
+            ids = [x.id for x in self.letters.tokenize(p)]
+            self.pieces[p] = pack(f"<{len(ids)}I", *ids)
+        for some in batched(pieces.difference(plain), WORDS):
+            self.pieces.update(zip(some, self._apart(some), strict=True))
         found = self.known if len(todo) <= CACHED_WORDS else {}
-        for i in range(0, len(todo), WORDS):
-            found.update(zip(todo[i:i + WORDS], self._apart(todo[i:i + WORDS]), strict=True))
+        for w, parts in todo.items():
+            found[w] = b"".join(map(self.pieces.__getitem__, parts)) if len(parts) > 1 else self.pieces[parts[0]]
         out = [b"".join(map(found.__getitem__, ws)) for ws in words]
         for w in todo:
             if len(w) > CACHED_LENGTH:
                 del found[w]
+        for p in pieces:
+            if len(p) > CACHED_LENGTH:
+                del self.pieces[p]
         return out
 
-    def _apart(self, words: list[str]) -> list[bytes]:
+    def _parts(self, word: str) -> tuple[str, ...]:
+        if not self.stops or not word.isascii():
+            return (word,)
+        word = word.lower()
+        stem = word.rstrip(self.stops)
+        return (stem, word[len(stem):]) if len(stem) < len(word) and stem[-1:].isalnum() else (word,)
+
+    def _apart(self, words: tuple[str, ...]) -> list[bytes]:
         """The ids of each word, all encoded as one text; offsets tell them apart."""
         e = self.model.encode("\n".join(words), add_special_tokens=False)
         at = np.fromiter((a for a, _ in e.offsets), np.int64, len(e.ids))
