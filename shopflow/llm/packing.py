@@ -11,7 +11,7 @@ the last remainder is cut into sequences of powers of two, which need no padding
 task are shorter than a window, and a document is cut at most once more for each.
 
 Scale.  Each task packs its own rows, without a shuffle; it holds the open windows, OPEN_WINDOWS * window ids at most,
-and a table of at most CACHED_WORDS tokenized words.
+and its Python worker a table of at most CACHED_WORDS tokenized words.
 
 Defined cases.  Null and empty text is the end mark alone.  A text of any length is cut into windows.  Rows are packed
 one by one: null and repeated ids, repeated rows and ties make pieces of their own.  Other columns are ignored.  An empty
@@ -39,8 +39,8 @@ WINDOW = 4096
 END_ID = 2
 #: Partially filled windows that a task holds at most before it closes them.
 OPEN_WINDOWS = 1024
-#: Words whose ids a task keeps, and the longest of them in characters.
-CACHED_WORDS, CACHED_LENGTH = 500_000, 64
+#: Words whose ids a worker process keeps, and the longest of them in characters.
+CACHED_WORDS, CACHED_LENGTH = 1_000_000, 64
 #: Words that are encoded at once.
 WORDS = 64
 STOPS = ".,;:!?"
@@ -72,8 +72,7 @@ class WordTokenizer:
         steps = self.model.normalizer, self.model.pre_tokenizer
         same = all(steps) and steps[0].normalize_str(alphabet) == alphabet and [x for x, _ in steps[1].pre_tokenize_str(alphabet)] == [alphabet]
         self.letters = self.model.model if same and self.stops else None
-        self.known: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # words, stems and stops
 
     @classmethod
     def of_worker(cls, path: str) -> WordTokenizer:
@@ -85,40 +84,45 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         words = [[w for w in BLANK.split(t) if w] if NO_SPACE.search(t) else t.split() for t in texts]
-        every = set().union(*words)
-        new = every.difference(self.known)
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
-            new = every
-        if len(self.pieces) > CACHED_WORDS:
-            self.pieces.clear()
-        todo = {w: self._parts(w) for w in new}
-        pieces = {p for parts in todo.values() for p in parts}.difference(self.pieces)
-        plain = [p for p in pieces if p.isascii() and p.isalpha()] if self.letters else []
-        for p in plain:
-            ids = [x.id for x in self.letters.tokenize(p)]
-            self.pieces[p] = pack(f"<{len(ids)}I", *ids)
-        for some in batched(pieces.difference(plain), WORDS):
-            self.pieces.update(zip(some, self._apart(some), strict=True))
-        found = self.known if len(todo) <= CACHED_WORDS else {}
-        for w, parts in todo.items():
-            found[w] = b"".join(map(self.pieces.__getitem__, parts)) if len(parts) > 1 else self.pieces[parts[0]]
-        out = [b"".join(map(found.__getitem__, ws)) for ws in words]
-        for w in todo:
-            if len(w) > CACHED_LENGTH:
-                del found[w]
-        for p in pieces:
-            if len(p) > CACHED_LENGTH:
-                del self.pieces[p]
+        ids = [list(map(self.known.get, ws)) for ws in words]
+        new = {w for ws, found in zip(words, ids, strict=True) if None in found for w, x in zip(ws, found, strict=True) if x is None}
+        if new:
+            fresh = self._new(new)
+            ids = [[fresh[w] if x is None else x for w, x in zip(ws, found, strict=True)] if None in found else found for ws, found in zip(words, ids, strict=True)]
+            if len(self.known) + len(fresh) > CACHED_WORDS:
+                self.known.clear()
+            if len(fresh) <= CACHED_WORDS:
+                self.known.update((w, x) for w, x in fresh.items() if len(w) <= CACHED_LENGTH)
+        return list(map(b"".join, ids))
+
+    def _new(self, words: set[str]) -> dict[str, bytes]:
+        """The ids of words, and of the stems and stops that they are made of."""
+        stem_of, todo, stops = {}, set(), self.stops
+        for w in words:
+            if stops and w.isascii():
+                low = w.lower()
+                stem = low.rstrip(stops)
+                if stem and stem[-1].isalnum():
+                    if low != w or stem != w:
+                        stem_of[w] = stem, low[len(stem):]
+                    todo.update((stem, low[len(stem):]))
+                    continue
+            todo.add(w)
+        todo.discard("")
+        out = {w: x for w in todo if (x := self.known.get(w)) is not None}
+        todo.difference_update(out)
+        if self.letters:
+            plain = [w for w in todo if w.isascii() and w.isalpha() and w.islower()]
+            for w in plain:
+                ids = [x.id for x in self.letters.tokenize(w)]
+                out[w] = pack(f"<{len(ids)}I", *ids)
+            todo.difference_update(plain)
+        for some in batched(todo, WORDS):
+            out.update(zip(some, self._apart(some), strict=True))
+        for w, (stem, end) in stem_of.items():
+            out[w] = out[stem] + out[end] if end else out[stem]
         return out
 
-    def _parts(self, word: str) -> tuple[str, ...]:
-        if not self.stops or not word.isascii():
-            return (word,)
-        word = word.lower()
-        stem = word.rstrip(self.stops)
-        return (stem, word[len(stem):]) if len(stem) < len(word) and stem[-1:].isalnum() else (word,)
-
     def _apart(self, words: tuple[str, ...]) -> list[bytes]:
         """The ids of each word, all encoded as one text; offsets tell them apart."""
         e = self.model.encode("\n".join(words), add_special_tokens=False)
