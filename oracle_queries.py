@@ -382,6 +382,23 @@ FROM q_last a JOIN m_products p ON a.product_id = p.product_id
 GROUP BY p.product_id, p.name, p.category""")
     q["sales_stream"] = q["sales_daily"]
     q["report_backfill"] = q["sales_daily"]
+    q["sales_signed"] = with_model("""
+q_last AS (
+  SELECT CASE WHEN c AND _pos % 5 = 0 THEN created_at + INTERVAL 1 DAY ELSE created_at END AS created_at,
+         CASE WHEN c THEN total + 1 ELSE total END AS total,
+         CASE WHEN NOT c THEN status WHEN status IS NULL THEN 'completed' END AS status,
+         CASE WHEN c AND _pos % 7 = 0 THEN 'u1' ELSE user_id END AS user_id
+  FROM (SELECT *, _pos % 3 = 0 AND _pos % 6 <> 0 AS c FROM m_orders))
+SELECT CAST(created_at AS DATE) AS report_date, count(*) AS order_count, CAST(sum(total) AS DOUBLE) AS total_revenue,
+       count(DISTINCT user_id) AS purchasing_users
+FROM q_last WHERE status = 'completed' GROUP BY 1""")
+    q["loyalty_signed"] = with_model("""
+q_last AS (
+  SELECT CASE WHEN c AND k % 5 = 0 THEN 'MOVED' ELSE location END AS location,
+         CASE WHEN NOT c THEN loyalty_tier WHEN loyalty_tier = 'Gold' THEN 'Bronze' WHEN loyalty_tier = 'Bronze' THEN 'Silver'
+              WHEN loyalty_tier = 'Silver' THEN 'Gold' END AS loyalty_tier
+  FROM (SELECT *, k % 4 = 0 AND k % 8 <> 0 AS c FROM (SELECT *, CAST(substr(user_id, 2) AS BIGINT) AS k FROM m_users)))
+SELECT location, loyalty_tier, count(*) AS user_count FROM q_last GROUP BY 1, 2""")
     q["loyalty_stream"] = q["loyalty_segments"]
     q["exact_report_stream"] = q["behavior_funnel_daily"]
     q["device_usage_full"] = with_model("""

@@ -48,13 +48,15 @@ def normalise_header(df: DataFrame) -> DataFrame:
     return df.toDF(*[c if c.startswith("_") else c.lower().strip() for c in df.columns])
 
 
-def clean_table(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
-    """Clean one master table -> (typed rows, rejects(reason, ...))."""
+def check_table(df: DataFrame, table: str) -> DataFrame:
+    """All rows of one master table, typed, with ``reason`` (NULL: good) and, for bad ones, ``raw``.  Rows that the scan
+    has rejected (``_reject``, ``_raw``) keep its reason."""
     df = normalise_header(df)
     if table == "orders" and "timestamp" in df.columns and "created_at" not in df.columns:
         df = df.withColumnRenamed("timestamp", "created_at")
     data_cols = [c for c in df.columns if not c.startswith("_") and c != "source_file"]
-    meta = [c for c in df.columns if c not in data_cols]
+    meta = [c for c in df.columns if c not in data_cols and c not in ("_reject", "_raw")]
+    scan = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in ("_reject", "_raw")]
     pk = PRIMARY_KEYS[table]
     schema = MASTER_SCHEMAS[table]
 
@@ -66,9 +68,9 @@ def clean_table(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
         if c in schema.fieldNames():
             expr = expr.cast(schema[c].dataType)
         typed.append(expr.alias(c))
-    t = df.select(*typed, *[F.col(m) for m in meta], all_null.alias("_all_null"))
+    t = df.select(*typed, *[F.col(m) for m in meta], *scan, all_null.alias("_all_null"))
 
-    checks: list[tuple[Column, str]] = [(F.col("_all_null"), "all fields empty")]
+    checks: list[tuple[Column, str | Column]] = [(F.col("_reject").isNotNull(), F.col("_reject")), (F.col("_all_null"), "all fields empty")]
     if pk in data_cols:
         checks.append((F.col(pk).isNull(), f"missing {pk}"))
     for c in _REQUIRED[table]:
@@ -76,22 +78,28 @@ def clean_table(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
             checks.append((F.col(c).isNull(), f"invalid or missing {c}"))
     reason = None
     for cond, msg in checks:
-        reason = F.when(cond, F.lit(msg)) if reason is None else reason.when(cond, F.lit(msg))
+        msg = F.lit(msg) if isinstance(msg, str) else msg
+        reason = F.when(cond, msg) if reason is None else reason.when(cond, msg)
     # The row sequence is non-deterministic: filters on ``reason`` then stay
     # above this projection instead of being pushed below it, where they would
     # re-evaluate every parse of the row (see ``operators.events``).
-    t = t.withColumn("reason", reason).drop("_all_null").withColumn("_seq", F.monotonically_increasing_id())
-    barrier = F.col("_seq") >= 0
-
+    t = t.withColumn("reason", reason).withColumn("_seq", F.monotonically_increasing_id())
+    raw = F.when(F.col("reason").isNotNull(), F.coalesce("_raw", F.to_json(F.struct(*data_cols)))).alias("raw")
     expected = [c for c in EXPECTED_COLUMNS[table] if c in data_cols]
-    good = t.filter(F.col("reason").isNull() & barrier)
+    return t.filter(F.col("_seq") >= 0).select(*expected, *meta, "reason", raw)
+
+
+def clean_table(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """Clean one master table -> (typed rows, rejects(reason, ...))."""
+    t = check_table(df, table)
+    expected = [c for c in EXPECTED_COLUMNS[table] if c in t.columns]
+    good = t.filter(F.col("reason").isNull())
     if "_pos" in good.columns:
         rows = good.groupBy(*expected).agg(F.max("_pos").alias("_pos"))
     else:
         rows = good.select(*expected).distinct()
-    rejects = t.filter(F.col("reason").isNotNull() & barrier).select(
-        *[m for m in meta if m != "_pos"], "reason", F.to_json(F.struct(*data_cols)).alias("raw"),
-        *(["_pos"] if "_pos" in meta else []))
+    meta = [c for c in t.columns if c not in (*expected, "_pos", "reason", "raw")]
+    rejects = t.filter(F.col("reason").isNotNull()).select(*meta, "reason", "raw", *(["_pos"] if "_pos" in t.columns else []))
     return rows, rejects
 
 

@@ -149,6 +149,23 @@ def merge_additive(target: DataFrame | None, delta: DataFrame, keys: Sequence[st
     return out
 
 
+SIGN = "_sign"
+
+
+def signed_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What a batch of new rows changes, as signed rows: the stored row of each
+    of their keys with ``_sign`` -1, the new one with 1.  Both sides have one
+    row per key; rows that stay as they are cancel out and are left out."""
+    keys = list(keys)
+    rest = [c for c in new.columns if c not in keys]
+    before = old.select(*keys, F.struct(*rest).alias("_old"), F.lit(True).alias("_had"))
+    both = new.select(*keys, F.struct(*rest).alias("_new")).join(before, keys, "left")
+    sides = F.array(F.struct(F.col("_new").alias("row"), F.lit(1).alias(SIGN)), F.struct(F.col("_old").alias("row"), F.lit(-1).alias(SIGN)))
+    signed = F.when(F.col("_had") & F.col("_old").eqNullSafe(F.col("_new")), F.slice(sides, 1, 0)) \
+        .when(F.col("_had"), sides).otherwise(F.slice(sides, 1, 1))
+    return both.select(*keys, F.explode(signed).alias("_s")).select(*keys, "_s.row.*", f"_s.{SIGN}")
+
+
 def distinct_rows(df: DataFrame) -> DataFrame:
     """Full-row distinct (partial aggregation before the shuffle)."""
     return df.distinct()

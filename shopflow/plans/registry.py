@@ -565,6 +565,46 @@ def q_loyalty_stream(spark, d):
     return drivers.read_loyalty(spark, f"{root}/deltas")
 
 
+def _redelivered(spark, root, deliveries, n, start):
+    """Deliveries one after the other, each as files of a stream that goes on
+    from its checkpoint."""
+    for i, rows in enumerate(deliveries):
+        stream = _streamed(spark, rows.withColumn("_delivery", F.lit(i)), root, n)
+        drivers.run(lambda s=stream: start(s))
+
+
+@query("sales_signed")
+def q_sales_signed(spark, d):
+    """Daily sales of orders that are delivered again with another
+    status, total, day or user, and partly once more as they were; every
+    delivery takes several micro-batches."""
+    root = work_path(spark, "sales_signed", fresh=True)
+    o, num = dt.orders(spark, d), fc.id_number("order_id")
+    changed = o.filter(num % 3 == 0).withColumns({
+        "status": F.when(F.col("status").isNull(), "completed"),
+        "total": (F.col("total") + 1).cast("decimal(10,2)"),
+        "created_at": F.when(num % 5 == 0, F.col("created_at") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("created_at")),
+        "user_id": F.when(num % 7 == 0, "u1").otherwise(F.col("user_id"))})
+    _redelivered(spark, root, [o, changed, o.filter(num % 6 == 0)], 4,
+                 lambda s: drivers.sales_signed_stream(s, ["_delivery"], f"{root}/deltas", f"{root}/ckpt"))
+    return drivers.read_sales_signed(spark, f"{root}/deltas")
+
+
+@query("loyalty_signed")
+def q_loyalty_signed(spark, d):
+    """Loyalty segments of users who change tier or move, some of them
+    back again."""
+    root = work_path(spark, "loyalty_signed", fresh=True)
+    u, num = dt.users(spark, d), fc.id_number("user_id")
+    tier = F.col("loyalty_tier")
+    changed = u.filter(num % 4 == 0).withColumns({
+        "loyalty_tier": F.when(tier == "Gold", "Bronze").when(tier == "Bronze", "Silver").when(tier == "Silver", "Gold"),
+        "location": F.when(num % 5 == 0, "MOVED").otherwise(F.col("location"))})
+    _redelivered(spark, root, [u, changed, u.filter(num % 8 == 0)], 4,
+                 lambda s: drivers.loyalty_signed_stream(s, ["_delivery"], f"{root}/deltas", f"{root}/ckpt"))
+    return drivers.read_loyalty_signed(spark, f"{root}/deltas")
+
+
 @query("device_stream")
 def q_device_stream(spark, d):
     """K4/H2: the device report's branches fed by a stream of event files."""
@@ -728,7 +768,7 @@ def q_load_orders_job(spark, d):
         part.write.option("header", True).csv(f"{root}/in/2/{o}")
     for _ in range(2):
         load.load_table(spark, f"{root}/in", "orders", f"{root}/orders", f"{root}/marks", f"{root}/rejects", users=users)
-    return tables.read_version(spark, f"{root}/orders")
+    return load.read_table(spark, "orders", f"{root}/orders", f"{root}/marks")
 
 
 @query("export_changes")

@@ -64,6 +64,26 @@ def sales_from_parts(sums: DataFrame, pairs: DataFrame) -> DataFrame:
         F.coalesce("purchasing_users", F.lit(0)).cast("bigint").alias("purchasing_users"))
 
 
+def sales_signed_deltas(changes: DataFrame) -> DataFrame:
+    """Additive part of the sales report from signed rows (``merge.signed_changes``)."""
+    done = changes.filter(F.col("status") == "completed")
+    return done.groupBy(F.to_date("created_at").alias("report_date")).agg(
+        F.sum("_sign").alias("order_count"), F.sum(F.col("total") * F.col("_sign")).alias("total_revenue"))
+
+
+def sales_signed_pairs(changes: DataFrame) -> DataFrame:
+    """(day, user) pairs with the number of orders that come or go."""
+    done = changes.filter((F.col("status") == "completed") & F.col("user_id").isNotNull())
+    return done.groupBy(F.to_date("created_at").alias("report_date"), "user_id").agg(F.sum("_sign").alias("n")).filter("n <> 0")
+
+
+def sales_from_signed(sums: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The sales report from signed deltas: a user counts on days where orders
+    of theirs are left, and a day without orders is no day of the report."""
+    left = pairs.groupBy("report_date", "user_id").agg(F.sum("n").alias("n")).filter("n > 0").select("report_date", "user_id")
+    return sales_from_parts(sums, left).filter("order_count > 0")
+
+
 def count_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("report_date").agg(F.count(F.lit(1)).alias("purchasing_users"))
 
@@ -199,6 +219,16 @@ def loyalty_segments(users: DataFrame, ordered: bool = True) -> DataFrame:
     return seg
 
 
+def loyalty_signed_deltas(changes: DataFrame) -> DataFrame:
+    """Users that come into or leave a segment, from signed rows."""
+    return changes.groupBy("location", "loyalty_tier").agg(F.sum("_sign").alias("user_count")).filter("user_count <> 0")
+
+
+def loyalty_from_signed(deltas: DataFrame) -> DataFrame:
+    seg = deltas.groupBy("location", "loyalty_tier").agg(F.sum("user_count").cast("bigint").alias("user_count"))
+    return seg.filter("user_count > 0")
+
+
 # -- R5 ---------------------------------------------------------------------
 
 _DEVICE_TYPES = {"page_views": "page_view", "searches": "product_search", "add_to_carts": "add_to_cart",

@@ -10,79 +10,29 @@ and "last" mean for the keyed merges.
 
 from __future__ import annotations
 
-import csv
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shopflow.functions.columns import csv_null
+from shopflow.sources import csv_blocks
 
-EXTRA = "_extra"
 
-
-def position() -> "F.Column":
-    """Ingest position of a scanned row: (file path, block start, row id)."""
-    return F.struct(F.col("_metadata.file_path").alias("file"),
-                    F.col("_metadata.file_block_start").alias("block"),
-                    F.monotonically_increasing_id().alias("row"))
-
-
-def csv_headers(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Header names -> the files that have them.  Only the first line of each
-    file is read."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(spark.read.text(path).inputFiles()):
-        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
-        stream = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(p.getFileSystem(conf).open(p), "UTF-8"))
-        line = stream.readLine()
-        stream.close()
-        if line is not None:
-            groups.setdefault(tuple(next(csv.reader([line.lstrip("\ufeff")]), [])), []).append(file)
-    return groups
-
-
-def scan_csv(spark: SparkSession, path: str | list[str], header: list[str] | None = None,
-             multiline: bool = True) -> tuple[DataFrame, DataFrame]:
+def scan_csv(spark: SparkSession, path: str | list[str], header: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Read header CSV as all-string columns -> (rows, rejects).
 
-    Each file is read with its own header; columns that only some files have
-    are NULL in the others.  Lines with more fields than the header are
-    rejected ("too many fields"); lines with fewer are padded with NULL.  The
-    reader's missing-value tokens (empty, NA, NaN, null, ...) become NULL.
-    Column names are normalised (lower-cased, stripped).  Quoted fields may
-    hold line ends; ``multiline=False`` forbids that and lets large files be
-    split.
+    Each file is read with its own header, unless ``header`` is given; columns
+    that only some files have are NULL in the others.  Lines with more fields
+    than the header are rejected ("too many fields"); lines with fewer are
+    padded with NULL.  The reader's missing-value tokens (empty, NA, NaN, null,
+    ...) become NULL.  Column names are normalised (lower-cased, stripped).
+    Quoted fields may hold line ends; large files are split all the same
+    (``sources.csv_blocks``).
     """
-    groups = {tuple(header): [path] if isinstance(path, str) else path} if header is not None else csv_headers(spark, path)
-    rows, rejects = None, None
-    for names, paths in groups.items():
-        good, bad = _scan_group(spark, list(paths), [h.lower().strip() for h in names], multiline)
-        rows = good if rows is None else rows.unionByName(good, allowMissingColumns=True)
-        rejects = bad if rejects is None else rejects.unionByName(bad)
-    if rows is None:
-        raise FileNotFoundError(f"no CSV file with a header under {path}")
-    return rows, rejects
-
-
-def _scan_group(spark: SparkSession, paths: list[str], names: list[str], multiline: bool) -> tuple[DataFrame, DataFrame]:
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(len(names))]
-                          + [T.StructField(EXTRA, T.StringType(), True)])
-    raw = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
-           .option("mode", "PERMISSIVE").option("multiLine", multiline).option("escape", '"')
-           .option("nullValue", "\u0000").option("emptyValue", "")
-           .csv(paths))
-    cols = [csv_null(F.col(f"_c{i}")).alias(n) for i, n in enumerate(names)]
-    scanned = raw.select(*cols, F.col(EXTRA), F.col("_metadata.file_name").alias("source_file"),
-                         position().alias("_pos"))
-    rows = scanned.filter(F.col(EXTRA).isNull()).drop(EXTRA)
-    rejects = (scanned.filter(F.col(EXTRA).isNotNull())
-               .select("source_file", "_pos",
-                       F.to_json(F.struct(*[F.col(n) for n in names])).alias("raw"),
-                       F.lit("too many fields").alias("reason")))
-    return rows, rejects
+    every = csv_blocks.scan(spark, path, header)
+    rejects = every.filter(F.col("_reject").isNotNull()).select("source_file", "_pos", F.col("_raw").alias("raw"), F.col("_reject").alias("reason"))
+    return every.filter(F.col("_reject").isNull()).drop("_reject", "_raw"), rejects
 
 
 def scan_jsonl(spark: SparkSession, path: str, path_glob: str | None = None) -> DataFrame:
@@ -164,6 +114,24 @@ def list_files(spark: SparkSession, path_glob: str) -> list[str]:
     return [] if found is None else sorted(str(s.getPath().toString()) for s in found if s.isFile())
 
 
+def list_folders(spark: SparkSession, path_glob: str) -> list[str]:
+    """Folders matching a glob (metadata only)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path_glob)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return [] if found is None else sorted(str(s.getPath().toString()) for s in found if s.isDirectory())
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of the engine's own tables, if it is there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, via the cluster's file system."""
     jvm = spark.sparkContext._jvm

@@ -22,12 +22,12 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shopflow.operators import events as ev_ops
-from shopflow.operators.merge import insert_if_absent, latest_by_key
+from shopflow.operators.merge import insert_if_absent, latest_by_key, signed_changes
 from shopflow.plans import landing, reports
 from shopflow.schemas import DEVICE_COUNTS, FUNNEL_COUNTS
-from shopflow.sinks import state
+from shopflow.sinks import keyed, state
 from shopflow.sinks.tables import read_appended
-from shopflow.sources.files import add_row_id, incomplete_files, text_lines
+from shopflow.sources.files import add_row_id, delete_path, incomplete_files, list_folders, make_folder, path_exists, text_lines
 from shopflow.sources.topics import topic_source
 
 #: Files that one micro-batch takes, unless the caller says otherwise: the
@@ -36,12 +36,21 @@ FILES_PER_TRIGGER = 1000
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
-    """Idempotent batch write: (re)places the ``batch_id`` partitions only.
+    """Idempotent batch write: (re)places all that the batch wrote before.
 
     ``partition_by`` columns come outermost, so readers prune them before they
     meet the batches; rows are regrouped by them first (in pieces that AQE
-    sizes), so a batch writes few files per partition.
+    sizes), so a batch writes few files per partition.  An overwrite replaces
+    only partitions that have rows again, so a batch that was begun before (its
+    mark is there) first drops what it left.
     """
+    spark = df.sparkSession
+    begun = f"{path}/_begun/{batch_id}"
+    if path_exists(spark, begun):
+        for folder in list_folders(spark, "/".join([path, *(f"{c}=*" for c in partition_by), f"batch_id={batch_id}"])):
+            delete_path(spark, folder)
+    else:
+        make_folder(spark, begun)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
@@ -242,12 +251,88 @@ def read_funnel(spark: SparkSession, deltas: str) -> DataFrame:
     return reports.funnel_from_deltas(keep)
 
 
+# -- B10/K4: reports under updates ---------------------------------------------------------
+
+def signed_batch(batch: DataFrame, batch_id: int, keys: list[str], order: list[str], parts: dict[str, Callable[[DataFrame], DataFrame]],
+                 path: str, buckets: int = keyed.BUCKETS) -> None:
+    """One micro-batch of ``signed_stream``; running it again replaces its own output.
+
+    The stored row of a key that comes again counts negative, the new one
+    positive, so the deltas of a changed row add up to its change.  Only the
+    buckets of the batch's keys are read and rewritten.
+    """
+    spark = batch.sparkSession
+    new = latest_by_key(batch, keys, order).select(*[c for c in batch.columns if c not in order or c in keys]).persist()
+    hit = keyed.touched(new, keys, buckets)
+    old = keyed.read(spark, f"{path}/rows", new.schema, before=batch_id, buckets=hit, n=buckets)
+    signed = signed_changes(old, new, keys).persist()
+    for name, delta in parts.items():
+        write_batch(delta(signed), f"{path}/{name}", batch_id)
+    keyed.write(old.join(new.select(*keys), keys, "left_anti").unionByName(new), f"{path}/rows", keys, batch_id, buckets)
+    keyed.vacuum(spark, f"{path}/rows", batch_id, buckets)
+    signed.unpersist()
+    new.unpersist()
+
+
+def signed_stream(rows: DataFrame, keys: list[str], order: list[str], parts: dict[str, Callable[[DataFrame], DataFrame]], path: str,
+                  checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Summing reports over rows that are delivered again with other values:
+    the last delivery of a key counts (within a micro-batch the last by
+    ``order``).  Each part sums the rows' ``_sign`` instead of counting them."""
+    return _started(rows, lambda batch, batch_id: signed_batch(batch, batch_id, keys, order, parts, path), checkpoint, available_now)
+
+
+SALES_SIGNED = {"sums": reports.sales_signed_deltas, "pairs": reports.sales_signed_pairs}
+LOYALTY_SIGNED = {"sums": reports.loyalty_signed_deltas}
+
+
+def sales_signed_stream(orders: DataFrame, order: list[str], path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Daily sales of orders whose status, day, user or total may change."""
+    return signed_stream(orders, ["order_id"], order, SALES_SIGNED, path, checkpoint, available_now)
+
+
+def read_sales_signed(spark: SparkSession, path: str) -> DataFrame:
+    return reports.sales_from_signed(read_deltas(spark, path), read_deltas(spark, path, "pairs"))
+
+
+def loyalty_signed_stream(users: DataFrame, order: list[str], path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Loyalty segments of users who move or change tier."""
+    return signed_stream(users, ["user_id"], order, LOYALTY_SIGNED, path, checkpoint, available_now)
+
+
+def read_loyalty_signed(spark: SparkSession, path: str) -> DataFrame:
+    return reports.loyalty_from_signed(read_deltas(spark, path))
+
+
 # -- D5: stream-static join -------------------------------------------------------------
 
 PENDING = T.StructType([T.StructField("product_id", T.StringType()), T.StructField("total_quantity", T.LongType()),
                         T.StructField("add_to_cart_count", T.LongType()), T.StructField("batch_id", T.LongType())])
 
 
+def top_products_batch(batch: DataFrame, batch_id: int, products: Callable[[], DataFrame], deltas: str) -> None:
+    """One micro-batch of ``top_products_stream``; running it again replaces
+    its own output, also where a product that was waited for has come since."""
+    before = read_appended(batch.sparkSession, f"{deltas}_pending", PENDING).filter(F.col("batch_id") == batch_id - 1)
+    totals = (batch.groupBy("product_id")
+              .agg(F.sum("quantity").cast("bigint").alias("total_quantity"),
+                   F.count(F.lit(1)).alias("add_to_cart_count"))
+              .unionByName(before.drop("batch_id"))
+              .groupBy("product_id").agg(F.sum("total_quantity").alias("total_quantity"),
+                                         F.sum("add_to_cart_count").alias("add_to_cart_count")))
+    p = products().select("product_id", "name", "category", "price", F.lit(True).alias("_known"))
+    joined = totals.join(p, "product_id", "left").persist()
+    out = joined.filter("_known").select(
+        "product_id", F.col("name").alias("product_name"),
+        F.coalesce("category", F.lit("Unknown")).alias("category"), "total_quantity", "add_to_cart_count",
+        (F.col("total_quantity").cast("decimal(20,0)") * F.coalesce("price", F.lit(0)))
+        .alias("estimated_revenue"))
+    write_batch(out, deltas, batch_id)
+    write_batch(joined.filter(F.col("_known").isNull()).select("product_id", "total_quantity", "add_to_cart_count"),
+                f"{deltas}_pending", batch_id)
+    joined.unpersist()
+
+
 def top_products_stream(spark: SparkSession, carts: DataFrame, products: Callable[[], DataFrame], deltas: str,
                         checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Per micro-batch: carts aggregated per product, together with what
@@ -257,28 +342,7 @@ def top_products_stream(spark: SparkSession, carts: DataFrame, products: Callabl
     batch's pending rows (``<deltas>_pending``), taken up by the next batch.
     A known product may have no attributes at all: the match is marked, not
     guessed from them."""
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        before = read_appended(spark, f"{deltas}_pending", PENDING).filter(F.col("batch_id") == batch_id - 1)
-        totals = (batch.groupBy("product_id")
-                  .agg(F.sum("quantity").cast("bigint").alias("total_quantity"),
-                       F.count(F.lit(1)).alias("add_to_cart_count"))
-                  .unionByName(before.drop("batch_id"))
-                  .groupBy("product_id").agg(F.sum("total_quantity").alias("total_quantity"),
-                                             F.sum("add_to_cart_count").alias("add_to_cart_count")))
-        p = products().select("product_id", "name", "category", "price", F.lit(True).alias("_known"))
-        joined = totals.join(p, "product_id", "left").persist()
-        out = joined.filter("_known").select(
-            "product_id", F.col("name").alias("product_name"),
-            F.coalesce("category", F.lit("Unknown")).alias("category"), "total_quantity", "add_to_cart_count",
-            (F.col("total_quantity").cast("decimal(20,0)") * F.coalesce("price", F.lit(0)))
-            .alias("estimated_revenue"))
-        write_batch(out, deltas, batch_id)
-        write_batch(joined.filter(F.col("_known").isNull()).select("product_id", "total_quantity", "add_to_cart_count"),
-                    f"{deltas}_pending", batch_id)
-        joined.unpersist()
-
-    return _started(carts, handle, checkpoint, available_now)
+    return _started(carts, lambda batch, batch_id: top_products_batch(batch, batch_id, products, deltas), checkpoint, available_now)
 
 
 def read_top_products(spark: SparkSession, deltas: str, products: DataFrame | None = None) -> DataFrame:

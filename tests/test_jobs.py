@@ -1,6 +1,8 @@
 """Replays, late products, partitioned versions, odd CSV files, broken files: what must not change or get lost."""
 
 import json
+import os
+from datetime import datetime
 from decimal import Decimal
 
 import pytest
@@ -9,7 +11,8 @@ from pyspark.sql import functions as F
 from conftest import SF
 from shopflow.operators import clean
 from shopflow.plans import load, registry
-from shopflow.sinks import state, tables
+from shopflow.schemas import MASTER_SCHEMAS
+from shopflow.sinks import keyed, state, tables
 from shopflow.sources import driver_tables as dt
 from shopflow.sources import files
 from shopflow.sources.cursor import cursor_rejects, scan_since
@@ -67,6 +70,97 @@ def test_late_product_rename_and_no_attributes(spark, tmp_dir):
     assert got == [("p1", "new", "Home", 2, 2, 4.0), ("p2", "late", "Unknown", 6, 2, 18.0), ("p3", None, "Unknown", 7, 1, 0.0)]
 
 
+def test_replayed_batch_that_becomes_empty_drops_its_old_rows(spark, tmp_dir):
+    """A product arrives between two attempts at a batch: its carts are counted once, and pend no more."""
+    schema = "product_id string, name string, category string, price decimal(10,2)"
+    table = {"now": []}
+    products = lambda: spark.createDataFrame(table["now"], schema)
+    batches = [spark.createDataFrame(rows, "product_id string, quantity int") for rows in ([("p1", 3)], [("p1", 4), ("p2", 1)], [("p2", 2)])]
+    out = f"{tmp_dir}/out"
+    drivers.top_products_batch(batches[0], 0, products, out)
+    table["now"] = [("p1", "one", "Home", Decimal(2))]
+    drivers.top_products_batch(batches[0], 0, products, out)  # the first attempt was not committed
+    for i in (1, 1, 2):
+        drivers.top_products_batch(batches[i], i, products, out)
+    got = sorted(tuple(r) for r in drivers.read_top_products(spark, out).select("product_id", "total_quantity", "add_to_cart_count").collect())
+    assert got == [("p1", 7, 2)]
+    pending = [(r["product_id"], r["total_quantity"]) for r in spark.read.parquet(f"{out}_pending").filter("batch_id = 2").collect()]
+    assert pending == [("p2", 3)]
+
+
+def test_empty_rewrite_with_outer_partitions(spark, tmp_dir):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "p string, v int")
+    drivers.write_batch(df, f"{tmp_dir}/t", 0, ("p",))
+    drivers.write_batch(df, f"{tmp_dir}/t", 1, ("p",))
+    drivers.write_batch(df.filter("p = 'a'"), f"{tmp_dir}/t", 0, ("p",))
+    drivers.write_batch(df.limit(0), f"{tmp_dir}/t", 1, ("p",))
+    assert [(r["p"], r["v"], r["batch_id"]) for r in spark.read.parquet(f"{tmp_dir}/t").collect()] == [("a", 1, 0)]
+
+
+def test_signed_reports_follow_updates_and_replays(spark, tmp_dir):
+    """Orders change status, day and user over batches, each batch run twice; the report is that of the last rows."""
+    schema = "order_id string, user_id string, created_at timestamp, total decimal(10,2), status string, _v int"
+    ts = lambda day: datetime(2025, 1, day)
+    row = lambda o, u, day, total, status, v=0: (o, u, ts(day), Decimal(total), status, v)
+    batches = [[row("o1", "u1", 1, 10, "completed"), row("o2", "u1", 1, 5, "completed"), row("o3", "u2", 2, 7, None)],
+               [row("o1", "u1", 1, 12, "completed"), row("o3", "u2", 2, 7, "completed", 0), row("o3", "u2", 2, 9, "completed", 1)],
+               [row("o2", "u3", 2, 5, "completed"), row("o1", "u1", 1, 12, None), row("o4", None, 3, 1, "completed")],
+               [row("o4", None, 3, 1, "completed")]]
+    want = [[(1, 2, 15.0, 1)], [(1, 2, 17.0, 1), (2, 1, 9.0, 1)], [(2, 2, 14.0, 2), (3, 1, 1.0, 0)], [(2, 2, 14.0, 2), (3, 1, 1.0, 0)]]
+    for i, rows in enumerate(batches):
+        for _ in range(2):
+            drivers.signed_batch(spark.createDataFrame(rows, schema), i, ["order_id"], ["_v"], drivers.SALES_SIGNED, f"{tmp_dir}/s", buckets=4)
+        got = sorted((r["report_date"].day, r["order_count"], r["total_revenue"], r["purchasing_users"]) for r in drivers.read_sales_signed(spark, f"{tmp_dir}/s").collect())
+        assert got == want[i]
+    assert spark.read.parquet(f"{tmp_dir}/s/sums").filter("batch_id = 3").count() == 0  # nothing changed, no delta
+
+
+def test_load_job_rewrites_only_the_buckets_hit(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/in")
+    head = "product_id,name,price,category\n"
+
+    def put(name, rows):
+        with open(f"{tmp_dir}/in/{name}", "w") as f:
+            f.write(head + "".join(f"p{i},n{i},{v}.00,Home\n" for i, v in rows))
+    args = (f"{tmp_dir}/in", "products", f"{tmp_dir}/t", f"{tmp_dir}/m", f"{tmp_dir}/r")
+    put("a.csv", [(i, 1) for i in range(400)])
+    load.load_table(spark, *args, buckets=16)
+    first = keyed.generations(spark, f"{tmp_dir}/t", 16)
+    assert len(first) == 16 and all(g == [1] for g in first.values())
+    put("b.csv", [(3, 2), (5, 2), (1000, 2)])
+    load.load_table(spark, *args, buckets=16)
+    hit = set(keyed.touched(spark.createDataFrame([("p3",), ("p5",), ("p1000",)], "product_id string"), ["product_id"], 16))
+    assert {b for b, g in keyed.generations(spark, f"{tmp_dir}/t", 16).items() if g[-1] == 2} == hit and len(hit) <= 3
+    got = {r["product_id"]: int(r["price"]) for r in load.read_table(spark, "products", f"{tmp_dir}/t", f"{tmp_dir}/m", 16).collect()}
+    assert got == {f"p{i}": 2 if i in (3, 5) else 1 for i in range(400)} | {"p1000": 2}
+    loads = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/m_loads").collect())
+    assert loads == [(1, 400, 0, 16), (2, 3, 0, len(hit))]
+    with pytest.raises(ValueError):
+        keyed.read(spark, f"{tmp_dir}/t", MASTER_SCHEMAS["products"], n=8)
+
+
+def test_load_that_died_is_not_read_and_leaves_nothing_behind(spark, tmp_dir, monkeypatch):
+    os.makedirs(f"{tmp_dir}/in")
+    args = (f"{tmp_dir}/in", "products", f"{tmp_dir}/t", f"{tmp_dir}/m", f"{tmp_dir}/r")
+
+    def put(name, ids):
+        with open(f"{tmp_dir}/in/{name}", "w") as f:
+            f.write("product_id,name,price,category\n" + "".join(f"p{i},{name},1.00,Home\n" for i in ids))
+    read = lambda: {r["product_id"]: r["name"] for r in load.read_table(spark, "products", f"{tmp_dir}/t", f"{tmp_dir}/m").collect()}
+    put("a.csv", range(50))
+    load.load_table(spark, *args)
+    put("b.csv", range(0, 50, 10))
+    with monkeypatch.context() as m:
+        m.setattr(load, "append", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+        with pytest.raises(RuntimeError):
+            load.load_table(spark, *args)
+    assert set(read().values()) == {"a.csv"}
+    os.remove(f"{tmp_dir}/in/b.csv")
+    put("c.csv", [49])
+    load.load_table(spark, *args)
+    assert read() == {f"p{i}": "c.csv" if i == 49 else "a.csv" for i in range(50)}
+
+
 def test_partitioned_versions_commit(spark, tmp_dir):
     path = f"{tmp_dir}/t"
     for n in range(2):
@@ -114,7 +208,6 @@ def test_load_job_takes_changed_files_once(spark, tmp_dir):
     def put(name, text):
         with open(f"{tmp_dir}/{name}", "w") as f:
             f.write(text)
-    import os
     os.makedirs(f"{tmp_dir}/in")
     args = (f"{tmp_dir}/in", "products", f"{tmp_dir}/t", f"{tmp_dir}/m", f"{tmp_dir}/r")
     assert load.load_table(spark, *args) == []
@@ -122,7 +215,7 @@ def test_load_job_takes_changed_files_once(spark, tmp_dir):
     assert len(load.load_table(spark, *args)) == 1 and load.load_table(spark, *args) == []
     put("in/b.csv", "category,product_id,price\nBeauty,p1,3.00\nHome,p1,4.00\n")
     assert len(load.load_table(spark, *args)) == 1
-    got = [(r["product_id"], r["name"], float(r["price"]), r["category"]) for r in tables.read_version(spark, f"{tmp_dir}/t").collect()]
+    got = [(r["product_id"], r["name"], float(r["price"]), r["category"]) for r in load.read_table(spark, "products", f"{tmp_dir}/t", f"{tmp_dir}/m").collect()]
     assert got == [("p1", "one", 4.0, "Home")]
     assert [r["reason"] for r in spark.read.parquet(f"{tmp_dir}/r").collect()] == ["invalid or missing category"]
 
