@@ -15,6 +15,7 @@ from .ngram_join import NEAR_SQL, near_duplicates
 from .packing import packed
 from .pii import BASE_KINDS, digest, with_spans
 from .quality_rules import judged
+from .ranked_search import RANKED_SQL, ranked
 from .toxicity import DECISION, held_out, scored
 
 
@@ -70,6 +71,10 @@ def op11_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op12_best_position_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repairs(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
 
@@ -83,4 +88,5 @@ def _tuned(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
 QUERIES = {name: _tuned(fn) for name, fn in list(globals().items()) if name.startswith("op")}
 
-ORACLE_SQL = {"op7_source_mix": MIX_SQL, "op9_ngram_jaccard_join": NEAR_SQL, "op13_conversation_repair": conversation_repair.REPAIR_SQL}
+ORACLE_SQL = {"op7_source_mix": MIX_SQL, "op9_ngram_jaccard_join": NEAR_SQL, "op12_best_position_search": RANKED_SQL,
+              "op13_conversation_repair": conversation_repair.REPAIR_SQL}
