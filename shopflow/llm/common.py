@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Callable, Iterator
 
@@ -26,6 +27,8 @@ LOWER_KEYS[65:91] = BYTE_KEYS[97:123]
 #: Odd multipliers of the words of a shingle, by place; the last keeps short sequences apart.
 PLACE_KEYS = _rng.integers(1, 2**63, 9, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 POWER = np.uint64(6364136223846793007)
+#: Longer pieces are fingerprinted by BLAKE2: a polynomial modulo 2^64 maps some long strings to one value whatever its keys.
+LONG_PIECE = 64
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -104,6 +107,14 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, keys: np.n
                 step: int = 1 << 21) -> np.ndarray:
     """A 64-bit fingerprint of each word, in pieces of about `step` bytes whatever the length of a text."""
     out = np.zeros(len(start), np.uint64)
+    long = np.flatnonzero(end - start > LONG_PIECE)
+    if len(long):
+        short, lower = np.flatnonzero(end - start <= LONG_PIECE), keys[65] == keys[97]
+        out[short] = word_hashes(data, start[short], end[short], keys, step)
+        for j, a, b in zip(long.tolist(), start[long].tolist(), end[long].tolist(), strict=True):
+            piece = data[a:b].tobytes()
+            out[j] = int.from_bytes(hashlib.blake2b(piece.lower() if lower else piece, digest_size=8).digest(), "little")
+        return out
     i = 0
     while i < len(start):
         j = max(i + 1, int(np.searchsorted(end, start[i] + step)))

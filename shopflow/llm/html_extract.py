@@ -10,7 +10,7 @@ Reading is linear in the page; an element's ancestors are kept as a set of a bou
 nothing.  Scale: one pass over the pages without a shuffle; the model is a few hundred numbers.
 
 Defined cases.  Null or empty html, and pages without text, give an empty string.  Scripts, styles, templates, the head
-and comments are never text.  Unclosed and misnested tags close with their parent; a tag cut off at the end is dropped.
+and comments are never text.  The head ends at its end tag, at text, or at a start tag that can't stand in it.  Unclosed and misnested tags close with their parent; a tag cut off at the end is dropped.
 Character references are decoded once; white space inside a block becomes one space; <br> is white space.  Blocks are
 joined by two line feeds.  Pages are read one by one, so ties, repeated rows and other columns don't matter.
 """
@@ -36,6 +36,7 @@ NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                   "head header hgroup hr html label legend li main menu nav ol optgroup option p pre section select summary table tbody td textarea tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+HEAD = frozenset("base link meta noscript script style template title".split())
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 TAGS = ("article main section p li nav header footer aside form table blockquote pre figure figcaption h1 h2 h3 a button label div ul b td dl").split()
@@ -119,16 +120,25 @@ def blocks_of(page: str) -> list[Block]:
             block_places.pop()
         del stack[at:]
 
-    at = 0
-    for m in TOKEN.finditer(page):
-        if m.start() > at and not hidden:
+    def add(text: str) -> None:
+        nonlocal owner
+        if hidden and stack[-1][0] == "head" and text.strip():
+            close(places["head"][0])  # its end tag may be left out: text ends it
+        if not hidden:
             if not parts:
                 owner = stack[-1]
-            parts.append((page[at:m.start()], "tag:a" in stack[-1][1]))
+            parts.append((text, "tag:a" in stack[-1][1]))
+
+    at = 0
+    for m in TOKEN.finditer(page):
+        if m.start() > at:
+            add(page[at:m.start()])
         at = m.end()
         tag = (m["tag"] or m["tag2"] or "").lower()
         if not tag:
             continue
+        if hidden and tag not in HEAD and not (m["end"] or m["end2"]):
+            close(places["head"][0])  # so does what can't stand in it
         if tag == "br":
             parts.append((" ", False))
             continue
@@ -149,8 +159,6 @@ def blocks_of(page: str) -> list[Block]:
                         break
                 elif not (ends and stack[i][0] in ("tbody", "thead")):
                     break
-            if tag == "body" and hidden:
-                close(places["head"][0])
         if tag in VOID:
             continue
         own, main = _own(tag, m["attrs"] or m["attrs2"] or "")
@@ -161,10 +169,8 @@ def blocks_of(page: str) -> list[Block]:
             block_places.append(len(stack))
         stack.append((tag, up[1] | own if own - up[1] else up[1], n_elements if block else up[2], up[3] if main is None else main))
         hidden += tag == "head"
-    if at < len(page) and not hidden:
-        if not parts:
-            owner = stack[-1]
-        parts.append((page[at:], "tag:a" in stack[-1][1]))
+    if at < len(page):
+        add(page[at:])
     flush()
     return out
 

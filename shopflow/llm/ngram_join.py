@@ -79,7 +79,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     tune(spark)
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.unhex(F.sha2(text_col, 256)).alias("digest"))
     heavy, rank = frequent_shingles(docs, "text", k, FREQUENT)
 
     def prefixes(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -98,12 +98,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         light = np.bincount(row[order][inside & (place[order] == 0)], minlength=b.num_rows)
         node = pa.array(_node(row, token, size), mask=size == 0)
         return pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), pa.array(size.astype(np.int64)), node, pa.array(light.astype(np.int32)),
-             lists(token[order][inside].view(np.int64), keep, pa.int64())], ["doc_id", "n", "node", "light", "prefix"])
+            [b.column("doc_id"), b.column("digest"), pa.array(size.astype(np.int64)), node, pa.array(light.astype(np.int32)),
+             lists(token[order][inside].view(np.int64), keep, pa.int64())], ["doc_id", "digest", "n", "node", "light", "prefix"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    base = saved(map_batches(docs, prefixes, f"doc_id {kind}, n long, node long, light int, prefix array<long>"), "ngram_base")
-    sets = base.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("light").alias("light"), F.first("prefix").alias("prefix"))
+    base = saved(map_batches(docs, prefixes, f"doc_id {kind}, digest binary, n long, node long, light int, prefix array<long>"), "ngram_base")
+    sets = base.filter("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "digest")).alias("row"), F.first("n").alias("n"), F.first("light").alias("light"), F.first("prefix").alias("prefix"))
     posting = sets.select("node", "n", "light", F.posexplode("prefix").alias("pos", "token")) \
         .withColumn("tail", F.col("pos") >= F.col("light"))
     # by shingle once: the count and the rows meet in the same partitions; frequent shingles are counted ahead of any shuffle
@@ -131,6 +131,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of docs for each near-duplicate class: that of least id, null last, then of least text digest.
+
+    Rows that agree in both are told apart by the JSON of all their columns, the least of which stays.
+    """
+    key = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.sha2(F.coalesce(text_col, F.lit("")), 256).alias("digest"))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"), F.col(text_col).alias("text"))
+    stay = near_duplicates(keyed, "key", "text", **options).filter("doc_id = component_id").groupBy(F.col("doc_id").alias("of")).agg(F.count("*").alias("n"))
+    rows = keyed.join(saved(stay, "ngram_stay"), F.col("key") == F.col("of")).select("key", "n", "row")
+    one = rows.filter("n = 1").select("row").unionByName(rows.filter("n > 1").groupBy("key").agg(F.min_by("row", F.to_json("row")).alias("row")).select("row"))
+    return one.select("row.*")
+
+
 def _candidates(shared: DataFrame, label: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different classes that share l shingles of their l-prefixes."""
     reach = lambda n, m: f"cast(ceil({percent} * ({n} + {m}) / {100 + percent}.0) as int)"
@@ -162,21 +175,21 @@ def _candidates(shared: DataFrame, label: DataFrame, percent: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, percent: int, name: str) -> DataFrame:
-    """The pairs whose whole sets link.  Texts come by doc_id, and count only where they give the wanted node."""
+    """The pairs whose whole sets link.  A node's text comes from one row of it, found by doc_id and digest, so rows
+    without id and of one id are told apart."""
     pairs = saved(pairs, name + "_pairs")
     wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct() \
-        .join(sets.select("node", "doc_id"), "node")
+        .join(sets.select("node", F.col("row.doc_id").alias("of_id"), F.col("row.digest").alias("of_digest")), "node")
 
     def tokens(b: pa.RecordBatch) -> pa.RecordBatch:
         row, token = _tokens(b, "text", k)
         size = np.bincount(row, minlength=b.num_rows)
-        node = _node(row, token, size)
         ends = np.concatenate([[0], np.cumsum(size)])
-        raw = [token[ends[i]:ends[i + 1]].tobytes() if node[i] == want else None for i, want in enumerate(b.column("node").to_pylist())]
+        raw = [token[ends[i]:ends[i + 1]].tobytes() for i in range(b.num_rows)]
         return pa.RecordBatch.from_arrays([b.column("node"), pa.array(raw, pa.binary())], ["node", "tokens"])
 
-    full = docs.alias("d").join(wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))).select("w.node", "d.text")
-    full = saved(map_batches(full, tokens, "node long, tokens binary").filter("tokens is not null").dropDuplicates(["node"]), name + "_sets")
+    full = docs.join(wanted, (F.col("digest") == F.col("of_digest")) & F.col("doc_id").eqNullSafe(F.col("of_id"))).select("node", "text").dropDuplicates(["node"])
+    full = saved(map_batches(full, tokens, "node long, tokens binary"), name + "_sets")
 
     def linked(b: pa.RecordBatch) -> pa.RecordBatch:
         ok = []

@@ -80,7 +80,7 @@ def proposals(text: str) -> Iterator[tuple[str, int, int]]:
     for start, end in emails(text):
         yield "email", start, end
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p := part.lstrip("0")) <= 3 and int(p or "0") <= 255 for part in m[0].split(".")):
             yield "ip", *m.span()
     for m in CARD.finditer(text):
         if 12 <= m.end() - m.start() <= 37 and 12 <= len(d := m[0].replace(" ", "").replace("-", "")) <= 19 and luhn(d):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -40,7 +41,7 @@ def pii(text: str | None) -> list[tuple[str, int, int]]:
     for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
         out.append(("email", *m.span()))
     for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
-        if all(int(p) <= 255 for p in m[0].split(".")):
+        if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split(".")):
             out.append(("ip", *m.span()))
     for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
         d = [int(c) for c in m[0] if c.isdigit()]
@@ -115,10 +116,12 @@ def mix(rows: list[tuple[int | None, str | None, str | None]], seed: str, weight
             break
         full |= new
     target = {s: 2.0 * total[s] if s in full else weight[s] * level for s in order}
-    out = []
-    for (doc_id, _, s), n in zip(rows, size, strict=True):
+    out, nth = [], Counter()
+    for (doc_id, t, s), n in zip(rows, size, strict=True):
         rate = target[s] / total[s] if total[s] else 0
-        draw = int(hashlib.md5(f"{seed}:{'null' if doc_id is None else doc_id}".encode()).hexdigest()[:13], 16) / 16 ** 13
+        key = f"{'null' if doc_id is None else doc_id}:{hashlib.md5((t or '').encode()).hexdigest()}"
+        draw = int(hashlib.md5(f"{seed}:{key}:{nth[key, s]}:{'null' if s is None else s}".encode()).hexdigest()[:13], 16) / 16 ** 13
+        nth[key, s] += 1
         out.append((n, total[s], target[s], (int(rate) + (draw < rate - int(rate))) * n))
     return out
 
@@ -207,3 +210,26 @@ def repairs(rows: list[tuple]) -> dict:
         *counts, lines = repair(own)
         out[conv_id] = (*counts, hashlib.sha256("\n".join(lines).encode()).hexdigest())
     return out
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def ranking(docs: list[tuple], items: list[tuple], k: int = 10) -> list[tuple]:
+    """(item_id, rank, doc_id, score), every document scored for every item."""
+    counts = [Counter(TERM.findall(lower(t or ""))) for _, t in docs]
+    n_docs, total = sum(1 for c in counts if c), sum(sum(c.values()) for c in counts)
+    df = Counter(t for c in counts for t in c)
+    out = []
+    for item_id, text in items:
+        found = []
+        for (doc_id, _), c in zip(docs, counts, strict=True):
+            n = sum(c.values())
+            score = 0
+            for t in set(TERM.findall(lower(text or ""))) & set(c):
+                w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                score += w * (1000000000 * c[t] // (1000 * c[t] + 8 * (100 - 90 + 90 * n * n_docs // total)))
+            if score > 0:
+                found.append((-score, doc_id is None, doc_id or 0, doc_id))
+        out += [(item_id, i + 1, x[3], -x[0]) for i, x in enumerate(sorted(found, key=lambda x: x[:3])[:k])]
+    return out

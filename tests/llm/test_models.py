@@ -182,3 +182,11 @@ def test_end_tags_reach_over_many_open_elements_and_digits_count_everywhere():
     assert "tag:b" in blocks[2].marks and "tag:b" not in blocks[3].marks
     late = html_extract.Block("word " * 40 + "7" * 600, 0, frozenset(), 0, 0)
     assert html_extract.FEATURES["digits"] in html_extract.features([late])[0]
+
+
+def test_a_head_without_end_tag_ends_where_the_text_begins():
+    read = lambda page: [b.text for b in html_extract.blocks_of(page)]
+    for page in ("<html><head><title>x</title><article><p>One.</p></article>", "<html><head><title>x</title><meta charset=utf-8><link rel=a>One.",
+                 "<head><style>p{}</style><script>1</script></head><p>One.", "<head><title>x</title><body><p>One.", "<head> <title>x</title>\n <br>One.",
+                 "<head><title>x</title></head>One.", "<html><head><noscript><p>n</p></noscript><base href=x><div>One.</div>"):
+        assert read(page) == ["One."], page

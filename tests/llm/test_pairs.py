@@ -55,6 +55,32 @@ def test_longer_prefixes_lose_no_link(make, text, monkeypatch):
         assert _counted(ngram_join.near_duplicates(make(rows)).collect()) == _near(rows)[1]
 
 
+def test_rows_without_id_and_of_one_id(make, text):
+    """20,000 rows without id and 20,000 of one id, each with one near copy, and copies of one row: texts are fetched row by row."""
+    rows = [(doc_id, t) for doc_id in (None, 5) for i in range(10_000) for t in (f"{i} {doc_id} " + text(i % 500, 12), f"{i} {doc_id} " + text(i % 500, 12) + " end")]
+    rows += [(None, text(7, 60))] * 2000 + [(9, text(7, 60) + " end")]
+    got = {(r["doc_id"], r["component_id"]): r["count"] for r in ngram_join.near_duplicates(make(rows)).groupBy("doc_id", "component_id").count().collect()}
+    assert got == {(None, None): 20_000, (5, 5): 20_000, (None, 9): 2000, (9, 9): 1}
+
+
+def test_long_words_that_a_polynomial_confuses(make):
+    """Thue-Morse words and their complements agree modulo 2^64 under any base."""
+    t = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    swapped = t.translate(str.maketrans("ab", "ba"))
+    rows = [(1, t), (2, swapped), (3, t.upper()), (4, f"{t} {swapped} one two three"), (5, f"{swapped} {t} one two three")]
+    assert _counted(ngram_join.near_duplicates(make(rows)).collect()) == _near(rows)[1]
+
+
+def test_representatives_of_rows_without_id_and_of_one_id(make, text):
+    a, b, c = text(1, 80), text(2, 80), text(3, 80)
+    rows = [(1, a), (1, _edited(a, 1, 1)), (None, _edited(a, 1, 2)), (None, b), (None, _edited(b, 1, 3)), (7, c), (7, c), (7, _edited(c, 1, 4)), (8, ""), (8, None), (9, "")]
+    rows = [(*r, None, "s", i % 2) for i, r in enumerate(rows)]
+    got = ngram_join.representatives(make(rows, clash=True)).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == ["1", "7", "8", "9", "None"]
+    again = ngram_join.representatives(make(rows[::-1], clash=True)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+
+
 def test_near_duplicates_of_nothing(make):
     assert ngram_join.near_duplicates(make([])).count() == 0
     assert [tuple(r) for r in ngram_join.near_duplicates(make([(1, None), (2, "")])).orderBy("doc_id").collect()] == [(1, 0, 1), (2, 0, 2)]
@@ -184,6 +210,14 @@ def test_mix_matches_brute_force(make, hard_rows, text):
     assert all(r["taken"] <= 2 * r["size"] for r in got)
 
 
+def test_mix_meets_its_targets_without_ids(make, text):
+    """Rows without id, of one id, and equal rows are drawn one by one."""
+    rows = [(None, text(i, 20), None, f"s{i % 3}", None) for i in range(1500)] + [(4, text(i, 20), None, f"s{i % 3}", None) for i in range(1500)]
+    rows += [(None, "eight words that are all the same here", None, "same", None)] * 3000
+    out = mixing.with_copies(make(rows)).groupBy("source").agg(F.first("__mix.target").alias("target"), F.sum("__mix.taken").alias("taken")).collect()
+    assert all(abs(r["taken"] - r["target"]) < 0.05 * r["target"] for r in out) and len(out) == 4
+
+
 def test_mix_emits_the_copies_and_handles_nothing(make, text):
     docs = make([(i, text(i, 20), None, f"s{i % 3}", None) for i in range(90)])
     taken = {r["doc_id"]: r["copies"] for r in mixing.with_copies(docs).select("doc_id", "__mix.copies").collect()}
