@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from shopflow.llm.common import saved, table
 from shopflow.llm.decontaminate import without_leaks
 from shopflow.llm.mixing import mixed_documents
-from shopflow.llm.ngram_join import near_duplicates
+from shopflow.llm.ngram_join import representatives
 from shopflow.llm.pii import masked_text
 from shopflow.llm.quality_rules import judged
 
@@ -22,10 +22,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least doc_id of each near-duplicate class; rows without doc_id stay once per text."""
-    stay = near_duplicates(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("__stay")).distinct()
-    one = docs.join(stay, F.col("doc_id") == F.col("__stay"), "left_semi").dropDuplicates(["doc_id", "text"])
-    return one.unionByName(docs.filter("doc_id is null").dropDuplicates(["text"]))
+    """The document of least doc_id of each near-duplicate class, null last; equal rows are one."""
+    return representatives(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
