@@ -19,6 +19,9 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Rows in an Arrow batch; texts are long, so a batch holds a few megabytes.
 BATCH_ROWS = 512
 
+#: Characters of a text that a fit reads at most, so that a sample of rows is bounded in bytes as well.
+FIT_CHARS = 20_000
+
 _rng = np.random.default_rng(20240601)
 #: A random 64-bit value for each byte, and the same with A-Z read as a-z.
 BYTE_KEYS = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -4,7 +4,7 @@ A text is cut into spans of SPAN bytes, each read left to right and right to lef
 position, and the document's probabilities are the mean of its positions' log probabilities, normalised.  All spans of a
 batch run side by side, one time step after another, so the work is matrix products of a bounded size.
 
-Scale.  Fitting uses at most MAX_LABELLED rows of least hash; every byte of every text is read, in pieces of PIECE spans,
+Scale.  Fitting uses at most MAX_LABELLED rows of least hash, and FIT_CHARS characters of each; every byte of every text is read, in pieces of PIECE spans,
 in one pass without a shuffle.
 
 Defined cases.  Null texts, and texts without a letter, are `und` with score 0.  Rows without lang, or held out, are not
@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mixed, tune, utf8
+from .common import FIT_CHARS, mixed, tune, utf8
 
 SPAN = 64
 HIDDEN, EMBED = 8, 8
@@ -214,7 +214,7 @@ def train(docs: DataFrame, max_labelled: int = MAX_LABELLED) -> Model | None:
     known = docs.filter("lang is not null and text is not null and doc_id is not null").filter(~held_out())
     # the ids first: a sort of whole texts would move them all
     pick = known.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled).distinct()
-    rows = known.select("doc_id", "lang", "text").join(F.broadcast(pick), "doc_id").toArrow()
+    rows = known.select("doc_id", "lang", F.substring("text", 1, FIT_CHARS).alias("text")).join(F.broadcast(pick), "doc_id").toArrow()
     order = np.lexsort((rows.column("lang").to_numpy(zero_copy_only=False).astype(str), mixed(rows.column("doc_id").to_numpy().astype(np.uint64)))) if len(rows) else []
     return fit(rows.column("text").combine_chunks().take(pa.array(order)) if len(order) else pa.array([], pa.string()),
                rows.column("lang").to_numpy(zero_copy_only=False).astype(str)[order] if len(order) else np.array([], str))
