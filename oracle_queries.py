@@ -355,10 +355,6 @@ FROM events WHERE ts >= TIMESTAMP '2024-01-15'"""
 SELECT event_type, count(*) AS stored
 FROM (SELECT DISTINCT event_type, "timestamp", session_id FROM q_checked WHERE reason IS NULL)
 GROUP BY event_type""")
-    q["land_events_stream"] = with_model(f"""{RAW_EVENTS_SQL}
-SELECT date_trunc('second', "timestamp") AS "timestamp", user_id, session_id, event_type, device,
-       url_path, k AS duration_sec, 200 AS http_status
-FROM q_checked WHERE reason IS NULL AND event_type = 'page_view'""")
     q["additive_report_stream"] = q["merge_additive"]
     q["stream_static_top_products"] = with_model("""
 q_bare AS (SELECT product_id, CASE WHEN bare THEN NULL ELSE name END AS name, CASE WHEN bare THEN NULL ELSE price END AS price,
@@ -450,6 +446,39 @@ SELECT topic, schema_id, count(*) AS n FROM q_all JOIN (VALUES
     q["land_events"] = f"""{every}
 SELECT event_type, count(*) AS n, CAST(sum(CAST(epoch(ts) AS BIGINT) % 1000) AS BIGINT) AS time_sum
 FROM (SELECT DISTINCT event_type, user_id, session_id, date_trunc('second', "timestamp") AS ts FROM q_all) GROUP BY 1"""
+    q["land_events_stream"] = f"""{every}
+SELECT DISTINCT event_type, user_id, session_id, date_trunc('second', "timestamp") AS "timestamp",
+       CAST(NULL AS VARCHAR) AS device, CAST(NULL AS VARCHAR) AS url_path, CAST(NULL AS INTEGER) AS duration_sec, CAST(NULL AS INTEGER) AS http_status
+FROM q_all WHERE event_type <> 'page_view'
+UNION ALL SELECT event_type, user_id, session_id, date_trunc('second', "timestamp"), device, url_path, k, 200
+FROM q_checked WHERE reason IS NULL AND event_type = 'page_view'"""
+    q["landing_bucketed"] = with_model("""
+SELECT order_id, user_id, created_at, CASE WHEN _pos % 3 <> 0 THEN CAST(total AS DOUBLE) END AS total, status, payment_method FROM m_orders""")
+    q["land_tables_stream"] = with_model("""
+q_keys AS (SELECT *, CAST(substr(row_key, 2) AS BIGINT) % 2 = 0 AS c FROM (
+  SELECT 'users' AS table_name, user_id AS row_key, device AS v FROM m_users
+  UNION ALL SELECT 'products', product_id, CAST(inventory AS VARCHAR) FROM m_products
+  UNION ALL SELECT 'orders', order_id, payment_method FROM m_orders))
+SELECT table_name, row_key, CASE WHEN NOT c THEN v WHEN table_name = 'users' THEN 'tablet' WHEN table_name = 'orders' THEN 'paypal'
+       ELSE CAST(CAST(v AS INTEGER) + 1 AS VARCHAR) END AS landed_value FROM q_keys""")
+    q["funnel_state_stream"] = with_model(f"""q_counts AS ({FUNNEL_COUNTS_SQL})
+{FUNNEL_SELECT}
+WHERE searches + product_views + add_to_cart_events + checkout_starts + purchases > 0""")
+    q["distinct_users_sketch"] = with_model("""
+SELECT CAST(created_at AS DATE) AS report_date, count(DISTINCT user_id) AS purchasing_users, true AS within_bound
+FROM m_orders WHERE status = 'completed' AND user_id IS NOT NULL GROUP BY 1""")
+    q["scan_jsonl_events"] = with_model(f"""{RAW_EVENTS_SQL}
+SELECT 'valid' AS outcome, event_type AS what, count(*) AS n FROM q_checked WHERE reason IS NULL GROUP BY 2
+UNION ALL SELECT 'rejected', reason, count(*) FROM q_checked WHERE reason IS NOT NULL GROUP BY 2""")
+    q["scan_day_lines"] = """
+SELECT strftime(ts, '%Y%m%d') AS day, count(*) AS n_lines FROM events GROUP BY 1 UNION ALL SELECT '19700101', 0"""
+    q["incomplete_files"] = """
+SELECT count(*) AS n_files, count(*) FILTER (WHERE day % 3 = 0) AS n_incomplete
+FROM (SELECT DISTINCT CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS day FROM events)"""
+    q["declared_tables"] = """
+SELECT t AS table_name, step, CASE WHEN step IN ('declared', 'reset') THEN 0 ELSE n END AS n
+FROM (SELECT 'users' AS t, count(*) AS n FROM customer UNION ALL SELECT 'products', count(*) FROM part UNION ALL SELECT 'orders', count(*) FROM orders),
+     (VALUES ('declared'), ('loaded'), ('reset'), ('reloaded')) s(step)"""
     q["ledger_rows"] = with_model(f"""{RAW_EVENTS_SQL}
 SELECT count(*) AS records_inserted, 1 AS empty_files
 FROM (SELECT DISTINCT event_type, "timestamp", session_id FROM q_checked WHERE reason IS NULL)""")

@@ -15,7 +15,7 @@ from shopflow.functions import columns as fc
 from shopflow.operators import clean, envelope, merge
 from shopflow.operators import events as ev_ops
 from shopflow.plans import landing, load, reports
-from shopflow.schemas import EVENT_TOPICS, EVENT_TYPES, FUNNEL_COUNTS, TABLE_TOPICS, payload_type
+from shopflow.schemas import EVENT_TOPICS, EVENT_TYPES, FUNNEL_COUNTS, MASTER_SCHEMAS, PRIMARY_KEYS, TABLE_TOPICS, payload_type
 from shopflow.session import work_path
 from shopflow.sinks import state, tables
 from shopflow.sinks.topics import publish
@@ -469,6 +469,67 @@ def q_file_stream_new_only(spark, d):
     return drivers.read_store(spark, store).groupBy("event_type").agg(F.count(F.lit(1)).alias("stored"))
 
 
+@query("scan_jsonl_events")
+def q_scan_jsonl_events(spark, d):
+    """Session files scanned as JSON lines and validated; valid lines
+    per type, and rejected ones by reason."""
+    folder = work_path(spark, "jsonl", fresh=True)
+    _write_session_files(dt.raw_event_lines(spark, d), folder)
+    valid, rejects = ev_ops.validate_events(files.scan_jsonl(spark, folder, "*.txt"), with_line_numbers=False)
+    return valid.groupBy(F.lit("valid").alias("outcome"), F.col("event_type").alias("what")).agg(F.count(F.lit(1)).alias("n")) \
+        .unionByName(rejects.groupBy(F.lit("rejected").alias("outcome"), F.col("reason").alias("what")).agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("scan_day_lines")
+def q_scan_day_lines(spark, d):
+    """A4: the files of each day of the month, scanned day by day, and of a day
+    that has none."""
+    folder = work_path(spark, "days", fresh=True)
+    lines = dt.raw_event_lines(spark, d)
+    day = F.regexp_extract("source_file", r"sessions_(\d{8})_", 1)
+    lines.select("value", F.concat(day, F.lit("_feed.json")).alias("sessions")).write.partitionBy("sessions").text(folder)
+    days = sorted(r[0] for r in lines.select(day).distinct().collect())  # a few dozen
+    out = None
+    for day in [*days, "19700101"]:
+        got = files.scan_day(spark, folder, day, prefix="sessions=").agg(F.count(F.lit(1)).alias("n_lines")).select(F.lit(day).alias("day"), "n_lines")
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+@query("incomplete_files")
+def q_incomplete_files(spark, d):
+    """Session files, some of which a reader gave up before their last
+    line; how many files there are and how many are reported."""
+    folder = work_path(spark, "cut", fresh=True)
+    lines = dt.raw_event_lines(spark, d)
+    lines.withColumn("day", F.regexp_extract("source_file", r"sessions_(\d{8})_", 1)).select("value", "day").repartition("day").write.partitionBy("day").text(folder)
+    read = files.scan_jsonl(spark, folder, "*.txt")
+    day = F.regexp_extract("_file", r"day=(\d{8})", 1).cast("int")
+    last = read.groupBy("_file").agg(F.max("_row").alias("_last"))
+    cut = read.join(last, "_file").filter((day % 3 != 0) | (F.col("_row") < F.col("_last"))).drop("_last")
+    report = files.incomplete_files(cut).agg(F.count(F.lit(1)).alias("n_incomplete"))
+    return read.agg(F.count_distinct("_file").alias("n_files")).crossJoin(report)
+
+
+@query("declared_tables")
+def q_declared_tables(spark, d):
+    """The three master tables declared, loaded, reset to empty and loaded
+    again; rows after each step."""
+    root, out = work_path(spark, "declared", fresh=True), None
+    for name, df in (("users", dt.users(spark, d)), ("products", dt.products(spark, d)), ("orders", dt.orders(spark, d))):
+        path = f"{root}/{name}"
+        rows = df.select(*MASTER_SCHEMAS[name].fieldNames())
+        tables.reset_table(spark, path, MASTER_SCHEMAS[name])
+        tables.write_version(rows, path)
+        tables.reset_table(spark, path, MASTER_SCHEMAS[name])
+        tables.write_version(rows, path)
+        for version, step in enumerate(("declared", "loaded", "reset", "reloaded")):
+            n = tables.read_version(spark, path, MASTER_SCHEMAS[name], version).agg(F.count(F.lit(1)).alias("n"))
+            got = n.select(F.lit(name).alias("table_name"), F.lit(step).alias("step"), "n")
+            out = got if out is None else out.unionByName(got)
+    return out
+
+
 @query("ledger_rows")
 def q_ledger_rows(spark, d):
     """The ledger that the ingest stream leaves: one row per file read,
@@ -514,20 +575,61 @@ def q_stream_dedupe(spark, d):
 
 @query("land_events_stream")
 def q_land_events_stream(spark, d):
-    """Validated page views published to a file topic in three
-    deliveries, landed by a stream into the landing log, read last-wins per
-    (user, session, second)."""
+    """The valid events of all ten types published to their topics
+    in three deliveries, landed by one stream over the topics into a log each,
+    read last-wins per (user, session, second)."""
     root = work_path(spark, "landing", fresh=True)
-    topics, log, ckpt = f"{root}/topics", f"{root}/log", f"{root}/ckpt"
-    path = f"{root}/valid"
-    _validated(spark, d)[0].drop("_seq", "ingestion").write.partitionBy("event_type").parquet(path)
-    valid = spark.read.parquet(path).filter(F.col("event_type") == "page_view")
+    topics, logs = f"{root}/topics", f"{root}/logs"
+    valid = _all_valid(spark, d)
     day = F.dayofmonth("timestamp")
     for i, part in enumerate([day < 11, (day >= 11) & (day < 21), day >= 21]):
-        publish(_event_messages(valid.filter(part), "page_view"), EVENT_TOPICS["page_view"], root=topics, batch_id=i)
-    drivers.run(lambda: drivers.land_stream(spark, EVENT_TOPICS["page_view"], "event", log, ckpt, topics,
-                                            name="page_view", max_files_per_trigger=2))
-    return drivers.read_landing(spark, log, drivers.EVENT_KEYS)
+        for event_type, topic in EVENT_TOPICS.items():
+            publish(_event_messages(valid.filter(part), event_type), topic, root=topics, batch_id=i)
+    drivers.run(lambda: drivers.land_topics_stream(spark, {t: ("event", e) for e, t in EVENT_TOPICS.items()}, logs, f"{root}/ckpt", topics,
+                                                   max_files_per_trigger=60))
+    out = None
+    for event_type in EVENT_TOPICS:
+        more = ["device", "url_path", "duration_sec", "http_status"] if event_type == "page_view" else []
+        got = drivers.read_landing(spark, f"{logs}/{event_type}", drivers.EVENT_KEYS).select("event_type", *drivers.EVENT_KEYS, *more)
+        out = got if out is None else out.unionByName(got, allowMissingColumns=True)
+    return out
+
+
+@query("landing_bucketed")
+def q_landing_bucketed(spark, d):
+    """Orders published twice, changed the second time, landed by a
+    stream into a log bucketed by the key; the last delivery of each key is
+    read without a shuffle."""
+    root = work_path(spark, "bucketed", fresh=True)
+    topics, topic, log = f"{root}/topics", TABLE_TOPICS["orders"], f"{root}/log"
+    o = dt.orders(spark, d)
+    for i, df in enumerate((o, o.withColumn("total", F.lit(None).cast("decimal(10,2)")).filter(fc.id_number("order_id") % 3 == 0))):
+        publish(envelope.encode(df, "order_id", 3, columns=df.columns), topic, root=topics, batch_id=i)
+    drivers.run(lambda: drivers.land_bucketed_stream(spark, topic, "orders", log, f"{root}/ckpt", topics, max_files_per_trigger=4))
+    return drivers.read_bucketed_landing(spark, "orders", log)
+
+
+@query("land_tables_stream")
+def q_land_tables_stream(spark, d):
+    """Users, products and orders published twice, changed the second
+    time, and landed by one stream over the three topics; the last delivery of
+    each key."""
+    root = work_path(spark, "landing_tables", fresh=True)
+    topics, logs = f"{root}/topics", f"{root}/logs"
+    tables_ = {"users": dt.users(spark, d), "products": dt.products(spark, d), "orders": dt.orders(spark, d)}
+    change = {"users": {"device": F.lit("tablet")}, "products": {"inventory": F.col("inventory") + 1}, "orders": {"payment_method": F.lit("paypal")}}
+    for i in range(2):
+        for schema, (name, df) in enumerate(tables_.items(), 1):
+            df = df.withColumns(change[name]).filter(fc.id_number(PRIMARY_KEYS[name]) % 2 == 0) if i else df
+            publish(envelope.encode(df, PRIMARY_KEYS[name], schema, columns=df.columns), TABLE_TOPICS[name], root=topics, batch_id=i)
+    drivers.run(lambda: drivers.land_topics_stream(spark, {t: ("master", n) for n, t in TABLE_TOPICS.items()}, logs, f"{root}/ckpt", topics,
+                                                   max_files_per_trigger=4))
+    value = {"users": F.col("device"), "products": F.col("inventory").cast("string"), "orders": F.col("payment_method")}
+    out = None
+    for name, key in PRIMARY_KEYS.items():
+        got = drivers.read_landing(spark, f"{logs}/{name}", [key]).select(F.lit(name).alias("table_name"), F.col(key).alias("row_key"), value[name].alias("landed_value"))
+        out = got if out is None else out.unionByName(got)
+    return out
 
 
 def _streamed(spark, df, root, n, *by):
@@ -565,6 +667,32 @@ def q_loyalty_stream(spark, d):
     return drivers.read_loyalty(spark, f"{root}/deltas")
 
 
+@query("funnel_state_stream")
+def q_funnel_state_stream(spark, d):
+    """K4/K6/K7: the funnel kept in the state store; the stream is stopped
+    midway and goes on from its checkpoint with the files that came since."""
+    root = work_path(spark, "funnel_state", fresh=True)
+    ev = dt.behavior_events(spark, d).drop("_pos")
+    for part in (F.dayofmonth("timestamp") % 2 == 0, F.dayofmonth("timestamp") % 2 == 1):
+        stream = _streamed(spark, ev.filter(part), root, 3)
+        drivers.run(lambda s=stream: drivers.funnel_state_stream(spark, s, f"{root}/days", f"{root}/ckpt"))
+    return drivers.read_funnel_state(spark, f"{root}/days")
+
+
+@query("distinct_users_sketch")
+def q_distinct_users_sketch(spark, d):
+    """Purchasing users per day from sketches that a stream left in several
+    micro-batches, beside the exact count: within three standard errors."""
+    root = work_path(spark, "sketches", fresh=True)
+    stream = _streamed(spark, dt.orders(spark, d), root, 6, "order_id")
+    drivers.run(lambda: drivers.user_sketch_stream(stream, f"{root}/deltas", f"{root}/ckpt"))
+    exact = reports.count_pairs(drivers.read_deltas(spark, f"{root}/deltas", "pairs").distinct())
+    estimate = reports.users_from_sketches(drivers.read_deltas(spark, f"{root}/deltas", "sketches"), "report_date")
+    off = F.abs(F.col("estimated_users") - F.col("purchasing_users"))
+    return exact.join(estimate, "report_date").select("report_date", "purchasing_users",
+                                                      (off <= 3 * reports.SKETCH_ERROR * F.col("purchasing_users")).alias("within_bound"))
+
+
 def _redelivered(spark, root, deliveries, n, start):
     """Deliveries one after the other, each as files of a stream that goes on
     from its checkpoint."""

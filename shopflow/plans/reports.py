@@ -84,6 +84,22 @@ def sales_from_signed(sums: DataFrame, pairs: DataFrame) -> DataFrame:
     return sales_from_parts(sums, left).filter("order_count > 0")
 
 
+#: log2 of the buckets of a distinct sketch, and its relative standard error.
+SKETCH_BITS = 12
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def user_sketches(orders: DataFrame) -> DataFrame:
+    """A HyperLogLog sketch of each day's purchasing users."""
+    done = orders.filter((F.col("status") == "completed") & F.col("user_id").isNotNull())
+    return done.groupBy(F.to_date("created_at").alias("report_date")).agg(F.hll_sketch_agg("user_id", SKETCH_BITS).alias("sketch"))
+
+
+def users_from_sketches(sketches: DataFrame, *by: str) -> DataFrame:
+    """Estimated distinct users of the united sketches, by day or coarser."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimated_users"))
+
+
 def count_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("report_date").agg(F.count(F.lit(1)).alias("purchasing_users"))
 
@@ -183,6 +199,12 @@ def behavior_funnel_daily(events: DataFrame, ordered: bool = True) -> DataFrame:
     return out.orderBy("report_date") if ordered else out
 
 
+def funnel_counts(events: DataFrame, *by: Column) -> DataFrame:
+    """The five funnel counts by any columns, as of a day or a window."""
+    flags = _funnel_flags()
+    return events.filter(F.col("event_type").isin(*FUNNEL_TYPES)).groupBy(*by).agg(*[F.count_if(flags[c]).alias(c) for c in FUNNEL_COUNTS])
+
+
 def funnel_deltas(events: DataFrame) -> DataFrame:
     """The additive form: the delta rows of the five event tables (each with
     its own measure, zeros elsewhere), from one pass over the events."""

@@ -140,14 +140,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def scan_day(spark: SparkSession, folder: str, ds: str, prefix: str = "sessions_") -> DataFrame:
-    """Raw lines of the files of one day: ``{prefix}{yyyymmdd}_*.json``.
+    """Raw lines of the files of one day: ``{prefix}{yyyymmdd}_*.json``; such a
+    name may also be a folder that Spark wrote.
 
     ``ds`` is ``YYYY-MM-DD`` or ``YYYYMMDD``.  No matching file -> an empty
     frame with the scan's columns (not an error).
     """
     day = re.sub(r"-", "", ds)
     pattern = f"{folder.rstrip('/')}/{prefix}{day}_*.json"
-    if not list_files(spark, pattern):
+    if not list_files(spark, pattern) and not list_folders(spark, pattern):
         schema = T.StructType([T.StructField("value", T.StringType()),
                                T.StructField("source_file", T.StringType()),
                                T.StructField("_file", T.StringType()),

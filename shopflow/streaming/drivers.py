@@ -14,7 +14,9 @@ read time.  Batches are bounded by ``maxFilesPerTrigger``.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shopflow.operators import events as ev_ops
 from shopflow.operators.merge import insert_if_absent, latest_by_key, signed_changes
 from shopflow.plans import landing, reports
-from shopflow.schemas import DEVICE_COUNTS, FUNNEL_COUNTS
+from shopflow.schemas import DEVICE_COUNTS, FUNNEL_COUNTS, LANDING_MASTER, PRIMARY_KEYS
 from shopflow.sinks import keyed, state
 from shopflow.sinks.tables import read_appended
 from shopflow.sources.files import add_row_id, delete_path, incomplete_files, list_folders, make_folder, path_exists, text_lines
@@ -174,6 +176,27 @@ def land_stream(spark: SparkSession, topic: str, kind: str, log: str, checkpoint
     return _started(src, handle, checkpoint, available_now)
 
 
+def land_topics_stream(spark: SparkSession, topics: dict[str, tuple[str, str]], logs: str, checkpoint: str, root: str | None,
+                       max_files_per_trigger: int = FILES_PER_TRIGGER, available_now: bool = True, backend: str = "files",
+                       servers: str | None = None) -> StreamingQuery:
+    """One stream over many topics, each landed in its own log ``<logs>/<name>``
+    (see ``land_stream``).  ``topics``: topic -> (kind, name).  A micro-batch is
+    read once; only the logs of topics that it has messages of are written."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        for topic in sorted(r["topic"] for r in batch.select("topic").distinct().collect()):  # of the given few
+            kind, name = topics[topic]
+            messages = batch.filter(F.col("topic") == topic)
+            rows, rejects = landing.decode_master(messages, name) if kind == "master" else landing.decode_events(messages, name)
+            write_batch(rows.withColumnRenamed("batch_id", "delivery_batch"), f"{logs}/{name}", batch_id)
+            write_batch(rejects.withColumnRenamed("batch_id", "delivery_batch"), f"{logs}/{name}_rejects", batch_id)
+        batch.unpersist()
+
+    src = topic_source(spark, sorted(topics), backend=backend, root=root, stream=True, servers=servers, max_files_per_trigger=max_files_per_trigger)
+    return _started(src, handle, checkpoint, available_now)
+
+
 def read_landing(spark: SparkSession, log: str, keys: list[str]) -> DataFrame:
     """Last delivered row per key over the landing log (read-time merge)."""
     df = spark.read.parquet(log)
@@ -182,6 +205,54 @@ def read_landing(spark: SparkSession, log: str, keys: list[str]) -> DataFrame:
     return latest_by_key(body, keys, "_d").drop("_d")
 
 
+#: Buckets of a bucketed landing log.
+LOG_BUCKETS = 16
+
+
+def bucketed_log(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], buckets: int = LOG_BUCKETS) -> str:
+    """The name of the table over a log in key buckets, declared if this session
+    has not; its partitions are the batches."""
+    name = "log_" + hashlib.md5(path.encode()).hexdigest()[:16]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    by = ", ".join(f"`{k}`" for k in keys)
+    make_folder(spark, path)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}, batch_id BIGINT) USING parquet PARTITIONED BY (batch_id) "
+              f"CLUSTERED BY ({by}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    spark.catalog.recoverPartitions(name)
+    return name
+
+
+def _log_schema(table: str) -> T.StructType:
+    return T.StructType([*LANDING_MASTER[table].fields, T.StructField("delivery_batch", T.LongType()), T.StructField("partition", T.IntegerType()),
+                         T.StructField("offset", T.LongType())])
+
+
+def land_bucketed_stream(spark: SparkSession, topic: str, table: str, log: str, checkpoint: str, root: str | None,
+                         max_files_per_trigger: int = FILES_PER_TRIGGER, available_now: bool = True, buckets: int = LOG_BUCKETS) -> StreamingQuery:
+    """As ``land_stream`` for a table topic, into a log bucketed by its key: what
+    a batch shuffles once when it is written, no read shuffles again."""
+    schema, keys = _log_schema(table), [PRIMARY_KEYS[table]]
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        rows, rejects = landing.decode_master(batch, table)
+        name = bucketed_log(spark, log, schema, keys, buckets)
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (batch_id = {batch_id})")
+        delete_path(spark, f"{log}/batch_id={batch_id}")  # of an earlier attempt
+        (rows.withColumnRenamed("batch_id", "delivery_batch").select(*schema.fieldNames(), F.lit(batch_id).cast("bigint").alias("batch_id"))
+         .repartition(buckets, *keys).write.mode("append").insertInto(name))
+        write_batch(rejects.withColumnRenamed("batch_id", "delivery_batch"), f"{log}_rejects", batch_id)
+
+    return _started(topic_source(spark, topic, root=root, stream=True, max_files_per_trigger=max_files_per_trigger), handle, checkpoint, available_now)
+
+
+def read_bucketed_landing(spark: SparkSession, table: str, log: str, buckets: int = LOG_BUCKETS) -> DataFrame:
+    """Last delivered row per key; the buckets are already apart."""
+    keys = [PRIMARY_KEYS[table]]
+    df = spark.table(bucketed_log(spark, log, _log_schema(table), keys, buckets))
+    body = df.withColumn("_d", F.struct("delivery_batch", "partition", "offset")).drop("batch_id", "delivery_batch", "partition", "offset")
+    return latest_by_key(body, keys, "_d").drop("_d")
+
+
 EVENT_KEYS = ["user_id", "session_id", "timestamp"]
 
 
@@ -251,6 +322,57 @@ def read_funnel(spark: SparkSession, deltas: str) -> DataFrame:
     return reports.funnel_from_deltas(keep)
 
 
+# -- K4/K6/K7: aggregates kept in the state store ---------------------------------------------
+
+#: Settings of a stateful query: RocksDB holds the state on disk, and a batch checkpoints only what it changed.
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+               "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+
+
+@contextmanager
+def state_store(spark: SparkSession):
+    """The settings above for queries that are started inside; they keep them."""
+    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
+    for k, v in STATE_STORE.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def funnel_state_stream(spark: SparkSession, events: DataFrame, out: str, checkpoint: str, watermark: str = "60 days",
+                        available_now: bool = True) -> StreamingQuery:
+    """The daily funnel as a stateful aggregation: the running counts of each
+    day live in the state store, a micro-batch writes those of the days that it
+    touched, and no stored row is read again.  Days that the watermark has
+    passed leave the state; events later than that are dropped, so it has to
+    cover how late events come."""
+    days = reports.funnel_counts(events.withWatermark("timestamp", watermark), F.window("timestamp", "1 day").alias("_day")) \
+        .select(F.to_date("_day.start").alias("report_date"), *FUNNEL_COUNTS)
+    w = (days.writeStream.outputMode("update").foreachBatch(lambda batch, batch_id: write_batch(batch, out, batch_id))
+         .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    with state_store(spark):
+        return w.start()
+
+
+def read_funnel_state(spark: SparkSession, out: str) -> DataFrame:
+    """The last counts of each day, and the rates."""
+    last = latest_by_key(spark.read.parquet(out), ["report_date"], "batch_id").drop("batch_id")
+    return reports.with_funnel_rates(last.filter(F.greatest(*FUNNEL_COUNTS) > 0))
+
+
+# -- E4: mergeable sketches of distinct users ----------------------------------------------------
+
+def user_sketch_stream(orders: DataFrame, deltas: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Per micro-batch, a sketch of each day's purchasing users beside the exact
+    (day, user) pairs: sketches of a fixed size unite over batches, or over days
+    for a week, without the users."""
+    return delta_stream(orders, {"sketches": reports.user_sketches, "pairs": reports.sales_daily_pairs}, deltas, checkpoint, available_now)
+
+
 # -- B10/K4: reports under updates ---------------------------------------------------------
 
 def signed_batch(batch: DataFrame, batch_id: int, keys: list[str], order: list[str], parts: dict[str, Callable[[DataFrame], DataFrame]],
