@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +73,24 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
+def item_blocks(items: DataFrame, item_col: str, text_col: str, size: int) -> DataFrame:
+    """(block, at, item_id, text): the items in blocks of at most `size` characters, or one item."""
+    rows = items.select(F.col(item_col).alias("item_id"), F.coalesce(text_col, F.lit("")).alias("text"))
+
+    def run(batches):
+        block, at, held = TaskContext.get().partitionId() << 32, 0, 0
+        for b in batches:
+            blocks, places = [], []
+            for n in (len(x) for x in b.column("text").to_pylist()):
+                if held + n > size and at:
+                    block, at, held = block + 1, 0, 0
+                blocks.append(block)
+                places.append(at)
+                at, held = at + 1, held + n
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(places, pa.int64()), b.column("item_id"), b.column("text")], ["block", "at", "item_id", "text"])
+    return saved(rows.mapInArrow(run, f"block long, at long, item_id {rows.schema['item_id'].dataType.simpleString()}, text string"), "item_blocks")
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The column as Python strings; null becomes empty."""
     return [x or "" for x in batch.column(name).to_pylist()]

@@ -7,9 +7,10 @@ sum of the terms' largest impacts over all items, the same per block of items (b
 for what is left the cursors of block-max WAND.  A hit counts where the word triples of the item's question (all but the
 last sentence) and of its answer (the last one) overlap the passage enough.
 
-Scale.  Term statistics cover the whole benchmark and are counted in Spark.  The index goes to the tasks in blocks of at
-most INDEX_BYTES of item text, each of which all passages are searched against, however large the benchmark is.  The
-documents are read once per block and never shuffled.
+Scale.  Term statistics cover the whole benchmark and are counted in Spark.  The items lie in blocks of at most
+INDEX_BYTES of text; a task builds the index of a block, and all indexes lie in the shared folder.  A pass searches every
+passage against PASS_BLOCKS of them, which is all that the driver and a task hold at a time, so the benchmark may be of
+any size; the documents are read once per pass and never shuffled.
 
 Defined cases.  Null, empty or blank texts and items match nothing; an item with a null id is an item like any other.
 Equal items are all reported.  Repeated documents are judged alike.  Other columns pass through untouched.
@@ -18,7 +19,9 @@ Equal items are all reported.  Repeated documents are judged alike.  Other colum
 from __future__ import annotations
 
 import math
+import pickle
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
-from .common import PLACE_KEYS, mixed, tune, utf8, word_hashes, word_spans
+from .common import PLACE_KEYS, item_blocks, mixed, saved, tune, utf8, word_hashes, word_spans
 
 K1, B = 1.2, 0.75
 #: Least share of an item's own score.
@@ -38,6 +41,8 @@ BLOCK_ITEMS = 2
 #: Bounds of (passage, block) held at a time.
 CELLS = 2_000_000
 INDEX_BYTES = 2_000_000
+#: Blocks of the index that a pass over the documents searches.
+PASS_BLOCKS = 8
 
 
 #: Words here are runs of letters, digits and anything beyond ASCII, so glued punctuation does not hide an item.
@@ -109,6 +114,15 @@ class Index:
         self.block = np.array([k for b in blocks for k in b], np.int64)
         self.block_most = np.array([g for b in blocks for g in b.values()], np.float64)
 
+    def packed(self) -> bytes:
+        return pickle.dumps(vars(self))
+
+    @classmethod
+    def unpacked(cls, state: bytes) -> Index:
+        out = cls.__new__(cls)
+        vars(out).update(pickle.loads(state))
+        return out
+
     def wand(self, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
         """Items whose impacts over the given terms sum to the threshold, by block-max WAND."""
         end = len(self.ids)
@@ -212,24 +226,23 @@ class Index:
         return best
 
 
-def indexes(benchmark: DataFrame) -> list[Index]:
-    """The index of the whole benchmark, in blocks of bounded size; document frequencies are counted over all items."""
-    items = benchmark.filter("text is not null").select("item_id", "text")
-    n_bytes, n_items = items.agg(F.sum(F.octet_length("text")), F.count("*")).first()
-    n = max(1, -(-(n_bytes or 0) // INDEX_BYTES))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
+def index_blocks(benchmark: DataFrame) -> DataFrame:
+    """(block, index): the index of each block of items, built in a task; document frequencies are those of all items."""
+    items = item_blocks(benchmark.filter("text is not null"), "item_id", "text", INDEX_BYTES)
     lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = items.select(block.alias("block"), F.regexp_extract_all(lower, F.lit(TERM.pattern), F.lit(0)).alias("w"))
-    mean = words.agg(F.avg(F.size("w"))).first()[0] or 1.0
+    words = items.select("block", F.regexp_extract_all(lower, F.lit(TERM.pattern), F.lit(0)).alias("w"))
+    n_items, mean = words.agg(F.count("*"), F.coalesce(F.avg(F.size("w")), F.lit(1.0))).first()
     each = words.select("block", F.explode(F.array_distinct("w")).alias("w"))
-    df = each.groupBy("w").agg(F.count("*").alias("df"))
-    out = []
-    for k in range(n):
-        mine = items.filter(block == k).orderBy("item_id", "text").collect()
-        counts = each.filter(F.col("block") == k).select("w").distinct().join(df, "w").collect()
-        hashes = word_hashes(*_ends([r["w"] for r in counts])) if counts else []
-        out.append(Index([(r["item_id"], r["text"]) for r in mine], {int(h): r["df"] for h, r in zip(hashes, counts, strict=True)}, n_items, float(mean)))
-    return out
+    counts = each.distinct().join(each.groupBy("w").agg(F.count("*").alias("df")), "w").select(F.col("block").alias("of"), "w", "df")
+
+    def build(mine: pa.Table, known: pa.Table) -> pa.Table:
+        hashes = word_hashes(*_ends(known.column("w").to_pylist())) if len(known) else []
+        rows = sorted(zip(*(mine.column(c).to_pylist() for c in ("at", "item_id", "text")), strict=True), key=lambda r: r[0])
+        df = {int(h): n for h, n in zip(hashes, known.column("df").to_pylist(), strict=True)}
+        index = Index([r[1:] for r in rows], df, n_items, float(mean) or 1.0)
+        return pa.table({"block": mine.column("block")[:1], "index": pa.array([index.packed()], pa.binary())})
+
+    return saved(items.groupBy("block").cogroup(counts.groupBy("of")).applyInArrow(build, "block long, index binary"), "leak_index")
 
 
 def _ends(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -237,9 +250,8 @@ def _ends(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, offsets[:-1], offsets[1:]
 
 
-def hits_of(text: Column, benchmark: DataFrame, threshold: float = THRESHOLD) -> Column:
-    """An array of (item_id, score, question, answer, word) for each text, over all blocks of the index."""
-    kind = dict(benchmark.dtypes)["item_id"]
+def hits_of(text: Column, indexes: list[Index], kind: str, threshold: float = THRESHOLD) -> Column:
+    """An array of (item_id, score, question, answer, word) for each text, over some blocks of the index; kind: of ids."""
     schema = f"array<struct<item_id: {kind}, score: double, question: double, answer: double, word: bigint>>"
 
     def searcher(index: Index):
@@ -249,18 +261,36 @@ def hits_of(text: Column, benchmark: DataFrame, threshold: float = THRESHOLD) ->
         return run
 
     arrow_type = to_arrow_type(DataType.fromDDL(schema))
-    parts = [F.arrow_udf(searcher(i), schema)(text) for i in indexes(benchmark)]
+    parts = [F.arrow_udf(searcher(i), schema)(text) for i in indexes]
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
+def _passes(benchmark: DataFrame) -> Iterator[tuple[list[Index], bool]]:
+    """The blocks of the index, PASS_BLOCKS at a time, and whether others are left."""
+    built = index_blocks(benchmark)
+    blocks = [r["block"] for r in built.select("block").orderBy("block").collect()]
+    for i in range(0, len(blocks), PASS_BLOCKS):
+        rows = built.filter(F.col("block").isin(blocks[i:i + PASS_BLOCKS])).orderBy("block").collect()
+        yield [Index.unpacked(bytes(r["index"])) for r in rows], i + PASS_BLOCKS < len(blocks)
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap, word): the items that each document holds."""
     tune(docs.sparkSession)
-    return docs.select("doc_id", F.explode(hits_of(F.col("text"), benchmark, threshold)).alias("h")).select(
-        "doc_id", "h.item_id", "h.score", F.col("h.question").alias("question_overlap"), F.col("h.answer").alias("answer_overlap"), "h.word")
+    kinds = dict(docs.dtypes)["doc_id"], dict(benchmark.dtypes)["item_id"]
+    out = docs.sparkSession.createDataFrame([], f"doc_id {kinds[0]}, item_id {kinds[1]}, score double, question_overlap double, answer_overlap double, word long")
+    for n, (indexes, more) in enumerate(_passes(benchmark)):
+        hits = docs.select("doc_id", F.explode(hits_of(F.col("text"), indexes, kinds[1], threshold)).alias("h")).select(
+            "doc_id", "h.item_id", "h.score", F.col("h.question").alias("question_overlap"), F.col("h.answer").alias("answer_overlap"), "h.word")
+        out = out.unionByName(saved(hits, "leak_hits")) if more or n else hits
+    return out
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that hold no item; nulls stay."""
     tune(docs.sparkSession)
-    return docs.withColumn("__hits", hits_of(F.col("text"), benchmark, threshold)).filter(F.size("__hits") == 0).drop("__hits")
+    kind = dict(benchmark.dtypes)["item_id"]
+    for indexes, more in _passes(benchmark):
+        docs = docs.withColumn("__hits", hits_of(F.col("text"), indexes, kind, threshold)).filter(F.size("__hits") == 0).drop("__hits")
+        docs = saved(docs, "leak_free") if more else docs
+    return docs

@@ -27,12 +27,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .common import LOWER_KEYS, drop_saved, lists, map_batches, saved, tune, utf8, word_hashes, word_spans
+from .common import LOWER_KEYS, drop_saved, item_blocks, lists, map_batches, saved, tune, utf8, word_hashes, word_spans
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 IS_BREAK = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
@@ -50,25 +49,6 @@ def _hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return word_hashes(data, start, end, LOWER_KEYS), row
 
 
-def item_blocks(items: DataFrame, item_col: str, text_col: str) -> DataFrame:
-    """(block, at, item_id, text): the items in blocks of bounded size."""
-    rows = items.select(F.col(item_col).alias("item_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    size = BLOCK_BYTES
-
-    def run(batches):
-        block, at, held = TaskContext.get().partitionId() << 32, 0, 0
-        for b in batches:
-            blocks, places = [], []
-            for n in (len(x) for x in b.column("text").to_pylist()):
-                if held + n > size and at:
-                    block, at, held = block + 1, 0, 0
-                blocks.append(block)
-                places.append(at)
-                at, held = at + 1, held + n
-            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(places, pa.int64()), b.column("item_id"), b.column("text")], ["block", "at", "item_id", "text"])
-    return saved(rows.mapInArrow(run, f"block long, at long, item_id {rows.schema['item_id'].dataType.simpleString()}, text string"), "search_items")
-
-
 def index(docs: DataFrame, terms: np.ndarray) -> DataFrame:
     """Posting lists of the terms (sorted fingerprints), a row for each batch of documents.
 
@@ -155,7 +135,7 @@ def ranked(docs: DataFrame, items: DataFrame, k: int = 10, id_col: str = "doc_id
     """(item_id, rank, doc_id, score): the k best documents of each item."""
     tune(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    blocks = item_blocks(items, item_col, item_text_col)
+    blocks = item_blocks(items, item_col, item_text_col, BLOCK_BYTES)
     item = blocks.schema["item_id"].dataType.simpleString()
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = [_block(docs, blocks.filter(F.col("block") == r["block"]), k) for r in blocks.select("block").distinct().orderBy("block").collect()]

@@ -127,7 +127,13 @@ def test_index_blocks_give_the_same_hits(make, make_items, text, monkeypatch):
     items = _items(text)
     docs = make([(k, text(k, 90) + " " + t) for k, (_, t) in enumerate(items) if t])
     one = sorted((r["doc_id"], str(r["item_id"]), round(r["score"], 9)) for r in decontaminate.leaks(docs, make_items(items)).collect())
-    monkeypatch.setattr(decontaminate, "INDEX_BYTES", 500)
+    monkeypatch.setattr(decontaminate, "INDEX_BYTES", 300)
+    monkeypatch.setattr(decontaminate, "PASS_BLOCKS", 2)
+    built = decontaminate.index_blocks(make_items(items))
+    assert built.count() > 2 and max(len(r["index"]) for r in built.collect()) < 20_000
+    clean = docs.unionByName(make([(900, text(77, 50)), (901, None)]))
+    assert sorted(r["doc_id"] for r in decontaminate.without_leaks(clean, make_items(items)).collect() if r["doc_id"] >= 900) == [900, 901]
+    assert {r["doc_id"] for r in decontaminate.without_leaks(clean, make_items(items)).collect()} & {r[0] for r in one} == set()
     assert sorted((r["doc_id"], str(r["item_id"]), round(r["score"], 9)) for r in decontaminate.leaks(docs, make_items(items)).collect()) == one
 
 
