@@ -324,6 +324,7 @@ FROM m_orders""")
     q["scan_since_numeric_suffix"] = with_model("""
 SELECT order_id, user_id, created_at, total, status, payment_method, _pos AS id_num FROM m_orders
 WHERE _pos > (SELECT floor(avg(_pos)) FROM m_orders)""")
+    q["scan_clustered"] = q["scan_since_numeric_suffix"]
     q["scan_since_position"] = with_model("""
 SELECT * EXCLUDE (k) FROM m_events
 WHERE _pos > (SELECT max(_pos) FROM m_events WHERE "timestamp" < TIMESTAMP '2024-01-15')""")

@@ -21,7 +21,7 @@ from shopflow.sinks import state, tables
 from shopflow.sinks.topics import publish
 from shopflow.sources import driver_tables as dt
 from shopflow.sources import files
-from shopflow.sources.cursor import cursor_rejects, scan_since
+from shopflow.sources.cursor import cursor_rejects, scan_clustered, scan_since, write_clustered
 from shopflow.sources.topics import topic_source
 from shopflow.streaming import drivers
 
@@ -367,6 +367,18 @@ def q_cursor_rejects(spark, d):
     return rejected.unionByName(exported).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("scan_clustered")
+def q_scan_clustered(spark, d):
+    """The orders stored clustered on their number in two exports,
+    scanned after the middle one."""
+    path, o = work_path(spark, "clustered", fresh=True), dt.orders(spark, d)
+    early = F.col("created_at") < F.lit("1998-01-01").cast("timestamp")
+    for part in (early, ~early):
+        write_clustered(o.filter(part), "order_id", path)
+    last = o.agg(F.floor(F.avg(fc.id_number("order_id")))).first()[0]
+    return scan_clustered(spark, path, last)
+
+
 @query("scan_since_position")
 def q_scan_since_position(spark, d):
     """Events after the position cursor left by the export of the first

@@ -161,6 +161,30 @@ def payload_type(event_type: str) -> T.StructType:
     return T.StructType(fields)
 
 
+# Fixed value: name space of the records of the event topics.
+AVRO_NAMESPACE = "behavior.events"
+_AVRO = {T.StringType: "string", T.IntegerType: "int", T.DoubleType: "double", T.BooleanType: "boolean"}
+
+
+def avro_schema(event_type: str) -> dict:
+    """The Avro record of an event topic's messages.  Payload fields are
+    nullable where they are optional and have no default; times are ISO text."""
+    name = "".join(w.capitalize() for w in event_type.split("_"))
+    plain = lambda dtype: _AVRO[type(dtype)]
+    item = {"type": "record", "name": "CartItem", "fields": [{"name": f.name, "type": plain(f.dataType)} for f in CART_ITEM.fields]}
+    data = []
+    for (field, kind, required, default), f in zip(EVENT_RULES[event_type], payload_type(event_type).fields, strict=True):
+        if kind == "items":
+            data.append({"name": field, "type": {"type": "array", "items": item}})
+        elif required or default is not None:
+            data.append({"name": field, "type": plain(f.dataType)})
+        else:
+            data.append({"name": field, "type": ["null", plain(f.dataType)], "default": None})
+    common = [{"name": n, "type": "string"} for n in ("timestamp", "user_id", "session_id", "event_type", "device")]
+    return {"type": "record", "name": name, "namespace": AVRO_NAMESPACE,
+            "fields": [*common, {"name": "event_data", "type": {"type": "record", "name": f"{name}Data", "fields": data}}]}
+
+
 def _union_payload() -> T.StructType:
     """Union of all payload fields (a field name has one type across types)."""
     seen: dict[str, T.StructField] = {}

@@ -4,7 +4,7 @@ subquery over the cursor table, so the predicate is evaluated in the scan."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopflow.functions.columns import id_number
@@ -26,6 +26,21 @@ def scan_since(df: DataFrame, pk: str, last: Column | int | None, numeric_suffix
     return out.filter((F.col("id_num") > last_col) | last_col.isNull())
 
 
+def write_clustered(df: DataFrame, pk: str, path: str, mode: str = "append") -> None:
+    """Store rows clustered on the number of their key (``id_num``): every file
+    holds a range of numbers in order, so the statistics of its row groups tell
+    a cursor scan what to skip."""
+    (df.withColumn("id_num", id_number(pk)).filter("id_num is not null").repartitionByRange("id_num").sortWithinPartitions("id_num")
+     .write.mode(mode).parquet(path))
+
+
+def scan_clustered(spark: SparkSession, path: str, last: int | None) -> DataFrame:
+    """Rows of a clustered table after ``last``; a number, not a subquery, so
+    that the comparison reaches the row groups."""
+    df = spark.read.parquet(path)
+    return df if last is None else df.filter(F.col("id_num") > F.lit(last))
+
+
 def cursor_rejects(df: DataFrame, pk: str) -> DataFrame:
     """Rows that a numeric cursor can't place: their key has no number.  Such
     rows are in no export (the comparison above is never true for them), so

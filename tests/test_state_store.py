@@ -9,6 +9,7 @@ from shopflow.plans import reports
 from shopflow.schemas import TABLE_TOPICS
 from shopflow.operators import envelope
 from shopflow.sinks.topics import publish
+from shopflow.sources.cursor import scan_clustered, write_clustered
 from shopflow.streaming import drivers
 
 EVENT = "event_type string, user_id string, timestamp timestamp, url_path string"
@@ -76,3 +77,44 @@ def test_bucketed_log_is_read_without_a_shuffle(spark, tmp_dir):
         os.remove(f"{commits}/{f}")  # the batch was written, but not committed
     drivers.run(start)
     assert spark.read.parquet(log).count() == 120 and drivers.read_bucketed_landing(spark, "orders", log).count() == 60
+
+
+def test_cursor_scan_skips_row_groups(spark, tmp_dir):
+    """Clustered storage: the scan reads the files of the range only; spread by key, it reads every row."""
+    rows = spark.range(40_000).select(F.concat(F.lit("o"), "id").alias("order_id"), F.lit("x").alias("v"))
+    write_clustered(rows, "order_id", f"{tmp_dir}/clustered")
+    rows.withColumn("id_num", F.substring("order_id", 2, 9).cast("long")).repartition(4, "order_id").write.parquet(f"{tmp_dir}/spread")
+    read = {}
+    for name in ("clustered", "spread"):
+        df = scan_clustered(spark, f"{tmp_dir}/{name}", 38_999)
+        plan = df._jdf.queryExecution().executedPlan()
+        assert sum(1 for _ in df.collect()) == 1000
+        read[name] = plan.collectLeaves().head().metrics().apply("numOutputRows").value()
+    assert read["spread"] == 40_000 and read["clustered"] <= 20_000
+
+
+def test_avro_schemas_of_the_event_topics(spark):
+    """They parse, and say of every declared field its type and whether it may be null."""
+    import json
+
+    from shopflow.schemas import CART_ITEM_RULES, EVENT_RULES, EVENT_TOPICS, avro_schema
+    kinds = {"str": "string", "int": "int", "float": "double", "bool": "boolean"}
+    nullable = set()
+    for event_type in EVENT_TOPICS:
+        parsed = spark._jvm.org.apache.avro.Schema.Parser().parse(json.dumps(avro_schema(event_type)))
+        assert parsed.getFullName() == "behavior.events." + event_type.title().replace("_", "")
+        fields = {f.name(): f.schema() for f in parsed.getFields()}
+        assert list(fields) == ["timestamp", "user_id", "session_id", "event_type", "device", "event_data"]
+        data = {f.name(): f.schema() for f in fields["event_data"].getFields()}
+        assert list(data) == [n for n, *_ in EVENT_RULES[event_type]]
+        for name, kind, _, _ in EVENT_RULES[event_type]:
+            if kind == "items":
+                item = {f.name(): f.schema().getType().getName() for f in data[name].getElementType().getFields()}
+                assert item == {n: kinds[k] for n, k, _, _ in CART_ITEM_RULES}
+                continue
+            types = [t.getType().getName() for t in data[name].getTypes()] if data[name].isUnion() else [data[name].getType().getName()]
+            assert types[-1] == kinds[kind] and types[:-1] in ([], ["null"])
+            if len(types) == 2:
+                nullable.add((event_type, name))
+    assert nullable == {("product_search", "clicked_position"), ("add_to_cart", "cart_total_items"), ("remove_from_cart", "cart_total_items"),
+                        ("checkout_start", "shipping_method"), ("payment_attempt", "error_code"), ("order_complete", "fulfillment_speed")}
