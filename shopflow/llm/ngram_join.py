@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, lists, map_batches, mixed, saved, shingles, tune, utf8, word_hashes, word_spans
@@ -47,6 +47,11 @@ def _node(rows: np.ndarray, tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray
     return mixed(total + sizes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
 
 
+def _digest(text: Column) -> Column:
+    """128 bits that tell the texts of one id apart, without a copy of the text as a cryptographic digest takes."""
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+
+
 def frequent_shingles(docs: DataFrame, text: str, k: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles and their ranks, rarest first; counts leave a task only where it saw three or more."""
     def count(batches):
@@ -79,7 +84,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     tune(spark)
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.unhex(F.sha2(text_col, 256)).alias("digest"))
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), _digest(F.col(text_col)).alias("digest"))
     heavy, rank = frequent_shingles(docs, "text", k, FREQUENT)
 
     def prefixes(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -102,7 +107,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              lists(token[order][inside].view(np.int64), keep, pa.int64())], ["doc_id", "digest", "n", "node", "light", "prefix"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    base = saved(map_batches(docs, prefixes, f"doc_id {kind}, digest binary, n long, node long, light int, prefix array<long>"), "ngram_base")
+    base = saved(map_batches(docs, prefixes, f"doc_id {kind}, digest struct<a: bigint, b: bigint>, n long, node long, light int, prefix array<long>"), "ngram_base")
     sets = base.filter("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "digest")).alias("row"), F.first("n").alias("n"), F.first("light").alias("light"), F.first("prefix").alias("prefix"))
     posting = sets.select("node", "n", "light", F.posexplode("prefix").alias("pos", "token")) \
         .withColumn("tail", F.col("pos") >= F.col("light"))
@@ -136,7 +141,7 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Rows that agree in both are told apart by the JSON of all their columns, the least of which stays.
     """
-    key = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.sha2(F.coalesce(text_col, F.lit("")), 256).alias("digest"))
+    key = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), _digest(F.coalesce(text_col, F.lit(""))).alias("digest"))
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key.alias("key"), F.col(text_col).alias("text"))
     stay = near_duplicates(keyed, "key", "text", **options).filter("doc_id = component_id").groupBy(F.col("doc_id").alias("of")).agg(F.count("*").alias("n"))
     rows = keyed.join(saved(stay, "ngram_stay"), F.col("key") == F.col("of")).select("key", "n", "row")
