@@ -2,13 +2,13 @@
 
 Base findings (assign, access, hex) come from fixed patterns and always stay.  A candidate is any other run of
 MIN_TOKEN or more token characters, whatever they are.  The network reads the whole candidate and CONTEXT bytes on
-either side, each byte marked as inside or outside.  It is trained on labelled findings: base findings of a bounded
-sample of documents and made-up keys of known formats against look-alikes (paths, versions, dates, identifiers, long
-words) and the sample's ordinary long words.  Held-back findings then calibrate the scores (Platt) and set a threshold
-for each band of lengths (BANDS): the highest that still finds MIN_RECALL of the secrets of that band.
+either side, each byte marked as inside or outside.  It is trained on labelled findings: made-up keys of known formats
+against look-alikes (paths, versions, dates, identifiers, long words), then the base findings of all documents against
+all their ordinary long words.  Held-back findings then calibrate the scores (Platt) and set a threshold for each band of
+lengths (BANDS): the highest that still finds MIN_RECALL of the secrets of that band.
 
-All matchers are linear in the text.  Scale: fitting uses at most SAMPLE documents of least hash, and FIT_CHARS characters of each; every text is scanned
-whole in one pass without a shuffle.
+All matchers are linear in the text.  Scale: training reads every text whole, in two passes without a shuffle of texts; the tasks'
+weights are averaged, and calibration uses counts of all findings.  Scanning is one more such pass.
 
 Defined cases.  Null text is read as empty: no spans.  Candidates that overlap a base finding are not reported again.
 Rows are scanned one by one, so ties, repeated rows and other columns don't matter.  Spans count code points, end
@@ -17,6 +17,7 @@ exclusive.
 
 from __future__ import annotations
 
+import copy
 import re
 
 import numpy as np
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import FIT_CHARS, tune, utf8
+from .common import tune, utf8
 from .textcnn import ConvNet
 
 BASE_KINDS = ("assign", "access", "hex")
@@ -37,9 +38,11 @@ MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
 MIN_TOKEN, CONTEXT = 12, 32
 #: First lengths of the bands of candidates that have a threshold each.
 BANDS = (12, 16, 24, 40)
-#: Documents to learn from at most.
-SAMPLE = 1500
 MIN_RECALL = 0.95
+#: Findings of documents in a step of a task, beside as many made-up ones.
+REAL_BATCH = 128
+#: Logits are counted from -LARGEST to LARGEST in steps of 1 / FINE.
+LARGEST, FINE = 32, 64
 WIDTHS, EMBED, FILTERS, STEPS, BATCH = (2, 3, 5), 8, 10, 500, 64
 #: Ids: a byte outside the candidate, inside it, and padding.
 INSIDE, PAD = 256, 512
@@ -199,49 +202,136 @@ def labelled_findings(rng: np.random.Generator, n: int) -> tuple[list[str], list
     return texts, spans, y
 
 
-def fit(texts: pa.Array, made: int = 5000, seed: int = 5) -> Model:
-    """Train on made-up findings, and on the base findings and ordinary long words of the given texts."""
-    rng, model = np.random.default_rng(seed), Model(seed)
-    lines, spans, y = labelled_findings(rng, made)
-    scan = Scan(pa.array(lines + [t or "" for t in texts.to_pylist()], pa.string()))
-    row, start, end = [np.arange(made)], [np.array([scan.offsets[i] + a for i, (a, _) in enumerate(spans)])], [np.array([scan.offsets[i] + b for i, (_, b) in enumerate(spans)])]
-    real = [(r, a, b) for r, kind, a, b in scan.base if r >= made]
-    words_a, words_b = _runs(scan.data, scan.offsets, TOKEN, MIN_TOKEN)  # the sample's long words without digits are taken for no secrets
+class Findings:
+    """Labelled spans of a scan as the network reads them; ``held`` ones calibrate, the others train."""
+
+    def __init__(self, scan: Scan, row: np.ndarray, start: np.ndarray, end: np.ndarray, y: np.ndarray):
+        self.ids, self.first, self.lens = scan.windows(row, start, end)
+        self.y, self.length = y, end - start
+        # by their place in the text, not in the batch
+        self.held = ((start - scan.offsets[row]) * 2654435761 + self.length >> 5) % 4 == 3
+        self.train = np.flatnonzero(~self.held)
+
+
+def made_up(made: int, seed: int) -> Findings:
+    lines, spans, y = labelled_findings(np.random.default_rng(seed), made)
+    scan, at = Scan(pa.array(lines, pa.string())), np.array(spans, np.int64).reshape(-1, 2)
+    found = Findings(scan, np.arange(made), scan.offsets[:made] + at[:, 0], scan.offsets[:made] + at[:, 1], np.array(y))
+    found.held = np.arange(made) // 2 % 4 == 3
+    found.train = np.flatnonzero(~found.held)
+    return found
+
+
+def real(col: pa.Array) -> Findings:
+    """Every base finding of the texts, and every ordinary long word (a run without digits), taken for no secret."""
+    scan = Scan(col)
+    a, b = _runs(scan.data, scan.offsets, TOKEN, MIN_TOKEN)
     digits = np.concatenate([[0], np.cumsum(DIGIT[scan.data])])
-    plain = (digits[words_b] == digits[words_a]) & (words_a >= scan.offsets[made])
-    words_a, words_b = words_a[plain][:made], words_b[plain][:made]
-    for part, label in ((np.array(real, np.int64).reshape(-1, 3), 1), (np.stack([scan._row(words_a), words_a, words_b], 1), 0)):
-        row, start, end = row + [part[:, 0]], start + [part[:, 1]], end + [part[:, 2]]
-        y = y + [label] * len(part)
-    row, start, end, y = np.concatenate(row), np.concatenate(start), np.concatenate(end), np.array(y)
-    held = np.arange(len(y)) % 4 == 3
-    shuffled = rng.permutation(len(y))
-    row, start, end, y = row[shuffled], start[shuffled], end[shuffled], y[shuffled]
-    ids, first, lens = scan.windows(row, start, end)
-    weight = np.where(y == 1, 1.0, (y == 1).sum() / max(1, (y == 0).sum()))
-    model.net.train(ids, first, lens, np.flatnonzero(~held), y, weight, STEPS, BATCH, seed)
-    z = model.net.logits(ids, first, lens)[held].astype(np.float64)
-    t = y[held]
-    for _ in range(50):  # Platt's scaling, by Newton steps
+    plain = digits[b] == digits[a]
+    base = np.array([(r, x, z) for r, _, x, z in scan.base], np.int64).reshape(-1, 3)
+    row, start, end = np.concatenate([base[:, 0], scan._row(a[plain])]), np.concatenate([base[:, 1], a[plain]]), np.concatenate([base[:, 2], b[plain]])
+    return Findings(scan, row, start, end, np.concatenate([np.ones(len(base), np.int64), np.zeros(int(plain.sum()), np.int64)]))
+
+
+def learn(net: ConvNet, some: Findings, made: Findings, rng: np.random.Generator) -> int:
+    """Steps over all findings that train, each once, beside as many made-up ones; both labels weigh the same.  How many there were."""
+    both = lambda name: np.concatenate([getattr(made, name), getattr(some, name)])
+    ids, first, lens, y = np.concatenate([made.ids, some.ids], 1), np.concatenate([made.first, some.first + made.ids.shape[1]]), both("lens"), both("y")
+    order = rng.permutation(some.train) + len(made.y)
+    for i in range(0, len(order), REAL_BATCH):
+        pick = np.concatenate([order[i:i + REAL_BATCH], rng.choice(made.train, len(order[i:i + REAL_BATCH]))])
+        good = y[pick] == 1
+        net.step(ids, first[pick], lens[pick], y[pick], np.where(good, 1.0, min(1.0, max(1, good.sum()) / max(1, (~good).sum()))))
+    return len(order)
+
+
+def bins(net: ConvNet, some: Findings, tables: dict) -> np.ndarray:
+    """How many findings that calibrate there are by label, band of lengths and logit, in steps of 1 / FINE."""
+    out = np.zeros((2, len(BANDS), 2 * LARGEST * FINE + 1), np.int64)
+    if some.held.any():
+        z = np.clip(net.logits(some.ids, some.first[some.held], some.lens[some.held], tables).astype(np.float64), -LARGEST, LARGEST)
+        np.add.at(out, (some.y[some.held], np.maximum(np.searchsorted(BANDS, some.length[some.held], side="right") - 1, 0), np.rint((z + LARGEST) * FINE).astype(np.int64)), 1)
+    return out
+
+
+def calibrate(model: Model, counts: np.ndarray, made: np.ndarray) -> Model:
+    """Platt's scaling and the thresholds, from all findings that calibrate; made-up ones weigh as much as real ones, if they are fewer."""
+    weight = counts + made * max(1.0, counts.sum() / max(1, made.sum()))
+    z = np.arange(weight.shape[2]) / FINE - LARGEST
+    n, hits = weight.sum(axis=(0, 1)), weight[1].sum(axis=0)
+    for _ in range(50):  # by Newton steps
         p = 1 / (1 + np.exp(-np.clip(model.slope * z + model.offset, -30, 30)))
-        w = p * (1 - p) + 1e-6
+        w = n * (p * (1 - p) + 1e-6)
         h = np.array([[(w * z * z).sum() + 1, (w * z).sum()], [(w * z).sum(), w.sum() + 1e-3]])
-        d = np.linalg.solve(h, [((t - p) * z).sum() - (model.slope - 1), (t - p).sum()])
+        d = np.linalg.solve(h, [((hits - n * p) * z).sum() - (model.slope - 1), (hits - n * p).sum()])
         model.slope, model.offset = model.slope + float(np.clip(d[0], -1, 1)), model.offset + float(np.clip(d[1], -1, 1))
-    p = 1 / (1 + np.exp(-np.clip(model.slope * z + model.offset, -30, 30)))
-    band = np.searchsorted(BANDS, (end - start)[held], side="right") - 1
     for k in range(len(BANDS)):
-        found = np.sort(p[(t == 1) & (band == k)])
-        if len(found):
-            model.thresholds[k] = found[int((1 - MIN_RECALL) * len(found))]
+        # positives of a band: real ones together weigh no more than made-up ones
+        found, plan = counts[1, k].astype(float), made[1, k].astype(float)
+        found = found * min(1.0, plan.sum() / max(1.0, found.sum())) + plan
+        if found.sum():
+            at = int(np.searchsorted(np.cumsum(found), (1 - MIN_RECALL) * found.sum(), side="right"))
+            model.thresholds[k] = 1 / (1 + np.exp(-np.clip(model.slope * (z[at] - 0.5 / FINE) + model.offset, -30, 30)))
     return model
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    pick = docs.filter("doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).distinct()
-    rows = docs.select("doc_id", F.substring("text", 1, FIT_CHARS).alias("text")).join(F.broadcast(pick), "doc_id").toArrow()
-    order = np.lexsort((rows.column("text").fill_null("").to_numpy(zero_copy_only=False).astype(str), rows.column("doc_id").to_numpy())) if len(rows) else []
-    return fit(rows.column("text").combine_chunks().take(pa.array(order)) if len(order) else pa.array([], pa.string()))
+def started(made: Findings, seed: int) -> Model:
+    """A network that has learned the made-up findings; learning can go on."""
+    model = Model(seed)
+    model.net.train(made.ids, made.first, made.lens, made.train, made.y, np.ones(len(made.y)), STEPS, BATCH, seed, keep=True)
+    return model
+
+
+def fit(texts: pa.Array, made: int = 5000, seed: int = 5) -> Model:
+    """Train on made-up findings, and on the base findings and ordinary long words of the given texts; as ``train``, in one process."""
+    planned, some = made_up(made, seed), real(texts)
+    model = started(planned, seed)
+    learn(model.net, some, planned, np.random.default_rng(seed))
+    model.net.squares = {}
+    tables = model.net.tables()
+    return calibrate(model, bins(model.net, some, tables), bins(model.net, planned, tables))
+
+
+def train(docs: DataFrame, made: int = 5000, seed: int = 5) -> Model:
+    """Train on made-up findings, then on those of every document: each task goes on from the made-up ones over all findings of its
+    documents, and the weights of the tasks are averaged by how many they had.  A second pass counts the findings that calibrate.
+    What reaches the driver is one set of weights, and counts of a fixed size."""
+    planned = made_up(made, seed)
+    model = started(planned, seed)
+    names, start = sorted(model.net.p), model.net
+    texts = docs.select("text")
+
+    def tasks(batches):
+        net, n = copy.deepcopy(start), 0
+        rng = np.random.default_rng(seed)
+        for b in batches:
+            n += learn(net, real(b.column("text")), planned, rng)
+        if n:
+            flat = np.concatenate([net.p[k].ravel() for k in names]).astype(np.float64) * n
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(flat) + 1), pa.int32()), pa.array(np.append(flat, float(n)))], ["at", "value"])
+
+    summed = texts.mapInArrow(tasks, "at int, value double").groupBy("at").agg(F.sum("value").alias("value")).orderBy("at").toArrow()
+    if summed.num_rows:
+        flat = summed.column("value").to_numpy()
+        flat, at = (flat[:-1] / flat[-1]).astype(np.float32), 0
+        for k in names:
+            shape = model.net.p[k].shape
+            model.net.p[k] = flat[at:at + int(np.prod(shape))].reshape(shape)
+            at += int(np.prod(shape))
+    model.net.squares = {}
+    net, tables = model.net, model.net.tables()
+
+    def counted(batches):
+        total = sum((bins(net, real(b.column("text")), tables) for b in batches), np.zeros((), np.int64))
+        if total.ndim:
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total.ravel()[at], pa.int64())], ["at", "n"])
+
+    got = texts.mapInArrow(counted, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    planned_bins = bins(net, planned, tables)
+    counts = np.zeros(planned_bins.size, np.int64)
+    counts[got.column("at").to_numpy()] = got.column("n").to_numpy()
+    return calibrate(model, counts.reshape(planned_bins.shape), planned_bins)
 
 
 SPANS = "array<struct<kind: string, start: bigint, end: bigint, score: double>>"
