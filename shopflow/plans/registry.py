@@ -644,10 +644,16 @@ def q_land_tables_stream(spark, d):
     return out
 
 
+#: Rows that one file of a stream holds, about.
+FILE_ROWS = 250_000
+
+
 def _streamed(spark, df, root, n, *by):
-    """The rows as files of a stream that takes a few per micro-batch."""
-    (df.repartition(n, *by) if by else df.repartition(n)).write.mode("append").parquet(f"{root}/in")
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+    """The rows as files of a stream, in n parts of which it takes two per
+    micro-batch.  A part is one file, or as many as its rows ask for."""
+    pieces = max(1, -(-df.count() // (n * FILE_ROWS)))
+    (df.repartition(n * pieces, *by) if by else df.repartition(n * pieces)).write.mode("append").parquet(f"{root}/in")
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2 * pieces).parquet(f"{root}/in")
 
 
 @query("additive_report_stream")
