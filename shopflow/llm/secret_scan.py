@@ -39,8 +39,8 @@ MIN_TOKEN, CONTEXT = 12, 32
 #: First lengths of the bands of candidates that have a threshold each.
 BANDS = (12, 16, 24, 40)
 MIN_RECALL = 0.95
-#: Findings of documents in a step of a task, beside as many made-up ones.
-REAL_BATCH = 128
+#: Findings of documents in a step of a task, beside as many made-up ones; passes over those of a batch of documents.
+REAL_BATCH, PASSES = 32, 3
 #: Logits are counted from -LARGEST to LARGEST in steps of 1 / FINE.
 LARGEST, FINE = 32, 64
 WIDTHS, EMBED, FILTERS, STEPS, BATCH = (2, 3, 5), 8, 10, 500, 64
@@ -234,15 +234,15 @@ def real(col: pa.Array) -> Findings:
 
 
 def learn(net: ConvNet, some: Findings, made: Findings, rng: np.random.Generator) -> int:
-    """Steps over all findings that train, each once, beside as many made-up ones; both labels weigh the same.  How many there were."""
+    """Steps over all findings that train, beside as many made-up ones; both labels weigh the same.  How many there were."""
     both = lambda name: np.concatenate([getattr(made, name), getattr(some, name)])
     ids, first, lens, y = np.concatenate([made.ids, some.ids], 1), np.concatenate([made.first, some.first + made.ids.shape[1]]), both("lens"), both("y")
-    order = rng.permutation(some.train) + len(made.y)
+    order = np.concatenate([rng.permutation(some.train) for _ in range(PASSES)]) + len(made.y)
     for i in range(0, len(order), REAL_BATCH):
         pick = np.concatenate([order[i:i + REAL_BATCH], rng.choice(made.train, len(order[i:i + REAL_BATCH]))])
         good = y[pick] == 1
         net.step(ids, first[pick], lens[pick], y[pick], np.where(good, 1.0, min(1.0, max(1, good.sum()) / max(1, (~good).sum()))))
-    return len(order)
+    return len(some.train)
 
 
 def bins(net: ConvNet, some: Findings, tables: dict) -> np.ndarray:
