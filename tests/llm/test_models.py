@@ -1,5 +1,7 @@
 """HTML extraction, toxicity, language: exact reading where it is defined, held-out accuracy where it is learned."""
 
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -85,6 +87,61 @@ def test_net_gradients_match_differences():
         net.p[name][at] -= 1e-2
 
 
+def _plain_step(net, ids, first, lens, y, weight):
+    """One Adagrad step, place by place; of equal places the first one wins."""
+    p = {k: v.astype(np.float64) for k, v in net.p.items()}
+    grad = {k: np.zeros_like(v) for k, v in p.items()}
+    grad["out"] += 1e-4 * p["out"]
+    for i in range(len(y)):
+        won = []
+        for j, w in enumerate(net.widths):
+            conv = np.array([sum(p["embed"][ids[:, a + k]].sum(axis=0) @ p[f"filter{w}"][k] for k in range(w)) for a in range(first[i], first[i] + lens[i])])
+            won += [(j * net.filters + f, w, f, first[i] + int(conv[:, f].argmax()), conv[:, f].max() + p[f"start{w}"][f]) for f in range(net.filters)]
+        z = sum(max(v, 0) * p["out"][at] for at, _, _, _, v in won) + p["bias"][0]
+        d = weight[i] * (1 / (1 + np.exp(-z)) - y[i]) / len(y)
+        grad["bias"] += d
+        for at, w, f, place, v in won:
+            if v > 0:
+                grad["out"][at] += v * d
+                back = d * p["out"][at]
+                grad[f"start{w}"][f] += back
+                for k in range(w):
+                    grad[f"filter{w}"][k, :, f] += p["embed"][ids[:, place + k]].sum(axis=0) * back
+                    for kind in ids[:, place + k]:
+                        grad["embed"][kind] += back * p[f"filter{w}"][k, :, f] * (kind != net.pad)
+    return {k: p[k] - net.rate * grad[k] / np.sqrt(net.squares[k] + grad[k] ** 2) for k in p}
+
+
+@pytest.mark.parametrize("kinds", [1, 2])
+def test_a_step_is_that_of_a_plain_one(kinds):
+    rng = np.random.default_rng(3)
+    net = ConvNet(30, 4, 3, (2, 3, 5), rate=0.1, seed=2, scale=0.5)
+    lens = np.array([12, 1, 40, 3, 25])
+    first = np.cumsum(lens + 5) - lens - 5
+    ids = np.full((kinds, int((lens + 5).sum())), 30)
+    for a, n in zip(first, lens, strict=True):
+        ids[:, a:a + n] = rng.integers(0, 30, (kinds, n))
+    ids[:, first[2] + 20:first[2] + 40] = ids[:, first[2]:first[2] + 20]  # equal places
+    pick = np.array([2, 0, 4, 3, 1, 2])
+    y, weight = np.array([1, 0, 1, 0, 1, 0]), np.linspace(0.5, 1, 6)
+    want = _plain_step(net, ids, first[pick], lens[pick], y, weight)
+    net.step(ids, first[pick], lens[pick], y, weight)
+    for name, v in want.items():
+        assert np.allclose(net.p[name], v, rtol=1e-3, atol=1e-4), name
+
+
+def test_a_step_embeds_each_place_once():
+    """What a step costs is in proportion to its places, not to its places times the widest filter."""
+    net = ConvNet(512, 8, 10, (2, 3, 5), rate=0.1, seed=1, scale=0.3)
+    n, lens = 64, np.full(64, 200)
+    ids = np.random.default_rng(0).integers(0, 512, (1, n * 205))
+    tracemalloc.start()
+    net.step(ids, np.arange(n) * 205, lens, np.arange(n) % 2, np.ones(n))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 256 * n * 205, most
+
+
 def _labelled(text, n):
     """Toxic texts hold two of the marked words; the last quarter is not trained on."""
     bad = ["vilename", "grubsor", "nastling", "plonker"]
