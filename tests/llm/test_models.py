@@ -176,6 +176,32 @@ def test_toxicity_frames(make, make_labels, text):
     assert toxicity.scored(make([]), labels).count() == 0
 
 
+def test_toxicity_learns_every_row_whole(make, make_labels, text):
+    """One of the words is marked only in texts where it comes after 20,000 characters."""
+    long = "fine words " * 2000
+    word = lambda i: ("grubsor" if i % 2 else "vilename") if i % 3 == 0 else "harmless"
+    docs = make([(i, (long if i % 2 else "") + text(i, 30) + " " + word(i)) for i in range(480)])
+    model = toxicity.train(docs, make_labels([(i, 1, int(i % 3 == 0)) for i in range(480)]))
+    score = model.scores(toxicity.Texts(pa.array([text(900 + i, 30) + end for i in range(20) for end in (" grubsor", " vilename", " harmless")])))
+    assert (score[::3] >= toxicity.DECISION).mean() > 0.9 and (score[1::3] >= toxicity.DECISION).mean() > 0.9
+    assert (score[2::3] < toxicity.DECISION).mean() > 0.9
+
+
+def test_a_step_over_pieces_of_long_sequences_is_the_same_step(monkeypatch):
+    r = np.random.default_rng(0)
+    lens = np.array([1, 700, 3, 40, 1, 257])
+    first = np.cumsum(lens + 3) - lens - 3
+    ids = np.full((2, int((lens + 3).sum())), 30)
+    for a, n in zip(first, lens, strict=True):
+        ids[:, a:a + n] = r.integers(0, 30, (2, n))
+    nets = []
+    for piece in (200_000, 50, 7):
+        monkeypatch.setattr("shopflow.llm.textcnn.PIECE", piece)
+        nets.append(ConvNet(30, 4, 3, (1, 2, 3), rate=0.1, seed=2, scale=0.5))
+        nets[-1].step(ids, first, lens, np.array([1, 0, 1, 0, 1, 1]), np.ones(6))
+    assert all(np.allclose(nets[0].p[k], net.p[k], atol=1e-4) for net in nets[1:] for k in net.p)
+
+
 def test_recurrent_gradients_match_differences():
     rng = np.random.default_rng(0)
     model = langid.Model(["a", "b", "c"], seed=2)
