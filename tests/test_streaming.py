@@ -47,6 +47,23 @@ def test_ingest_new_files_only(spark, tmp_dir):
     assert [(r["source_file"], r["line"], r["reason"]) for r in rej] == [("sessions_20250102_a.json", 3, "Invalid JSON")]
 
 
+def test_ingest_keeps_its_batch_on_disk(spark, tmp_dir, monkeypatch):
+    """Files of any size may be in a batch: nothing of it is kept in executors' memory, and only rejects keep their line."""
+    src, store = f"{tmp_dir}/in", f"{tmp_dir}/store"
+    write(src, "sessions_20250102_a.json", [line("2025-01-02T10:00:00Z", "s1", order_id="o1"), "{bad"])
+    spark.catalog.clearCache()
+    levels, plain = [], drivers.write_batch
+
+    def noted(*args, **kw):
+        plain(*args, **kw)
+        levels.extend(rdd.getStorageLevel() for rdd in spark.sparkContext._jsc.getPersistentRDDs().values())
+
+    monkeypatch.setattr(drivers, "write_batch", noted)
+    drivers.run(lambda: drivers.ingest_sessions(spark, src, store, f"{tmp_dir}/ledger", f"{tmp_dir}/ckpt"))
+    assert len(levels) >= 3 and all(x.useDisk() and not x.useMemory() for x in levels)
+    assert [r["raw"] for r in spark.read.parquet(f"{store}_rejects").collect()] == ["{bad"]
+
+
 def test_write_batch_replay_is_idempotent(spark, tmp_dir):
     path = f"{tmp_dir}/deltas"
     df = spark.createDataFrame([("2025-01-01", 2)], "report_date string, n long")
